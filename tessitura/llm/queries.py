@@ -2,22 +2,62 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import crc32_id, read, shared_dir
 from .exact_dedup import exact_dedup
+from .language_id import identify, is_held_out
+from .line_dedup import drop_repeated_lines
+from .mixing import mix
 from .packing import pack
+from .quality_rules import apply_quality_rules
 from .simhash import simhash_components
+from .token_counts import TokenRollup, count_tokens
+from .toxicity import toxicity
+from .url_filter import judge_urls
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches: all documents come in; those of low quality go; toxic ones come anew with white space squeezed."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    tokenizers = {"byte_bpe_50k": public_tokenizers.path("byte_bpe_50k.json"), "words": None}
+    rollup = TokenRollup(spark, f"{shared_dir(spark)}/token-rollup-{uuid.uuid4().hex}")
+    rollup.apply("1-insert", count_tokens(docs, tokenizers))
+    revised = docs.join(labels.where("toxic = 1 and quality = 1").select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").withColumn("text", F.regexp_replace("text", r"\s+", " "))
+    rollup.apply("2-review", count_tokens(revised, tokenizers), labels.where("quality = 0").select("doc_id"))
+    return rollup.totals()
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_lines(read(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+l AS (SELECT doc_id, unnest(l) AS x, unnest(range(len(l))) AS i FROM s),
+w AS (SELECT doc_id, i AS first, x AS a, lead(x) OVER d AS b, lead(x, 2) OVER d AS c, lead(i, 2) OVER d AS last
+  FROM l WHERE regexp_matches(x, '[^\x20\x09-\x0D]') WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+t AS (SELECT doc_id, first, last, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, first) AS k FROM w WHERE c IS NOT NULL),
+gone AS (SELECT DISTINCT l.doc_id, l.i FROM l JOIN t ON l.doc_id = t.doc_id AND l.i BETWEEN t.first AND t.last WHERE t.k > 1)
+SELECT l.doc_id, count(*)::BIGINT AS n_lines, count(gone.i)::BIGINT AS n_removed,
+  coalesce(string_agg(l.x, chr(10) ORDER BY l.i) FILTER (gone.i IS NULL), '') AS text
+FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i GROUP BY l.doc_id
+"""
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read(spark, sf_dir, "documents")).select("doc_id", is_held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -29,14 +69,97 @@ SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_
 """
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(read(spark, sf_dir, "pages"))
+
+
+OP6_SQL = r"""
+WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path FROM pages),
+r AS (SELECT *, CASE
+  WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+  WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+  WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+  WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM p)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN regexp_matches(host || path, '^([^/]*[.-])?(ads|track|casino)[.-]|/(login|cart|feed)([/.]|$)') THEN 'block' ELSE 'allow' END AS verdict FROM r
+"""
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_quality_rules(read(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS x, unnest(range(len(ws))) AS i FROM (SELECT doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d)),
+v AS (SELECT *, lead(x) OVER o AS b, lead(x, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+n AS (SELECT *, CASE WHEN c IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, x, b, c) > 1 THEN 1 ELSE 0 END AS twice FROM v),
+k AS (SELECT *, max(twice) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS hit FROM n),
+a AS (SELECT doc_id, count(*) AS n_words, sum(length(x)) AS word_chars, sum(hit) AS n_repeat_words FROM k GROUP BY doc_id),
+l AS (SELECT doc_id, sum(m - 1) AS n_dup_lines FROM (SELECT doc_id, x, count(*) AS m FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d)
+  WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id, x) GROUP BY doc_id),
+f AS (SELECT d.doc_id, source, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+  (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN a USING (doc_id) LEFT JOIN l USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
+h AS (SELECT source, count(*) AS n, count_if(base_failed) AS k1, count_if(n_symbols * 10 > n_words) AS k2, count_if(n_dup_lines * 10 > n_words) AS k3,
+  count_if(word_chars < 3 * n_words OR word_chars > 12 * n_words) AS k4 FROM b WHERE source IS NOT NULL GROUP BY source),
+u AS (SELECT source, n, unnest([1, 2, 3, 4]) AS j, unnest([k1, k2, k3, k4]) AS k FROM h),
+m AS (SELECT j, avg(k / n) AS mean, var_pop(k / n) AS var FROM u GROUP BY j),
+q AS (SELECT j, mean, CASE WHEN var > 1e-12 THEN least(1000, greatest(1, mean * (1 - mean) / var - 1)) ELSE 10 END AS weight FROM m),
+bad AS (SELECT DISTINCT source FROM u JOIN q USING (j) WHERE (k + mean * weight) / (n + weight) > 0.5)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.source IS NULL AS kept FROM b LEFT JOIN bad ON b.source = bad.source
+"""
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS n, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS i FROM d GROUP BY source),
+w AS (SELECT source, n, 2::DOUBLE * n AS lim, CASE i WHEN 0 THEN 5::DOUBLE WHEN 1 THEN 2::DOUBLE ELSE 1::DOUBLE END AS w FROM s),
+o AS (SELECT *, 1.5::DOUBLE * (sum(n) OVER ())::DOUBLE - coalesce(sum(lim) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lft,
+  sum(w) OVER (r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share FROM w WINDOW r AS (ORDER BY lim / w, source NULLS LAST)),
+t AS (SELECT source, n AS source_size, least(lim, coalesce((SELECT lft / share FROM o WHERE lft / share * w < lim ORDER BY lim / w, source NULLS LAST LIMIT 1) * w, lim)) AS target FROM o),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0::DOUBLE END AS f FROM t),
+q AS (SELECT *, floor(f) AS whole, f - floor(f) AS part, target - floor(f) * source_size AS rest FROM p),
+u AS (SELECT doc_id, size, q.*, (('0x' || substr(md5(doc_id::VARCHAR), 1, 12))::BIGINT::DOUBLE + 0.5::DOUBLE) / 281474976710656::DOUBLE AS u FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+g AS (SELECT *, CASE WHEN part > 0 THEN (u / (1 - u)) / (part / (1 - part)) END AS odds FROM u),
+c AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY odds ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2 AS reached FROM g)
+SELECT doc_id, size, source_size, target, (whole + CASE WHEN odds IS NOT NULL AND reached <= rest THEN 1 ELSE 0 END)::INTEGER AS copies,
+  ((whole + CASE WHEN odds IS NOT NULL AND reached <= rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM c
+"""
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", F.coalesce(crc32_id(F.col("doc_id")) % 5 == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_language_id": op4_language_id,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_url_filter": op6_url_filter,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_mixing": op8_mixing,
+    "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
 }
-ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": OP3_SQL,
+    "op5_exact_dedup": OP5_SQL,
+    "op6_url_filter": OP6_SQL,
+    "op7_quality_rules": OP7_SQL,
+    "op8_mixing": OP8_SQL,
+}
