@@ -20,8 +20,10 @@ from .common import crc32_id, materialize, texts
 BITS = 20
 #: Labelled documents that the weights are fit on, in expectation.
 SAMPLE = 16_000
-EPOCHS = 2
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 2.0, 1.0
+EPOCHS = 3
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 1.0
+#: A marked document counts as so many others, as marks are few.
+MARKED_WEIGHT = 3.0
 #: Words of a text whose features are made at a time, and hashes that a worker remembers.
 BLOCK, REMEMBERED = 1 << 18, 1 << 19
 
@@ -54,8 +56,8 @@ def features(text: bytes, bits: int = BITS) -> np.ndarray:
 class Ftrl:
     """FTRL-proximal for logistic loss over sets of features; coordinate 0 past the features is the bias, without L1."""
 
-    def __init__(self, bits: int = BITS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2):
-        self.bias, self.alpha, self.beta, self.l2 = 1 << bits, alpha, beta, l2
+    def __init__(self, bits: int = BITS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2, marked_weight: float = MARKED_WEIGHT):
+        self.bias, self.alpha, self.beta, self.l2, self.marked_weight = 1 << bits, alpha, beta, l2, marked_weight
         self.z, self.n = np.zeros(self.bias + 1), np.zeros(self.bias + 1)
         self.l1 = np.full(self.bias + 1, l1)
         self.l1[self.bias] = 0
@@ -69,6 +71,7 @@ class Ftrl:
         at = np.append(at, self.bias)
         w = self.weights(at)
         g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
+        g *= self.marked_weight if label else 1.0
         n = self.n[at]
         self.z[at] += g - (np.sqrt(n + g * g) - np.sqrt(n)) / self.alpha * w
         self.n[at] = n + g * g
