@@ -1 +1,4 @@
+"""Registered queries, family by family."""
 
+from . import cleaning, times  # noqa: F401
+from .registry import ORACLES, QUERIES  # noqa: F401
