@@ -1,4 +1,4 @@
 """Registered queries, family by family."""
 
-from . import cleaning, naming, reporting, times  # noqa: F401
+from . import cleaning, naming, reporting, speakers, times  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
