@@ -93,8 +93,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
             found = [features(t) for t in texts(b.column(2))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int64()))], names=["id", "label", "features"])
 
-    rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"])  # about sample rows of 12 bytes
-    rows = rows.select(docs[id_col].alias("id"), "label", docs[text_col].alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = rows.join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("id", "label", "text")  # about sample rows of 12 bytes
     return rows.mapInArrow(make, f"id {rows.schema['id'].dataType.simpleString()}, label int, features array<long>")
 
 
