@@ -1,4 +1,4 @@
 """Registered queries, family by family."""
 
-from . import cleaning, describing, inputs, naming, reporting, speakers, times  # noqa: F401
+from . import cleaning, describing, finding, inputs, naming, reporting, speakers, times  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
