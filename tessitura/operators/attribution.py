@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -194,3 +196,42 @@ def loop_spans(words: DataFrame, key: str = "slug", longest: int = 8) -> DataFra
     # Of spans that overlap, those that begin inside what came before are merged away.
     o = Window.partitionBy(key).orderBy("first", F.desc("last"), "n").rowsBetween(Window.unboundedPreceding, -1)
     return found.withColumn("_m", F.max("last").over(o)).where(F.col("_m").isNull() | (F.col("first") > F.col("_m"))).drop("_m")
+
+
+def time_blocks(words: DataFrame, key: str = "slug", block: float = 180.0, slack: float = 90.0, pause: float = 0.8) -> DataFrame:
+    """words(key, t, idx) to (key, start): blocks of about so many seconds. A block ends at the first pause past its target,
+    within the slack, else at the first word past it; the next target counts from there. A fold over one recording."""
+
+    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
+        t = pdf.sort_values(["t", "idx"])["t"].to_numpy()
+        starts, i = [t[0]], 0
+        while True:
+            i = int(np.searchsorted(t, starts[-1] + block))
+            if i >= len(t):
+                break
+            end = int(np.searchsorted(t, starts[-1] + block + slack, side="right"))
+            gaps = np.flatnonzero(np.diff(t[max(i - 1, 0) : end]) >= pause)
+            starts.append(t[i + int(gaps[0])] if len(gaps) and i else t[i])
+        return pd.DataFrame({key: pdf[key].iloc[0], "start": starts})
+
+    return words.select(key, "t", "idx").groupBy(key).applyInPandas(cut, f"{key} {words.schema[key].dataType.simpleString()}, start double")
+
+
+def paragraph_words(words: DataFrame, key: str = "slug", soft: int = 300, most: int = 800, pause: float = 1.3) -> DataFrame:
+    """words(key, idx, start, text) with punctuation to (key, para, start, text): a paragraph ends at a sentence end, if it is
+    long and a pause follows, or very long. The count starts anew at each end: a fold over one recording."""
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["start", "idx"])
+        text, start = pdf["text"].tolist(), pdf["start"].tolist()
+        para, n, out = 0, 0, []
+        for i, w in enumerate(text):
+            out.append(para)
+            n += len(w) + 1
+            ends = w.rstrip("\"'”’)").endswith((".", "!", "?"))
+            if i + 1 < len(text) and ends and (n >= most or (n >= soft and start[i + 1] - start[i] >= pause)):
+                para, n = para + 1, 0
+        pdf = pdf.assign(para=out)
+        return pdf.groupby("para").agg(start=("start", "first"), text=("text", " ".join)).reset_index().assign(**{key: pdf[key].iloc[0]})[[key, "para", "start", "text"]]
+
+    return words.select(key, "idx", "start", "text").groupBy(key).applyInPandas(fold, f"{key} {words.schema[key].dataType.simpleString()}, para long, start double, text string")

@@ -152,3 +152,44 @@ def runs(rows: DataFrame, key: str | Sequence[str], order: Sequence[str], value:
     return rows.withColumn("_new", new).withColumn(number, F.sum("_new").over(w)).drop("_new")
 
 
+
+
+def cue_match(cues: DataFrame, words: DataFrame, key: str, width: float) -> DataFrame:
+    """cues(key, cue, start, end, word) matched with words(key, t, word): (key, cue, n, matched), the share of a cue's distinct
+    words that are said in its time on the other clock."""
+    c = cues.select(key, "cue", "start", "end", F.col("word").alias("cw")).distinct()
+    w = words.select(key, F.col("t").alias("w_start"), F.col("t").alias("w_end"), "word")
+    said = interval_join(c, w, key, width, ("start", "end"), ("w_start", "w_end")).where("cw = word").select(key, "cue", "cw").distinct()
+    total = c.groupBy(key, "cue").agg(F.count_distinct("cw").alias("n"))
+    return total.join(said.groupBy(key, "cue").agg(F.count("*").alias("m")), [key, "cue"], "left").select(key, "cue", "n", F.coalesce("m", F.lit(0)).cast("long").alias("matched"))
+
+
+def find_cut(matches: DataFrame, key: str, inside: float = 0.35, outside: float = 0.45) -> DataFrame:
+    """(key, first, last, cut): in cues(key, cue, n, matched) the run whose removal leaves the best fit: the largest sum of
+    word-weighted mismatch less the mean, found by one pass; cut if it fits badly inside and well outside."""
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("cue")
+        n, m = pdf["n"].to_numpy(float), pdf["matched"].to_numpy(float)
+        gain = (n - m) - n / 2
+        total = np.concatenate(([0.0], np.cumsum(gain)))
+        low = np.minimum.accumulate(total)
+        end = int(np.argmax(total[1:] - low[:-1])) + 1
+        start = int(np.argmin(total[:end]))
+        own = slice(start, end)
+        rest_n, rest_m = n.sum() - n[own].sum(), m.sum() - m[own].sum()
+        ok = m[own].sum() / max(n[own].sum(), 1) <= inside and rest_m / max(rest_n, 1) >= outside
+        return pd.DataFrame({key: [pdf[key].iloc[0]], "first": [int(pdf["cue"].iloc[start])], "last": [int(pdf["cue"].iloc[end - 1])], "cut": [bool(ok)]})
+
+    return matches.groupBy(key).applyInPandas(search, f"{key} {matches.schema[key].dataType.simpleString()}, first long, last long, cut boolean")
+
+
+def best_shift(left: DataFrame, right: DataFrame, key: str, gram: str, at: str, low: int = -300, high: int = 300, step: int = 2, tolerance: float = 1.0) -> DataFrame:
+    """(key, shift, hits): the shift, in steps, at which most grams of both sides come together within the tolerance; ties take
+    the larger shift. Equal grams vote for the shifts that bring them together: nothing is tried for all pairs of times."""
+    l, r = left.select(key, gram, F.col(at).alias("_l")), right.select(key, gram, F.col(at).alias("_r"))
+    # Grams said often vote for every shift; only those that are rare on both sides tell one from another.
+    rare = lambda d, n: d.join(d.groupBy(key, gram).agg(F.count("*").alias("_n")).where(F.col("_n") <= n).drop("_n"), [key, gram], "left_semi")
+    delta = rare(l, 3).join(rare(r, 3), [key, gram]).select(key, (F.col("_r") - F.col("_l")).alias("d")).where(F.col("d").between(low - tolerance, high + tolerance))
+    votes = delta.select(key, F.explode(F.sequence(F.ceil((F.col("d") - tolerance) / step), F.floor((F.col("d") + tolerance) / step))).alias("k"))
+    return votes.groupBy(key, "k").agg(F.count("*").alias("hits")).groupBy(key).agg(F.max(F.struct("hits", "k")).alias("b")).select(key, (F.col("b.k") * step).alias("shift"), "b.hits")
