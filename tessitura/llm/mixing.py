@@ -17,7 +17,7 @@ from .common import WORD, materialize
 WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET = 1.5
 MAX_REPEATS = 2.0
-BUCKETS = 1 << 16
+BUCKETS = 1 << 12
 #: Sources are a dimension of the mix that the driver sees; more of them than this is an error.
 MAX_SOURCES = 100_000
 
