@@ -70,6 +70,14 @@ def speaker_index(texts: DataFrame, key: str, text_col: str = "text") -> DataFra
     return parsed.where(ok).select(key, "idx", "s.name", "s.country", "s.seconds")
 
 
+def index_flags(texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """(key, entries, unparsed): how many lines of a description are entries, and how many others hold a time."""
+    timed = F.size(F.filter(F.split(text_col, "\n"), lambda x: x.rlike(r"\b\d{1,2}(?::\d{2}){1,2}\b")))
+    n = speaker_index(texts, key, text_col).groupBy(key).agg(F.count("*").alias("entries"))
+    j = texts.select(key, timed.alias("timed")).join(n, key, "left")
+    return j.select(key, F.coalesce("entries", F.lit(0)).cast("long").alias("entries"), (F.col("timed") - F.coalesce("entries", F.lit(0))).cast("long").alias("unparsed"))
+
+
 def moderator(c: Column) -> Column:
     """Who moderates: on the line, or on the next where only punctuation follows."""
     return F.nullif(F.trim(F.regexp_extract(c, r"(?U)(?i:moderat(?:ed by|or))\s*[:\-–]?\s*\n?\s*(\p{Lu}[\p{L}.'’-]*(?:[ ]\p{Lu}[\p{L}.'’-]*){0,3})", 1)), F.lit(""))

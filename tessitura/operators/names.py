@@ -166,16 +166,17 @@ def name_variants(texts: DataFrame, names: DataFrame, key: str, least: float = 0
     name; where both differ, both must be closer. Each distinct word is compared once, with its closest name words kept."""
     words = F.regexp_extract_all(F.lower(text_col), F.lit(r"(?U)\p{L}+"), F.lit(0))
     rows = texts.select(key, words.alias("w")).where(F.size("w") >= 2)
-    pairs = rows.select(key, F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.struct(F.element_at("w", i).alias("a"), F.element_at("w", i + 1).alias("b")))).alias("p"))
-    counts = pairs.groupBy("p.a", "p.b").agg(F.count("*").alias("times"), F.count_distinct(key).alias("texts"))
     n = names.select("name", F.lower(F.split("name", " ")[0]).alias("fa"), F.lower(F.element_at(F.split("name", " "), -1)).alias("fb")).where("fa <> fb or name like '% %'").distinct()
-    vocabulary = counts.select(F.col("a").alias("w")).union(counts.select("b")).distinct()
+    vocabulary = rows.select(F.explode("w").alias("w")).distinct()
     close = similarity_join(vocabulary, n.select(F.col("fa").alias("k")).union(n.select("fb")).distinct(), "w", "k", least)
     close = close.withColumn("_r", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("ratio"), "w"))).where(F.col("_r") <= closest).drop("_r")
     ca = close.select(F.col("w").alias("a"), F.col("k").alias("fa"), F.col("ratio").alias("ra"))
     cb = close.select(F.col("w").alias("b"), F.col("k").alias("fb"), F.col("ratio").alias("rb"))
     hit = n.join(ca, "fa").join(cb, "fb").where("not (a = fa and b = fb)").where((F.col("a") == F.col("fa")) | (F.col("b") == F.col("fb")) | ((F.col("ra") >= both) & (F.col("rb") >= both)))
-    return hit.join(counts, ["a", "b"]).select(F.col("a").alias("first"), F.col("b").alias("last"), "name", "times", "texts")
+    # Only pairs that hit are counted: the texts' pairs meet the few hits before they are grouped.
+    pairs = rows.select(key, F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.struct(F.element_at("w", i).alias("a"), F.element_at("w", i + 1).alias("b")))).alias("p")).select(key, "p.a", "p.b")
+    found = pairs.join(hit.select("a", "b", "name").distinct(), ["a", "b"])
+    return found.groupBy(F.col("a").alias("first"), F.col("b").alias("last"), "name").agg(F.count("*").alias("times"), F.count_distinct(key).alias("texts"))
 
 
 def merge_spellings(counts: DataFrame, key: str, least: float = 0.85) -> DataFrame:
@@ -244,3 +245,24 @@ def dictionary_mentions(sents: DataFrame, names: DataFrame, keys: Sequence[str],
     order = Window.partitionBy(*keys).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.max(F.col("at") + F.col("n")).over(order) > F.col("at"), F.lit(False))
     return hits.withColumn("_in", inside).where("not _in").select(*keys, "at", "name")
+
+
+def fix_target_word(texts: DataFrame, key: str, target: str, stems: Sequence[str], least: float = 0.85, text_col: str = "text") -> DataFrame:
+    """texts with misspellings of one word (in its -ism and -ist forms, plural kept) written right: words that begin with a
+    stem and end alike are found, each distinct one is scored once against the target, and the close ones are replaced."""
+    from .clean import replace_phrases
+
+    pattern = r"(?U)\b[" + target[0].upper() + target[0].lower() + r"][A-Za-z-]{7,21}(?:ism|ist)s?\b"
+    heard = texts.select(F.explode(F.regexp_extract_all(text_col, F.lit(pattern), F.lit(0))).alias("w")).distinct()
+    low = F.lower("w")
+    plural = low.rlike("(?:ists|isms)$")
+    stem = F.when(plural, F.left(low, F.length(low) - 1)).otherwise(low)
+    ends = F.right(stem, F.lit(3))
+    goal = F.concat(F.lit(target), ends)
+    scored = heard.where(low.rlike("^(?:" + "|".join(stems) + ")")).select("w", F.replace(stem, F.lit("-"), F.lit("")).alias("s"), F.lower(goal).alias("g"), F.concat(goal, F.when(plural, "s").otherwise("")).alias("to"))
+    close = scored.withColumn("r", ratcliff_ratio("s", "g")).where((F.col("r") >= least) & (F.col("w") != F.col("to"))).select("w", "to")
+    rows = close.limit(5001).collect()  # distinct misspellings of one word
+    if len(rows) > 5000:
+        raise ValueError("more than 5000 misspellings")
+    fixed = replace_phrases(F.col(text_col), {r["w"]: r["to"] for r in rows}) if rows else F.col(text_col)
+    return texts.withColumn(text_col, fixed)

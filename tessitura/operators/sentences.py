@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessitura.functions.strings import words
+from tessitura.functions.strings import either, words
 
 # Abbreviations that end in a period.
 ABBREVIATIONS = ("mr.", "mrs.", "ms.", "dr.", "st.", "vs.", "etc.", "e.g.", "i.e.", "no.", "jr.", "sr.", "prof.")
@@ -24,11 +24,13 @@ def ends_sentence(token: Column) -> Column:
     return token.rlike(SENTENCE_END) & ~F.lower(token).isin(*ABBREVIATIONS)
 
 
+#: White space after a word that ends a sentence.
+SENTENCE_BREAK = r"""(?U)(?<=[.?!…]["'”’)\]]{0,16})(?<!(?:^|\s)(?i:""" + either(ABBREVIATIONS) + r"))\s+"
+
+
 def split_sentences(c: Column) -> Column:
-    """The sentences of a paragraph, as an array in the row: no explode, no shuffle. Words are marked where a sentence
-    ends, joined, and cut there."""
-    marked = F.transform(words(c), lambda t: F.concat(t, F.when(ends_sentence(t), F.lit("\n")).otherwise(F.lit(""))))
-    parts = F.split(F.array_join(marked, " "), "\n ?")
+    """The sentences of a paragraph with single spaces, as an array in the row: one split, no explode, no shuffle."""
+    parts = F.split(F.trim(F.regexp_replace(c, r"(?U)\s+", " ")), SENTENCE_BREAK)
     return F.filter(parts, lambda x: x != "")
 
 
@@ -70,3 +72,23 @@ def spread_words(cues: DataFrame, keys: list[str], text_col: str = "text", start
     end = F.coalesce(F.col(end_col), F.col(start_col) + F.greatest(0.35 * F.size(list_), F.lit(1.0)))
     rows = cues.select(*keys, F.col(start_col).alias("s"), end.alias("e"), F.size(list_).alias("n"), F.posexplode(list_).alias("idx", "token"))
     return rows.select(*keys, "idx", (F.col("s") + (F.col("e") - F.col("s")) * F.col("idx") / F.col("n")).alias("start"), "token")
+
+
+def time_maps(words_: DataFrame, texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """(key, para, idx, frac, sec): where in its paragraph each word begins and when, if words_(key, idx, start) are as many
+    as the text's tokens; no rows for a key where they are not."""
+    t = tokens(texts, [key, "para"], text_col)
+    t = t.withColumn("n", F.row_number().over(Window.partitionBy(key).orderBy("para", "idx")) - 1)
+    size = t.withColumn("_len", F.length("token")).groupBy(key, "para").agg(F.max(F.col("at") + F.col("_len")).alias("len"))
+    counts = t.groupBy(key).agg(F.count("*").alias("a")).join(words_.groupBy(key).agg(F.count("*").alias("b")), key).where("a = b").select(key)
+    w = words_.select(key, (F.row_number().over(Window.partitionBy(key).orderBy("start", "idx")) - 1).alias("n"), F.col("start").alias("sec"))
+    return t.join(w, [key, "n"]).join(size, [key, "para"]).join(counts, key, "left_semi").select(key, "para", "idx", (F.col("at") / F.greatest(F.col("len"), F.lit(1))).alias("frac"), "sec")
+
+
+def paragraph_starts(segments: DataFrame, keys: list[str], starts_col: str = "starts", start_col: str = "start", para_break: str = "\n\n") -> DataFrame:
+    """(keys, para, start): the times in starts if they are as many as the paragraphs, else the turn's for the first and none for the rest; the first always takes the turn's."""
+    n = F.size(F.split("text", para_break))
+    none = F.transform(F.sequence(F.lit(1), n), lambda i: F.lit(None).cast("double"))
+    times = F.when(F.size(starts_col) == n, F.col(starts_col)).otherwise(none)
+    first = F.transform(times, lambda x, i: F.when(i == 0, F.col(start_col)).otherwise(x))
+    return segments.select(*keys, F.posexplode(first).alias("para", "start"))

@@ -56,9 +56,10 @@ def overlap(s: str, e: str, rs: str, re: str) -> Column:
 
 
 def unique_anchors(left: DataFrame, right: DataFrame, key: str, gram: str, at: str) -> DataFrame:
-    """(key, gram, left_at, right_at): grams that occur once on each side."""
-    once = lambda d, name: d.groupBy(key, gram).agg(F.min(at).alias(name), F.count("*").alias("_n")).where("_n = 1").drop("_n")
-    return once(left, "left_at").join(once(right, "right_at"), [key, gram])
+    """(key, gram, left_at, right_at): grams that occur once on each side. Both sides are counted in one aggregation."""
+    both = left.select(key, gram, F.col(at).alias("_l"), F.lit(None).cast(right.schema[at].dataType).alias("_r")).union(right.select(key, gram, F.lit(None).cast(left.schema[at].dataType), F.col(at)))
+    counted = both.groupBy(key, gram).agg(F.min("_l").alias("left_at"), F.min("_r").alias("right_at"), F.count("_l").alias("_nl"), F.count("_r").alias("_nr"))
+    return counted.where("_nl = 1 and _nr = 1").select(key, gram, "left_at", "right_at")
 
 
 def longest_chain(anchors: DataFrame, key: str) -> DataFrame:

@@ -16,9 +16,9 @@ METADATA = "id string, title string, description string, upload_date string, dur
 LINK = r"""(?is)<a\b[^>]*?href=["']([^"']*)["'][^>]*>(.*?)</a>"""
 
 
-def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Recordings from JSON, a document a file or line; the day as a date."""
-    return spark.read.schema(METADATA).option("multiLine", True).json(path).withColumn("upload_date", F.try_to_date("upload_date", F.lit("yyyyMMdd")))
+def read_metadata(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Recordings from JSON, a document a file, or a line with lines; the day as a date."""
+    return spark.read.schema(METADATA).option("multiLine", not lines).json(path).withColumn("upload_date", F.try_to_date("upload_date", "yyyyMMdd"))
 
 
 def read_site_export(spark: SparkSession, path: str, kinds: Sequence[str] = ("post", "page")) -> DataFrame:
