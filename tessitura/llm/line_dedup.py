@@ -56,10 +56,13 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ranges = covered_ranges(docs, id_col, text_col).groupBy(key(F.col("id"), F.col("text_hash")).alias("_key")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("r"))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), key(F.col(id_col), F.xxhash64(text_col)).alias("_key"))
     joined = rows.join(materialize(ranges, "ranges").hint("merge"), "_key", "left").withColumn("lines", F.split("_text", "\n"))
+    # For each range, a mark for each line between it and the one before, and for each line in it: all in all one a line.
     n = F.size("r")
-    # Between the ranges: from the end of one to the start of the next.
-    gaps = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(F.when(i == 0, 0).otherwise(F.col("r")[F.greatest(i - 1, F.lit(0))]["end"] + 1).alias("a"), F.when(i == n, F.size("lines")).otherwise(F.col("r")[F.least(i, n - 1)]["start"]).alias("b")))
-    left = F.flatten(F.transform(gaps, lambda g: F.slice(F.col("lines"), g["a"] + 1, g["b"] - g["a"])))
+    end_before = lambda i: F.when(i == 0, 0).otherwise(F.get("r", i - 1)["end"] + 1)
+    start = lambda i: F.when(i == n, F.size("lines")).otherwise(F.get("r", i)["start"])
+    inside = lambda i: F.when(i == n, 0).otherwise(F.get("r", i)["end"] - F.get("r", i)["start"] + 1)
+    marks = F.flatten(F.transform(F.sequence(F.lit(0), n), lambda i: F.concat(F.array_repeat(F.lit(True), (start(i) - end_before(i)).cast("int")), F.array_repeat(F.lit(False), inside(i).cast("int")))))
+    left = F.array_compact(F.zip_with("lines", marks, lambda x, keep: F.when(keep, x)))
     removed = F.aggregate("r", F.lit(0), lambda s, x: s + x["end"] - x["start"] + 1)
     return joined.select(
         F.col("_id").alias(id_col),

@@ -32,6 +32,15 @@ def test_line_edges(spark):
     assert drop_repeated_lines(docs.limit(0)).count() == 0
 
 
+def test_many_ranges(spark):
+    once = [f"n{i}" for i in range(40_000)]
+    for i in range(0, 40_000, 10):
+        once[i : i + 3] = ["a", "b", "c"]
+    docs = spark.createDataFrame([(1, "a\nb\nc", "s", "e", "f"), (2, "\n".join(once), "s", "e", "f")], DOCS)
+    got = {r.doc_id: r for r in drop_repeated_lines(docs).collect()}
+    assert got[2].n_removed == 12_000 and got[2].text == "\n".join(x for x in once if len(x) > 1)
+
+
 def totals(rollup):
     return {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in rollup.totals().collect()}
 
