@@ -140,10 +140,11 @@ def token_windows(texts: DataFrame, keys: Sequence[str], sizes: Sequence[int], t
     core = lambda x: F.regexp_replace(x, r"(?U)^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
 
     def runs_of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size("t") - n + 1, F.lit(1)))
-        run = F.transform(starts, lambda i: F.struct(i.alias("idx"), F.lit(n).alias("n"), F.slice(F.col("t"), i, n).alias("w")))
-        whole = lambda r: F.lit(n == 1) | ~F.exists(F.slice(r["w"], 1, max(n - 1, 1)), lambda x: x.rlike("[.?!…]$"))
-        return F.filter(run, lambda r: (F.size(r["w"]) == n) & whole(r))
+        # get() takes single elements; slice() would copy the whole array each time.
+        starts = F.sequence(F.lit(0), F.greatest(F.size("t") - n, F.lit(0)))
+        run = F.transform(starts, lambda i: F.struct((i + 1).alias("idx"), F.lit(n).alias("n"), F.array(*[F.get("t", i + k) for k in range(n)]).alias("w")))
+        whole = lambda r: F.lit(True) if n == 1 else ~F.exists(F.array(*[r["w"][k] for k in range(n - 1)]), lambda x: x.rlike("[.?!…]$"))
+        return F.filter(run, lambda r: (F.size("t") >= n) & whole(r))
 
     made = [runs_of(n) for n in sizes]
     return rows.select(*keys, F.explode(F.concat(*made)).alias("r")).select(*keys, "r.idx", "r.n", F.array_join(F.transform("r.w", core), " ").alias("matched"))
@@ -238,7 +239,12 @@ def dictionary_mentions(sents: DataFrame, names: DataFrame, keys: Sequence[str],
     none inside another. Runs of words are joined with the names by equality."""
     w = F.regexp_extract_all(F.lower(text_col), F.lit(r"(?U)[\w']+"), F.lit(0))
     rows = sents.select(*keys, w.alias("w")).where(F.size("w") > 0)
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("w") - i + 1)), lambda n: F.struct(i.alias("at"), n.alias("n"), F.array_join(F.slice(F.col("w"), i, n), " ").alias("g")))))
+
+    def runs_of(n: int) -> Column:
+        run = F.transform(F.sequence(F.lit(0), F.greatest(F.size("w") - n, F.lit(0))), lambda i: F.struct((i + 1).alias("at"), F.lit(n).alias("n"), F.concat_ws(" ", *[F.get("w", i + k) for k in range(n)]).alias("g")))
+        return F.filter(run, lambda r: F.size("w") >= n)
+
+    grams = F.concat(*[runs_of(n) for n in range(1, longest + 1)])
     flat = rows.select(*keys, F.explode(grams).alias("x")).select(*keys, "x.at", "x.n", "x.g")
     n = names.select("name", F.array_join(F.regexp_extract_all(F.lower("name"), F.lit(r"(?U)[\w']+"), F.lit(0)), " ").alias("g")).where("g <> ''").groupBy("g").agg(F.min("name").alias("name"))
     hits = flat.hint("merge").join(n.hint("merge"), "g").groupBy(*keys, "at").agg(F.max("n").alias("n"), F.max_by("name", "n").alias("name"))

@@ -24,14 +24,13 @@ def ends_sentence(token: Column) -> Column:
     return token.rlike(SENTENCE_END) & ~F.lower(token).isin(*ABBREVIATIONS)
 
 
-#: White space after a word that ends a sentence.
-SENTENCE_BREAK = r"""(?U)(?<=[.?!…]["'”’)\]]{0,16})(?<!(?:^|\s)(?i:""" + either(ABBREVIATIONS) + r"))\s+"
-
-
 def split_sentences(c: Column) -> Column:
-    """The sentences of a paragraph with single spaces, as an array in the row: one split, no explode, no shuffle."""
-    parts = F.split(F.trim(F.regexp_replace(c, r"(?U)\s+", " ")), SENTENCE_BREAK)
-    return F.filter(parts, lambda x: x != "")
+    """The sentences of a paragraph with single spaces, as an array in the row: no explode, no shuffle. The space after a
+    word that ends a sentence becomes a line end, except after an abbreviation; the text is cut there."""
+    t = F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    t = F.regexp_replace(t, "([.?!…][\"'”’)\\]]*) ", "$1\n")
+    t = F.regexp_replace(t, rf"(?i)(?<![^ \n])({either(ABBREVIATIONS)})\n", "$1 ")
+    return F.filter(F.split(t, "\n"), lambda x: x != "")
 
 
 def sentences(texts: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
@@ -62,7 +61,7 @@ def ngrams(texts: DataFrame, keys: list[str], n: int, text_col: str = "text") ->
     """(keys, idx, gram): runs of n lower-case words; made in the row."""
     w = F.regexp_extract_all(F.lower(text_col), F.lit(r"(?U)\w+"), F.lit(0))
     rows = texts.select(*keys, w.alias("w")).where(F.size("w") >= n)
-    grams = F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.array_join(F.slice(F.col("w"), i + 1, n), " "))
+    grams = F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.concat_ws(" ", *[F.get("w", i + k) for k in range(n)]))  # slice() would copy the whole array each time
     return rows.select(*keys, F.posexplode(grams).alias("idx", "gram"))
 
 
