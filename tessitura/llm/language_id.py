@@ -24,6 +24,8 @@ BLOCK = 1 << 20
 HELD = 1 << 20
 MAX_LANGUAGES = 2000
 UNKNOWN = "und"
+#: A language's floor is this part of this quantile of its own rows' scores.
+LOW_QUANTILE, MARGIN = 0.01, 0.75
 SPACE = 32
 
 
@@ -185,17 +187,30 @@ def identify(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", te
     return predict_languages(docs, fit(docs, id_col, lang_col, text_col, top), id_col, text_col)
 
 
+def score_floors(docs: DataFrame, profiles: Profiles, lang_col: str = "lang", text_col: str = "text") -> dict[str, float]:
+    """For each language, a low quantile, less a margin, of the scores of all rows that have it as their language and are
+    found to be in it: texts in it score above, other languages and letters at random below."""
+    scored = predict_languages(docs.where(F.col(lang_col).isNotNull()), profiles, lang_col, text_col)
+    right = scored.where(F.col("lang_pred") == F.col(lang_col).cast("string"))
+    rows = right.groupBy("lang_pred").agg(F.percentile_approx("score", F.lit(LOW_QUANTILE), F.lit(10_000)).alias("q")).limit(MAX_LANGUAGES).collect()
+    return {r.lang_pred: MARGIN * r.q for r in rows}
+
+
 def keep_known_languages(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", min_score: float = 0.05) -> DataFrame:
-    """docs without the rows whose language stays unknown or scores under min_score; all columns are kept.
+    """docs without the rows whose language stays unknown or scores under its floor (see score_floors), or under
+    min_score; all columns are kept.
 
-    Each row is judged where it is: no join, no shuffle.
+    The floors come from the rows that profiles are learned from. Each row is judged where it is: no join, no shuffle.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, lang_col, text_col))
+    profiles = fit(docs, id_col, lang_col, text_col)
+    floors = score_floors(docs.where(crc32_id(F.col(id_col)) % 4 != 2), profiles, lang_col, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast((profiles, floors))
     at = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, least = shared.value
         for b in batches:
-            found = (shared.value.predict(t) for t in texts(b.column(at)))
-            yield b.filter(pa.array([lang != UNKNOWN and score >= min_score for lang, score in found], pa.bool_()))
+            found = (known.predict(t) for t in texts(b.column(at)))
+            yield b.filter(pa.array([lang != UNKNOWN and score >= max(min_score, least.get(lang, 0.0)) for lang, score in found], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
