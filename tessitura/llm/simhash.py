@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, texts
 from .components import connected_components
-from .near_copies import near_components
+from .near_copies import SENT_IDS, near_components
 
 BITS = 64
 SEGMENTS = 8
@@ -135,13 +135,13 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each component of near_copies.near_components: the one with the least id. All columns are
-    kept. Near copies share 0.8 of their five-word shingles; op10's three words and two bits are not used here.
+    kept. Near copies share 0.8 of their five-word shingles, which 64 bits can't tell (see README): the pigeonring filter
+    runs over the sets of shingles instead. op10's three words and two bits are not used here.
 
     A row whose id is null stays and links nothing (it can't be named as a copy of another). Rows that repeat the kept id
     all stay: exact copies are another operator's work.
     """
     found = near_components(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
-    kept = found.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("_kept")).distinct()
-    gone = found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("_gone")).distinct()
-    gone = materialize(gone.join(kept, F.col("_gone") == F.col("_kept"), "left_anti"), "gone")
-    return docs.join(gone.hint("merge"), docs[id_col] == gone["_gone"], "left_anti")
+    gone = materialize(found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("_gone")).distinct(), "gone")
+    gone = F.broadcast(gone) if gone.count() <= SENT_IDS else gone.hint("merge")
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
