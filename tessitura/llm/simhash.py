@@ -135,8 +135,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each component of near_copies.near_components: the one with the least id. All columns are
-    kept. Near copies share 0.8 of their five-word shingles, which 64 bits can't tell (see README): the pigeonring filter
-    runs over the sets of shingles instead. op10's three words and two bits are not used here.
+    kept. Near copies share 0.8 of their five-word shingles, which a search by 64 bits can't find (see README), so sets are
+    compared. op10's three words and two bits are not used here.
 
     A row whose id is null stays and links nothing (it can't be named as a copy of another). Rows that repeat the kept id
     all stay: exact copies are another operator's work.

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tessitura.llm.near_copies import CHAIN, are_similar, chain_keys, most_differences, near_components, parity_sketch, shingle_set, sketches_differ
+from tessitura.llm.near_copies import are_similar, join_sketch, near_components, parity_sketch, prefix_keys, shingle_set, sketches_differ
 from tessitura.llm.simhash import drop_near_copies
 
 from .test_simhash import components
@@ -34,8 +34,8 @@ def planted():
     return [" ".join(x) for x in made] + ["", " \n", "two words", "TWO  words"]
 
 
-@pytest.mark.parametrize("block", [2000, 3])
-def test_stage_against_brute_force(spark, planted, block):
+@pytest.mark.parametrize(("large", "block"), [(64, 2000), (2, 3)])
+def test_stage_against_brute_force(spark, planted, large, block):
     ids = range(len(planted))
     links = [(a, b) for a in ids for b in range(a) if similarity(planted[a], planted[b]) >= 0.8]
     assert len(links) > 30
@@ -43,7 +43,7 @@ def test_stage_against_brute_force(spark, planted, block):
     for i in ids:
         least.setdefault(roots[i], i)
     docs = spark.createDataFrame(list(enumerate(planted)), "id long, text string")
-    got = {r.id: r.component_id for r in near_components(docs, block=block).collect()}
+    got = {r.id: r.component_id for r in near_components(docs, large=large, block=block).collect()}
     assert {i: got.get(i, i) for i in ids} == {i: least[roots[i]] for i in ids}
     if block == 2000:
         assert sorted(r.doc_id for r in drop_near_copies(docs.withColumnRenamed("id", "doc_id")).collect()) == sorted(least.values())
@@ -62,28 +62,19 @@ def test_given_documents_against_brute_force(spark, sf_dir):
 
 
 def test_filters_lose_no_similar_sets():
-    """Sets at the very threshold share a key whose chain holds, at all sizes; sketches never tell too much."""
+    """Sets about the very threshold share a key, whatever shingles are put last; sketches never tell too much."""
     rng = np.random.default_rng(1)
     draw = lambda n: np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
     for n in [*range(1, 60), 100, 250, 1000, 4000]:
         for _ in range(20 if n < 100 else 5):
             a = draw(n)
-            gone, new = sorted(rng.integers(0, most_differences(n) + 2, 2))[0], int(rng.integers(0, most_differences(n) + 2))
+            gone, new = rng.integers(0, n // 5 + 2, 2)
             b = np.union1d(a[rng.permutation(len(a))[gone:]], draw(new) if new else a[:0])
+            common = np.union1d(a, b)[rng.permutation(len(np.union1d(a, b)))[: n // 3]]
             assert sketches_differ(parity_sketch(a), parity_sketch(b)) <= len(np.setxor1d(a, b))
+            assert sum(int(x).bit_count() for x in (join_sketch(a) ^ join_sketch(b)).view(np.uint64)) <= len(np.setxor1d(a, b))
             if len(b) and are_similar(a, b):
-                x, y = (dict(zip(*map(np.ndarray.tolist, chain_keys(s)), strict=True)) for s in (a, b))
-                assert any(all(((x[k] ^ y[k]) & ((1 << 8 * j) - 1)).bit_count() <= j for j in range(1, CHAIN + 1)) for k in x.keys() & y.keys()), (n, gone, new)
-
-
-def test_common_passages_make_no_large_bucket():
-    """A passage in each of many documents of like length: no two share a key."""
-    rng = random.Random(3)
-    word = lambda: f"w{rng.randrange(5000)}"
-    passage = [word() for _ in range(60)]
-    found = [chain_keys(shingle_set(" ".join(passage + [word() for _ in range(240)]).encode()))[0] for _ in range(200)]
-    keys, n = np.unique(np.concatenate(found), return_counts=True)
-    assert (n > 1).mean() < 0.01
+                assert len(np.intersect1d(prefix_keys(a, common), prefix_keys(b, common)))
 
 
 def test_edges(spark):
