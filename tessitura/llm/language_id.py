@@ -116,7 +116,8 @@ def train_profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
     labelled = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     totals = labelled.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    return totals.withColumn("place", place - 1).where(F.col("place") < top).select("lang", "gram", "place")
+    ranked = totals.withColumn("place", place).where(F.col("place") <= top)  # a filter that Spark turns into a limit for each language before the shuffle
+    return ranked.select("lang", "gram", (F.col("place") - 1).alias("place"))
 
 
 class Profiles:

@@ -125,9 +125,14 @@ o AS (SELECT *, 1.5::DOUBLE * (sum(n) OVER ())::DOUBLE - coalesce(sum(lim) OVER
   sum(w) OVER (r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share FROM w WINDOW r AS (ORDER BY lim / w, source NULLS LAST)),
 t AS (SELECT source, n AS source_size, least(lim, coalesce((SELECT lft / share FROM o WHERE lft / share * w < lim ORDER BY lim / w, source NULLS LAST LIMIT 1) * w, lim)) AS target FROM o),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0::DOUBLE END AS f FROM t),
-q AS (SELECT *, floor(f) AS whole, f - floor(f) AS part, target - floor(f) * source_size AS rest FROM p),
-u AS (SELECT doc_id, size, q.*, (('0x' || substr(md5(doc_id::VARCHAR), 1, 12))::BIGINT::DOUBLE + 0.5::DOUBLE) / 281474976710656::DOUBLE AS u FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
-g AS (SELECT *, CASE WHEN part > 0 THEN (u / (1 - u)) / (part / (1 - part)) END AS odds FROM u),
+q AS (SELECT *, floor(f) AS whole, target - floor(f) * source_size AS rest FROM p),
+e AS (SELECT d.source, d.size, any_value(rest) AS rest, count(*) AS k FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source WHERE rest > 0 AND size > 0 GROUP BY d.source, d.size),
+r AS (SELECT source, size, (rest - coalesce(sum(size * k) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE) / (sum(size::HUGEINT * size * k) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS rate
+  FROM e WINDOW o AS (PARTITION BY source ORDER BY size DESC)),
+z AS (SELECT source, arg_max(rate, size) AS rate FROM r WHERE rate * size < 1 GROUP BY source),
+u AS (SELECT doc_id, size, q.*, least(1::DOUBLE, rate * size) AS pi, (('0x' || substr(md5(doc_id::VARCHAR), 1, 12))::BIGINT::DOUBLE + 0.5::DOUBLE) / 281474976710656::DOUBLE AS u
+  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source LEFT JOIN z ON d.source IS NOT DISTINCT FROM z.source),
+g AS (SELECT *, CASE WHEN rest > 0 AND pi > 0 THEN (u / (1 - u)) * ((1 - pi) / pi) END AS odds FROM u),
 c AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY odds ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2 AS reached FROM g)
 SELECT doc_id, size, source_size, target, (whole + CASE WHEN odds IS NOT NULL AND reached <= rest THEN 1 ELSE 0 END)::INTEGER AS copies,
   ((whole + CASE WHEN odds IS NOT NULL AND reached <= rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM c

@@ -1,3 +1,4 @@
+import hashlib
 from collections import defaultdict
 
 import pytest
@@ -47,3 +48,35 @@ def test_targets_are_met(spark, sf_dir):
 
 def test_sql(spark, sf_dir):
     compare(spark, queries.QUERIES["op8_mixing"], queries.ORACLES["op8_mixing"], sf_dir)
+
+
+def test_against_brute_force_pareto(spark):
+    """Odds of inclusion that differ by document decide the order; without the division it would be another sample."""
+    sizes = {i: 1 + (i * 37) % 90 for i in range(300)} | {300: 3000}
+    docs = spark.createDataFrame([(i, "w " * n, "a", 0, "") for i, n in sizes.items()], SCHEMA)
+    got = {r.doc_id: (r.copies, r.target) for r in mix(docs, budget=1.4).collect()}
+    rest = got[0][1] - sum(sizes.values())
+    rate = next(c for c in ((rest - sum(s for s in sizes.values() if s > t)) / sum(s * s for s in sizes.values() if s <= t) for t in sorted(sizes.values(), reverse=True)) if c * max(s for s in sizes.values() if c * s < 1) < 1)
+    u = {i: (int(hashlib.md5(str(i).encode()).hexdigest()[:12], 16) + 0.5) / 2**48 for i in sizes}
+    pi = {i: min(1.0, rate * n) for i, n in sizes.items()}
+    assert len(set(pi.values())) > 50 and sum(pi[i] * n for i, n in sizes.items()) == pytest.approx(rest)
+
+    def sample(odds):
+        taken, words = set(), 0
+        for i in sorted(sizes, key=odds):
+            if words + sizes[i] / 2 <= rest:
+                taken.add(i)
+            words += sizes[i]
+        return taken
+
+    assert {i for i, (c, _) in got.items() if c == 2} == sample(lambda i: u[i] / (1 - u[i]) * (1 - pi[i]) / pi[i])
+    assert {i for i, (c, _) in got.items() if c == 2} != sample(lambda i: u[i])
+
+
+def test_inclusion_follows_size(spark):
+    """Over many ids, twice the size is taken about twice as often."""
+    docs = spark.createDataFrame([(i, "w " * (10 + 10 * (i % 2)), "a", 0, "") for i in range(6000)], SCHEMA)
+    taken = defaultdict(int)
+    for r in mix(docs, budget=1.3).collect():
+        taken[r.size] += r.copies - 1
+    assert 1.8 < taken[20] / taken[10] < 2.2
