@@ -56,7 +56,9 @@ def test_against_brute_force_pareto(spark):
     docs = spark.createDataFrame([(i, "w " * n, "a", 0, "") for i, n in sizes.items()], SCHEMA)
     got = {r.doc_id: (r.copies, r.target) for r in mix(docs, budget=1.4).collect()}
     rest = got[0][1] - sum(sizes.values())
-    rate = next(c for c in ((rest - sum(s for s in sizes.values() if s > t)) / sum(s * s for s in sizes.values() if s <= t) for t in sorted(sizes.values(), reverse=True)) if c * max(s for s in sizes.values() if c * s < 1) < 1)
+    n = sorted(sizes.values(), reverse=True)
+    rates = ((t, (rest - sum(s for s in n if s > t)) / sum(s * s for s in n if s <= t)) for t in n)
+    rate = next(c for t, c in rates if c * t < 1)  # larger ones are certain
     u = {i: (int(hashlib.md5(str(i).encode()).hexdigest()[:12], 16) + 0.5) / 2**48 for i in sizes}
     pi = {i: min(1.0, rate * n) for i, n in sizes.items()}
     assert len(set(pi.values())) > 50 and sum(pi[i] * n for i, n in sizes.items()) == pytest.approx(rest)
