@@ -20,9 +20,8 @@ def fold(c: Column) -> Column:
 
 def sub(c: Column, pattern: str, made: Callable[[Column], Column]) -> Column:
     """Replace every match of pattern by what made builds from it: regexp_replace with a function."""
-    found = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
-    between = F.split(c, pattern, -1)
-    return F.array_join(F.transform(between, lambda x, i: F.concat(x, F.when(i < F.size(found), made(F.get(found, i))).otherwise(""))), "")
+    found, between = F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), F.split(c, pattern, -1)
+    return F.array_join(F.zip_with(between, found, lambda x, m: F.concat(x, F.when(m.isNotNull(), made(m)).otherwise(""))), "")
 
 
 def quoted(replacement: str) -> str:

@@ -12,7 +12,12 @@ from tessitura.functions.strings import count_words, fold
 # Second-level domains, hosts of kinds, words of parked and missing pages.
 SECOND_LEVEL = ("co", "com", "org", "net", "ac", "gov", "edu")
 KINDS = {"instagram.com": "instagram", "facebook.com": "facebook", "x.com": "twitter", "twitter.com": "twitter", "youtube.com": "youtube", "youtu.be": "youtube", "linkedin.com": "linkedin", "vimeo.com": "vimeo"}
-PARKED_HOSTS = ("hugedomains.com", "sedoparking.com", "dan.com", "afternic.com", "parkingcrew.net")
+PARKED_HOSTS = (
+    "sedoparking.com", "sedo.com", "hugedomains.com", "dan.com", "afternic.com", "parkingcrew.net", "bodis.com", "above.com", "domainmarket.com", "buydomains.com",
+    "parklogic.com", "undeveloped.com", "squadhelp.com", "brandbucket.com", "uniregistry.com", "sav.com", "domainsponsor.com", "hostgator.com/domain", "dynadot.com/market",
+)
+#: Those of them that are a path of a host.
+PARKED_PATHS = "(?i)://(?:[^/?#]*[.])?(?:" + "|".join(h.replace(".", "[.]") for h in PARKED_HOSTS if "/" in h) + ")"
 PARKED_TEXT = r"(?i)domain (?:name )?is for sale|buy this domain|this domain (?:may be|is) (?:for sale|parked)|domain parking"
 MISSING = r"(?i)\b404\b|page not found|not found|no longer (?:exists|available)|page doesn.t exist"
 PLACEHOLDER = r"(?i)coming soon|under construction|account suspended|site is not published"
@@ -44,7 +49,7 @@ def page_verdict(title: Column, text: Column, url: Column, final: Column) -> Col
     path = lambda u: F.regexp_replace(F.regexp_extract(u, r"^[a-zA-Z]+://[^/?#]*([^?#]*)", 1), "/+$", "")
     away = registrable(host(final)) != registrable(host(url))
     return (
-        F.when(registrable(host(final)).isin(*PARKED_HOSTS), "parked")
+        F.when(registrable(host(final)).isin(*PARKED_HOSTS) | final.rlike(PARKED_PATHS), "parked")
         .when((n < 900) & text.rlike(PARKED_TEXT), "parked")
         .when((n < 30) & final.rlike("(?i)/lander"), "parked")
         .when(title.rlike(MISSING) | path(final).rlike(r"(?i)/(?:404|not-found|error)(?:$|[/.])"), "missing")

@@ -56,10 +56,15 @@ def overlap(s: str, e: str, rs: str, re: str) -> Column:
 
 
 def unique_anchors(left: DataFrame, right: DataFrame, key: str, gram: str, at: str) -> DataFrame:
-    """(key, gram, left_at, right_at): grams that occur once on each side. Both sides are counted in one aggregation."""
-    both = left.select(key, gram, F.col(at).alias("_l"), F.lit(None).cast(right.schema[at].dataType).alias("_r")).union(right.select(key, gram, F.lit(None).cast(left.schema[at].dataType), F.col(at)))
-    counted = both.groupBy(key, gram).agg(F.min("_l").alias("left_at"), F.min("_r").alias("right_at"), F.count("_l").alias("_nl"), F.count("_r").alias("_nr"))
-    return counted.where("_nl = 1 and _nr = 1").select(key, gram, "left_at", "right_at")
+    """(key, gram, left_at, right_at): grams that occur once on each side. Both sides are counted in one aggregation, by
+    128 bits of the gram's hash: its text is carried along with the left side's rows only where a buffer holds it."""
+    none = F.lit(None)
+    names = [F.xxhash64(gram).alias("_h1"), F.xxhash64(F.lit(1), F.reverse(gram)).alias("_h2")]
+    both = left.select(key, *names, F.col(at).alias("_l"), none.cast(right.schema[at].dataType).alias("_r")).union(right.select(key, *names, none.cast(left.schema[at].dataType), F.col(at)))
+    counted = both.groupBy(key, "_h1", "_h2").agg(F.min("_l").alias("left_at"), F.min("_r").alias("right_at"), F.count("_l").alias("_nl"), F.count("_r").alias("_nr"))
+    once = counted.where("_nl = 1 and _nr = 1").select(F.col(key).alias("_k"), F.col("_h1").alias("_o1"), F.col("_h2").alias("_o2"), "left_at", "right_at")
+    told = left.select(key, gram, *names).join(once.hint("merge"), F.col(key).eqNullSafe(F.col("_k")) & (F.col("_h1") == F.col("_o1")) & (F.col("_h2") == F.col("_o2")))
+    return told.select(key, gram, "left_at", "right_at")
 
 
 def longest_chain(anchors: DataFrame, key: str) -> DataFrame:

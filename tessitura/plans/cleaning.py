@@ -45,7 +45,7 @@ r AS (SELECT *, lower(w) = lower(b) AND regexp_full_match(gap, '[ \\t]+') AND lo
 s AS (SELECT *, coalesce(again, false) OR coalesce(lead(again) OVER (PARTITION BY doc_id ORDER BY i), false) AND regexp_full_match(w, '[ \\t]+') AS gone FROM r)
 SELECT doc_id, string_agg(w, '' ORDER BY i) FILTER (NOT gone) AS text FROM s GROUP BY doc_id""",
 )
-_rule("x4_remove_non_latin", " some 간다ity and где words  .", clean.remove_non_latin, "SELECT doc_id, " + SPACES.format("regexp_replace(t, '[가-힣一-鿿぀-ヿЀ-ӿ]+', '', 'g')") + " AS text FROM d")
+_rule("x4_remove_non_latin", " a 나무ish and кто things  .", clean.remove_non_latin, "SELECT doc_id, " + SPACES.format("regexp_replace(t, '[가-힣一-鿿぀-ヿЀ-ӿ]+', '', 'g')") + " AS text FROM d")
 _rule(
     "x7_products",
     " My Ipad and wordpress, at instagram.com/x or @youtube with ai and open ai, chat gpt, GPT 4.",
@@ -66,8 +66,8 @@ SELECT doc_id, string_agg(CASE WHEN near AND w IN ('a', 'A') AND regexp_full_mat
   WHEN near AND w IN ('an', 'An') AND regexp_full_match(n, '[bcdfgjklmnpqrstvwxz][a-z]{{2,}}') AND regexp_matches(n, '[aeiouy]') AND n NOT IN ({_list(clean.ACRONYMS)}) THEN left(w, 1)
   ELSE w END, '' ORDER BY i) AS text FROM k GROUP BY doc_id""",
 )
-NAMES = [(r"\bHans Hoffman\b", "Hans Hofmann"), (r"\bHarold Cohn\b", "Harold Cohen")]
-_rule("x9_names", " by hans hoffman and Harold Cohn", lambda c: clean.fix_names(c, NAMES), "SELECT doc_id, replace(t, ' by hans hoffman and Harold Cohn', ' by Hans Hofmann and Harold Cohen') AS text FROM d")
+NAMES = [(r"\bMira Veldt\b", "Mira Feldt"), (r"\bOto Lindqist\b", "Otto Lindqvist")]
+_rule("x9_names", " by mira veldt and Oto Lindqist", lambda c: clean.fix_names(c, NAMES), "SELECT doc_id, replace(t, ' by mira veldt and Oto Lindqist', ' by Mira Feldt and Otto Lindqvist') AS text FROM d")
 _rule("x10_punctuation", " What.. now,, then... end . . . ok", clean.fix_punctuation, "SELECT doc_id, regexp_replace(replace(t, ' What.. now,, then... end . . . ok', ' What. now, then... end … ok'), ',{2,}', ',', 'g') AS text FROM d")
 MAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _rule(
@@ -109,7 +109,8 @@ def x13_titles(spark, sf_dir):
 @query(
     "x15_midsentence_capitals",
     r"""WITH tok AS (SELECT doc_id, unnest(ws) AS tok, unnest(range(len(ws))) AS idx FROM (SELECT doc_id, regexp_extract_all(text, '\S+') AS ws FROM documents)),
-c AS (SELECT *, regexp_extract(tok, '^["''“‘(\[_]*([A-Za-z][A-Za-z''’-]*)["''”’)\].,;:!?_…-]*$', 1) AS core, regexp_matches(tok, '[.?!…:”"][''’)\]]*$') AS fin FROM tok),
+b AS (SELECT *, trim(tok, '"''“”‘’()[]_.,;:!?…-') AS bare FROM tok),
+c AS (SELECT *, CASE WHEN regexp_full_match(bare, '[A-Za-z''’-]+') THEN bare ELSE '' END AS core, right(rtrim(tok, '''’)]'), 1) IN ('.', '?', '!', '…', ':', '”', '"') AS fin FROM b),
 f AS (SELECT *, coalesce(lag(fin) OVER o, true) AS first, lag(core) OVER o AS prev FROM c WINDOW o AS (PARTITION BY doc_id ORDER BY idx)),
 s AS (SELECT *, sum(first::INT) OVER (PARTITION BY doc_id ORDER BY idx) AS sentence, (regexp_matches(core, '^[A-Z]') AND core <> 'I' AND NOT first)::INT AS cap FROM f),
 n AS (SELECT *, sum(cap) OVER (PARTITION BY doc_id, sentence ORDER BY idx RANGE BETWEEN 3 PRECEDING AND 3 FOLLOWING) - cap AS near FROM s)

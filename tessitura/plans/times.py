@@ -21,12 +21,11 @@ def cs(c):
     return F.round(F.col(c) * 100).cast("long").alias(f"{c}_cs")
 
 
-STEPS = "st AS (SELECT o_orderkey % 150 AS slug, o_orderkey * 300::DOUBLE AS from_sec, max(o_custkey) AS delta FROM orders WHERE o_orderkey < 9000 GROUP BY ALL)"
+STEPS = "st AS (SELECT o_orderkey % 150 AS slug, o_orderkey * 300::DOUBLE AS from_sec, max(o_custkey) AS delta FROM orders GROUP BY ALL)"
 
 
 def _steps(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey < 9000")
-    return o.groupBy((F.col("o_orderkey") % 150).alias("slug"), (F.col("o_orderkey") * 300.0).alias("from_sec")).agg(F.max("o_custkey").alias("delta"))
+    return table(spark, sf_dir, "orders").groupBy((F.col("o_orderkey") % 150).alias("slug"), (F.col("o_orderkey") * 300.0).alias("from_sec")).agg(F.max("o_custkey").alias("delta"))
 
 
 @query(
@@ -54,7 +53,11 @@ def j1_unique_anchors(spark, sf_dir):
 
 @query("j2_longest_chain")
 def j2_longest_chain(spark, sf_dir):
-    return timejoins.longest_chain(j1_unique_anchors(spark, sf_dir), "source").select("source", "left_at", "right_at")
+    """A text against itself with every fifth run of 20 words moved elsewhere: a recording is one document."""
+    grams = sentences.ngrams(table(spark, sf_dir, "documents"), ["doc_id"], 4)
+    moved = F.when(F.floor(F.col("idx") / 20) % 5 == 2, F.col("idx") * 7 % 1000).otherwise(F.col("idx") + 3)
+    anchors = timejoins.unique_anchors(grams, grams.withColumn("idx", moved.cast("int")), "doc_id", "gram", "idx")
+    return timejoins.longest_chain(anchors, "doc_id").select("doc_id", "left_at", "right_at")
 
 
 @query(
