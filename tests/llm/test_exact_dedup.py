@@ -1,7 +1,7 @@
 import hashlib
 
 from tessitura.llm import queries
-from tessitura.llm.exact_dedup import drop_exact_copies, exact_dedup
+from tessitura.llm.exact_dedup import drop_exact_copies, exact_dedup, refine
 
 from ..oracle import compare
 
@@ -29,3 +29,19 @@ def test_empty(spark):
 
 def test_sql(spark, sf_dir):
     compare(spark, queries.QUERIES["op5_exact_dedup"], queries.ORACLES["op5_exact_dedup"], sf_dir)
+
+
+def test_levels_leave_ever_less(spark):
+    """Each level drops rows that the one before it could not."""
+    rows = spark.createDataFrame([(i, i) for i in range(10)] + [(50, i) for i in range(10)] + [(60, 7)] * 3, "len int, prefix long")
+    by_length, by_prefix = refine(rows)
+    assert rows.count() == 23 and by_length.count() == 13 and by_prefix.count() == 3
+
+
+def test_same_prefix_and_clashing_names(spark):
+    """Texts that length and prefix can't tell apart, and columns that are named as the operator's own."""
+    rows = [(i, "x" * 100 + str(i), 1, "a") for i in range(5)] + [(9, "X" * 100 + "3", 2, "b"), (9, "x" * 100 + "3", 3, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, len int, _key string")
+    kept = drop_exact_copies(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 4, 9]
+    assert sum(r.kept for r in exact_dedup(docs).collect()) == 5
