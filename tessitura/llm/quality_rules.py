@@ -2,7 +2,8 @@
 
 Each document is measured once, in Arrow batches. Rules turn the measures into failures, which are summed by host; a
 host's failure rate is shrunk toward all hosts' by an empirical beta prior, so that a host with few documents is judged
-mostly by the prior. A host whose shrunk rate for some rule is over the limit loses its documents.
+mostly by the prior. A host loses its documents if for some rule its posterior says with about 95 % that its rate is over
+the limit: twice the prior's mean, one half at most. Hosts that are all alike are all kept, however large they are.
 """
 
 from __future__ import annotations
@@ -19,7 +20,12 @@ from .common import materialize, texts
 SYMBOLS = b"#*$%&|<>"
 SPACES = (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-MAX_RATE = 0.5
+#: A rate is too high beyond so many times the prior's mean, and beyond this in any case; so many standard deviations of the
+#: posterior must lie above.
+TIMES_MEAN, MAX_RATE, SURE = 2.0, 0.5, 1.645
+#: Up to so many hosts are sent to all executors.
+SENT_HOSTS = 200_000
+SALT = 16
 #: The prior's weight in documents: at least, at most, and where all hosts' rates are equal.
 LEAST_WEIGHT, MOST_WEIGHT, EVEN_WEIGHT = 1.0, 1000.0, 10.0
 
@@ -89,8 +95,9 @@ def rules() -> dict[str, Column]:
     }
 
 
-def host_verdicts(measured: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
-    """(host, docs, host_kept) for each host: kept unless its shrunk failure rate for some rule is over max_rate.
+def host_verdicts(measured: DataFrame, max_rate: float = MAX_RATE, times_mean: float = TIMES_MEAN, sure: float = SURE) -> DataFrame:
+    """(host, docs, host_kept) for each host: kept unless for some rule the shrunk failure rate, less sure standard
+    deviations of its posterior, is over times_mean the prior's mean or over max_rate.
 
     The prior's mean and weight fit the mean and variance of the hosts' own rates. Rows with a null host count for none.
     """
@@ -104,7 +111,8 @@ def host_verdicts(measured: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
         if mean is None:  # no hosts
             continue
         weight = min(MOST_WEIGHT, max(LEAST_WEIGHT, mean * (1 - mean) / var - 1)) if var > 1e-12 else EVEN_WEIGHT
-        kept = kept & ((F.col(n) + mean * weight) / (F.col("docs") + weight) <= max_rate)
+        shrunk = (F.col(n) + mean * weight) / (F.col("docs") + weight)
+        kept = kept & (shrunk - sure * F.sqrt(shrunk * (1 - shrunk) / (F.col("docs") + weight + 1)) <= min(max_rate, times_mean * mean))
     return hosts.select("host", "docs", kept.alias("host_kept"))
 
 
@@ -116,5 +124,10 @@ def apply_quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     measured = materialize(measure(docs, id_col, text_col, host_col), "measured")
     bad = materialize(host_verdicts(measured, max_rate).where("not host_kept").select("host", F.lit(True).alias("_bad")), "bad_hosts")
-    judged = measured.withColumn("base_failed", base_failed()).join(bad.hint("merge"), "host", "left")
+    # A row a host: where they are many, rows are dealt by host and a hash, and hosts repeated for each, so that no host is one task.
+    if bad.count() <= SENT_HOSTS:
+        judged = measured.withColumn("base_failed", base_failed()).join(F.broadcast(bad), "host", "left")
+    else:
+        salted = bad.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("_salt"))
+        judged = measured.withColumn("base_failed", base_failed()).withColumn("_salt", F.pmod(F.xxhash64("id", *MEASURES), F.lit(SALT)).cast("int")).join(salted.hint("merge"), ["host", "_salt"], "left")
     return judged.select(F.col("id").alias(id_col), *MEASURES, "base_failed", (~F.col("base_failed") & F.col("_bad").isNull()).alias("kept"))

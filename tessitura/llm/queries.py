@@ -108,7 +108,8 @@ h AS (SELECT source, count(*) AS n, count_if(base_failed) AS k1, count_if(n_symb
 u AS (SELECT source, n, unnest([1, 2, 3, 4]) AS j, unnest([k1, k2, k3, k4]) AS k FROM h),
 m AS (SELECT j, avg(k / n) AS mean, var_pop(k / n) AS var FROM u GROUP BY j),
 q AS (SELECT j, mean, CASE WHEN var > 1e-12 THEN least(1000, greatest(1, mean * (1 - mean) / var - 1)) ELSE 10 END AS weight FROM m),
-bad AS (SELECT DISTINCT source FROM u JOIN q USING (j) WHERE (k + mean * weight) / (n + weight) > 0.5)
+y AS (SELECT source, n, mean, weight, (k + mean * weight) / (n + weight) AS p FROM u JOIN q USING (j)),
+bad AS (SELECT DISTINCT source FROM y WHERE p - 1.645::DOUBLE * sqrt(p * (1 - p) / (n + weight + 1)) > least(0.5::DOUBLE, 2 * mean))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.source IS NULL AS kept FROM b LEFT JOIN bad ON b.source = bad.source
 """
 

@@ -69,3 +69,20 @@ def test_quality_edges(spark):
     hosts = {r.host: r.host_kept for r in host_verdicts(measure(docs)).collect()}
     assert hosts["fine"] and not hosts["bad"] and set(hosts) == {"fine", "bad", "lone"}
     assert apply_quality_rules(docs.limit(0)).count() == 0
+
+
+def test_hosts_far_above_the_rest_go(spark):
+    """Forty hosts that fail 5 % of the time and one that fails 40 %: it alone goes, with its good documents, and so it does
+    not by a fixed limit of one half. A host of two bad documents is too small to tell."""
+    good = " ".join(f"word{i}" for i in range(60))
+    rows = [(h * 1000 + i, "short" if i % 20 == h % 20 else good, f"h{h}") for h in range(40) for i in range(100)]
+    rows += [(90_000 + i, "short" if i % 5 < 2 else good, "spam") for i in range(100)] + [(99_000 + i, "short", "tiny") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    hosts = {r.host: r.host_kept for r in host_verdicts(measure(docs)).collect()}
+    assert [h for h, kept in hosts.items() if not kept] == ["spam"]
+    got = [r for r in apply_quality_rules(docs).collect() if r.doc_id >= 90_000 and r.doc_id < 99_000]
+    assert len(got) == 100 and not any(r.kept for r in got) and sum(r.base_failed for r in got) == 40
+
+
+def test_hosts_that_are_alike_all_stay(spark, sf_dir):
+    assert all(r.host_kept for r in host_verdicts(measure(spark.read.parquet(f"{sf_dir}/documents.parquet"))).collect())
