@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tessitura.functions.strings import fold
+from tessitura.functions.tables import written
 
 # Country endings and codes of states.
 COUNTRIES = {
@@ -40,19 +41,40 @@ def multiset_bound(a: Column, b: Column) -> Column:
     return 2 * shared / (F.length(a) + F.length(b))
 
 
+#: Letters from rare to common; others come first. The order changes what a join costs, never what it finds.
+RARITY = "zqxjkvbwygpfmcdulhrnsoitae"
+
+
+def _rare_letters(c: Column, least: float) -> Column:
+    """A word's numbered letters, as each stands for its first, second, ... time, without the most common ones: words that
+    reach the ratio have so many letters in common that one of these is among them."""
+
+    def numbered(letters: Column) -> Column:
+        each = F.transform(letters, lambda x, i: F.struct((-(i + 1 - F.array_position(letters, x))).alias("time"), F.instr(F.lit(RARITY), x).alias("place"), x.alias("x")))
+        return F.transform(F.array_sort(each), lambda s: F.concat(s["x"], s["time"].cast("string")))
+
+    letters = F.element_at(F.transform(F.array(F.array_sort(F.split(c, "(?!^)"))), numbered), 1)
+    n = F.length(c)
+    return F.slice(letters, F.lit(1), (n - F.ceil(least / (2 - least) * n - 1e-9) + 1).cast("int"))
+
+
 def similarity_join(left: DataFrame, right: DataFrame, a: str, b: str, least: float, on: Sequence[str] = ()) -> DataFrame:
-    """Distinct pairs (a, b, ratio) with a ratio of at least so much. Lossless: pairs are made by length and by a
-    gram-free bound on shared letters; only those that may reach the ratio are scored, each distinct pair once.
+    """Distinct pairs (a, b, ratio) with a ratio of at least so much, each scored once. Nulls and empty texts pair with none.
 
-    on adds equality of blocking columns. Without them, the lengths that can reach the ratio are the join's key.
+    Lossless: a ratio r of lengths la and lb takes r * (la + lb) / 2 letters in common, so that the pair shares one of the
+    rare letters of each (prefix filtering). That letter and the length are the join's key, with the columns in on. What
+    the bounds of lengths and letters leave is written before it is scored: the optimizer would move the scoring below
+    the distinct.
     """
     lw = left.select(a, *on).distinct().withColumn("_la", F.length(a)).where("_la > 0")
     rw = right.select(b, *on).distinct().withColumn("_lb", F.length(b)).where("_lb > 0")
     low, high = least / (2 - least), (2 - least) / least
+    lw = lw.withColumn("_x", F.explode(_rare_letters(F.col(a), least)))
     lw = lw.withColumn("_n", F.explode(F.sequence(F.ceil(F.col("_la") * low - 1e-9).cast("int"), F.floor(F.col("_la") * high + 1e-9).cast("int"))))
-    pairs = lw.hint("merge").join(rw.withColumn("_n", F.col("_lb")).hint("merge"), ["_n", *on])
-    pairs = pairs.where((ratio_bound(F.col(a), F.col(b)) >= least - 1e-9) & (multiset_bound(F.col(a), F.col(b)) >= least - 1e-9))
-    return pairs.select(a, b).distinct().withColumn("ratio", ratcliff_ratio(a, b)).where(F.col("ratio") >= least)
+    rw = rw.withColumn("_x", F.explode(_rare_letters(F.col(b), least))).withColumn("_n", F.col("_lb"))
+    pairs = lw.hint("merge").join(rw.hint("merge"), ["_x", "_n", *on]).where(ratio_bound(F.col(a), F.col(b)) >= least - 1e-9).select(a, b).distinct()
+    bounded = written(pairs.where(multiset_bound(F.col(a), F.col(b)) >= least - 1e-9), "pairs")
+    return bounded.withColumn("ratio", ratcliff_ratio(a, b)).where(F.col("ratio") >= least)
 
 
 def person_key(c: Column) -> Column:

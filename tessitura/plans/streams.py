@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from tessitura.streaming import streams
 
+from tessitura.functions.tables import shared_dir
+
 from .registry import query, table
 
 
 def _folder(spark) -> str:
     """A new folder where driver and executors both reach it."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
 SESSIONS = """WITH e AS (SELECT user_id AS slug, ts FROM events), n AS (SELECT *, CASE WHEN ts - lag(ts) OVER w > INTERVAL 6 HOUR THEN 1 ELSE 0 END AS nw FROM e WINDOW w AS (PARTITION BY slug ORDER BY ts)), r AS (SELECT *, sum(nw) OVER (PARTITION BY slug ORDER BY ts) AS run FROM n)

@@ -107,3 +107,16 @@ def test_mentions_take_the_longest(spark):
     s = spark.createDataFrame([(1, "I met Ann Lee Ray and ann.")], "k int, sentence string")
     n = spark.createDataFrame([("Ann",), ("Ann Lee Ray",), ("Lee",)], "name string")
     assert sorted((r["at"], r.name) for r in names.dictionary_mentions(s, n, ["k"]).collect()) == [(3, "Ann Lee Ray"), (7, "Ann")]
+
+
+def test_similarity_join_loses_no_pair(spark):
+    """Against all pairs, at several ratios, with letters repeated, marked and not of this script."""
+    import difflib
+    import random
+
+    rng = random.Random(4)
+    made = ["".join(rng.choice("abcdeéß") for _ in range(rng.randint(1, 9))) for _ in range(150)] + ["", "a", "aa", "aaaa", "你好吗"]
+    a, b = (spark.createDataFrame([(x,) for x in half], f"{c} string") for c, half in (("a", made[::2]), ("b", made[1::2])))
+    for least in (0.5, 0.72, 0.85, 1.0):
+        want = {(x, y) for x in set(made[::2]) for y in set(made[1::2]) if x and y and difflib.SequenceMatcher(None, x, y).ratio() >= least}
+        assert {(r.a, r.b) for r in names.similarity_join(a, b, "a", "b", least).collect()} == want
