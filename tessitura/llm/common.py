@@ -19,9 +19,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one made here where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, one made here, on a local
+    master only."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         atexit.register(shutil.rmtree, found, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", found)

@@ -20,6 +20,8 @@ from .common import crc32_id, materialize, texts
 BITS = 20
 #: Labelled documents that the weights are fit on, in expectation.
 SAMPLE = 16_000
+#: Features of all of them together, in expectation: 4 bytes each in the one task that learns. Beyond it, fewer rows are learned from.
+MAX_FEATURES = 100_000_000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 1.0
 #: A marked document counts as so many others, as marks are few.
@@ -98,9 +100,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return rows.mapInArrow(make, f"id {rows.schema['id'].dataType.simpleString()}, label int, features array<long>")
 
 
-def fit(sampled: DataFrame, epochs: int = EPOCHS, bits: int = BITS) -> np.ndarray:
+def fit(sampled: DataFrame, epochs: int = EPOCHS, bits: int = BITS, max_features: int = MAX_FEATURES) -> np.ndarray:
     """Weights by feature, the bias last, from (id, label, features) rows: the updates run in one task over the bounded
-    sample, in an order that a hash of the id sets. No rows give weights of zero."""
+    sample, in an order that a hash of the id sets. Rows are bounded by labelled_sample, their features by max_features.
+    No rows give weights of zero."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, seen = Ftrl(bits), []
@@ -115,7 +118,11 @@ def fit(sampled: DataFrame, epochs: int = EPOCHS, bits: int = BITS) -> np.ndarra
         used = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(w[used])], names=["feature", "weight"])
 
-    one = materialize(sampled, "features").repartition(1).sortWithinPartitions(F.xxhash64("id", F.lit(7)), "id", "features").select("label", "features")
+    made = materialize(sampled, "features")
+    total = made.agg(F.sum(F.size("features").cast("long"))).first()[0] or 0
+    if total > max_features:  # very long texts, or ids that many rows repeat
+        made = made.where(F.pmod(F.xxhash64("id", "features"), F.lit(1 << 20)) < int(max_features / total * (1 << 20)))
+    one = made.repartition(1).sortWithinPartitions(F.xxhash64("id", F.lit(7)), "id", "features").select("label", "features")
     weights = np.zeros((1 << bits) + 1)
     for row in one.mapInArrow(learn, "feature long, weight double").collect():  # those that L1 leaves, 2^bits at most
         weights[row["feature"]] = row["weight"]

@@ -115,3 +115,70 @@ def test_toxicity_edges(spark):
     assert toxicity(docs.limit(0), labels).count() == 0
     none = fit_toxicity(labelled_sample(docs, labels.limit(0)))
     assert not none.any() and {r.score for r in score_texts(docs, none).collect()} == {0.5}
+
+
+def plain_ftrl(rows, bits, alpha, beta, l1, l2, weight, epochs):
+    """The update by the book, one coordinate at a time."""
+    from math import exp, sqrt
+
+    z, n = Counter(), Counter()
+
+    def w(i):
+        reach = 0 if i == 1 << bits else l1
+        return 0.0 if abs(z[i]) <= reach else -(z[i] - (reach if z[i] > 0 else -reach)) / ((beta + sqrt(n[i])) / alpha + l2)
+
+    for _ in range(epochs):
+        for x, y in rows:
+            x = [*x, 1 << bits]
+            g = (1 / (1 + exp(-sum(w(i) for i in x))) - y) * (weight if y else 1.0)
+            for i, wi in [(i, w(i)) for i in x]:
+                z[i] += g - (sqrt(n[i] + g * g) - sqrt(n[i])) / alpha * wi
+                n[i] += g * g
+    return {i: w(i) for i in z if w(i)}
+
+
+def test_ftrl_against_brute_force(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    rows = [(i, int(i % 3 == 0), sorted({int(x) for x in rng.integers(0, 200, 12)} | ({250} if i % 3 == 0 else {251}))) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, label int, features array<long>")
+    order = [r.id for r in df.orderBy(F.xxhash64("id", F.lit(7)), "id").collect()]
+    by_id = {i: (x, y) for i, y, x in rows}
+    from tessitura.llm.toxicity import ALPHA, BETA, EPOCHS, L1, L2, MARKED_WEIGHT
+
+    want = plain_ftrl([by_id[i] for i in order], 8, ALPHA, BETA, L1, L2, MARKED_WEIGHT, EPOCHS)
+    got = fit_toxicity(df, bits=8)
+    assert set(np.flatnonzero(got).tolist()) == set(want) and len(want) > 2
+    assert all(abs(got[i] - w) < 1e-9 for i, w in want.items())
+
+
+def test_features_are_bounded(spark):
+    """Many rows of one id and long texts: the fit takes fewer rows, and still learns."""
+    rows = [(5, i % 2, [i % 2, *range(10, 10 + i % 50)]) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, label int, features array<long>")
+    w = fit_toxicity(df, bits=8, max_features=10_000)
+    assert w[1] > 0 > w[0]
+
+
+def test_predictions_against_brute_force(spark, sf_dir):
+    """Each document's distance to each profile, place by place."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    profiles = fit(docs)
+    place = {lang: {} for lang in profiles.langs}
+    for i, g in enumerate(profiles.grams.tolist()):
+        for j, lang in enumerate(profiles.langs):
+            if profiles.places[i, j] < 400:
+                place[lang][decode(g)] = profiles.places[i, j]
+    got = {r.doc_id: r for r in identify(docs).collect()}
+    code = lambda g: sum(ord(c) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
+    for r in docs.orderBy("doc_id").limit(40).collect():
+        top = sorted(plain_ngrams(r.text).items(), key=lambda x: (-x[1], code(x[0])))[:400]
+        if not top:
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        counts = [n for _, n in top]
+        rank = {g: counts.index(n) + (counts.count(n) - 1) / 2 for g, n in top}
+        away = {lang: sum(min(abs(p[g] - rank[g]), 400) if g in p else 400 for g in rank) for lang, p in place.items()}
+        best = min(sorted(away), key=away.get)
+        assert got[r.doc_id].lang_pred == best and abs(got[r.doc_id].score - (1 - away[best] / (400 * len(top)))) < 1e-9
