@@ -69,9 +69,9 @@ def similarity_join(left: DataFrame, right: DataFrame, a: str, b: str, least: fl
     lw = left.select(a, *on).distinct().withColumn("_la", F.length(a)).where("_la > 0")
     rw = right.select(b, *on).distinct().withColumn("_lb", F.length(b)).where("_lb > 0")
     low, high = least / (2 - least), (2 - least) / least
-    lw = lw.withColumn("_x", F.explode(_rare_letters(F.col(a), least)))
-    lw = lw.withColumn("_n", F.explode(F.sequence(F.ceil(F.col("_la") * low - 1e-9).cast("int"), F.floor(F.col("_la") * high + 1e-9).cast("int"))))
-    rw = rw.withColumn("_x", F.explode(_rare_letters(F.col(b), least))).withColumn("_n", F.col("_lb"))
+    lw = lw.withColumn("_x", F.explode(_rare_letters(F.col(a), least))).withColumn("_n", F.col("_la"))
+    rw = rw.withColumn("_x", F.explode(_rare_letters(F.col(b), least)))  # the shorter list on the right is cheaper: it takes all lengths
+    rw = rw.withColumn("_n", F.explode(F.sequence(F.ceil(F.col("_lb") * low - 1e-9).cast("int"), F.floor(F.col("_lb") * high + 1e-9).cast("int"))))
     pairs = lw.hint("merge").join(rw.hint("merge"), ["_x", "_n", *on]).where(ratio_bound(F.col(a), F.col(b)) >= least - 1e-9).select(a, b).distinct()
     bounded = written(pairs.where(multiset_bound(F.col(a), F.col(b)) >= least - 1e-9), "pairs")
     return bounded.withColumn("ratio", ratcliff_ratio(a, b)).where(F.col("ratio") >= least)
