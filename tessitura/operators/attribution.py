@@ -103,6 +103,31 @@ def boundaries(samples: DataFrame, key: str = "slug", hold: float = 10.0, flicke
     return runs(smoothed, key, ["start"], "name").groupBy(key, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("name").alias("name")).drop("run")
 
 
+def snapped_turns(words: DataFrame, key: str = "slug", reach: float = 4.0, pause: float = 1.0, around: int = 40, share: float = 0.5) -> DataFrame:
+    """words(key, idx, t, text, name, overlapped) to (key, start, name), a row a turn.
+
+    Where the name changes (null counts as one), the turn starts at the nearest word, within reach seconds and `around` words,
+    that follows the end of a sentence or a pause; the earlier of equals; else where the name changes. A turn is given to
+    the name of most of its words, the first to be heard of equals, or to nobody where at least share of its words are
+    overlapped speech. Neighbouring turns of one name are one.
+    """
+    w = Window.partitionBy(key).orderBy("t", "idx")
+    ends = F.regexp_replace(F.lag("text").over(w), "[\"'”’)]+$", "").rlike("[.!?]$")
+    may_start = (F.row_number().over(w) > 1) & (F.coalesce(ends, F.lit(False)) | (F.col("t") - F.lag("t").over(w) >= pause))
+    change = (F.row_number().over(w) > 1) & ~F.col("name").eqNullSafe(F.lag("name").over(w))
+    rows = words.select(key, "idx", "t", "name", "overlapped", F.when(may_start, F.struct("t", "idx")).alias("_s"), change.alias("_c"), F.row_number().over(w).alias("_n"))
+    rows = rows.withColumn("_before", F.last("_s", ignorenulls=True).over(w.rowsBetween(-around, 0))).withColumn("_after", F.first("_s", ignorenulls=True).over(w.rowsBetween(0, around - 1)))
+    off = lambda s: F.abs(F.col(f"{s}.t") - F.col("t"))
+    near = F.when((off("_before") <= reach) & (F.col("_after").isNull() | (off("_before") <= off("_after"))), F.col("_before")).when(off("_after") <= reach, F.col("_after"))
+    at = F.coalesce(near, F.when(off("_before") <= reach, F.col("_before")), F.struct("t", "idx"))
+    cut = rows.where("_c").select(key, at.alias("_at")).select(key, F.col("_at.t").alias("t"), F.col("_at.idx").alias("idx")).distinct().withColumn("_cut", F.lit(1))
+    pieces = rows.select(key, "idx", "t", "name", "overlapped", "_n").join(cut.hint("merge"), [key, "t", "idx"], "left").withColumn("_piece", F.coalesce(F.sum("_cut").over(Window.partitionBy(key).orderBy("_n")), F.lit(0)))
+    each = pieces.groupBy(key, "_piece", "name").agg(F.count("*").alias("_k"), F.min("_n").alias("_first"), F.min("t").alias("start"), F.count_if("overlapped").alias("_o"))
+    turn = each.groupBy(key, "_piece").agg(F.max_by(F.struct("name"), F.struct("_k", -F.col("_first"))).alias("_b"), F.min("start").alias("start"), F.sum("_k").alias("_k"), F.sum("_o").alias("_o"))
+    turn = turn.withColumn("name", F.when(F.col("_o") < share * F.col("_k"), F.col("_b.name")))
+    return runs(turn, key, ["_piece"], "name").groupBy(key, "run").agg(F.min("start").alias("start"), F.first("name").alias("name")).drop("run")
+
+
 def presenter_of_runs(turns: DataFrame, slots: DataFrame, key: str = "slug", prefix: str = "Audio shared by ") -> DataFrame:
     """turns(key, idx, start, speaker) with the prefix off, and each run of shared audio given to the slot(key, s_start,
     presenter) in which it starts."""

@@ -190,12 +190,51 @@ def find_cut(matches: DataFrame, key: str, inside: float = 0.35, outside: float
     return matches.groupBy(key).applyInPandas(search, f"{key} {matches.schema[key].dataType.simpleString()}, first long, last long, cut boolean")
 
 
+def _deltas(left: DataFrame, right: DataFrame, key: str, gram: str, at: str, low: float, high: float) -> DataFrame:
+    """(key, _l, d): for each left gram the distances to its right ones between low and high. Times are cut into slots, so a
+    gram meets only those within reach: pairs grow with the text, however often a gram is said."""
+    width = max(float(high - low), 1.0)
+    l = left.select(key, gram, F.col(at).alias("_l")).withColumn("_b", F.explode(F.sequence(F.floor((F.col("_l") + low) / width), F.floor((F.col("_l") + high) / width))))
+    r = right.select(key, gram, F.col(at).alias("_r")).withColumn("_b", F.floor(F.col("_r") / width))
+    pairs = l.hint("merge").join(r.hint("merge"), [key, gram, "_b"])
+    return pairs.select(key, gram, "_l", (F.col("_r") - F.col("_l")).alias("d")).where(F.col("d").between(low, high))
+
+
+def _voted(deltas: DataFrame, key: str, gram: str, step: float, tolerance: float, least: Column, most: Column) -> DataFrame:
+    """(key, k, hits): how many left grams a shift of k steps, between least and most, brings to one of their right ones."""
+    ks = F.sequence(F.greatest(F.ceil((F.col("d") - tolerance) / step - 1e-9), least), F.least(F.floor((F.col("d") + tolerance) / step + 1e-9), most))
+    reached = F.ceil((F.col("d") - tolerance) / step - 1e-9) <= most
+    reached = reached & (F.floor((F.col("d") + tolerance) / step + 1e-9) >= least)
+    votes = deltas.where(reached & (F.ceil((F.col("d") - tolerance) / step - 1e-9) <= F.floor((F.col("d") + tolerance) / step + 1e-9))).select(key, gram, "_l", F.explode(ks).alias("k"))
+    return votes.distinct().groupBy(key, "k").agg(F.count("*").alias("hits"))
+
+
 def best_shift(left: DataFrame, right: DataFrame, key: str, gram: str, at: str, low: int = -300, high: int = 300, step: int = 2, tolerance: float = 1.0) -> DataFrame:
-    """(key, shift, hits): the shift, in steps, at which most grams of both sides come together within the tolerance; ties take
-    the larger shift. Equal grams vote for the shifts that bring them together: nothing is tried for all pairs of times."""
-    l, r = left.select(key, gram, F.col(at).alias("_l")), right.select(key, gram, F.col(at).alias("_r"))
-    # Grams said often vote for every shift; only those that are rare on both sides tell one from another.
-    rare = lambda d, n: d.join(d.groupBy(key, gram).agg(F.count("*").alias("_n")).where(F.col("_n") <= n).drop("_n"), [key, gram], "left_semi")
-    delta = rare(l, 3).join(rare(r, 3), [key, gram]).select(key, (F.col("_r") - F.col("_l")).alias("d")).where(F.col("d").between(low - tolerance, high + tolerance))
-    votes = delta.select(key, F.explode(F.sequence(F.ceil((F.col("d") - tolerance) / step), F.floor((F.col("d") + tolerance) / step))).alias("k"))
-    return votes.groupBy(key, "k").agg(F.count("*").alias("hits")).groupBy(key).agg(F.max(F.struct("hits", "k")).alias("b")).select(key, (F.col("b.k") * step).alias("shift"), "b.hits")
+    """(key, shift, hits): the shift, in steps, at which most left grams meet an equal right one within the tolerance; ties take
+    the larger shift. Equal grams vote for the shifts that bring them together: nothing is tried for all pairs of times.
+    A gram said twice at one time counts once."""
+    deltas = _deltas(left, right, key, gram, at, low - tolerance, high + tolerance)
+    votes = _voted(deltas, key, gram, step, tolerance, F.lit(low // step).cast("long"), F.lit(high // step).cast("long"))
+    return votes.groupBy(key).agg(F.max(F.struct("hits", "k")).alias("b")).select(key, (F.col("b.k") * step).alias("shift"), "b.hits")
+
+
+def fine_shift(left: DataFrame, right: DataFrame, key: str, gram: str, at: str, low: int = -300, high: int = 300, step: int = 2, tolerance: float = 1.0, finer: float = 0.25, around: float = 3.0, least: float = 0.6, gain: float = 0.2) -> DataFrame:
+    """(key, shift, score, base, accepted): best_shift's made finer. Around it shifts are tried in fine steps within the fine
+    step of tolerance; ties take the larger. The score is the share of left grams that meet, base that without a shift;
+    the shift is accepted from a score of `least` that beats base by `gain`."""
+    coarse = best_shift(left, right, key, gram, at, low, high, step, tolerance).select(key, F.col("shift").alias("_s"))
+    deltas = _deltas(left, right, key, gram, at, low - around - finer, high + around + finer).join(coarse.hint("merge"), key)
+    votes = _voted(deltas, key, gram, finer, finer, F.ceil((F.col("_s") - around) / finer), F.floor((F.col("_s") + around) / finer))
+    best = votes.groupBy(key).agg(F.max(F.struct("hits", "k")).alias("b"))
+    base = deltas.where(F.abs("d") <= finer).select(key, gram, "_l").distinct().groupBy(key).agg(F.count("*").alias("_base"))
+    total = left.select(key, gram, at).distinct().groupBy(key).agg(F.count("*").alias("_n"))
+    rows = best.join(total.hint("merge"), key).join(base.hint("merge"), key, "left")
+    rows = rows.select(key, (F.col("b.k") * finer).alias("shift"), (F.col("b.hits") / F.col("_n")).alias("score"), (F.coalesce("_base", F.lit(0)) / F.col("_n")).alias("base"))
+    return rows.withColumn("accepted", (F.col("score") >= least) & (F.col("score") >= F.col("base") + gain))
+
+
+def shift_words(words: DataFrame, shifts: DataFrame, key: str, at: str) -> DataFrame:
+    """words moved by their key's accepted shift(key, shift, accepted); those that would be before the start are dropped."""
+    s = shifts.where("accepted").select(key, F.col("shift").alias("_shift"))
+    moved = words.join(s, key, "left").withColumn(at, F.col(at) + F.coalesce("_shift", F.lit(0.0)))
+    return moved.where(F.col("_shift").isNull() | (F.col(at) >= 0)).select(*words.columns)

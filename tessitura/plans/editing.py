@@ -99,15 +99,31 @@ def j6_cuts(spark, sf_dir):
     return timejoins.find_cut(timejoins.cue_match(cues, other, "slug", 30.0), "slug")
 
 
-@query("j9_best_shift", r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+') AS ws FROM documents), t AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM w),
-g AS (SELECT doc_id, i, w || ' ' || lead(w) OVER (PARTITION BY doc_id ORDER BY i) AS gram FROM t), n AS (SELECT doc_id, gram, count(*) AS n FROM g WHERE gram IS NOT NULL GROUP BY ALL HAVING count(*) <= 3),
-x AS (SELECT g.doc_id, g.gram, i FROM g JOIN n USING (doc_id, gram)), d AS (SELECT a.doc_id, b.i + 40 - a.i AS d FROM x a JOIN x b USING (doc_id, gram) WHERE b.i + 40 - a.i BETWEEN -301 AND 301),
-v AS (SELECT doc_id, unnest(range(ceil((d - 1) / 2)::BIGINT, floor((d + 1) / 2)::BIGINT + 1)) AS k FROM d), c AS (SELECT doc_id, k, count(*) AS hits FROM v GROUP BY ALL)
-SELECT doc_id, (arg_max(k, (hits, k)) * 2)::BIGINT AS shift, max(hits)::BIGINT AS hits FROM c GROUP BY doc_id""")
-def j9_best_shift(spark, sf_dir):
-    """A text against itself, 40 s later."""
+J9 = r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+') AS ws FROM documents), t AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM w),
+g AS (SELECT doc_id, i, w || ' ' || lead(w) OVER (PARTITION BY doc_id ORDER BY i) AS gram FROM t), x AS (SELECT * FROM g WHERE gram IS NOT NULL),
+d AS (SELECT a.doc_id, a.i, b.i + 40 - a.i AS d FROM x a JOIN x b USING (doc_id, gram) WHERE b.i + 40 - a.i BETWEEN -303 AND 303),
+v AS (SELECT DISTINCT doc_id, i, unnest(range(greatest(ceil((d - 1) / 2), -150)::BIGINT, least(floor((d + 1) / 2), 150)::BIGINT + 1)) AS k FROM d), c AS (SELECT doc_id, k, count(*) AS hits FROM v GROUP BY ALL),
+b AS (SELECT doc_id, (arg_max(k, (hits, k)) * 2)::BIGINT AS shift, max(hits)::BIGINT AS hits FROM c GROUP BY doc_id)"""
+
+
+def _later(spark, sf_dir):
+    """A text and itself, 40 s later."""
     g = sentences.ngrams(table(spark, sf_dir, "documents"), ["doc_id"], 2)
-    return timejoins.best_shift(g, g.withColumn("idx", F.col("idx") + 40), "doc_id", "gram", "idx")
+    return g, g.withColumn("idx", F.col("idx") + 40)
+
+
+@query("j9_best_shift", J9 + " SELECT doc_id, shift, hits FROM b")
+def j9_best_shift(spark, sf_dir):
+    return timejoins.best_shift(*_later(spark, sf_dir), "doc_id", "gram", "idx")
+
+
+@query("j9_fine_shift", J9 + """, q AS (SELECT DISTINCT d.doc_id, i, d FROM d JOIN b USING (doc_id) WHERE d BETWEEN shift - 3 AND shift + 3), h AS (SELECT doc_id, d, count(*) AS hits FROM q GROUP BY ALL),
+e AS (SELECT doc_id, k * 0.25 AS s, i FROM d JOIN (SELECT unnest(range(-1300, 1301)) AS k) r ON abs(d - k * 0.25) <= 0.25), m AS (SELECT doc_id, s, count(DISTINCT i) AS hits FROM e JOIN b USING (doc_id) WHERE s BETWEEN shift - 3 AND shift + 3 GROUP BY ALL),
+o AS (SELECT doc_id, arg_max(s, (hits, s)) AS s, max(hits) AS hits FROM m GROUP BY doc_id), z AS (SELECT doc_id, count(DISTINCT i) AS base FROM d WHERE d = 0 GROUP BY ALL), n AS (SELECT doc_id, count(*) AS n FROM x GROUP BY ALL)
+SELECT doc_id, (s * 100)::BIGINT AS shift_cs, floor(hits * 1000 / n)::BIGINT AS score, floor(coalesce(base, 0) * 1000 / n)::BIGINT AS base, hits / n >= 0.6 AND hits / n >= coalesce(base, 0) / n + 0.2 AS accepted FROM o JOIN n USING (doc_id) LEFT JOIN z USING (doc_id)""")
+def j9_fine_shift(spark, sf_dir):
+    found = timejoins.fine_shift(*_later(spark, sf_dir), "doc_id", "gram", "idx")
+    return found.select("doc_id", F.round(F.col("shift") * 100).cast("long").alias("shift_cs"), F.floor(F.col("score") * 1000 + 1e-9).cast("long").alias("score"), F.floor(F.col("base") * 1000 + 1e-9).cast("long").alias("base"), "accepted")
 
 
 @query("v2_combined_names")
@@ -131,6 +147,20 @@ def v8_voice_boundaries(spark, sf_dir):
     return r.groupBy("slug", "run").agg(F.first("kind").alias("name"), F.round(F.min("t") * 100).cast("long").alias("start_cs"), F.count("*").alias("words")).drop("run")
 
 
+@query("v8_snapped_turns", f"""WITH {EV}, w AS (SELECT slug, idx, t, CASE WHEN idx % 3 = 0 THEN 'end.' ELSE 'word' END AS text, CASE WHEN value > 20 THEN kind END AS name, idx % 4 = 0 AS ov, row_number() OVER (PARTITION BY slug ORDER BY t, idx) AS n FROM ev),
+x AS (SELECT *, n > 1 AND (lag(text) OVER o LIKE '%.' OR t - lag(t) OVER o >= 60000) AS may, n > 1 AND name IS DISTINCT FROM lag(name) OVER o AS ch FROM w WINDOW o AS (PARTITION BY slug ORDER BY n)),
+nr AS (SELECT c.slug, c.n, arg_min(s.n, (abs(s.t - c.t), s.n)) AS at FROM x c JOIN x s ON c.slug = s.slug AND s.may AND s.n BETWEEN c.n - 40 AND c.n + 39 AND abs(s.t - c.t) <= 40000 WHERE c.ch GROUP BY ALL),
+cu AS (SELECT DISTINCT x.slug, coalesce(nr.at, x.n) AS n FROM x LEFT JOIN nr USING (slug, n) WHERE x.ch), p AS (SELECT x.*, sum(CASE WHEN cu.n IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY x.slug ORDER BY x.n) AS piece FROM x LEFT JOIN cu ON x.slug = cu.slug AND x.n = cu.n),
+e AS (SELECT slug, piece, name, count(*) AS k, min(n) AS f, min(t) AS t, count(*) FILTER (ov) AS o FROM p GROUP BY ALL),
+b AS (SELECT slug, piece, arg_max(coalesce(name, '-'), (k, -f)) AS who, min(t) AS t, sum(k) AS k, sum(o) AS o FROM e GROUP BY ALL), z AS (SELECT slug, piece, t, CASE WHEN o < 0.5 * k AND who <> '-' THEN who END AS name FROM b),
+q AS (SELECT *, row_number() OVER y = 1 OR name IS DISTINCT FROM lag(name) OVER y AS first FROM z WINDOW y AS (PARTITION BY slug ORDER BY piece)) SELECT slug, round(t * 100)::BIGINT AS start_cs, name FROM q WHERE first""")
+def v8_snapped_turns(spark, sf_dir):
+    """Events as words, hours apart; every third ends a sentence and every fourth is overlapped."""
+    w = events(spark, sf_dir).select("slug", "idx", "t", F.when(F.col("idx") % 3 == 0, "end.").otherwise("word").alias("text"), F.when(F.col("value") > 20, F.col("kind")).alias("name"), (F.col("idx") % 4 == 0).alias("overlapped"))
+    found = attribution.snapped_turns(w, reach=40000.0, pause=60000.0)
+    return found.select("slug", F.round(F.col("start") * 100).cast("long").alias("start_cs"), "name")
+
+
 @query("n12_near_terms")
 def n12_near_terms(spark, sf_dir):
     """Words close to the first word of a benchmark text, each distinct pair scored once."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessitura.functions.strings import fold
-from tessitura.operators import names, sentences
+from tessitura.operators import name_fixes, names, sentences
 
 from .fixtures import SENT, paragraphs
 from .registry import query, table
@@ -80,6 +80,45 @@ def n7_name_candidates(spark, sf_dir):
     return names.name_candidates(_misspelt(spark, sf_dir), _people(spark, sf_dir), ["doc_id"], 0.85, sizes=(2,))
 
 
+def _heard(spark, sf_dir):
+    """Every document with two names said wrong at its end: its own, with a letter lost, and one of the index with a letter doubled."""
+    p = table(spark, sf_dir, "part").groupBy(F.col("p_partkey").alias("doc_id")).agg(F.min("p_name").alias("own"))
+    lost = F.concat(F.substring("own", 1, 3), F.substring("own", 5, 60))
+    said = F.when(F.col("own").isNotNull(), F.concat(F.lit(". Then "), lost, F.lit("'s friend, and so on."))).otherwise("")
+    return table(spark, sf_dir, "documents").join(p, "doc_id", "left").select("doc_id", F.concat(F.coalesce("text", F.lit("")), said).alias("text"), "own")
+
+
+def _name_findings(spark, sf_dir):
+    d = _heard(spark, sf_dir)
+    own = d.where("own is not null").select("doc_id", F.col("own").alias("name"))
+    index = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"))
+    ordinary = table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), r"[^a-z]+")).alias("word")).where("word <> ''").distinct()
+    suppressed = spark.createDataFrame([], "matched string, candidate string")
+    found = name_fixes.name_findings(d, ["doc_id"], own, ["doc_id"], index, ordinary, index, suppressed)
+    return d, found
+
+
+@query("n7_name_findings")
+def n7_name_findings(spark, sf_dir):
+    return _name_findings(spark, sf_dir)[1].select("doc_id", "name", "pool", F.col("idx").cast("long").alias("idx"), "heard", F.round(F.col("ratio") * 1000).cast("long").alias("ratio"), "action")
+
+
+@query("n7_corrected_texts")
+def n7_corrected_texts(spark, sf_dir):
+    d, found = _name_findings(spark, sf_dir)
+    return name_fixes.correct_names(d, found, ["doc_id"]).select("doc_id", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("n6_session_speakers")
+def n6_session_speakers(spark, sf_dir):
+    """Parts are people and eight of them a recording; a label is a person's name with a letter lost, their first word, or whole."""
+    p = table(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 8).alias("slug"), "p_partkey", "p_name")
+    k = F.col("p_partkey") % 3
+    label = F.when(k == 0, F.concat(F.substring("p_name", 1, 3), F.substring("p_name", 5, 60))).when(k == 1, F.split("p_name", " ")[0]).otherwise(F.col("p_name"))
+    speakers = p.where("p_partkey % 2 = 0").select("slug", F.col("p_name").alias("name"))
+    return name_fixes.session_speakers(p.select("slug", "p_partkey", label.alias("label")), speakers, p.select(F.col("p_name").alias("name")), ["slug"]).select("p_partkey", "label", "speaker")
+
+
 @query("n10_name_variants")
 def n10_name_variants(spark, sf_dir):
     return names.name_variants(_misspelt(spark, sf_dir), _people(spark, sf_dir), "doc_id")
