@@ -8,6 +8,7 @@ group; in a group a segment tree over the remaining capacities finds the tightes
 from __future__ import annotations
 
 import base64
+import functools
 import json
 import zlib
 from array import array
@@ -30,6 +31,14 @@ PIECES = "{id}, start long, length long, ids_crc32 long, doc_tokens long"
 _encoders: dict[str, object] = {}
 
 
+@functools.cache
+def _whole_file(path: str):
+    """The tokenizer file in its own library, read where a text first needs it."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 def encoder(path: str):
     """A function from text to ids, as the tokenizer file has them; made once in each worker.
 
@@ -37,23 +46,20 @@ def encoder(path: str):
     as fast; texts that hold one of the file's special tokens, which it takes whole, still go through the file itself.
     """
     if path not in _encoders:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        plain = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
-        _encoders[path] = plain
         ranks_path = path.removesuffix(".json") + ".tiktoken"
         try:
             with open(ranks_path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         except FileNotFoundError:
-            return plain
+            _encoders[path] = lambda text: _whole_file(path).encode(text, add_special_tokens=False).ids
+            return _encoders[path]
         import public_tokenizers
         import tiktoken
 
-        special = [x["content"] for x in json.loads(tokenizer.to_str())["added_tokens"]]
+        with open(path, "rb") as f:
+            special = [x["content"] for x in json.load(f)["added_tokens"]]
         ranked = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        _encoders[path] = lambda text: plain(text) if any(s in text for s in special) else ranked.encode_ordinary(text)
+        _encoders[path] = lambda text: _whole_file(path).encode(text, add_special_tokens=False).ids if any(s in text for s in special) else ranked.encode_ordinary(text)
     return _encoders[path]
 
 
