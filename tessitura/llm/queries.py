@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -11,11 +12,14 @@ from pyspark.sql import functions as F
 
 from .common import crc32_id, read, shared_dir
 from .exact_dedup import exact_dedup
+from .importance import resample
 from .language_id import identify, is_held_out
 from .line_dedup import drop_repeated_lines
 from .mixing import mix
 from .packing import pack
 from .quality_rules import apply_quality_rules
+from .runs import find_runs, strongest
+from .sentence_pieces import encode_pieces
 from .simhash import simhash_components
 from .token_counts import TokenRollup, count_tokens
 from .toxicity import toxicity
@@ -150,6 +154,61 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def periodic_words(doc_id: object, words: list[bytes]) -> list[bytes]:
+    """The words, or for the ids that op11's contract names, words that repeat from some place on. A null id is not named."""
+    n, h = len(words), 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    root = words[a : a + 1 + (n - a) // (3 + g % 8)]
+    return words[:a] + (root * (-(-(n - a) // len(root))))[: n - a]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(read(spark, sf_dir, "documents"), words_of=periodic_words).withColumn("best", strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH crc AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+o AS (SELECT doc_id, unnest(ws) AS w FROM d),
+p AS (SELECT unnest(ws) AS w FROM b),
+v AS (SELECT DISTINCT w FROM (SELECT w FROM o UNION ALL SELECT w FROM p)),
+y AS (SELECT w, list_transform(range(1, length(hex(w)), 2), lambda i: ('0x' || substr(hex(w), i, 2))::BIGINT) AS bytes FROM v),
+h AS (SELECT w, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket FROM y, crc),
+s AS (SELECT bucket, count(*) AS n FROM o JOIN h USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM p JOIN h USING (w) GROUP BY bucket),
+g AS (SELECT i AS bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM o) + 10000) / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM p) + 10000)))) AS gain
+  FROM range(10000) r(i) LEFT JOIN s ON s.bucket = i LEFT JOIN t ON t.bucket = i),
+m AS (SELECT doc_id, count(*) AS n, floor(sum(gain) / count(*)) AS weight FROM o JOIN h USING (w) JOIN g USING (bucket) GROUP BY doc_id),
+k AS (SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+  (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score FROM d LEFT JOIN m ON d.doc_id = m.doc_id),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM k WHERE n_features >= 20)
+SELECT k.doc_id, n_features, weight, score, CASE WHEN place <= (SELECT count(*) FROM r) * 10 // 100 THEN place END::BIGINT AS rank FROM k LEFT JOIN r ON k.doc_id = r.doc_id
+"""
+
+
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
@@ -161,6 +220,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_importance": op12_importance,
+    "op13_sentence_pieces": op13_sentence_pieces,
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": OP3_SQL,
@@ -168,4 +230,5 @@ ORACLES: dict[str, str] = {
     "op6_url_filter": OP6_SQL,
     "op7_quality_rules": OP7_SQL,
     "op8_mixing": OP8_SQL,
+    "op12_importance": OP12_SQL,
 }
