@@ -13,6 +13,8 @@ from pyspark.sql.types import DoubleType
 from tessitura.functions.strings import fold
 from tessitura.functions.tables import written
 
+from .phrases import replace_phrases
+
 # Country endings and codes of states.
 COUNTRIES = {
     "usa": "USA", "us": "USA", "u s a": "USA", "united states": "USA", "america": "USA", "uk": "United Kingdom", "u k": "United Kingdom", "united kingdom": "United Kingdom",
@@ -278,8 +280,6 @@ def dictionary_mentions(sents: DataFrame, names: DataFrame, keys: Sequence[str],
 def fix_target_word(texts: DataFrame, key: str, target: str, stems: Sequence[str], least: float = 0.85, text_col: str = "text") -> DataFrame:
     """texts with misspellings of one word (in its -ism and -ist forms, plural kept) written right: words that begin with a
     stem and end alike are found, each distinct one is scored once against the target, and the close ones are replaced."""
-    from .clean import replace_phrases
-
     pattern = r"(?U)\b[" + target[0].upper() + target[0].lower() + r"][A-Za-z-]{7,21}(?:ism|ist)s?\b"
     heard = texts.select(F.explode(F.regexp_extract_all(text_col, F.lit(pattern), F.lit(0))).alias("w")).distinct()
     low = F.lower("w")
@@ -289,8 +289,5 @@ def fix_target_word(texts: DataFrame, key: str, target: str, stems: Sequence[str
     goal = F.concat(F.lit(target), ends)
     scored = heard.where(low.rlike("^(?:" + "|".join(stems) + ")")).select("w", F.replace(stem, F.lit("-"), F.lit("")).alias("s"), F.lower(goal).alias("g"), F.concat(goal, F.when(plural, "s").otherwise("")).alias("to"))
     close = scored.withColumn("r", ratcliff_ratio("s", "g")).where((F.col("r") >= least) & (F.col("w") != F.col("to"))).select("w", "to")
-    rows = close.limit(5001).collect()  # distinct misspellings of one word
-    if len(rows) > 5000:
-        raise ValueError("more than 5000 misspellings")
-    fixed = replace_phrases(F.col(text_col), {r["w"]: r["to"] for r in rows}) if rows else F.col(text_col)
-    return texts.withColumn(text_col, fixed)
+    to = close.select(F.col("w").alias("phrase"), F.col("to").alias("replacement"), F.lit(True).alias("whole"))
+    return replace_phrases(texts, to, key, text_col)

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessitura.operators import clean, sentences
+from tessitura.operators import clean, phrases, sentences
 
 from .fixtures import EV, SEG, SENT, events, paragraphs, segments, suffixed, with_suffix
 from .registry import query, table
 
-#: A dimension that a query folds into expressions has at most so many rows.
-MAX_PHRASES = 5000
 
 
 def _rule(name, suffix, rule, sql=None):
@@ -84,12 +82,9 @@ _rule("x16_continuation", "", lambda c: clean.lower_continuation(c, ("the", "tha
 
 
 def _phrases(spark, sf_dir):
-    """The first three words of each benchmark text."""
-    p = table(spark, sf_dir, "benchmark").select(F.array_join(F.slice(F.split("text", " "), 1, 3), " ").alias("p")).where("length(p) > 6").distinct()
-    rows = p.orderBy("p").limit(MAX_PHRASES + 1).collect()
-    if len(rows) > MAX_PHRASES:
-        raise ValueError(f"more than {MAX_PHRASES} phrases")
-    return [r["p"] for r in rows]
+    """The first three words of each benchmark text, in the order of their letters."""
+    p = table(spark, sf_dir, "benchmark").select(F.array_join(F.slice(F.split("text", " "), 1, 3), " ").alias("phrase")).where("length(phrase) > 6").distinct()
+    return p.withColumn("replacement", F.upper("phrase")).withColumn("ord", F.lit(0))
 
 
 PHRASES = "ph AS (SELECT DISTINCT p FROM (SELECT array_to_string(string_split(text, ' ')[1:3], ' ') AS p FROM benchmark) WHERE length(p) > 6)"
@@ -97,13 +92,12 @@ PHRASES = "ph AS (SELECT DISTINCT p FROM (SELECT array_to_string(string_split(te
 
 @query("x5_vocabulary", f"WITH {PHRASES}, l AS (SELECT list(p ORDER BY p) AS ps FROM ph) SELECT doc_id, list_reduce(list_concat([text], ps), lambda a, p: regexp_replace(a, '(?i)' || p, upper(p), 'g')) AS text FROM documents, l")
 def x5_vocabulary(spark, sf_dir):
-    to = {p: p.upper() for p in _phrases(spark, sf_dir)}
-    return table(spark, sf_dir, "documents").select("doc_id", clean.replace_phrases(F.col("text"), to).alias("text"))
+    return phrases.replace_phrases(table(spark, sf_dir, "documents").select("doc_id", "text"), _phrases(spark, sf_dir), "doc_id")
 
 
 @query("x13_titles", f"WITH {PHRASES} SELECT p AS phrase, coalesce(sum(len(regexp_extract_all(text, '(?i)' || p))), 0)::BIGINT AS hits, count(*) FILTER (regexp_matches(text, '(?i)' || p))::BIGINT AS texts FROM ph, documents GROUP BY p")
 def x13_titles(spark, sf_dir):
-    return clean.count_hits(table(spark, sf_dir, "documents"), "text", _phrases(spark, sf_dir))
+    return phrases.count_phrases(table(spark, sf_dir, "documents"), _phrases(spark, sf_dir), "doc_id")
 
 
 @query(
