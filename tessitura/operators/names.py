@@ -29,7 +29,6 @@ def ratcliff_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-
 def ratio_bound(a: Column, b: Column) -> Column:
     """At least the ratio, from lengths alone."""
     return 2 * F.least(F.length(a), F.length(b)) / (F.length(a) + F.length(b))
@@ -60,23 +59,76 @@ def _rare_letters(c: Column, least: float) -> Column:
     return F.slice(letters, F.lit(1), (n - F.ceil(least / (2 - least) * n - 1e-9) + 1).cast("int"))
 
 
-def similarity_join(left: DataFrame, right: DataFrame, a: str, b: str, least: float, on: Sequence[str] = ()) -> DataFrame:
-    """Distinct pairs (a, b, ratio) with a ratio of at least so much, each scored once. Nulls and empty texts pair with none.
+def _shared_pairs(n: Column, m: Column, least: float) -> Column:
+    """So many pairs of neighbouring letters, at least, are matched between words of n and m letters that reach the ratio.
 
-    Lossless: a ratio r of lengths la and lb takes r * (la + lb) / 2 letters in common, so that the pair shares one of the
-    rare letters of each (prefix filtering). That letter and the length are the join's key, with the columns in on. What
-    the bounds of lengths and letters leave is written before it is scored: the optimizer would move the scoring below
-    the distinct.
+    k matching letters stand in blocks between which one letter or more of either word is left over, so in n + m - 2k + 1
+    blocks at most, and a block of b letters has b - 1 such pairs.
     """
-    lw = left.select(a, *on).distinct().withColumn("_la", F.length(a)).where("_la > 0")
-    rw = right.select(b, *on).distinct().withColumn("_lb", F.length(b)).where("_lb > 0")
+    return (3 * F.ceil(least * (n + m) / 2 - 1e-9) - n - m - 1).cast("int")
+
+
+def _other_lengths(n: Column, least: float) -> Column:
+    """The lengths that can reach the ratio with n letters."""
     low, high = least / (2 - least), (2 - least) / least
+    return F.sequence(F.greatest(F.ceil(n * low - 1e-9), F.lit(1)).cast("int"), F.floor(n * high + 1e-9).cast("int"))
+
+
+def _rare_pairs(c: Column, needed: Column) -> Column:
+    """A word's pairs of neighbouring letters with their places, from rare to common, without the last ones: of needed
+    matched pairs, one is among these."""
+    n = F.length(c)
+    place = lambda i: F.instr(F.lit(RARITY), F.substring(c, i, F.lit(1)))
+    each = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.struct((place(i) + place(i + 1)).alias("common"), F.substring(c, i, F.lit(2)).alias("x"), i.alias("at")))
+    return F.slice(F.array_sort(each), F.lit(1), (n - needed).cast("int"))
+
+
+def _by_letters(lw: DataFrame, rw: DataFrame, a: str, b: str, least: float, on: Sequence[str]) -> DataFrame:
+    """Pairs that share a rare letter and a length that can reach the ratio."""
     lw = lw.withColumn("_x", F.explode(_rare_letters(F.col(a), least))).withColumn("_n", F.col("_la"))
     rw = rw.withColumn("_x", F.explode(_rare_letters(F.col(b), least)))  # the shorter list on the right is cheaper: it takes all lengths
-    rw = rw.withColumn("_n", F.explode(F.sequence(F.ceil(F.col("_lb") * low - 1e-9).cast("int"), F.floor(F.col("_lb") * high + 1e-9).cast("int"))))
-    pairs = lw.hint("merge").join(rw.hint("merge"), ["_x", "_n", *on]).where(ratio_bound(F.col(a), F.col(b)) >= least - 1e-9).select(a, b).distinct()
-    bounded = written(pairs.where(multiset_bound(F.col(a), F.col(b)) >= least - 1e-9), "pairs")
-    return bounded.withColumn("ratio", ratcliff_ratio(a, b)).where(F.col("ratio") >= least)
+    rw = rw.withColumn("_n", F.explode(_other_lengths(F.col("_lb"), least)))
+    return lw.hint("merge").join(rw.hint("merge"), ["_x", "_n", *on]).where(ratio_bound(F.col(a), F.col(b)) >= least - 1e-9).select(a, b)
+
+
+def _by_pairs(lw: DataFrame, rw: DataFrame, a: str, b: str, least: float, on: Sequence[str]) -> DataFrame:
+    """Pairs that share a rare pair of neighbouring letters, at places that differ by no more than the letters left over
+    before it. Both words' lengths are known on the right, so it takes just the pairs and places that can match."""
+    lw = lw.withColumn("_s", F.explode(_rare_pairs(F.col(a), F.col("_needed")))).select(a, *on, F.col("_la").alias("_n"), F.col("_s.x").alias("_x"), F.col("_s.at").alias("_at"))
+    rw = rw.withColumn("_n", F.explode(_other_lengths(F.col("_lb"), least))).withColumn("_k", F.ceil(least * (F.col("_n") + F.col("_lb")) / 2 - 1e-9).cast("int"))
+    rw = rw.where(F.col("_k") <= F.least("_n", "_lb")).withColumn("_s", F.explode(_rare_pairs(F.col(b), _shared_pairs(F.col("_n"), F.col("_lb"), least))))
+    first, last = F.greatest(F.col("_s.at") - (F.col("_lb") - F.col("_k")), F.lit(1)), F.least(F.col("_s.at") + (F.col("_n") - F.col("_k")), F.col("_n") - 1)
+    rw = rw.where(first <= last).select(b, *on, "_n", F.col("_s.x").alias("_x"), F.explode(F.sequence(first, last)).alias("_at"))
+    return lw.hint("merge").join(rw.hint("merge"), ["_x", "_n", "_at", *on]).select(a, b)
+
+
+def similar_candidates(left: DataFrame, right: DataFrame, a: str, b: str, least: float, on: Sequence[str] = ()) -> DataFrame:
+    """The distinct pairs (a, b) that bounds by lengths, places and letters leave of those that may reach the ratio, written.
+
+    Lossless. Where words of a length must share a pair of neighbouring letters with all that reach the ratio, the rare
+    ones of their pairs, with length and place, are the join's key (positional prefix filtering). Where they need not (short
+    words, low ratios), a rare letter and the length are.
+    """
+    lw = left.select(a, *on).distinct().withColumn("_la", F.length(a)).where("_la > 0")
+    rw = right.select(b, *on).distinct().withColumn("_lb", F.length(b)).where("_lb > 0")
+
+    def needed(n: Column) -> Column:
+        return F.array_min(F.transform(F.filter(_other_lengths(n, least), lambda m: F.ceil(least * (n + m) / 2 - 1e-9) <= F.least(n, m)), lambda m: _shared_pairs(n, m, least)))
+
+    lw = lw.withColumn("_needed", needed(F.col("_la")))
+    rw = rw.withColumn("_needed", needed(F.col("_lb")))
+    long_l, long_r = lw.where("_needed > 0"), rw.where("_needed > 0")
+    short_l, short_r = lw.where("_needed <= 0"), rw.where("_needed <= 0")
+    found = _by_pairs(long_l, long_r, a, b, least, on).union(_by_letters(short_l, rw, a, b, least, on)).union(_by_letters(long_l, short_r, a, b, least, on))
+    return written(found.distinct().where(multiset_bound(F.col(a), F.col(b)) >= least - 1e-9), "pairs")
+
+
+def similarity_join(left: DataFrame, right: DataFrame, a: str, b: str, least: float, on: Sequence[str] = ()) -> DataFrame:
+    """Distinct pairs (a, b, ratio) with a ratio of at least so much, each scored once. Nulls and empty texts pair with none.
+
+    What similar_candidates leaves is written before it is scored: the optimizer would move the scoring below the distinct.
+    """
+    return similar_candidates(left, right, a, b, least, on).withColumn("ratio", ratcliff_ratio(a, b)).where(F.col("ratio") >= least)
 
 
 def person_key(c: Column) -> Column:

@@ -120,3 +120,26 @@ def test_similarity_join_loses_no_pair(spark):
     for least in (0.5, 0.72, 0.85, 1.0):
         want = {(x, y) for x in set(made[::2]) for y in set(made[1::2]) if x and y and difflib.SequenceMatcher(None, x, y).ratio() >= least}
         assert {(r.a, r.b) for r in names.similarity_join(a, b, "a", "b", least).collect()} == want
+
+
+def test_similarity_join_of_longer_words(spark):
+    """Words of up to 30 letters and misspellings of them, by keys of letter pairs, against all pairs."""
+    import difflib
+    import random
+
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 30))) for _ in range(40)]
+
+    def misspelt(w):
+        for _ in range(rng.randint(0, 4)):
+            i = rng.randrange(len(w))
+            w = rng.choice([w[:i] + w[i + 1 :], w[:i] + rng.choice("abcdefgh") + w[i:], w[:i] + rng.choice("abcdefgh") + w[i + 1 :], w[i:] + w[:i]])
+        return w
+
+    other = [misspelt(w) for w in base for _ in range(6) if w]
+    a, b = (spark.createDataFrame([(x,) for x in words], f"{c} string") for c, words in (("a", base), ("b", other)))
+    for least in (0.78, 0.8, 0.9):
+        want = {(x, y) for x in set(base) for y in set(other) if x and y and difflib.SequenceMatcher(None, x, y).ratio() >= least}
+        got = names.similarity_join(a, b, "a", "b", least)
+        assert {(r.a, r.b) for r in got.collect()} == want
+        assert names.similar_candidates(a, b, "a", "b", least).count() <= 5 * len(want)
