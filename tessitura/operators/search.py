@@ -1,8 +1,7 @@
-"""Search: postings, queries, sentences around hits, facets and ranking."""
+"""Search: queries, sentences around hits, facets and snippets."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,12 +13,6 @@ from tessitura.functions.strings import java_quoted
 FILLERS = ("the", "a", "an", "of", "and", "or", "in", "on", "to", "for", "with", "about", "what", "who", "is", "are", "was", "did", "does")
 
 
-def postings(texts: DataFrame, keys: Sequence[str], text_col: str = "text") -> DataFrame:
-    """(keys, pos, term): an inverted index's rows; write them by a hash of the term to make lookups read one part."""
-    terms = F.regexp_extract_all(F.lower(text_col), F.lit(r"(?U)[\w']+"), F.lit(0))
-    return texts.select(*keys, F.posexplode(terms).alias("pos", "term"))
-
-
 def parse_query(text: str) -> list[list[str]]:
     """Phrases to find: what is quoted, as typed; else each word but fillers, if others remain."""
     import re
@@ -30,25 +23,6 @@ def parse_query(text: str) -> list[list[str]]:
     return [p for p in phrases if p] + [[w] for w in (left or ([] if phrases else words))]
 
 
-def find_all(index: DataFrame, key: str, query: str) -> DataFrame:
-    """(key, hits): the texts that hold every word and phrase of a query, and how often."""
-    wanted = parse_query(query)
-    if not wanted:
-        return index.select(key, F.lit(0).cast("long").alias("hits")).limit(0)
-    terms = sorted({w for p in wanted for w in p})
-    rows = index.where(F.col("term").isin(*terms))
-    w = Window.partitionBy(key).orderBy("pos")
-    starts = []
-    for n, phrase in enumerate(wanted):
-        here = F.col("term") == phrase[0]
-        for k, word in enumerate(phrase[1:], 1):
-            here = here & (F.lead("term", k).over(w) == word) & (F.lead("pos", k).over(w) == F.col("pos") + k)
-        starts.append(F.when(here, F.lit(n)))
-    marked = rows.select(key, *[c.alias(f"s{n}") for n, c in enumerate(starts)])
-    hit = marked.select(key, F.explode(F.array_compact(F.array(*[f"s{n}" for n in range(len(starts))]))).alias("n"))
-    return hit.groupBy(key).agg(F.count_distinct("n").alias("d"), F.count("*").alias("hits")).where(F.col("d") == len(wanted)).select(key, "hits")
-
-
 def sentences_with(sents: DataFrame, terms: Sequence[str], text_col: str = "sentence") -> DataFrame:
     """Sentences that hold every term as whole words, in any case."""
     for t in terms:
@@ -68,19 +42,6 @@ def facets(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     return rows.select(F.explode(listed).alias("f")).where("f.value is not null and f.value <> ''").groupBy("f.facet", "f.value").agg(F.count("*").alias("n"))
 
 
-def bm25(index: DataFrame, key: str, query: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(key, score) of texts that hold a word of the query. Lengths, counts and document frequencies come from one pass."""
-    terms = sorted({w for p in parse_query(query) for w in p})
-    per = index.groupBy(key).agg(F.count("*").alias("len"), *[F.count_if(F.col("term") == t).alias(f"tf{i}") for i, t in enumerate(terms)])
-    whole = per.agg(F.count("*").alias("n"), F.avg("len").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))]).first()
-    score = F.lit(0.0)
-    for i in range(len(terms)):
-        idf = math.log(1 + (whole["n"] - whole[f"df{i}"] + 0.5) / (whole[f"df{i}"] + 0.5))
-        tf = F.col(f"tf{i}")
-        score = score + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("len") / (whole["mean"] or 1.0)))
-    return per.select(key, score.alias("score")).where("score > 0")
-
-
 def snippet(c: Column, name: str, around: int = 60) -> Column:
     """What stands around a name's first mention, cut at words; null without one."""
     at = F.regexp_instr(c, F.lit(rf"(?iU)\b{java_quoted(name)}\b"))

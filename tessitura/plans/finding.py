@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessitura.operators import links, names, search, sentences
+from tessitura.functions.tables import shared_dir
+from tessitura.operators import links, names, search, sentences, text_index
 
 from .fixtures import SENT, paragraphs
 from .registry import query, table
@@ -95,12 +96,12 @@ TERM = r"post AS (SELECT doc_id, unnest(ws) AS term, unnest(range(len(ws))) AS p
 
 
 def _index(spark, sf_dir):
-    return search.postings(table(spark, sf_dir, "documents"), ["doc_id"])
+    return text_index.stored_index(spark, shared_dir(spark), table(spark, sf_dir, "documents"), "doc_id")
 
 
 @query("q1_find_all", f"WITH {TERM}, b AS (SELECT doc_id, term, lead(term) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM post), c AS (SELECT doc_id, count(*) FILTER (term = 'of' AND nxt = 'the') AS a, count(*) FILTER (term = 'and') AS x, count(*) FILTER (term = 'this') AS y FROM b GROUP BY doc_id) SELECT doc_id, (a + y)::BIGINT AS hits FROM c WHERE a > 0 AND y > 0")
 def q1_find_all(spark, sf_dir):
-    return search.find_all(_index(spark, sf_dir), "doc_id", 'this and "of the"')
+    return _index(spark, sf_dir).find_all('this and "of the"')
 
 
 @query("q2_sentences", rf"WITH {SENT} SELECT slug, seg, para::INT AS para, sent::INT AS sent, sentence FROM sent WHERE regexp_matches(sentence, '(?i)(^|[^\p{{L}}\p{{M}}\p{{N}}_''])the($|[^\p{{L}}\p{{M}}\p{{N}}_''])') AND regexp_matches(sentence, '(?i)(^|[^\p{{L}}\p{{M}}\p{{N}}_''])of($|[^\p{{L}}\p{{M}}\p{{N}}_''])')")
@@ -136,7 +137,7 @@ def q6_newest(spark, sf_dir):
 SELECT doc_id, round(10000 * (ln(1 + (n - da + 0.5) / (da + 0.5)) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * len / m)) + ln(1 + (n - db + 0.5) / (db + 0.5)) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * len / m))))::BIGINT AS score FROM d, w WHERE a > 0 OR b > 0""",
 )
 def q6_relevance(spark, sf_dir):
-    return search.bm25(_index(spark, sf_dir), "doc_id", "thing eau").select("doc_id", F.round(F.col("score") * 10000).cast("long").alias("score"))
+    return _index(spark, sf_dir).bm25("thing eau").select("doc_id", F.round(F.col("score") * 10000).cast("long").alias("score"))
 
 
 @query("q7_snippets", "SELECT doc_id, 'word Ann Lee said more and' AS snippet FROM documents WHERE length(text) > 40")
