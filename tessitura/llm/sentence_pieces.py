@@ -6,8 +6,8 @@ What is no piece then goes out as the bytes of its UTF-8.
 
 Space (written as the mark U+2581) opens the pieces that hold one, so no join reaches over a mark that follows another
 character, nor over an ASCII character that no piece holds: a text is cut there, and a worker remembers the ids of the short
-cuts that it has met. With a vocabulary that has inner marks a text is one cut. The agenda is a heap, so that a cut of
-n characters takes n log n steps.
+cuts that it has met. With a vocabulary that has inner marks a text is one cut. For long cuts the agenda is a
+heap, so that n characters take n log n steps.
 
 The texts of each Arrow batch are also encoded and decoded by the sentencepiece library. Where it disagrees, its
 results are returned, and the column agrees says so.
@@ -22,7 +22,7 @@ import itertools
 import operator
 import re
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +32,9 @@ from .common import texts
 
 MARK = "▁"
 #: Cuts that a worker remembers (up to twice as many), and the longest of them in characters.
-REMEMBERED, LONGEST = 1 << 17, 48
+REMEMBERED, LONGEST = 1 << 19, 48
+#: Characters up to which the agenda is a plain list.
+SHORT = 32
 #: Texts, and about so many bytes of them, that go to the library at a time.
 CHECKED, CHECKED_BYTES = 256, 1 << 20
 
@@ -44,26 +46,20 @@ codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
 
 
 class _Packed(dict):
-    """The packed ids of cuts, made when first asked for. Those of short cuts are remembered until twice so many others have come."""
+    """Packed ids by text, made when first asked for. Those of short texts are remembered until twice so many others have come."""
 
-    def __init__(self, model: PieceModel):
-        self.model, self.older = model, {}
+    def __init__(self, made: Callable[[str], bytes]):
+        self.made, self.older = made, {}
 
-    def __missing__(self, cut: str) -> bytes:
-        found = self.older.get(cut)
+    def __missing__(self, text: str) -> bytes:
+        found = self.older.get(text)
         if found is None:
-            # Nothing is joined over two neighbours that no piece holds.
-            pairs = self.model.pairs
-            starts = [0, *[i for i, pair in enumerate(map(operator.add, cut, cut[1:]), 1) if pair not in pairs], len(cut)]
-            if len(starts) > 2:
-                found = b"".join([self[cut[x:y]] for x, y in itertools.pairwise(starts)])
-            else:
-                found = array("I", self.model.ids_of(cut)).tobytes()
-        if len(cut) <= LONGEST:
+            found = self.made(text)
+        if len(text) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.older = dict(self)
                 self.clear()
-            self[cut] = found
+            self[text] = found
         return found
 
 
@@ -92,18 +88,44 @@ class PieceModel:
         self.no_mark = {*self.byte_ids.values(), self.unknown}
         self.pairs = {pair for piece in self.ids for pair in map(operator.add, piece, piece[1:])}
         letters = {c for piece in self.ids for c in piece}
-        apart = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in letters | {" "})
+        plain_ascii = {chr(c) for c in range(128)} - {" "}
+        apart = plain_ascii - letters
+        # Signs that no piece has after a letter or digit: a text is cut there, too.
+        signs = {c for c in plain_ascii - apart if not c.isalnum()} - {y for x, y in self.pairs if x.isalnum()}
+        a, e = ("".join(map(re.escape, sorted(chars))) for chars in (apart, signs))
         inner = any(MARK in piece.lstrip(MARK) for piece in self.ids)
-        word = f"{MARK}+[^{MARK}{apart}]*|[^{MARK}{apart}]+" + f"|[{apart}]+" * bool(apart)
-        self.cuts = None if inner else re.compile(word).findall
-        self.packed = _Packed(self)
+        rest = f"(?:[^{MARK}{a}{e}]+" + rf"|(?<![^\W_])[{e}]+" * bool(e) + ")*"
+        kinds = [f"{MARK}+{rest}", f"[{e}]{rest}" * bool(e), f"[^{MARK}{a}{e}]{rest}", f"[{a}]+" * bool(a)]
+        self.cuts = None if inner else re.compile("|".join(filter(None, kinds))).findall
+        self.packed = _Packed(self._pack)
+        self.words = _Packed(self._pack_word)
 
     def joined(self, symbols: str) -> list[str]:
-        """The pieces that the agenda leaves of some characters.
-
-        A key is a pair's rank by score and its left place in one number; due has the present key of the pair that
-        starts at each place, so that a key which is no longer due is passed over.
-        """
+        """The pieces that the agenda leaves of some characters: of the pairs whose text is a piece the one with the best
+        rank by score, the leftmost of equals, is joined first."""
+        return self._joined_short(symbols) if len(symbols) <= SHORT else self._joined_long(symbols)
+
+    def _joined_short(self, symbols: str) -> list[str]:
+        """The agenda as a list of each pair's rank, which is searched anew each time: for few pairs less work than a heap."""
+        rank, piece = self.rank.get, list(symbols)
+        due = list(map(rank, map(operator.add, symbols, symbols[1:]), itertools.repeat(NEVER)))
+        while due:
+            best = min(due)
+            if best == NEVER:
+                break
+            left = due.index(best)
+            both = piece[left] + piece.pop(left + 1)
+            piece[left] = both
+            del due[left]
+            if left < len(due):
+                due[left] = rank(both + piece[left + 1], NEVER)
+            if left:
+                due[left - 1] = rank(piece[left - 1] + both, NEVER)
+        return piece
+
+    def _joined_long(self, symbols: str) -> list[str]:
+        """The agenda as a heap. A key is a pair's rank and its left place in one number; due has the present key of the
+        pair that starts at each place, so that a key which is no longer due is passed over."""
         rank, n = self.rank.get, len(symbols)
         piece, before, after = list(symbols), list(range(-1, n - 1)), list(range(1, n + 1))
         due = [rank(both, NEVER) + i for i, both in enumerate(map(operator.add, symbols, symbols[1:]))]
@@ -132,34 +154,57 @@ class PieceModel:
                     heapq.heappush(agenda, key)
         return list(filter(None, piece))
 
-    def ids_of(self, cut: str) -> list[int]:
+    def ids_of(self, cut: str) -> array:
         """The ids of a cut; bytes, or where the vocabulary has none the unknown id, for what is no piece."""
-        found: list[int] = []
-        for p in self.joined(cut):
+        pieces = self.joined(cut)
+        try:
+            return array("I", map(self.ids.__getitem__, pieces))
+        except KeyError:
+            pass
+        found = array("I")
+        for p in pieces:
             i = self.ids.get(p)
             if i is not None:
                 found.append(i)
             elif self.byte_ids:
-                found += [self.byte_ids[b] for b in p.encode()]
+                found.extend([self.byte_ids[b] for b in p.encode()])
             elif not found or found[-1] != self.unknown:  # a run of unknown characters is one id
                 found.append(self.unknown)
         return found
 
+    def _pack(self, cut: str) -> bytes:
+        if self.pairs.issuperset(map(operator.add, cut, cut[1:])):
+            return self.ids_of(cut).tobytes()
+        # Nothing is joined over two neighbours that no piece holds.
+        starts = [0, *[i for i, pair in enumerate(map(operator.add, cut, cut[1:]), 1) if pair not in self.pairs], len(cut)]
+        return b"".join([self.packed[cut[x:y]] for x, y in itertools.pairwise(starts)])
+
+    def _pack_word(self, word: str) -> bytes:
+        """What stands between two single spaces, with a mark before it."""
+        cuts = self.cuts(MARK + word)
+        if len(cuts) == 1:
+            return self._pack(cuts[0])
+        return self.words[cuts[0][1:]] + b"".join(map(self.packed.__getitem__, cuts[1:]))
+
     def encode(self, text: str) -> array:
         """The ids of a text between the begin and end ids, as unsigned 32-bit integers."""
         ids = array("I", [self.bos])
-        if text:
-            marked = MARK + text.replace(" ", MARK)
-            ids.frombytes(b"".join(map(self.packed.__getitem__, [marked] if self.cuts is None else self.cuts(marked))))
+        if self.cuts is None:
+            ids.extend(self.ids_of(MARK + text.replace(" ", MARK)) if text else [])
+        elif "  " in text or text[:1] in ("", " ", MARK) or text[-1] == " " or MARK in text:
+            ids.frombytes(b"".join(map(self.packed.__getitem__, self.cuts(MARK + text.replace(" ", MARK)))) if text else b"")
+        else:
+            ids.frombytes(b"".join(map(self.words.__getitem__, text.split(" "))))
         ids.append(self.eos)
         return ids
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of some ids: begin and end ids are silent, and the mark that encoding put first goes."""
         parts, start = [], 0  # a silent id ends a run of bytes, too
-        for end in [*(at for at, i in enumerate(ids) if i in self.silent), len(ids)]:
+        ends = [] if self.silent.isdisjoint(ids[1:-1]) else [at for at, i in enumerate(ids[1:-1], 1) if i in self.silent]
+        for end in [*ends, len(ids)]:
             parts.append(b"".join(map(self.decoded.__getitem__, ids[start:end])).decode("utf-8", "each_byte"))
-            start = end + 1
+            start = end
         found = "".join(parts)
         if found.startswith(" ") and next(i for i in ids if i not in self.silent) not in self.no_mark:
             return found[1:]

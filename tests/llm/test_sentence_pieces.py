@@ -39,9 +39,12 @@ def test_agenda(model):
     """The best score first, then the leftmost; out-of-date pairs are passed over."""
     m = sp.PieceModel(PATH)
     m.rank = {"ab": 1 << 32, "bc": 0, "aa": 2 << 32, "aaaa": 3 << 32}
-    assert m.joined("abc") == ["a", "bc"] and m.joined("abab") == ["ab", "ab"]
-    assert m.joined("aaaaa") == ["aaaa", "a"] and m.joined("aaa") == ["aa", "a"]
-    assert m.joined("") == [] and m.joined("x") == ["x"]
+    for joined in (m._joined_short, m._joined_long):
+        assert joined("abc") == ["a", "bc"] and joined("abab") == ["ab", "ab"]
+        assert joined("aaaaa") == ["aaaa", "a"] and joined("aaa") == ["aa", "a"]
+        assert joined("") == [] and joined("x") == ["x"]
+    text = "themselves" * 40
+    assert model.joined(text) == model._joined_short(text) == model._joined_long(text)
 
 
 def test_whole_cut_gives_the_same(model):
@@ -56,9 +59,11 @@ def test_whole_cut_gives_the_same(model):
 def test_memory_is_bounded(model, monkeypatch):
     monkeypatch.setattr(sp, "REMEMBERED", 10)
     m = sp.PieceModel(PATH)
-    text = " ".join(f"word{i} other{i % 3}" for i in range(200)) + " " + "x" * 500
-    assert m.encode(text) == model.encode(text)
-    assert len(m.packed) <= 10 and len(m.packed.older) <= 10 and max(map(len, m.packed)) <= sp.LONGEST
+    for gap in (" ", "  "):
+        text = gap.join(f"word{i}, other{i % 3}" for i in range(200)) + gap + "x" * 500
+        assert m.encode(text).tolist() == m.library.encode(text, add_bos=True, add_eos=True)
+    for known in (m.packed, m.words):
+        assert len(known) <= 10 and len(known.older) <= 10 and max(map(len, known)) <= sp.LONGEST
 
 
 def test_query(spark, sf_dir):
