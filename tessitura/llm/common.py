@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,3 +61,23 @@ def texts(column: pa.Array) -> Iterator[bytes]:
 def crc32_id(col: Column) -> Column:
     """crc32 of an id written as decimal text."""
     return F.crc32(F.encode(col.cast("string"), "UTF-8"))
+
+
+def letting_go(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *forget: Callable[[], None]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run over a task's batches; at its end forget's functions are called and free memory goes back to the system.
+
+    Workers are used again: what a task leaves there adds up with the next stage's needs.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            for f in forget:  # by name: what is passed by value would be a copy of a worker's table
+                f()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library's, where it has one
+            if trim is not None:
+                trim(0)
+
+    return whole

@@ -15,13 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc32_id, texts
+from .common import crc32_id, letting_go, texts
 
 TOP = 400
 #: Code points whose n-grams are counted at a time, so that one long text takes bounded memory.
 BLOCK = 1 << 20
 #: Distinct n-grams that a training task holds for a language before it passes their counts on.
-HELD = 1 << 20
+HELD = 1 << 18
 MAX_LANGUAGES = 2000
 UNKNOWN = "und"
 #: A language's floor is this part of this quantile of its own rows' scores.
@@ -114,7 +114,7 @@ def train_profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
             yield out(lang)
 
     labelled = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    totals = labelled.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    totals = labelled.mapInArrow(letting_go(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     ranked = totals.withColumn("place", place).where(F.col("place") <= top)  # a filter that Spark turns into a limit for each language before the shuffle
     return ranked.select("lang", "gram", (F.col("place") - 1).alias("place"))
@@ -170,7 +170,7 @@ def predict_languages(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=["id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(predict, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(letting_go(predict), f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
 def is_held_out(id_col: str = "doc_id"):
@@ -214,4 +214,4 @@ def keep_known_languages(docs: DataFrame, id_col: str = "doc_id", lang_col: str
             found = (known.predict(t) for t in texts(b.column(at)))
             yield b.filter(pa.array([lang != UNKNOWN and score >= max(min_score, least.get(lang, 0.0)) for lang, score in found], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(letting_go(keep), docs.schema)
