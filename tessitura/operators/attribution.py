@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sentences import ABBREVIATIONS, SENTENCE_END
 from .timejoins import asof_last, runs
 
 # Hint sources whose agreement decides.
@@ -50,39 +51,6 @@ def roles_by_talk(turns: DataFrame, key: str = "slug", clear: float = 1.25) -> D
     return s.select(key, "voice", "seconds", role.alias("role"), ((F.col("_n") == 2) & (F.col("_max") >= clear * F.col("_min"))).alias("confirmed"))
 
 
-def _unit(c: Column) -> Column:
-    return F.transform(c, lambda x: x.cast("double"))
-
-
-def _norm(v: str) -> Column:
-    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
-
-
-def _dot(a: str, b: str) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-
-
-def voice_match(vectors: DataFrame, id_col: str, vector: str, label: str, threshold: float = 0.5, gap: float = 0.05, max_labels: int = 10_000) -> DataFrame:
-    """(id, best, similarity, matched): each vector against the other vectors' centroids, its own left out of its label's.
-    Matched if the best is over the threshold and clear of the second. A label with no other vector has no centroid.
-
-    There is a centroid a label: they are counted, and broadcast only up to max_labels.
-    """
-    v = vectors.select(id_col, label, _unit(F.col(vector)).alias("_v"))
-    v = v.withColumn("_len", _norm("_v")).where("_len > 0").select(id_col, label, F.transform("_v", lambda x: x / F.col("_len")).alias("_v"))
-    sums = v.select(label, F.posexplode("_v").alias("_i", "_x")).groupBy(label, "_i").agg(F.sum("_x").alias("_s"), F.count("*").alias("_n"))
-    c = sums.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_s"))), lambda x: x["_s"]).alias("_sum"), F.max("_n").alias("_n")).withColumnRenamed(label, "_label")
-    if c.count() > max_labels:
-        raise ValueError(f"more than {max_labels} labels")
-    own = F.col("_label").eqNullSafe(F.col(label))
-    pairs = v.join(F.broadcast(c))  # a stated set of centroids, max_labels at most, against all rows
-    pairs = pairs.where(~own | (F.col("_n") > 1)).withColumn("_c", F.when(own, F.zip_with("_sum", "_v", lambda s, x: s - x)).otherwise(F.col("_sum")))
-    sim = pairs.select(id_col, "_label", (_dot("_v", "_c") / _norm("_c")).alias("_s"))
-    ranked = sim.groupBy(id_col).agg(F.max(F.struct("_s", -F.col("_label"))).alias("_b"), F.sort_array(F.collect_list("_s"), False).alias("_all"))
-    second = F.coalesce(F.get("_all", F.lit(1)), F.lit(-1.0))
-    return ranked.select(id_col, (-F.col("_b.col2")).alias("best"), F.col("_b._s").alias("similarity"), ((F.col("_b._s") >= threshold) & (F.col("_b._s") - second >= gap)).alias("matched"))
-
-
 def by_priority(rows: DataFrame, key: str, source: str, order: Sequence[str]) -> DataFrame:
     """The rows of each key's best source; sources not in order come last."""
     place = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(s) for s in order]), F.col(source)), F.lit(0)), F.lit(len(order) + 1))
@@ -207,39 +175,88 @@ def tidy_captions(pieces: DataFrame, key: str, shortest: float = 1.0) -> DataFra
     return pieces.withColumn("end", F.least(end, F.coalesce(F.lead("start").over(w), end)))
 
 
+def _repeats(words: np.ndarray, longest: int) -> list[tuple[int, int, int, int]]:
+    """(n, first, last, repeats) of the loops in numbered words, -1 for no word: where some phrase repeats often enough, the
+    phrase that covers most, the shorter of equals; the search goes on after it."""
+    size = len(words)
+    best, phrase = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for n in range(1, min(longest, size - 1) + 1):
+        same = words[n:] == words[:-n]
+        stop = np.where(same, size, np.arange(size - n))
+        stop = np.minimum(np.minimum.accumulate(stop[::-1])[::-1], size - n)  # the first place from here on that does not repeat
+        times = 1 + (stop - np.arange(size - n)) // n
+        said = np.convolve(words >= 0, np.ones(n, np.int64))[n - 1 : size - 1] > 0
+        better = (times >= (8 if n <= 2 else 4)) & said & (times * n > best[: size - n])
+        best[: size - n][better], phrase[: size - n][better] = (times * n)[better], n
+    found, at = [], -1
+    for i in np.flatnonzero(best).tolist():
+        if i > at:
+            n, cover = int(phrase[i]), int(best[i])
+            at = i + cover - 1
+            found.append((n, i, at, cover // n))
+    return found
+
+
 def loop_spans(words: DataFrame, key: str = "slug", longest: int = 8) -> DataFrame:
-    """words(key, idx, word) to (key, n, first, last): a phrase of n words that repeats at once, 8 times for 1 or 2 words, 4
-    for 3 or more. Spans inside a longer one of the same place are left out."""
-    w = Window.partitionBy(key).orderBy("idx")
-    found = None
-    for n in range(1, longest + 1):
-        need = 8 if n <= 2 else 4
-        same = words.withColumn("_s", F.col("word") == F.lag("word", n).over(w))
-        r = runs(same, key, ["idx"], "_s").where("_s").groupBy(key, "run").agg(F.min("idx").alias("a"), F.max("idx").alias("last"), F.count("*").alias("c"))
-        span = r.where(F.col("c") >= n * (need - 1)).select(key, F.lit(n).alias("n"), (F.col("a") - n).alias("first"), "last")
-        found = span if found is None else found.union(span)
-    # Of spans that overlap, those that begin inside what came before are merged away.
-    o = Window.partitionBy(key).orderBy("first", F.desc("last"), "n").rowsBetween(Window.unboundedPreceding, -1)
-    return found.withColumn("_m", F.max("last").over(o)).where(F.col("_m").isNull() | (F.col("first") > F.col("_m"))).drop("_m")
+    """words(key, idx, word) to (key, n, first, last, repeats): a phrase of n words that repeats at once, 8 times or more for 1
+    or 2 words, 4 for 3 or more; first and last are idx of its words. Of phrases that begin at one word the one that covers
+    most, the shorter of equals, and none inside another. Empty words alone make no phrase. One recording is one group."""
+
+    def find(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("idx", kind="stable")
+        word = pdf["word"].fillna("")
+        numbers = np.where(word == "", -1, pd.factorize(word)[0])
+        idx = pdf["idx"].to_numpy()
+        rows = [(pdf[key].iloc[0], n, int(idx[a]), int(idx[b]), k) for n, a, b, k in _repeats(numbers, longest)]
+        return pd.DataFrame(rows, columns=[key, "n", "first", "last", "repeats"])
+
+    return words.select(key, "idx", "word").groupBy(key).applyInPandas(find, f"{key} {words.schema[key].dataType.simpleString()}, n int, first long, last long, repeats int")
+
+
+def repair_ranges(spans: DataFrame, words: DataFrame, key: str = "slug", pad: float = 12.0, near: float = 2.0) -> DataFrame:
+    """The stretches (key, start, end) to transcribe anew: spans of loops, from their first word's time to that of the word
+    after their last, padded, and joined where they lie near each other. words(key, idx, start)."""
+    w = words.select(F.col(key).alias("_k"), "idx", F.coalesce(F.lead("start").over(Window.partitionBy(key).orderBy("idx")), "start").alias("_end"), F.col("start").alias("_start"))
+    a = spans.join(w.select(F.col("_k").alias(key), F.col("idx").alias("first"), "_start").hint("merge"), [key, "first"]).join(w.select(F.col("_k").alias(key), F.col("idx").alias("last"), "_end").hint("merge"), [key, "last"])
+    a = a.select(key, F.greatest(F.col("_start") - pad, F.lit(0.0)).alias("start"), (F.col("_end") + pad).alias("end"))
+    o = Window.partitionBy(key).orderBy("start", "end")
+    before = F.max("end").over(o.rowsBetween(Window.unboundedPreceding, -1))
+    part = F.sum(F.when(F.col("start") <= before + near, 0).otherwise(1)).over(o)
+    return a.withColumn("_p", part).groupBy(key, "_p").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_p")
+
+
+def without_loops(words: DataFrame, key: str = "slug", longest: int = 8) -> DataFrame:
+    """words(key, idx, word, ...) less the loops that are there, as after a repair that left some."""
+    spans = loop_spans(words, key, longest).select(F.col(key).alias("_k"), F.explode(F.sequence("first", "last")).alias("_i"))
+    return words.join(spans.hint("merge"), (F.col(key) == F.col("_k")) & (F.col("idx") == F.col("_i")), "left_anti")
 
 
 def time_blocks(words: DataFrame, key: str = "slug", block: float = 180.0, slack: float = 90.0, pause: float = 0.8) -> DataFrame:
-    """words(key, t, idx) to (key, start): blocks of about so many seconds. A block ends at the first pause past its target,
-    within the slack, else at the first word past it; the next target counts from there. A fold over one recording."""
+    """words(key, t, idx, text) to (key, start): blocks of about so many seconds. A block starts at the first sentence start
+    within the slack past its target, else at the first pause there, else at the first word past the target; the next
+    target counts from there. A fold over one recording."""
 
     def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = pdf.sort_values(["t", "idx"])["t"].to_numpy()
-        starts, i = [t[0]], 0
+        pdf = pdf.sort_values(["t", "idx"])
+        t = pdf["t"].to_numpy()
+        text = pdf["text"].fillna("").str.strip()
+        ends = (text.str.contains(SENTENCE_END) & ~text.str.lower().isin(ABBREVIATIONS)).to_numpy()
+        sentences = np.flatnonzero(np.append(False, ends[:-1]))
+        rests = np.flatnonzero(np.append(False, np.diff(t) >= pause))
+        starts, i = [t[0]], 1
         while True:
-            i = int(np.searchsorted(t, starts[-1] + block))
+            i = max(i, int(np.searchsorted(t, starts[-1] + block)))
             if i >= len(t):
                 break
-            end = int(np.searchsorted(t, starts[-1] + block + slack, side="right"))
-            gaps = np.flatnonzero(np.diff(t[max(i - 1, 0) : end]) >= pause)
-            starts.append(t[i + int(gaps[0])] if len(gaps) and i else t[i])
+            last = int(np.searchsorted(t, starts[-1] + block + slack))
+            # A sentence start before a pause, whichever comes first.
+            found = [int(c[k]) for c in (sentences, rests) if (k := int(np.searchsorted(c, i))) < len(c) and c[k] < last]
+            at = found[0] if found else i
+            starts.append(t[at])
+            i = at + 1
         return pd.DataFrame({key: pdf[key].iloc[0], "start": starts})
 
-    return words.select(key, "t", "idx").groupBy(key).applyInPandas(cut, f"{key} {words.schema[key].dataType.simpleString()}, start double")
+    return words.select(key, "t", "idx", "text").groupBy(key).applyInPandas(cut, f"{key} {words.schema[key].dataType.simpleString()}, start double")
 
 
 def paragraph_words(words: DataFrame, key: str = "slug", soft: int = 300, most: int = 800, pause: float = 1.3) -> DataFrame:

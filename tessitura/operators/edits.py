@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .timejoins import interval_join
+
 from .names import ratcliff_ratio, ratio_bound
 
 
@@ -81,21 +83,44 @@ def pending_suggestions(suggestions: DataFrame, current: DataFrame, key: str) ->
     return j.select(*suggestions.columns, F.when(F.col("_k").isNull(), "stale").otherwise("ready").alias("state")).orderBy(F.desc("count"), "sid")
 
 
-def pick_clips(turns: DataFrame, key: str, least: float = 5.0, spacing: tuple[float, ...] = (300.0, 30.0, 20.0), most: int = 3) -> DataFrame:
-    """turns(key, voice, start, end) to (key, voice, start, end): up to so many long stretches, the longest first, spaced
-    apart; with a smaller spacing where too few are left. Greedy over the sorted lengths, in the row."""
-    long = turns.where(F.col("end") - F.col("start") >= least)
-    item = F.struct((F.col("start") - F.col("end")).alias("l"), F.col("start").alias("s"), F.col("end").alias("e"))
-    rows = long.groupBy(key, "voice").agg(F.array_sort(F.collect_list(item)).alias("a"))
-    kept = F.array().cast("array<struct<l:double,s:double,e:double>>")
-    for gap in spacing:
-        kept = F.aggregate("a", kept, _far_enough(gap, most))
-    return rows.select(key, "voice", F.explode(kept).alias("c")).select(key, "voice", F.col("c.s").alias("start"), F.col("c.e").alias("end"))
+CLIP = "struct<a:double,b:double>"
+# A clip's seconds, and for each tier the shortest turn, the lead, whether others may talk, and the spacing.
+CLIP_SECONDS, CLEAN = 9.0, 0.15
+TIERS = ((5.0, 0.4, False, 300.0), (5.0, 0.4, True, 30.0), (1.0, -0.3, True, 20.0))
 
 
-def _far_enough(gap: float, most: int):
-    def step(k: Column, x: Column) -> Column:
-        fits = (F.size(k) < most) & F.forall(k, lambda c: F.abs(c["s"] - x["s"]) > gap)
-        return F.when(fits, F.concat(k, F.array(x.cast("struct<l:double,s:double,e:double>")))).otherwise(k)
+def pick_clips(turns: DataFrame, key: str, most: int = 3, clip: float = CLIP_SECONDS, width: float = 30.0) -> DataFrame:
+    """turns(key, voice, start, end) to (key, voice, start, end): up to so many stretches in which a voice is heard alone, from
+    its longest turns on, the later of equals first.
 
-    return step
+    First clips of turns of 5 s or more, in which others talk 15 % at most, over 300 s apart; if they are too few, whoever
+    talks, over 30 s apart; if there is none at all, whole turns of 1 s or more, over 20 s apart. What others say in a clip is
+    an interval join; the choice is a fold over a voice's sorted turns, in the row.
+    """
+    t = turns.select(key, "voice", "start", "end", F.xxhash64("voice", "start", "end").alias("_id")).distinct()
+    length = F.col("end") - F.col("start")
+    own = t.where(length >= TIERS[0][0]).withColumn("a", F.col("start") + TIERS[0][1]).withColumn("b", F.least("end", F.col("start") + TIERS[0][1] + clip))
+    others = turns.select(key, F.col("voice").alias("o_voice"), F.col("start").alias("o_start"), F.col("end").alias("o_end"))
+    met = interval_join(own, others, key, width, ("a", "b"), ("o_start", "o_end")).where(~F.col("voice").eqNullSafe(F.col("o_voice")))
+    talk = met.groupBy(key, "_id").agg(F.sum(F.least("b", "o_end") - F.greatest("a", "o_start")).alias("talk"))
+    rows = t.join(talk.hint("merge"), [key, "_id"], "left").withColumn("_l", length)
+    item = F.struct((-F.col("_l")).alias("l"), (-F.col("start")).alias("s"), F.col("start").alias("start"), F.col("end").alias("end"), F.coalesce("talk", F.lit(0.0)).alias("talk"))
+    grouped = rows.groupBy(key, "voice").agg(F.array_sort(F.collect_list(item)).alias("turns"))  # one voice's turns in one recording
+
+    def chosen(kept: Column, least: float, lead: float, any_talk: bool, spacing: float) -> Column:
+        def step(k: Column, x: Column) -> Column:
+            if lead > 0:
+                a, b = x["start"] + lead, F.least(x["end"], x["start"] + lead + clip)
+            else:
+                a, b = F.greatest(x["start"] + lead, F.lit(0.0)), x["end"] - lead
+            fits = (F.size(k) < most) & (-x["l"] >= least) & F.forall(k, lambda c: F.abs(c["a"] - a) > spacing)
+            if not any_talk:
+                fits = fits & (x["talk"] <= CLEAN * (b - a))
+            return F.when(fits, F.concat(k, F.array(F.struct(a.alias("a"), b.alias("b")).cast(CLIP)))).otherwise(k)
+
+        return F.aggregate("turns", kept, step)
+
+    found = grouped.withColumn("k", chosen(F.array().cast(f"array<{CLIP}>"), *TIERS[0]))
+    found = found.withColumn("k", F.when(F.size("k") < most, chosen(F.col("k"), *TIERS[1])).otherwise(F.col("k")))
+    found = found.withColumn("k", F.when(F.size("k") == 0, chosen(F.col("k"), *TIERS[2])).otherwise(F.col("k")))
+    return found.select(key, "voice", F.explode("k").alias("c")).select(key, "voice", F.col("c.a").alias("start"), F.col("c.b").alias("end"))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tessitura.functions.strings import either, fold, seconds_of
 
+from .timejoins import interval_join
+
 MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
 LONG_DATE = rf"(?iU)\b(?:{'|'.join(MONTHS)})\s+\d{{1,2}}(?:st|nd|rd|th)?,?\s+\d{{4}}\b"
 SHORT_DATE = r"(?U)(?<![\d/.-])\d{1,2}[/.-]\d{1,2}[/.-](?:\d{4}|\d{2})(?![\d/.-])"
@@ -177,10 +179,33 @@ def is_name_list(c: Column) -> Column:
 
 
 def match_by_length(files: DataFrame, recordings: DataFrame, group: str, within: float = 0.15) -> DataFrame:
-    """files(group, file, seconds) to the recording of the group nearest in length, within a part of it; one file each."""
-    r = recordings.select(F.col(group).alias("_g"), "recording", F.col("seconds").alias("_s"))
-    pairs = files.join(r, F.col(group) == F.col("_g")).withColumn("gap", F.abs(F.col("seconds") - F.col("_s"))).where(F.col("gap") <= within * F.col("_s"))
-    return pairs.groupBy("recording").agg(F.min_by("file", F.struct("gap", "file")).alias("file"), F.min("gap").alias("gap"))
+    """files(group, file, seconds) to the recording of the group nearest in length, within a part of it: (recording, file,
+    gap); of equally near files the first. The nearest is the last one not longer or the first one not shorter: both sides
+    are sorted by length once each way, and no pairs are made."""
+    f = files.where("seconds is not null").groupBy(F.col(group).alias("_g"), F.col("seconds").cast("double").alias("_s")).agg(F.min("file").alias("file"))
+    r = recordings.where("seconds is not null").select(F.col(group).alias("_g"), F.col("seconds").cast("double").alias("_s"), "recording")
+    none = F.lit(None).cast(f.schema["file"].dataType)
+    both = f.select("_g", "_s", F.struct("_s", "file").alias("_f"), F.lit(None).cast(r.schema["recording"].dataType).alias("recording")).union(
+        r.select("_g", "_s", F.when(F.lit(False), F.struct("_s", none.alias("file"))), "recording")
+    )
+    # A file and a recording of one length meet either way: the file comes first in both orders.
+    up = Window.partitionBy("_g").orderBy("_s", F.col("_f").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy("_g").orderBy(F.desc("_s"), F.col("_f").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    near = both.withColumn("_a", F.last("_f", ignorenulls=True).over(up)).withColumn("_b", F.last("_f", ignorenulls=True).over(down)).where("_f is null")
+    side = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(f"{c}._s") - F.col("_s")).alias("gap"), F.col(f"{c}.file").alias("file")))
+    best = near.withColumn("_m", F.least(side("_a"), side("_b"))).where(F.col("_m.gap") <= within * F.col("_s"))
+    return best.groupBy("recording").agg(F.min("_m").alias("_m")).select("recording", "_m.file", "_m.gap")
+
+
+def match_by_preference(files: DataFrame, recordings: DataFrame, group: str, within: float = 0.01, plus: float = 2.0, width: float = 60.0) -> DataFrame:
+    """files(group, file, seconds, preference) to a recording of the group: (recording, file, preference); of the files whose
+    length is within a part of the recording's and some seconds, the one preferred most, then the first. Lengths are joined
+    as intervals, so that only those within reach meet."""
+    reach = within * F.col("seconds") + plus
+    r = recordings.where("seconds is not null").select(group, "recording", (F.col("seconds") - reach).alias("start"), (F.col("seconds") + reach).alias("end"))
+    f = files.where("seconds is not null").select(group, "file", "preference", F.col("seconds").alias("f_start"), F.col("seconds").alias("f_end"))
+    met = interval_join(r, f, group, width, ("start", "end"), ("f_start", "f_end"))
+    return met.groupBy("recording").agg(F.min(F.struct("preference", "file")).alias("m")).select("recording", "m.file", "m.preference")
 
 
 def select_recordings(rows: DataFrame, slug_col: str, wanted: Sequence[str]) -> DataFrame:

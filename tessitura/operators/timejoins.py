@@ -158,36 +158,95 @@ def runs(rows: DataFrame, key: str | Sequence[str], order: Sequence[str], value:
     return rows.withColumn("_new", new).withColumn(number, F.sum("_new").over(w)).drop("_new")
 
 
-
-
-def cue_match(cues: DataFrame, words: DataFrame, key: str, width: float) -> DataFrame:
-    """cues(key, cue, start, end, word) matched with words(key, t, word): (key, cue, n, matched), the share of a cue's distinct
-    words that are said in its time on the other clock."""
-    c = cues.select(key, "cue", "start", "end", F.col("word").alias("cw")).distinct()
-    w = words.select(key, F.col("t").alias("w_start"), F.col("t").alias("w_end"), "word")
-    said = interval_join(c, w, key, width, ("start", "end"), ("w_start", "w_end")).where("cw = word").select(key, "cue", "cw").distinct()
-    total = c.groupBy(key, "cue").agg(F.count_distinct("cw").alias("n"))
-    return total.join(said.groupBy(key, "cue").agg(F.count("*").alias("m")), [key, "cue"], "left").select(key, "cue", "n", F.coalesce("m", F.lit(0)).cast("long").alias("matched"))
-
-
-def find_cut(matches: DataFrame, key: str, inside: float = 0.35, outside: float = 0.45) -> DataFrame:
-    """(key, first, last, cut): in cues(key, cue, n, matched) the run whose removal leaves the best fit: the largest sum of
-    word-weighted mismatch less the mean, found by one pass; cut if it fits badly inside and well outside."""
+def words_found(cues: DataFrame, words: DataFrame, key: str, shift: Column, pad: float = 6.0, width: float = 60.0) -> DataFrame:
+    """(key, cue, found): of cues(key, cue, start, end, words), an array, how many words are said in words(key, t, word) in the
+    cue's time moved by shift, give or take pad seconds. Words that a cue repeats count each time."""
+    c = cues.select(key, "cue", (F.col("start") + shift - pad).alias("c_start"), (F.col("end") + shift + pad).alias("c_end"), F.explode("words").alias("cw"))
+    c = c.groupBy(key, "cue", "c_start", "c_end", "cw").agg(F.count("*").alias("times"))
+    w = words.select(F.col(key).alias("_key"), F.col("t"), F.col("word").alias("cw")).distinct().withColumn("_b", F.floor(F.col("t") / width))
+    c = c.withColumn("_b", F.explode(F.sequence(F.floor(F.col("c_start") / width), F.floor(F.col("c_end") / width))))
+    # A word is met by equality, in a bucket of time: a cue's words never meet all that is said near it.
+    on = (F.col(key) == F.col("_key")) & (c["cw"] == w["cw"]) & (c["_b"] == w["_b"]) & F.col("t").between(F.col("c_start"), F.col("c_end"))
+    said = c.hint("merge").join(w.hint("merge"), on, "left_semi").select(key, "cue", "cw", "times").distinct()
+    return said.groupBy(key, "cue").agg(F.sum("times").alias("found"))
+
+
+def _cheapest_run(start: np.ndarray, end: np.ndarray, n: np.ndarray, before: np.ndarray, after: np.ndarray, low: float, high: float) -> tuple[int, int] | None:
+    """First and last cue of the run that costs least among those of low to high seconds, the first of equals; cues are in
+    order of start. With sums from the left a run's cost is a part of its first cue plus a part of its last: for
+    each last cue the best first one lies in a range of starts, whose minimum a table of doubling steps gives."""
+    inside = np.maximum(before, after)
+    upto = lambda x: np.concatenate(([0], np.cumsum(x)))
+    s_before, s_in, s_after = upto(n - before), upto(inside), upto(n - after)
+    first, last = (s_before - s_in)[:-1], (s_in - s_after)[1:]
+    levels = [np.arange(len(n))]  # the place of the least, the first of equals, of 2^k from each place on
+    while 2 << (len(levels) - 1) <= len(n):
+        half = 1 << (len(levels) - 1)
+        a, b = levels[-1][: len(n) - 2 * half + 1], levels[-1][half : len(n) - half + 1]
+        levels.append(np.where(first[a] <= first[b], a, b))
+    best = None
+    lo = np.searchsorted(start, end - high - 1e-9)
+    hi = np.minimum(np.searchsorted(start, end - low + 1e-9, side="right"), np.arange(len(n)) + 1)
+    for at in np.flatnonzero(lo < hi).tolist():
+        k = int(hi[at] - lo[at]).bit_length() - 1
+        x, y = levels[k][lo[at]], levels[k][hi[at] - (1 << k)]
+        a = int(x if first[x] <= first[y] else y)
+        cost = (first[a] + last[at], a, at)
+        if best is None or cost < best:
+            best = cost
+    return None if best is None else best[1:]
+
+
+def find_cuts(cues: DataFrame, cuts: DataFrame, key: str, inside: float = 0.35, outside: float = 0.45, slack: tuple[float, float] = (0.25, 4.0)) -> DataFrame:
+    """(key, cut, first, last, start, end, inside, outside, status): for cuts(key, cut, z1, z2, delta), of delta seconds
+    between two anchors, the run of cues about as long (give or take a part and some seconds) that fits the other
+    recording least while the rest fits it best.
+
+    cues(key, cue, start, end, n, before, after) has, for each cue, its words and how many of them the other recording says
+    on the clock before the cut and on that after. ok if the run fits badly and the rest well, else review; null cues where
+    no run has the length. A cut's cues, between its anchors, are one group.
+    """
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("cue")
-        n, m = pdf["n"].to_numpy(float), pdf["matched"].to_numpy(float)
-        gain = (n - m) - n / 2
-        total = np.concatenate(([0.0], np.cumsum(gain)))
-        low = np.minimum.accumulate(total)
-        end = int(np.argmax(total[1:] - low[:-1])) + 1
-        start = int(np.argmin(total[:end]))
-        own = slice(start, end)
-        rest_n, rest_m = n.sum() - n[own].sum(), m.sum() - m[own].sum()
-        ok = m[own].sum() / max(n[own].sum(), 1) <= inside and rest_m / max(rest_n, 1) >= outside
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "first": [int(pdf["cue"].iloc[start])], "last": [int(pdf["cue"].iloc[end - 1])], "cut": [bool(ok)]})
-
-    return matches.groupBy(key).applyInPandas(search, f"{key} {matches.schema[key].dataType.simpleString()}, first long, last long, cut boolean")
+        pdf = pdf.sort_values(["start", "cue"], kind="stable")
+        start, end = pdf["start"].to_numpy(float), pdf["end"].to_numpy(float)
+        n, before, after = (pdf[c].to_numpy(np.int64) for c in ("n", "before", "after"))
+        delta = float(pdf["delta"].iloc[0])
+        run = _cheapest_run(start, end, n, before, after, delta * (1 - slack[0]) - slack[1], delta * (1 + slack[0]) + slack[1])
+        head = {key: [pdf[key].iloc[0]], "cut": [pdf["cut"].iloc[0]]}
+        if run is None:
+            return pd.DataFrame({**head, "first": [None], "last": [None], "start": [float(pdf["z1"].iloc[0])], "end": [float(pdf["z2"].iloc[0])], "inside": [None], "outside": [None], "status": ["review"]})
+        a, b = run[0], run[1] + 1
+        fits = np.maximum(before, after)[a:b].sum() / max(n[a:b].sum(), 1)
+        rest = (before[:a].sum() + after[b:].sum()) / max(n[:a].sum() + n[b:].sum(), 1)
+        ids = pdf["cue"].to_numpy()
+        ok = "ok" if fits <= inside and rest >= outside else "review"
+        return pd.DataFrame({**head, "first": [int(ids[a])], "last": [int(ids[b - 1])], "start": [start[a]], "end": [end[b - 1]], "inside": [fits], "outside": [rest], "status": [ok]})
+
+    of_cut = cuts.select(F.col(key).alias("_key"), "cut", "z1", "z2", "delta")
+    near = (F.col(key) == F.col("_key")) & (F.col("start") >= F.col("z1") - 2) & (F.col("end") <= F.col("z2") + 2)
+    rows = cues.hint("merge").join(of_cut.hint("merge"), near).select(key, "cut", "z1", "z2", "delta", "cue", "start", "end", "n", "before", "after")
+    schema = f"{key} {cues.schema[key].dataType.simpleString()}, cut {cuts.schema['cut'].dataType.simpleString()}, first long, last long, start double, end double, inside double, outside double, status string"
+    return rows.groupBy(key, "cut").applyInPandas(search, schema)
+
+
+def place_paragraphs(paragraphs: DataFrame, words: DataFrame, key: str, longest: int = 5, early: float = 8.0, late: float = 8.0, width: float = 60.0) -> DataFrame:
+    """(key, para, start, score): when each of paragraphs(key, para, text, block_start, block_end) is said: where most of
+    its first five words (all but one, and three at least) stand in a row at their places in words(key, idx, t, word), near its
+    block; the earliest of equals. Else the block's start, with a null score."""
+    first = F.slice(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9']+"), F.lit(0)), 1, longest)
+    p = paragraphs.select(key, "para", "block_start", first.alias("first"), (F.col("block_start") - early).alias("lo"), (F.greatest("block_end", F.col("block_start") + 5) + late).alias("hi"))
+    o = Window.partitionBy(key).orderBy("t", "idx")
+    ahead = F.array(*[F.struct(F.lead("word", k).over(o).alias("word"), F.lead("t", k).over(o).alias("t")) for k in range(longest)])
+    said = words.withColumn("ahead", ahead).select(key, F.col("idx").alias("w_idx"), F.col("t").alias("w_start"), F.col("t").alias("w_end"), "ahead")
+    met = interval_join(p.where(F.size("first") >= 3), said, key, width, ("lo", "hi"), ("w_start", "w_end"))
+    hits = F.zip_with("first", F.slice("ahead", F.lit(1), F.size("first")), lambda a, b: (a == b["word"]).cast("int"))
+    score = F.aggregate(hits, F.lit(0), lambda s, x: s + F.coalesce(x, F.lit(0)))
+    within = F.coalesce(F.get("ahead", F.size("first") - 1)["t"] <= F.col("hi"), F.lit(False))
+    good = met.where(within).withColumn("score", score).where(F.col("score") >= F.greatest(F.size("first") - 1, F.lit(3)))
+    best = good.groupBy(key, "para").agg(F.min(F.struct((-F.col("score")).alias("s"), "w_start", "w_idx")).alias("b"))
+    found = p.select(key, "para", "block_start").join(best.hint("merge"), [key, "para"], "left")
+    return found.select(key, "para", F.coalesce("b.w_start", "block_start").alias("start"), (-F.col("b.s")).alias("score"))
 
 
 def _deltas(left: DataFrame, right: DataFrame, key: str, gram: str, at: str, low: float, high: float) -> DataFrame:

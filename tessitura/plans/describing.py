@@ -134,6 +134,13 @@ def m18_match_by_length(spark, sf_dir):
     return m.match_by_length(f, r, "g").select("recording", "file", F.round(F.col("gap") * 100).cast("long").alias("gap_c"))
 
 
+@query("m18_preferred", "SELECT s_suppkey AS recording, arg_min(c_custkey, (c_custkey % 3, c_custkey)) AS file, min(c_custkey % 3)::BIGINT AS preference FROM supplier JOIN customer ON s_nationkey = c_nationkey AND abs(c_acctbal - s_acctbal) <= 0.01::DOUBLE * s_acctbal + 2 GROUP BY s_suppkey")
+def m18_preferred(spark, sf_dir):
+    f = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("g"), F.col("c_custkey").alias("file"), F.col("c_acctbal").alias("seconds"), (F.col("c_custkey") % 3).cast("long").alias("preference"))
+    r = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("g"), F.col("s_suppkey").alias("recording"), F.col("s_acctbal").alias("seconds"))
+    return m.match_by_preference(f, r, "g")
+
+
 @query("m19_headings", f"WITH {SEG}, p AS (SELECT slug, speaker, min(seg) AS f FROM seg WHERE speaker IS NOT NULL GROUP BY ALL) SELECT slug, string_agg(speaker, ', ' ORDER BY f) AS people, 'Talk ' || slug AS heading FROM p GROUP BY slug")
 def m19_headings(spark, sf_dir):
     p = segments(spark, sf_dir).where("speaker is not null").groupBy("slug", "speaker").agg(F.min("seg").alias("f"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessitura.functions.strings import words
 from tessitura.operators import attribution, edits, names, sentences, timejoins
 
 from .fixtures import EV, SEG, events, segments
@@ -90,13 +91,31 @@ def _words(spark, sf_dir):
     return sentences.spread_words(segments(spark, sf_dir).withColumn("end", F.col("start") + 25), ["slug", "seg"])
 
 
-@query("j6_cuts")
+J6 = f"""WITH {SEG}, x AS (SELECT slug, seg, start, regexp_extract_all(lower(text), '\\S+') AS ws FROM seg), v AS (SELECT slug, seg, start, len(ws) AS n, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM x),
+o AS (SELECT DISTINCT slug, w, start + 25::DOUBLE * i / n - CASE WHEN seg > 4 THEN 60 ELSE 0 END AS t FROM v WHERE seg NOT IN (3, 4)), cw AS (SELECT slug, seg, w, count(*) AS k FROM v GROUP BY ALL),
+k1 AS (SELECT slug, seg, sum(k) AS k1 FROM cw SEMI JOIN o ON cw.slug = o.slug AND cw.w = o.w AND o.t BETWEEN seg * 30 - 6 AND seg * 30 + 35 GROUP BY ALL),
+k2 AS (SELECT slug, seg, sum(k) AS k2 FROM cw SEMI JOIN o ON cw.slug = o.slug AND cw.w = o.w AND o.t BETWEEN seg * 30 - 66 AND seg * 30 - 25 GROUP BY ALL),
+c AS (SELECT slug, seg, greatest(len(ws), 1)::BIGINT AS n, coalesce(k1, 0)::BIGINT AS k1, coalesce(k2, 0)::BIGINT AS k2 FROM x LEFT JOIN k1 USING (slug, seg) LEFT JOIN k2 USING (slug, seg)),
+r AS (SELECT a.slug, a.seg AS a, b.seg AS b, sum(CASE WHEN c.seg < a.seg THEN c.n - c.k1 WHEN c.seg > b.seg THEN c.n - c.k2 ELSE greatest(c.k1, c.k2) END) AS cost,
+  sum(CASE WHEN c.seg BETWEEN a.seg AND b.seg THEN greatest(c.k1, c.k2) ELSE 0 END) / greatest(sum(CASE WHEN c.seg BETWEEN a.seg AND b.seg THEN c.n ELSE 0 END), 1) AS fits,
+  sum(CASE WHEN c.seg < a.seg THEN c.k1 WHEN c.seg > b.seg THEN c.k2 ELSE 0 END) / greatest(sum(CASE WHEN c.seg BETWEEN a.seg AND b.seg THEN 0 ELSE c.n END), 1) AS rest
+  FROM c a JOIN c b ON a.slug = b.slug AND b.seg * 30 + 29 - a.seg * 30 BETWEEN 41 AND 79 AND b.seg >= a.seg JOIN c ON c.slug = a.slug GROUP BY ALL),
+m AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY cost, a, b) AS place FROM r)
+SELECT z.slug, a AS first, b AS last, CASE WHEN fits <= 0.35 AND rest >= 0.45 THEN 'ok' ELSE 'review' END AS status FROM (SELECT DISTINCT slug FROM c) z LEFT JOIN m ON z.slug = m.slug AND place = 1"""
+
+
+@query("j6_cuts", J6)
 def j6_cuts(spark, sf_dir):
-    """Segments against the words of the same recording, from which the fourth and fifth segment are missing."""
-    w = _words(spark, sf_dir)
-    cues = w.select("slug", F.col("seg").alias("cue"), (F.col("seg") * 30.0).alias("start"), (F.col("seg") * 30.0 + 29).alias("end"), F.lower("token").alias("word"))
-    other = w.where("seg not in (3, 4)").select("slug", F.col("start").alias("t"), F.lower("token").alias("word"))
-    return timejoins.find_cut(timejoins.cue_match(cues, other, "slug", 30.0), "slug")
+    """Segments against the words of the same recording without the fourth and fifth segment: what follows comes 60 s earlier."""
+    cues = segments(spark, sf_dir).select("slug", F.col("seg").alias("cue"), "start", (F.col("start") + 29).alias("end"), words(F.lower("text")).alias("words"))
+    w = _words(spark, sf_dir).where("seg not in (3, 4)")
+    other = w.select("slug", (F.col("start") - F.when(F.col("seg") > 4, 60.0).otherwise(0.0)).alias("t"), F.lower("token").alias("word"))
+    counts = {"before": F.lit(0.0), "after": F.lit(-60.0)}
+    for name, shift in counts.items():
+        cues = cues.join(timejoins.words_found(cues.select("slug", "cue", "start", "end", "words"), other, "slug", shift).withColumnRenamed("found", name).hint("merge"), ["slug", "cue"], "left")
+    cues = cues.select("slug", "cue", "start", "end", F.greatest(F.size("words"), F.lit(1)).alias("n"), *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
+    cuts = cues.groupBy("slug").agg(F.lit(0).alias("cut"), F.lit(0.0).alias("z1"), F.max("end").alias("z2"), F.lit(60.0).alias("delta"))
+    return timejoins.find_cuts(cues, cuts, "slug").select("slug", "first", "last", "status")
 
 
 J9 = r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+') AS ws FROM documents), t AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM w),
@@ -209,10 +228,17 @@ def n11_notable_names(spark, sf_dir):
     return found.join(pairs.where("last <> known"), "last").join(known, ["first", "known"], "left_semi").select("first", "last", "known", "times").distinct()
 
 
-@query("w9_time_blocks")
+@query(
+    "w9_time_blocks",
+    f"""WITH RECURSIVE {EV}, e AS (SELECT slug, t, row_number() OVER o AS n, coalesce(lag(idx) OVER o % 7 = 0, false) AS sentence, coalesce(t - lag(t) OVER o >= 7200, false) AS rest FROM ev WINDOW o AS (PARTITION BY slug ORDER BY t, idx)),
+b(slug, n, t) AS (SELECT slug, n, t FROM e WHERE n = 1 UNION ALL SELECT e.slug, e.n, e.t FROM (SELECT b.slug, coalesce(min(e.n) FILTER (e.sentence AND e.t < b.t + 129600), min(e.n) FILTER (e.rest AND e.t < b.t + 129600), min(e.n)) AS n
+  FROM b JOIN e ON e.slug = b.slug AND e.n > b.n AND e.t >= b.t + 86400 GROUP BY b.slug, b.n) x JOIN e ON e.slug = x.slug AND e.n = x.n)
+SELECT slug, round(t * 100)::BIGINT AS start_cs FROM b""",
+)
 def w9_time_blocks(spark, sf_dir):
-    """Blocks of unattributed speech: a block ends at the first long pause past its target time."""
-    return attribution.time_blocks(events(spark, sf_dir).select("slug", "t", "idx"), block=86400.0, slack=43200.0, pause=7200.0).select("slug", F.round(F.col("start") * 100).cast("long").alias("start_cs"))
+    """Events as words, a day to a block; every seventh ends a sentence."""
+    w = events(spark, sf_dir).select("slug", "t", "idx", F.when(F.col("idx") % 7 == 0, "end.").otherwise("word").alias("text"))
+    return attribution.time_blocks(w, block=86400.0, slack=43200.0, pause=7200.0).select("slug", F.round(F.col("start") * 100).cast("long").alias("start_cs"))
 
 
 @query("w8_paragraphs")
@@ -221,11 +247,22 @@ def w8_paragraphs(spark, sf_dir):
     return attribution.paragraph_words(w.select("slug", "idx", "start", F.col("token").alias("text"))).select("slug", "para", F.round(F.col("start") * 100).cast("long").alias("start_cs"), "text")
 
 
-@query("w10_paragraph_times", f"WITH {SEG}, w AS (SELECT slug, seg, start, lower(regexp_extract(text, '^\\s*(\\S+)', 1)) AS f FROM seg) SELECT slug, seg, (start * 100)::BIGINT AS start_cs FROM w WHERE f <> ''")
+@query(
+    "w10_paragraph_times",
+    f"""WITH {SEG}, x AS (SELECT slug, seg, start, seg // 3 * 90::DOUBLE AS lo, regexp_extract_all(lower(text), '[a-z0-9'']+') AS ws FROM seg),
+v AS (SELECT slug, seg * 100000 + i AS idx, start + 25::DOUBLE * i / n AS t, w FROM (SELECT slug, seg, start, len(ws) AS n, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM x)),
+l AS (SELECT *, [w, lead(w) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o] AS a, [t, lead(t) OVER o, lead(t, 2) OVER o, lead(t, 3) OVER o, lead(t, 4) OVER o] AS ts FROM v WINDOW o AS (PARTITION BY slug ORDER BY t, idx)),
+p AS (SELECT slug, seg, lo, ws[1:5] AS f FROM x), m AS (SELECT p.slug, p.seg, l.t, idx, len(f) AS n, list_sum([CASE WHEN f[k] = a[k] THEN 1 ELSE 0 END FOR k IN range(1, len(f) + 1)]) AS score
+  FROM p JOIN l ON p.slug = l.slug AND l.t BETWEEN lo - 8 AND lo + 98 AND ts[len(f)] <= lo + 98 WHERE len(f) >= 3),
+g AS (SELECT slug, seg, arg_min(t, (-score, t, idx)) AS t, max(score) AS score FROM m WHERE score >= greatest(n - 1, 3) GROUP BY ALL)
+SELECT p.slug, p.seg, round(coalesce(t, lo) * 100)::BIGINT AS start_cs, score::INT AS score FROM p LEFT JOIN g USING (slug, seg)""",
+)
 def w10_paragraph_times(spark, sf_dir):
-    """A paragraph is where its first word is said, nearest to its block."""
-    w = _words(spark, sf_dir)
-    p = segments(spark, sf_dir).select("slug", F.col("seg").alias("p"), (F.col("start") - 1).alias("p_start"), (F.col("start") + 20).alias("p_end"), F.lower(F.regexp_extract("text", r"^\s*(\S+)", 1)).alias("f")).where("f <> ''")
-    said = w.select("slug", F.col("start").alias("w_start"), F.col("start").alias("w_end"), F.lower("token").alias("word"))
-    hit = timejoins.interval_join(p, said, "slug", 30.0, ("p_start", "p_end"), ("w_start", "w_end")).where("f = word")
-    return hit.groupBy("slug", F.col("p").alias("seg")).agg(F.round(F.min("w_start") * 100).cast("long").alias("start_cs"))
+    """Segments as paragraphs of blocks of three: each is found by its first words."""
+    s = segments(spark, sf_dir)
+    plain = F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9']+"), F.lit(0))
+    w = s.select("slug", "seg", "start", F.size(plain).alias("n"), F.posexplode(plain).alias("i", "word"))
+    w = w.select("slug", (F.col("seg") * 100000 + F.col("i")).alias("idx"), (F.col("start") + 25.0 * F.col("i") / F.col("n")).alias("t"), "word")
+    block = F.floor(F.col("seg") / 3) * 90.0
+    p = s.select("slug", F.col("seg").alias("para"), "text", block.alias("block_start"), (block + 90.0).alias("block_end"))
+    return timejoins.place_paragraphs(p, w, "slug").select("slug", F.col("para").alias("seg"), F.round(F.col("start") * 100).cast("long").alias("start_cs"), "score")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessitura.functions.strings import fold
-from tessitura.operators import name_fixes, names, sentences
+from tessitura.operators import name_fixes, names, people, sentences
 
 from .fixtures import SENT, paragraphs
 from .registry import query, table
@@ -169,10 +170,31 @@ def n20_name_cards(spark, sf_dir):
 @query("n21_contact_match", """WITH m AS (SELECT s_suppkey, c_custkey, CASE WHEN s_suppkey = c_custkey THEN 1 WHEN s_nationkey = c_nationkey AND floor(s_acctbal / 10) = floor(c_acctbal / 10) THEN 2 END AS tier FROM supplier JOIN customer ON s_suppkey = c_custkey OR s_nationkey = c_nationkey AND floor(s_acctbal / 10) = floor(c_acctbal / 10))
 SELECT s_suppkey, arg_min(c_custkey, (tier, c_custkey)) AS c_custkey, min(tier)::INT AS tier FROM m GROUP BY s_suppkey""")
 def n21_contact_match(spark, sf_dir):
-    s, c = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
-    exact = s.join(c, F.col("s_suppkey") == F.col("c_custkey")).select("s_suppkey", "c_custkey", F.lit(1).alias("tier"))
-    near = s.join(c, (F.col("s_nationkey") == F.col("c_nationkey")) & (F.floor(F.col("s_acctbal") / 10) == F.floor(F.col("c_acctbal") / 10))).select("s_suppkey", "c_custkey", F.lit(2).alias("tier"))
-    return exact.union(near).groupBy("s_suppkey").agg(F.min_by("c_custkey", F.struct("tier", "c_custkey")).alias("c_custkey"), F.min("tier").alias("tier"))
+    near = lambda c: F.floor(F.col(c) / 10)
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_suppkey").alias("number"), F.col("s_nationkey").alias("nation"), near("s_acctbal").alias("balance"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_custkey").alias("number"), F.col("c_nationkey").alias("nation"), near("c_acctbal").alias("balance"))
+    return people.match_by_tiers(s, c, "s_suppkey", "c_custkey", [["number"], ["nation", "balance"]])
+
+
+N21 = """WITH RECURSIVE p AS (SELECT 'c' || c_custkey AS id, c_custkey AS number, c_nationkey || ':' || floor(c_acctbal / 10)::BIGINT AS site, c_nationkey || '@' || c_custkey * 37 % 1009 AS handle, c_acctbal AS w, right(c_name, 2) AS surname, left(c_nationkey::VARCHAR, 1) AS initial FROM customer
+  UNION ALL SELECT 's' || s_suppkey, s_suppkey, s_nationkey || ':' || floor(s_acctbal / 10)::BIGINT, s_nationkey || '@' || s_suppkey * 37 % 1009, s_acctbal, right(s_name, 2), left(s_nationkey::VARCHAR, 1) FROM supplier),
+k AS (SELECT id, 'n' || number AS k FROM p UNION ALL SELECT id, 's' || site FROM p UNION ALL SELECT id, 'h' || handle FROM p), e AS (SELECT DISTINCT a.id AS a, b.id AS b FROM k a JOIN k b USING (k)),
+r(id, root) AS (SELECT id, id FROM p UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id), c AS (SELECT id, min(root) AS person FROM r GROUP BY id),
+q AS (SELECT p.*, person, first_value(id) OVER (PARTITION BY person ORDER BY w DESC, id) AS survivor FROM p JOIN c USING (id)), n AS (SELECT surname, initial, count(DISTINCT person) - 1 AS possible FROM q GROUP BY ALL)
+SELECT id, person, survivor, possible::INT AS possible FROM q JOIN n USING (surname, initial)"""
+
+
+@query("n21_identities", N21)
+def n21_identities(spark, sf_dir):
+    """Customers and suppliers as records of persons: the number is a name, nation and balance a site, nation and a part of the number a handle."""
+
+    def records(name: str, letter: str, number: str) -> DataFrame:
+        t, nation, shown, balance = table(spark, sf_dir, name), F.col(f"{letter}_nationkey").cast("string"), F.col(f"{letter}_name"), F.col(f"{letter}_acctbal")
+        site = F.concat(nation, F.lit(":"), F.floor(balance / 10).cast("long").cast("string"))
+        return t.select(F.concat(F.lit(letter), F.col(number).cast("string")).alias("id"), F.col(number).cast("long").alias("number"), site.alias("site"), F.concat(nation, F.lit("@"), (F.col(number) * 37 % 1009).cast("string")).alias("handle"), balance.alias("when"), F.right(shown, F.lit(2)).alias("surname"), F.left(nation, F.lit(1)).alias("initial"))
+
+    both = records("customer", "c", "c_custkey").union(records("supplier", "s", "s_suppkey"))
+    return people.identities(both, "id", ["number", "site", "handle"], "when", F.col("surname"), F.col("initial"))
 
 
 @query("n22_split_names", "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN string_split(p_name, ' ')[1] ELSE 'Jan' END AS first, CASE WHEN p_partkey % 2 = 0 THEN 'van der ' || string_split(p_name, ' ')[2] ELSE 'de Wit' END AS last FROM part")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessitura.operators import attribution
+from tessitura.operators import attribution, voices
 
 from .fixtures import EV, SEG, events, segments
 from .registry import query, table
@@ -55,17 +55,25 @@ def v4_roles(spark, sf_dir):
     return attribution.roles_by_talk(events(spark, sf_dir).select("slug", F.col("kind").alias("voice"), F.col("value").alias("seconds"))).select("slug", "voice", _cs("seconds"), "role", "confirmed")
 
 
-@query(
-    "v5_voice_match",
-    """WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), u AS (SELECT vec_id, label, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM e WHERE list_dot_product(v, v) > 0),
+V5 = """WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), u AS (SELECT vec_id, label, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM e WHERE list_dot_product(v, v) > 0),
 x AS (SELECT label, unnest(v) AS x, unnest(range(len(v))) AS i FROM u), s AS (SELECT label, i, sum(x) AS s, count(*) AS n FROM x GROUP BY ALL), c AS (SELECT label, list(s ORDER BY i) AS s, max(n) AS n FROM s GROUP BY label),
-p AS (SELECT vec_id, c.label, u.v, CASE WHEN c.label = u.label THEN list_transform(list_zip(c.s, u.v), lambda z: z[1] - z[2]) ELSE c.s END AS c FROM u, c WHERE c.label <> u.label OR c.n > 1),
-d AS (SELECT vec_id, label, list_dot_product(v, c) / sqrt(list_dot_product(c, c)) AS s FROM p), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS k, lead(s) OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS nxt FROM d)
-SELECT vec_id, label AS best, round(s * 10000)::BIGINT AS similarity, s >= 0.5 AND s - coalesce(nxt, -1) >= 0.05 AS matched FROM r WHERE k = 1""",
-)
+p AS (SELECT vec_id, u.label AS own, c.label, u.v, CASE WHEN c.label = u.label THEN list_transform(list_zip(c.s, u.v), lambda z: z[1] - z[2]) ELSE c.s END AS c FROM u, c WHERE c.label <> u.label OR c.n > 1),
+d AS (SELECT vec_id, own, label, list_dot_product(v, c) / sqrt(list_dot_product(c, c)) AS s FROM p), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS k, lead(s) OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS nxt FROM d),
+w AS (SELECT vec_id, own, max(s) FILTER (label = own) AS mine, max(s) FILTER (label <> own) AS other FROM d GROUP BY ALL),
+t AS (SELECT own AS label, min(mine) AS lowest, any_value(o.s) AS others, min(mine - coalesce(other, 0)) AS clear FROM w JOIN (SELECT label, max(s) AS s FROM d WHERE label <> own GROUP BY label) o ON o.label = own WHERE mine IS NOT NULL GROUP BY own),
+th AS (SELECT *, CASE WHEN lowest - others > 0.08 THEN round((lowest + others) / 2, 3) END AS threshold, CASE WHEN lowest - others > 0.08 THEN round(least(0.10, greatest(0.05, clear / 2)), 3) END AS gap FROM t)"""
+
+
+@query("v5_voice_match", V5 + " SELECT vec_id, r.label AS best, round(s * 10000)::BIGINT AS similarity, s >= 0.5 AND s - coalesce(nxt, -1) >= 0.05 AS matched, threshold FROM r LEFT JOIN th ON r.label = th.label WHERE k = 1")
 def v5_voice_match(spark, sf_dir):
-    found = attribution.voice_match(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
-    return found.select("vec_id", "best", F.round(F.col("similarity") * 10000).cast("long").alias("similarity"), "matched")
+    found = voices.voice_match(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    return found.select("vec_id", "best", F.round(F.col("similarity") * 10000).cast("long").alias("similarity"), "matched", "threshold")
+
+
+@query("v5_thresholds", V5 + " SELECT label, round(lowest * 10000)::BIGINT AS lowest, round(others * 10000)::BIGINT AS others, threshold, gap FROM th")
+def v5_thresholds(spark, sf_dir):
+    found = voices.voice_thresholds(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    return found.select("label", *[F.round(F.col(c) * 10000).cast("long").alias(c) for c in ("lowest", "others")], "threshold", "gap")
 
 
 @query("v6_fingerprints")
@@ -175,7 +183,19 @@ def t5_captions(spark, sf_dir):
     return attribution.tidy_captions(pieces, "slug").select("slug", "seg", "piece", _cs("start"), _cs("end"), "text")
 
 
-@query("t10_loops")
+T10 = (
+    r"""WITH RECURSIVE t AS (SELECT doc_id AS slug, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+') AS ws FROM documents)),
+s AS ("""
+    + " UNION ALL ".join(f"SELECT slug, {n} AS n, i, w IS NOT DISTINCT FROM lead(w, {n}) OVER (PARTITION BY slug ORDER BY i) AS same FROM t" for n in range(1, 9))
+    + """), r AS (SELECT *, min(CASE WHEN NOT same THEN i END) OVER (PARTITION BY slug, n ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) - i AS same_for FROM s),
+c AS (SELECT slug, i, n, 1 + same_for // n AS k FROM r WHERE same), q AS (SELECT * FROM c WHERE k >= CASE WHEN n <= 2 THEN 8 ELSE 4 END),
+b AS (SELECT slug, i, arg_max(n, (k * n, -n)) AS n, max(k * n) AS cover FROM q GROUP BY slug, i),
+g(slug, i, n, cover) AS (SELECT slug, min(i), arg_min(n, i), arg_min(cover, i) FROM b GROUP BY slug UNION ALL SELECT g.slug, min(b.i), arg_min(b.n, b.i), arg_min(b.cover, b.i) FROM g JOIN b ON b.slug = g.slug AND b.i >= g.i + g.cover GROUP BY g.slug)
+SELECT slug, n::INT AS n, i::BIGINT AS first, (i + cover - 1)::BIGINT AS last, (cover // n)::INT AS repeats FROM g"""
+)
+
+
+@query("t10_loops", T10)
 def t10_loops(spark, sf_dir):
     """Words are documents' tokens without punctuation."""
     w = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("slug"), F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\w+"), F.lit(0))).alias("idx", "word"))

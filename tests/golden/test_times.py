@@ -1,3 +1,4 @@
+import numpy as np
 import bisect
 import random
 
@@ -43,10 +44,59 @@ def test_steps(spark):
     assert sorted((r.from_sec, r.delta) for r in got) == [(0.0, 5.0), (3.0, 8.5), (5.0, 5.0)]
 
 
-def test_cut(spark):
-    rows = [(1, i, 10, 9 if i not in (4, 5) else 1) for i in range(10)]
-    got = timejoins.find_cut(spark.createDataFrame(rows, "slug int, cue int, n int, matched int"), "slug").first()
-    assert (got.first, got.last, got.cut) == (4, 5, True)
+def plain_cut(cues, delta, low=0.25, plus=4.0):
+    """Every run of the length, by its cost."""
+    best = None
+    for a in range(len(cues)):
+        for b in range(a, len(cues)):
+            length = cues[b][2] - cues[a][1]
+            if delta * (1 - low) - plus <= length <= delta * (1 + low) + plus:
+                cost = sum(n - x if k < a else n - y if k > b else max(x, y) for k, (_, _, _, n, x, y) in enumerate(cues))
+                if best is None or cost < best[0]:
+                    best = (cost, a, b)
+    return best and best[1:]
+
+
+def test_cuts_of_three_lengths(spark):
+    """A cut's cues are said on neither clock; before it the first fits, after it the second."""
+    rnd = random.Random(6)
+    cues, cuts, want = [], [], {}
+    for slug, (first, last) in enumerate([(4, 5), (10, 18), (2, 24)]):
+        at = 0.0
+        for i in range(30):
+            n, seconds = rnd.randint(4, 12), rnd.uniform(3, 9)
+            fits = rnd.randint(n // 2 + 1, n)
+            x, y = (fits, rnd.randint(0, 1)) if i < first else (rnd.randint(0, 1), fits) if i > last else (rnd.randint(0, 1), rnd.randint(0, 1))
+            cues.append((slug, i, at, at + seconds, n, x, y))
+            at += seconds + rnd.uniform(0, 1)
+        mine = [c for c in cues if c[0] == slug]
+        cuts.append((slug, "c", 0.0, at, mine[last][3] - mine[first][2]))
+        want[slug] = (first, last)
+    cuts.append((0, "long", 0.0, 60.0, 500.0))  # no run is so long
+    c = spark.createDataFrame(cues, "slug int, cue int, start double, end double, n int, before int, after int")
+    got = timejoins.find_cuts(c, spark.createDataFrame(cuts, "slug int, cut string, z1 double, z2 double, delta double"), "slug").collect()
+    assert {r.slug: (r.first, r.last) for r in got if r.cut == "c"} == want and all(r.status == "ok" for r in got if r.cut == "c")
+    assert [(r.first, r.status) for r in got if r.cut == "long"] == [(None, "review")]
+
+
+def test_cheapest_run_against_all_runs():
+    rnd = random.Random(7)
+    for _ in range(300):
+        cues, at = [], 0.0
+        for i in range(rnd.randint(1, 25)):
+            at += rnd.choice([0.0, 1.0, 2.0])
+            n = rnd.randint(1, 4)
+            cues.append((i, at, at + rnd.choice([1.0, 2.0, 5.0]), n, rnd.randint(0, n), rnd.randint(0, n)))
+        delta = rnd.choice([4.0, 9.0, 20.0])
+        start, end, n, x, y = (np.array(v) for v in list(zip(*cues))[1:])
+        assert timejoins._cheapest_run(start, end, n, x, y, delta * 0.75 - 4, delta * 1.25 + 4) == plain_cut(cues, delta)
+
+
+def test_words_found(spark):
+    cues = spark.createDataFrame([(1, 0, 10.0, 12.0, ["a", "b", "a"]), (1, 1, 100.0, 101.0, ["c"]), (1, 2, 50.0, 51.0, [])], "slug int, cue int, start double, end double, words array<string>")
+    said = spark.createDataFrame([(1, 4.0, "a"), (1, 5.0, "a"), (1, 18.5, "b"), (1, 40.0, "c"), (2, 100.0, "c")], "slug int, t double, word string")
+    found = lambda shift: {r.cue: r.found for r in timejoins.words_found(cues, said, "slug", F.lit(shift)).collect()}
+    assert found(0.0) == {0: 2} and found(-60.0) == {1: 1} and found(1.0) == {0: 3}
 
 
 def test_shift(spark):
@@ -67,10 +117,76 @@ def test_chapters(spark):
     assert [(r.start, r.title) for r in got] == [(0.0, "Introduction"), (90.0, "b")]
 
 
+def plain_loops(words, longest=8):
+    """From each word the phrase that covers most; the search goes on after it."""
+    found, i = [], 0
+    while i < len(words):
+        best = None
+        for n in range(1, longest + 1):
+            k = 1
+            while words[i + k * n : i + (k + 1) * n] == words[i : i + n] and len(words[i : i + n]) == n:
+                k += 1
+            if k >= (8 if n <= 2 else 4) and any(words[i : i + n]) and (best is None or k * n > best[0]):
+                best = (k * n, n, k)
+        if best:
+            found.append((best[1], i, i + best[0] - 1, best[2]))
+            i += best[0]
+        else:
+            i += 1
+    return found
+
+
 def test_loops(spark):
     words = "x a a a a a a a a y b c d b c d b c d b c d z".split()
-    df = spark.createDataFrame([(1, i, w) for i, w in enumerate(words)], "slug int, idx int, word string")
-    assert sorted((r.n, r["first"], r["last"]) for r in attribution.loop_spans(df).collect()) == [(1, 1, 8), (3, 10, 21)]
+    df = spark.createDataFrame([(1, i, w, float(i)) for i, w in enumerate(words)], "slug int, idx int, word string, start double")
+    found = attribution.loop_spans(df)
+    assert sorted((r.n, r["first"], r["last"], r.repeats) for r in found.collect()) == [(1, 1, 8, 8), (3, 10, 21, 4)]
+    ranges = lambda pad: sorted((r.start, r.end) for r in attribution.repair_ranges(found, df, pad=pad).collect())
+    assert ranges(12.0) == [(0.0, 34.0)] and ranges(0.0) == [(1.0, 22.0)] and attribution.repair_ranges(found, df, pad=-1.0).count() == 2
+    assert [r.word for r in attribution.without_loops(df).orderBy("idx").collect()] == ["x", "y", "z"]
+
+
+def test_loops_against_each_phrase():
+    rnd = random.Random(3)
+    for _ in range(400):
+        words = []
+        while len(words) < 60:
+            words += [rnd.choice(["a", "b", "c", ""]) for _ in range(rnd.randint(1, 9))] * rnd.choice([1, 1, 4, 5, 8])
+        numbers = np.array([{"": -1, "a": 0, "b": 1, "c": 2}[w] for w in words])
+        assert attribution._repeats(numbers, 8) == plain_loops(words), words
+    assert attribution._repeats(np.zeros(1, np.int64), 8) == [] == attribution._repeats(np.zeros(0, np.int64), 8)
+
+
+def plain_blocks(words, block, slack, pause):
+    starts, i = [words[0][0]], 1
+    target = starts[0] + block
+    while i < len(words):
+        if words[i][0] < target:
+            i += 1
+            continue
+        inside = [j for j in range(i, len(words)) if words[j][0] < target + slack]
+        cut = next((j for j in inside if words[j - 1][1].rstrip("\"").endswith(".") and words[j - 1][1].lower() != "mr."), None)
+        if cut is None:
+            cut = next((j for j in inside if words[j][0] - words[j - 1][0] >= pause), i)
+        starts.append(words[cut][0])
+        target, i = words[cut][0] + block, cut + 1
+    return starts
+
+
+def test_blocks_against_plain(spark):
+    rnd = random.Random(9)
+    rows, want = [], {}
+    for slug in range(40):
+        t, words = 0.0, []
+        for _ in range(rnd.randint(1, 120)):
+            t += rnd.choice([0.0, 0.5, 1.0, 1.0, 3.0])
+            words.append((t, rnd.choice(["a", "b", "end."] if slug % 2 else ["a", "b", "Mr.", 'so."' if slug % 3 == 0 else "c"])))
+        rows += [(slug, x, i, w) for i, (x, w) in enumerate(words)]
+        want[slug] = plain_blocks(words, 10.0, 5.0, 2.0)
+    got = {}
+    for r in attribution.time_blocks(spark.createDataFrame(rows, "slug int, t double, idx int, text string"), block=10.0, slack=5.0, pause=2.0).collect():
+        got.setdefault(r.slug, []).append(r.start)
+    assert {k: sorted(v) for k, v in got.items()} == want
 
 
 def test_paragraphs_and_blocks(spark):
@@ -79,7 +195,7 @@ def test_paragraphs_and_blocks(spark):
     got = attribution.paragraph_words(df, soft=100, most=200, pause=5.0).orderBy("para").collect()
     assert " ".join(r.text for r in got) == " ".join(w for *_, w in words)
     assert [r.start for r in got] == [0.0, 40.0, 80.0, 120.0, 160.0]
-    blocks = attribution.time_blocks(df.select("slug", F.col("start").alias("t"), "idx"), block=50.0, slack=10.0, pause=5.0)
+    blocks = attribution.time_blocks(df.select("slug", F.col("start").alias("t"), "idx", F.lit("a").alias("text")), block=50.0, slack=10.0, pause=5.0)
     assert sorted(r.start for r in blocks.collect()) == [0.0, 50.0, 100.0, 150.0]
 
 
@@ -91,6 +207,36 @@ def test_edits_follow_each_other(spark):
     assert [r.edit for r in stale.collect()] == [2]
 
 
+def plain_clips(turns, voice):
+    """Longest turns first, tier by tier."""
+    talk = lambda a, b: sum(max(0.0, min(b, e) - max(a, s)) for v, s, e in turns if v != voice)
+    own = sorted(((e - s, s, e) for v, s, e in turns if v == voice), reverse=True)
+    kept = []
+    for least, lead, any_talk, spacing in edits.TIERS:
+        if (least == 5.0 and len(kept) < 3) or not kept:
+            for n, s, e in own:
+                a, b = (s + lead, min(e, s + lead + 9.0)) if lead > 0 else (max(0.0, s + lead), e - lead)
+                if n >= least and len(kept) < 3 and (any_talk or talk(a, b) <= 0.15 * (b - a)) and all(abs(a - k[0]) > spacing for k in kept):
+                    kept.append((a, b))
+    return sorted(kept)
+
+
 def test_clips(spark):
-    t = spark.createDataFrame([(1, "v", s, s + n) for s, n in ((0.0, 50.0), (60.0, 40.0), (500.0, 30.0), (900.0, 4.0), (40.0, 45.0))], "slug int, voice string, start double, end double")
-    assert sorted(r.start for r in edits.pick_clips(t, "slug").collect()) == [0.0, 40.0, 500.0]
+    rnd = random.Random(2)
+    rows, want = [], {}
+    for slug in range(25):
+        turns = {(rnd.choice("vw" if slug % 2 else "vwx"), s, s + rnd.choice([0.5, 2.0, 6.0, 20.0, 45.0] if slug % 5 else [0.5, 2.0, 3.0])) for s in (round(rnd.uniform(0, 1500 if slug % 3 else 60), 1) for _ in range(12))}
+        rows += [(slug, *t) for t in turns]
+        want |= {(slug, v): c for v in {t[0] for t in turns} if (c := plain_clips(turns, v))}
+    got = {}
+    for r in edits.pick_clips(spark.createDataFrame(rows, "slug int, voice string, start double, end double"), "slug").collect():
+        got.setdefault((r.slug, r.voice), []).append((r.start, r.end))
+    assert {k: sorted(v) for k, v in got.items()} == want
+
+
+def test_paragraphs_are_placed(spark):
+    text = "one two three four five six seven one two three four nine one two"
+    words = [(1, i, i * 2.0, w) for i, w in enumerate(text.split())]
+    paras = [(1, 0, "One, two three four nine!", 0.0, 30.0), (1, 1, "five six seven", 0.0, 30.0), (1, 2, "one two", 3.0, 30.0), (1, 3, "one two three four five", 100.0, 130.0), (1, 4, "", 7.0, 9.0), (1, 5, "one two three four", 9.0, 40.0)]
+    got = timejoins.place_paragraphs(spark.createDataFrame(paras, "slug int, para int, text string, block_start double, block_end double"), spark.createDataFrame(words, "slug int, idx int, t double, word string"), "slug")
+    assert {r.para: (r.start, r.score) for r in got.collect()} == {0: (14.0, 5), 1: (8.0, 3), 2: (3.0, None), 3: (100.0, None), 4: (7.0, None), 5: (14.0, 4)}
