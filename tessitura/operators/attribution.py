@@ -100,7 +100,7 @@ def presenter_of_runs(turns: DataFrame, slots: DataFrame, key: str = "slug", pre
     """turns(key, idx, start, speaker) with the prefix off, and each run of shared audio given to the slot(key, s_start,
     presenter) in which it starts."""
     shared = F.col("speaker").startswith(prefix)
-    t = turns.withColumn("shared", shared).withColumn("speaker", F.when(shared, F.substring("speaker", len(prefix) + 1, 1000)).otherwise(F.col("speaker")))
+    t = turns.withColumn("shared", shared).withColumn("speaker", F.when(shared, F.substr(F.col("speaker"), F.lit(len(prefix) + 1))).otherwise(F.col("speaker")))
     t = runs(t, key, ["start", "idx"], "shared")
     first = t.groupBy(key, "run").agg(F.min("start").alias("r_start"), F.first("shared").alias("is"))
     owner = asof_last(first.where("is"), slots, key, "r_start", "s_start", ["presenter"]).select(key, "run", "presenter")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessitura.functions.strings import count_words, fold
 
 # Second-level domains, hosts of kinds, words of parked and missing pages.
-SECOND_LEVEL = ("co", "com", "org", "net", "ac", "gov", "edu")
+SECOND_LEVEL = ("co", "com", "org", "net", "ac", "gov")
 KINDS = {"instagram.com": "instagram", "facebook.com": "facebook", "x.com": "twitter", "twitter.com": "twitter", "youtube.com": "youtube", "youtu.be": "youtube", "linkedin.com": "linkedin", "vimeo.com": "vimeo"}
 PARKED_HOSTS = (
     "sedoparking.com", "sedo.com", "hugedomains.com", "dan.com", "afternic.com", "parkingcrew.net", "bodis.com", "above.com", "domainmarket.com", "buydomains.com",
@@ -76,7 +76,7 @@ def due_for_check(links: DataFrame, status: DataFrame, key: str, today: str, day
 def normal_url(url: Column) -> Column:
     """Scheme and host in lower case, https for http, no fragment, no slash at the end."""
     site = F.lower(F.regexp_extract(url, r"^([a-zA-Z]+://[^/?#]*)", 1))
-    rest = F.substring(url, F.length(site) + 1, F.lit(10_000))
+    rest = F.substr(url, F.length(site) + 1)
     return F.concat(F.regexp_replace(site, "^http://", "https://"), F.regexp_replace(F.regexp_replace(rest, "#.*$", ""), "/+$", ""))
 
 

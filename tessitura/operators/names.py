@@ -187,7 +187,8 @@ def resolve_country(rows: DataFrame, known: DataFrame, name: str, location: str)
     r = rows.withColumn("_l", norm_place(F.col(location))).join(by_name, norm_place(F.col(name)) == F.col("_k"), "left")
     # A place ends in a country if one of its word suffixes is that country: an equi-join, not a comparison with all.
     words = F.split("_l", " ")
-    tails = F.transform(F.sequence(F.lit(1), F.least(F.size(words), F.lit(5))), lambda i: F.array_join(F.slice(words, -i, i), " "))
+    longest = valid.agg(F.max(F.size(F.split("_v", " ")))).first()[0] or 1  # words of the longest place that is known
+    tails = F.transform(F.sequence(F.lit(1), F.least(F.size(words), F.lit(max(longest, 3)))), lambda i: F.array_join(F.slice(words, -i, i), " "))
     suffix = F.create_map(*[F.lit(x) for kv in COUNTRIES.items() for x in kv])
     r = r.withColumn("_tails", tails).withColumn("_suffix", F.get(F.filter(F.transform("_tails", lambda t: F.try_element_at(suffix, t)), lambda x: x.isNotNull()), F.lit(0)))
     places = r.select("_l", "_tails").distinct()
@@ -226,9 +227,11 @@ def token_windows(texts: DataFrame, keys: Sequence[str], sizes: Sequence[int], t
     return rows.select(*keys, F.explode(F.concat(*made)).alias("r")).select(*keys, "r.idx", "r.n", F.array_join(F.transform("r.w", core), " ").alias("matched"))
 
 
-def name_candidates(texts: DataFrame, names: DataFrame, keys: Sequence[str], least: float = 0.72, text_col: str = "text", sizes: Sequence[int] = (1, 2, 3)) -> DataFrame:
+def name_candidates(texts: DataFrame, names: DataFrame, keys: Sequence[str], least: float = 0.72, text_col: str = "text", sizes: Sequence[int] | None = None) -> DataFrame:
     """(keys, name, matched, idx, ratio): the best window for each name(name) with the same number of words and the same
     first letter, and a ratio of at least so much; the first window wins ties; exact matches are no candidates."""
+    if sizes is None:
+        sizes = sorted(r["n"] for r in names.select(F.size(F.split("name", " ")).alias("n")).distinct().collect())  # a row for each length of a name
     w = token_windows(texts, keys, sizes, text_col).where("matched <> ''").withColumn("_f", F.lower(F.left("matched", F.lit(1)))).withColumn("_m", F.lower("matched"))
     p = names.select("name", F.lower("name").alias("_p"), F.size(F.split("name", " ")).alias("n"), F.lower(F.left("name", F.lit(1))).alias("_f")).where(F.col("n").isin(*sizes))
     distinct = w.select("_m", "n", "_f").distinct()
@@ -310,20 +313,25 @@ def split_name(c: Column) -> Column:
     return F.struct(F.trim(F.left(c, F.greatest(F.length(c) - F.length(last), F.lit(0)))).alias("first"), last.alias("last"))
 
 
-def dictionary_mentions(sents: DataFrame, names: DataFrame, keys: Sequence[str], text_col: str = "sentence", longest: int = 3) -> DataFrame:
-    """(keys, at, name): names(name) found word for word, in any case; of those that start at one word the longest, and
-    none inside another. Runs of words are joined with the names by equality."""
-    w = F.regexp_extract_all(F.lower(text_col), F.lit(r"(?U)[\w']+"), F.lit(0))
-    rows = sents.select(*keys, w.alias("w")).where(F.size("w") > 0)
+def dictionary_mentions(sents: DataFrame, names: DataFrame, keys: Sequence[str], text_col: str = "sentence", sent_firsts: int = 200_000) -> DataFrame:
+    """(keys, at, name): names(name), of any length, found word for word, in any case; of those that start at one word the
+    longest, and none inside another.
 
-    def runs_of(n: int) -> Column:
-        run = F.transform(F.sequence(F.lit(0), F.greatest(F.size("w") - n, F.lit(0))), lambda i: F.struct((i + 1).alias("at"), F.lit(n).alias("n"), F.concat_ws(" ", *[F.get("w", i + k) for k in range(n)]).alias("g")))
-        return F.filter(run, lambda r: F.size("w") >= n)
-
-    grams = F.concat(*[runs_of(n) for n in range(1, longest + 1)])
-    flat = rows.select(*keys, F.explode(grams).alias("x")).select(*keys, "x.at", "x.n", "x.g")
-    n = names.select("name", F.array_join(F.regexp_extract_all(F.lower("name"), F.lit(r"(?U)[\w']+"), F.lit(0)), " ").alias("g")).where("g <> ''").groupBy("g").agg(F.min("name").alias("name"))
-    hits = flat.hint("merge").join(n.hint("merge"), "g").groupBy(*keys, "at").agg(F.max("n").alias("n"), F.max_by("name", "n").alias("name"))
+    Only words that begin some name go on, each with the words after it, and meet the names by that word. First words are
+    sent to all executors up to sent_firsts of them, and joined by sorting beyond.
+    """
+    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"(?U)[\w']+"), F.lit(0))
+    n = names.select("name", words("name").alias("w")).where(F.size("w") > 0).groupBy("w").agg(F.min("name").alias("name"))
+    n = written(n.select("name", "w", F.size("w").alias("n"), F.get("w", F.lit(0)).alias("f")), "names")
+    longest = n.agg(F.max("n")).first()[0] or 1
+    rows = sents.select(*keys, words(text_col).alias("w")).where(F.size("w") > 0)
+    # get() takes single elements; slice() would copy the whole array each time.
+    ahead = F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.struct(i.alias("at"), F.array(*[F.get("w", i + k - 1) for k in range(longest)]).alias("a")))
+    each = rows.select(*keys, F.explode(ahead).alias("x")).select(*keys, "x.at", "x.a", F.get("x.a", F.lit(0)).alias("f"))
+    firsts = written(n.select("f").distinct(), "first_words")
+    begun = each.join(F.broadcast(firsts) if firsts.count() <= sent_firsts else firsts.hint("merge"), "f", "left_semi")
+    met = begun.hint("merge").join(n.hint("merge"), "f").where(F.slice("a", F.lit(1), F.col("n")) == F.col("w"))
+    hits = met.groupBy(*keys, "at").agg(F.max("n").alias("n"), F.max_by("name", "n").alias("name"))
     order = Window.partitionBy(*keys).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.max(F.col("at") + F.col("n")).over(order) > F.col("at"), F.lit(False))
     return hits.withColumn("_in", inside).where("not _in").select(*keys, "at", "name")

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 from pyspark.sql import functions as F
@@ -99,12 +100,48 @@ def test_search_counts_batch_and_stream(spark, tmp_path):
     assert got == {(r.term, r.n) for r in streams.search_counts(df).collect()} == {("t1", 6), ("t2", 2)}
 
 
-def test_suggestions_are_taken_once(spark, tmp_path):
-    rows = [("1", "s", "old text", "new text", 1), ("1", "s", "old text", "new text", 2), ("2", "s", "old text", "new text", 3), ("3", "s", "x", "x ", 4), ("4", "s", "x", "see www.x.y", 5)]
-    df = spark.createDataFrame(rows, "source_id string, slug string, old string, new string, at int")
-    df.repartition(3).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    for _ in range(2):
-        streams.suggestion_intake(stream, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
-    got = streams.merge_suggestions(spark.read.parquet(str(tmp_path / "out"))).collect()
-    assert [(r["new"], r["count"], r.first_at) for r in got] == [("new text", 2, 1)]
+def _suggestions():
+    fixes = [("a", 1, "teh cat", "the cat", 0), ("b", 1, "teh cat", "the cat", 1), ("a", 1, "teh cat", "the cat", 2), ("c", 1, "x", "see www.y.z", 3), ("d", 1, "one two", "nothing alike at all", 4), ("e", 2, "same", " same ", 5), ("f", 2, "the cat sat", "the cat sits", 6)]
+    return [(i, g, old, new, dt.datetime(2024, 1, 1, 0, m)) for i, g, old, new, m in fixes]
+
+
+def test_suggestions_restart_and_replay(spark, tmp_path):
+    """A file a batch, with a restart between: the same rows as of all at once; a batch sent again changes nothing."""
+    schema = "source_id string, slug long, old string, new string, at timestamp"
+    df = spark.createDataFrame(_suggestions(), schema)
+    table = streams.SuggestionTable(spark, str(tmp_path / "out"), buckets=3)
+    assert table.fixes().count() == 0
+    for k, part in enumerate([_suggestions()[:3], _suggestions()[3:5], _suggestions()[5:]]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        streams.suggestion_intake(stream, table, str(tmp_path / "check")).awaitTermination()
+    rows = lambda d: sorted(tuple(r) for r in d.collect())
+    want = rows(streams.merge_suggestions(df))
+    assert rows(table.fixes()) == want and sorted((r[2], r[3], r[5]) for r in want) == [("nothing alike at all", 1, True), ("the cat", 2, False), ("the cat sits", 1, False)]
+    again = streams.SuggestionTable(spark, str(tmp_path / "again"), buckets=3)
+    first, second = (spark.createDataFrame(part, schema) for part in (_suggestions()[:2], _suggestions()[3:]))
+    for batch, number in ((first, 0), (second, 1), (second, 1), (second.limit(0), 2)):  # the second is sent again
+        again.upsert(batch, number)
+    assert rows(again.fixes()) == want
+
+
+def test_searches_late_and_out_of_order(spark, tmp_path):
+    """Rows within the watermark's delay come in any order; the stream gives the batch form's rows once the watermark is past."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    batches = [[(1, "a", at(3)), (1, "a", at(1)), (2, "x", at(2))], [(1, "b", at(2)), (1, "b", at(4)), (2, "x", at(5))], [(1, "b", at(200)), (2, "x", at(8))], [(9, "end", at(900))], [(9, "end", at(1800))]]
+    schema = "slug long, term string, ts timestamp"
+    try:
+        for k, rows in enumerate(batches):
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+            q = streams.distinct_searches(stream, late="10 minutes", forget="1 hour").writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+            q.awaitTermination()
+        state = [p for p in q.recentProgress if p["stateOperators"]]
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(str(tmp_path / "out")).collect())
+    whole = spark.createDataFrame([r for b in batches for r in b], schema)
+    want = sorted(tuple(r) for r in streams.distinct_searches_batch(whole, "1 hour").collect())
+    assert [r for r in got if r[0] != 9] == [r for r in want if r[0] != 9] == [(1, "a", at(1)), (1, "a", at(3)), (1, "b", at(2)), (1, "b", at(4)), (1, "b", at(200)), (2, "x", at(2))]
+    assert state and state[-1]["stateOperators"][0]["numRowsTotal"] <= 4  # keys 1 and 2 are gone

@@ -143,3 +143,26 @@ def test_similarity_join_of_longer_words(spark):
         got = names.similarity_join(a, b, "a", "b", least)
         assert {(r.a, r.b) for r in got.collect()} == want
         assert names.similar_candidates(a, b, "a", "b", least).count() <= 5 * len(want)
+
+
+def test_names_of_any_length(spark):
+    """Four words and more; each was cut once."""
+    s = spark.createDataFrame([(1, "Then Ana de la Cruz Paz and Ana de la Cruz spoke."), (2, None)], "k int, sentence string")
+    n = spark.createDataFrame([("Ana de la Cruz",), ("Ana de la Cruz Paz",), ("de la",)], "name string")
+    for sent in (200_000, 0):
+        assert sorted((r["at"], r.name) for r in names.dictionary_mentions(s, n, ["k"], sent_firsts=sent).collect()) == [(2, "Ana de la Cruz Paz"), (8, "Ana de la Cruz")]
+    t = spark.createDataFrame([(1, "So Ana de la Crux Paz left.")], "k int, text string")
+    assert [(r.name, r.matched) for r in names.name_candidates(t, n.where("name like '%Paz'"), ["k"]).collect()] == [("Ana de la Cruz Paz", "Ana de la Crux Paz")]
+    known = spark.createDataFrame([("x", "The Free and Old Land of the Long River")], "name string, country string")
+    at = spark.createDataFrame([(1, "n", "Port, The Free and Old Land of the Long River")], "k int, name string, place string")
+    assert names.resolve_country(at, known, "name", "place").first().resolved == "The Free and Old Land of the Long River"
+
+
+def test_long_values_are_whole(spark):
+    from tessitura.operators import attribution, links
+
+    rest = "a/" * 9000 + "end"
+    assert one(spark, f"HTTP://Site.org/{rest}#x", links.normal_url) == f"https://site.org/{rest}"
+    turns = spark.createDataFrame([(1, 0, 0.0, "Audio shared by " + "n" * 3000)], "slug int, idx int, start double, speaker string")
+    slots = spark.createDataFrame([], "slug int, s_start double, presenter string")
+    assert attribution.presenter_of_runs(turns, slots).first().speaker == "n" * 3000
