@@ -77,7 +77,11 @@ x AS (SELECT doc_id, unnest(p) AS p, unnest(list_concat(e, [''])) AS e, unnest(r
 SELECT doc_id, string_agg(p || CASE WHEN e = '' THEN '' ELSE split_part(e, '@', 1) || ' at ' || lower(regexp_extract(e, '@(.*)\.[^.]*$', 1)) || ' dot ' || lower(regexp_extract(e, '\.([^.]*)$', 1)) END, '' ORDER BY i) AS text FROM x GROUP BY doc_id""",
 )
 _rule("x12_decades", " In the 19 sixties and 1970s and eighties, 19 hundreds.", clean.fix_decades, "SELECT doc_id, replace(t, ' In the 19 sixties and 1970s and eighties, 19 hundreds.', ' In the 1960s and 70s and eighties, 1900s.') AS text FROM d")
-_rule("x14_capitals", " i saw london tower. then london fell", lambda c: clean.capitalize_terms(c, ["London Tower", "London"]))
+_rule("x14_capitals", " i saw london tower. then london fell", lambda c: clean.capitalize_terms(c, ["London Tower", "London"]), r"""
+, e AS (SELECT doc_id, regexp_replace(regexp_replace(t, '(?i)(^|[^\p{L}\p{M}\p{N}_])london tower($|[^\p{L}\p{M}\p{N}_])', '\1London Tower\2', 'g'), '(?i)(^|[^\p{L}\p{M}\p{N}_])london($|[^\p{L}\p{M}\p{N}_])', '\1London\2', 'g') AS t FROM d),
+f AS (SELECT doc_id, regexp_replace(regexp_replace(t, '(^|[^\p{L}\p{M}\p{N}_])i($|[^\p{L}\p{M}\p{N}_])', '\1I\2', 'g'), '(^|[^\p{L}\p{M}\p{N}_])i($|[^\p{L}\p{M}\p{N}_])', '\1I\2', 'g') AS t FROM e),
+g AS (SELECT doc_id, string_split_regex(t, '(?:^|[.!?]\s+|\n\s*)[a-z]') AS parts, regexp_extract_all(t, '(?:^|[.!?]\s+|\n\s*)[a-z]') AS ms FROM f)
+SELECT doc_id, array_to_string([parts[i] || coalesce(left(ms[i], length(ms[i]) - 1) || upper(right(ms[i], 1)), '') FOR i IN range(1, len(parts) + 1)], '') AS text FROM g""")
 _rule("x16_continuation", "", lambda c: clean.lower_continuation(c, ("the", "that", "and", "in", "of")), r"SELECT doc_id, CASE WHEN regexp_matches(t, '^(The|That|And|In|Of)($|[^\p{L}\p{M}\p{N}_''])') THEN lower(left(t, 1)) || substr(t, 2) ELSE t END AS text FROM d")
 
 

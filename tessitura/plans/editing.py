@@ -145,7 +145,11 @@ def j9_fine_shift(spark, sf_dir):
     return found.select("doc_id", F.round(F.col("shift") * 100).cast("long").alias("shift_cs"), F.floor(F.col("score") * 1000 + 1e-9).cast("long").alias("score"), F.floor(F.col("base") * 1000 + 1e-9).cast("long").alias("base"), "accepted")
 
 
-@query("v2_combined_names")
+@query(
+    "v2_combined_names",
+    f"""WITH {EV}, a AS (SELECT slug, kind, max('Anna Lee' || idx % 3) AS a FROM ev WHERE idx % 2 = 0 GROUP BY ALL), b AS (SELECT slug, kind, max(CASE WHEN value > 60 THEN 'Anna Lee' ELSE 'Bob' END) AS b FROM ev WHERE idx % 2 = 1 GROUP BY ALL)
+SELECT slug, kind, CASE WHEN a IS NULL OR b IS NULL THEN 'single' WHEN b = 'Bob' THEN 'conflict' ELSE 'confirmed' END AS status, CASE WHEN a IS NULL OR b IS NULL OR b <> 'Bob' THEN coalesce(b, a) END AS name FROM a FULL JOIN b USING (slug, kind)""",
+)
 def v2_combined_names(spark, sf_dir):
     """Names from samples and from the index: confirmed if alike, a conflict if not."""
     e = events(spark, sf_dir)
@@ -241,7 +245,15 @@ def w9_time_blocks(spark, sf_dir):
     return attribution.time_blocks(w, block=86400.0, slack=43200.0, pause=7200.0).select("slug", F.round(F.col("start") * 100).cast("long").alias("start_cs"))
 
 
-@query("w8_paragraphs")
+@query(
+    "w8_paragraphs",
+    f"""WITH RECURSIVE {SEG}, x AS (SELECT slug, seg, start, regexp_extract_all(text, '\\S+') AS ws FROM seg), v AS (SELECT slug, seg * 100000 + i AS idx, start + 25::DOUBLE * i / n AS t, w FROM (SELECT slug, seg, start, len(ws) AS n, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM x)),
+e AS (SELECT *, row_number() OVER o AS n, sum(length(w) + 1) OVER o AS upto, lead(t) OVER o - t AS gap, regexp_matches(rtrim(w, '"''”’)'), '[.!?]$') AS fin FROM v WINDOW o AS (PARTITION BY slug ORDER BY t, idx)),
+c(slug, para, n, upto) AS (SELECT DISTINCT slug, 0::BIGINT, 0::BIGINT, 0::HUGEINT FROM e UNION ALL SELECT e.slug, x.para + 1, e.n, e.upto FROM (SELECT c.slug, c.para, min(e.n) AS n FROM c JOIN e ON e.slug = c.slug AND e.n > c.n AND e.fin AND e.gap IS NOT NULL
+  AND (e.upto - c.upto >= 800 OR e.upto - c.upto >= 300 AND e.gap >= 1.3) GROUP BY c.slug, c.para) x JOIN e USING (slug, n)),
+s AS (SELECT slug, para, n, coalesce(lead(n) OVER (PARTITION BY slug ORDER BY para), 1000000000) AS nxt FROM c)
+SELECT e.slug, para, round(min(t) * 100)::BIGINT AS start_cs, string_agg(w, ' ' ORDER BY e.n) AS text FROM s JOIN e ON e.slug = s.slug AND e.n > s.n AND e.n <= s.nxt GROUP BY e.slug, para""",
+)
 def w8_paragraphs(spark, sf_dir):
     w = _words(spark, sf_dir).withColumn("idx", F.col("seg") * 100000 + F.col("idx"))
     return attribution.paragraph_words(w.select("slug", "idx", "start", F.col("token").alias("text"))).select("slug", "para", F.round(F.col("start") * 100).cast("long").alias("start_cs"), "text")

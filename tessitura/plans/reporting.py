@@ -74,16 +74,30 @@ def a6_ordinary_words(spark, sf_dir):
     return reports.ordinary_words(table(spark, sf_dir, "documents"))
 
 
+def _list(words):
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
 @query(
     "a7_capital_suspects",
-    None,
+    r"""WITH tok AS (SELECT doc_id, ws, unnest(ws) AS tok, unnest(range(len(ws))) AS idx FROM (SELECT doc_id, regexp_extract_all(text, '\S+') AS ws FROM documents)),
+b AS (SELECT *, trim(tok, '"''“”‘’()[]_.,;:!?…-') AS bare FROM tok),
+c AS (SELECT *, CASE WHEN regexp_full_match(bare, '[A-Za-z''’-]+') THEN bare ELSE '' END AS core, right(rtrim(tok, '''’)]'), 1) IN ('.', '?', '!', '…', ':', '”', '"') AS fin FROM b),
+f AS (SELECT *, coalesce(lag(fin) OVER o, true) AS first, lag(core) OVER o AS prev FROM c WINDOW o AS (PARTITION BY doc_id ORDER BY idx)),
+s AS (SELECT *, sum(first::INT) OVER (PARTITION BY doc_id ORDER BY idx) AS sentence, (regexp_matches(core, '^[A-Z]') AND core <> 'I' AND NOT first)::INT AS cap FROM f),
+n AS (SELECT *, sum(cap) OVER (PARTITION BY doc_id, sentence ORDER BY idx RANGE BETWEEN 3 PRECEDING AND 3 FOLLOWING) - cap AS near FROM s),
+t AS (SELECT unnest(regexp_extract_all(text, '(?:[.?!…]["''”’)\]]*\s+)?[A-Za-z]+')) AS t FROM documents), w AS (SELECT regexp_extract(t, '([A-Za-z]+)$', 1) AS w, regexp_matches(t, '\s') AS st FROM t),
+o AS (SELECT lower(w) AS word FROM w GROUP BY lower(w) HAVING sum((w = lower(w))::INT) >= 5 AND sum((w = lower(w))::INT) >= 2 * sum((regexp_matches(w, '^[A-Z]') AND NOT st)::INT)),
+h AS (SELECT doc_id, idx, core AS word, array_to_string(ws[greatest(idx - 4, 0) + 1:idx + 5], ' ') AS context FROM n WHERE NOT first AND near = 0 AND regexp_full_match(core, '[A-Z][a-z''’-]*[a-z][a-z''’-]*')
+AND prev IN ("""
+    + _list(clean.CONTINUERS)
+    + ") AND lower(core) NOT IN ("
+    + _list(clean.KEEP_CAPITAL)
+    + ") AND lower(core) IN (SELECT word FROM o)) SELECT doc_id, idx::INT AS idx, word, count(*) OVER (PARTITION BY word)::BIGINT AS total, context FROM h",
 )
 def a7_capital_suspects(spark, sf_dir):
-    from pyspark.sql import Window
-
     docs = table(spark, sf_dir, "documents")
-    hits = clean.midsentence_capitals(docs, reports.ordinary_words(docs, least=5, times=2), "doc_id")
-    return hits.withColumn("total", F.count("*").over(Window.partitionBy("word")))
+    return reports.capital_suspects(docs, reports.ordinary_words(docs, least=5, times=2), "doc_id")
 
 
 @query("a8_review_queue", """SELECT count(*)::BIGINT AS n, arg_min(props, event_id) AS matched, event_type AS candidate, max(value) AS similarity, arg_max(user_id, (value, -event_id)) AS context, string_agg(DISTINCT user_id::VARCHAR, ', ' ORDER BY user_id::VARCHAR) AS sessions, count(*) >= 10 AS noise FROM events GROUP BY lower(trim(props)), event_type""")

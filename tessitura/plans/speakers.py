@@ -76,7 +76,11 @@ def v5_thresholds(spark, sf_dir):
     return found.select("label", *[F.round(F.col(c) * 10000).cast("long").alias(c) for c in ("lowest", "others")], "threshold", "gap")
 
 
-@query("v6_fingerprints")
+@query(
+    "v6_fingerprints",
+    f"""WITH {EV}, k AS (SELECT *, row_number() OVER (PARTITION BY slug, kind ORDER BY t, idx) AS k FROM ev)
+SELECT slug, kind, sha1(string_agg(round_even(t * 100, 0)::BIGINT || '-' || round_even((t + value) * 100, 0)::BIGINT, ',' ORDER BY k)) AS fingerprint FROM k WHERE k <= 40 GROUP BY slug, kind""",
+)
 def v6_fingerprints(spark, sf_dir):
     """A voice's decision holds while the first 40 of its turns, in centiseconds, are what they were."""
     from pyspark.sql import Window
@@ -172,12 +176,25 @@ def t8_presentation_index(spark, sf_dir):
     return attribution.presentation_index(listed, attribution.long_stretches(c, least=60.0)).withColumn("start", F.col("start").cast("long"))
 
 
-@query("t9_chapters")
+@query(
+    "t9_chapters",
+    f"""WITH RECURSIVE {SEG}, p AS (SELECT slug, CASE WHEN seg // 3 % 2 = 0 THEN 'a' ELSE 'b' END AS title, min(start) AS t FROM seg GROUP BY ALL HAVING sum("end" - start) >= 60),
+l AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY t, title) AS n FROM p), k(slug, n, idx, t, title) AS (SELECT DISTINCT slug, 0::BIGINT, 0, 0::DOUBLE, 'Introduction' FROM l
+  UNION ALL SELECT l.slug, l.n, x.idx + 1, l.t, l.title FROM (SELECT k.slug, k.idx, min(l.n) AS n FROM k JOIN l ON l.slug = k.slug AND l.n > k.n AND l.t - k.t >= 15 GROUP BY k.slug, k.idx) x JOIN l USING (slug, n)),
+c AS (SELECT *, count(*) OVER (PARTITION BY slug) AS m FROM k) SELECT slug, idx, t::BIGINT AS start, title FROM c WHERE m >= 2""",
+)
 def t9_chapters(spark, sf_dir):
     return attribution.chapters(_coarse(spark, sf_dir), fewest=2).withColumn("start", F.col("start").cast("long"))
 
 
-@query("t5_captions")
+@query(
+    "t5_captions",
+    f"""WITH {SEG}, x AS (SELECT slug, seg, start, "end", regexp_replace(text, '\\s+', ' ', 'g') AS text FROM seg), y AS (SELECT *, least("end" - start, length(text) / 12.5::DOUBLE + 0.5) AS d, string_split(trim(text), ' ') AS w FROM x),
+z AS (SELECT *, greatest(ceil(length(text) / 82::DOUBLE), ceil(d / 6), 1)::BIGINT AS n FROM y), p AS (SELECT *, unnest(range(n)) AS piece FROM z),
+q AS (SELECT slug, seg, piece, start + d * piece / n AS s, start + d * (piece + 1) / n AS e, array_to_string(w[floor(piece * len(w) / n::DOUBLE)::BIGINT + 1:floor((piece + 1) * len(w) / n::DOUBLE)::BIGINT], ' ') AS text FROM p),
+t AS (SELECT *, greatest(e, s + 1) AS f, lead(s) OVER (PARTITION BY slug ORDER BY s, piece) AS nxt FROM q WHERE text <> '')
+SELECT slug, seg, piece::INT AS piece, round(s * 100)::BIGINT AS start_cs, round(least(f, coalesce(nxt, f)) * 100)::BIGINT AS end_cs, text FROM t""",
+)
 def t5_captions(spark, sf_dir):
     pieces = attribution.caption_pieces(segments(spark, sf_dir).withColumn("text", F.regexp_replace("text", r"\s+", " ")), ["slug", "seg"])
     return attribution.tidy_captions(pieces, "slug").select("slug", "seg", "piece", _cs("start"), _cs("end"), "text")

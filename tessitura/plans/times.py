@@ -68,7 +68,13 @@ def j3_drop_outliers(spark, sf_dir):
     return timejoins.drop_outliers(events(spark, sf_dir), "slug", ["t", "idx"], "value", within=20.0).select("slug", "idx", cs("value"))
 
 
-@query("j4_shift_steps")
+@query(
+    "j4_shift_steps",
+    f"""WITH RECURSIVE {EV}, m AS (SELECT *, quantile_cont(value, 0.5) OVER (PARTITION BY slug ORDER BY t, idx ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING) AS m FROM ev),
+k AS (SELECT slug, t, value AS d, row_number() OVER (PARTITION BY slug ORDER BY t, value) AS n FROM m WHERE abs(value - m) <= 20),
+s(slug, n, t, d) AS (SELECT slug, n, 0::DOUBLE, d FROM k WHERE n = 1 UNION ALL SELECT k.slug, k.n, k.t, k.d FROM (SELECT s.slug, min(k.n) AS n FROM s JOIN k ON k.slug = s.slug AND k.n > s.n AND abs(k.d - s.d) > 10 GROUP BY s.slug, s.n) x JOIN k USING (slug, n))
+SELECT slug, round(t * 100)::BIGINT AS from_sec_cs, round(d * 100)::BIGINT AS delta_cs FROM s""",
+)
 def j4_shift_steps(spark, sf_dir):
     kept = timejoins.drop_outliers(events(spark, sf_dir), "slug", ["t", "idx"], "value", within=20.0)
     return timejoins.shift_steps(kept, "slug", "t", "value", 10.0).select("slug", cs("from_sec"), cs("delta"))
