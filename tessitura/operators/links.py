@@ -9,18 +9,30 @@ from pyspark.sql import functions as F
 
 from tessitura.functions.strings import count_words, fold
 
-# Second-level domains, hosts of kinds, words of parked and missing pages.
+# Second-level domains, hosts of kinds, hosts of parked pages.
 SECOND_LEVEL = ("co", "com", "org", "net", "ac", "gov")
 KINDS = {"instagram.com": "instagram", "facebook.com": "facebook", "x.com": "twitter", "twitter.com": "twitter", "youtube.com": "youtube", "youtu.be": "youtube", "linkedin.com": "linkedin", "vimeo.com": "vimeo"}
 PARKED_HOSTS = (
     "sedoparking.com", "sedo.com", "hugedomains.com", "dan.com", "afternic.com", "parkingcrew.net", "bodis.com", "above.com", "domainmarket.com", "buydomains.com",
     "parklogic.com", "undeveloped.com", "squadhelp.com", "brandbucket.com", "uniregistry.com", "sav.com", "domainsponsor.com", "hostgator.com/domain", "dynadot.com/market",
 )
-#: Those of them that are a path of a host.
-PARKED_PATHS = "(?i)://(?:[^/?#]*[.])?(?:" + "|".join(h.replace(".", "[.]") for h in PARKED_HOSTS if "/" in h) + ")"
-PARKED_TEXT = r"(?i)domain (?:name )?is for sale|buy this domain|this domain (?:may be|is) (?:for sale|parked)|domain parking"
-MISSING = r"(?i)\b404\b|page not found|not found|no longer (?:exists|available)|page doesn.t exist"
-PLACEHOLDER = r"(?i)coming soon|under construction|account suspended|site is not published"
+# What a parked page says, what the title of a missing page begins with, what that of a placeholder does,
+# hosts that only shorten addresses, and services that were renamed.
+PARKED_SAYS = (
+    "this domain (?:name )?(?:is|may be) (?:for sale|available)", "domain (?:name )?is for sale", "buy this domain", "the domain .{0,80} is for sale", "is parked",
+    "parked (?:free )?(?:at|by|domain|with)", "domain parking", "this (?:web ?)?page is parked", "this domain has expired", "domain (?:has )?expired",
+    "inquire (?:about|on) this domain", "make an offer (?:on|for) this domain", "for sale by owner", "related searches", "sponsored listings",
+)
+MISSING_TITLES = (
+    r"(?:error\s*)?(?:404|page not found|not found|site not found|domain not found|this site can.t be reached|account (?:has been )?suspended|website (?:is )?(?:suspended|disabled))\b",
+)
+PLACEHOLDER_TITLES = (
+    "coming soon", "under construction", "default web ?site page", "welcome to nginx", "apache2? (?:ubuntu )?default page", "index of /", "site (?:is )?not (?:yet )?published", "website expired",
+)
+SHORTENERS = ("bit.ly", "tinyurl.com", "goo.gl", "ow.ly", "t.co", "y.at", "linktr.ee", "lnk.bio")
+RENAMED = {"discordapp.com": "discord.com", "warpcast.com": "farcaster.xyz", "twitter.com": "x.com"}
+#: A page of fewer characters that sends on, of fewer words that offers a domain, of fewer words that holds a place.
+SHORT_PAGE, SHORT_OFFER, SHORT_PLACEHOLDER = 1500, 900, 80
 
 
 def host(url: Column) -> Column:
@@ -43,21 +55,37 @@ def kind_of(url: Column, alt: Column | None = None) -> Column:
     return F.coalesce(by_alt, by_host)
 
 
-def page_verdict(title: Column, text: Column, url: Column, final: Column) -> Column:
-    """What a fetched page is: parked, missing, a placeholder, moved elsewhere, its site's front page, or ok; the first that holds."""
-    n = count_words(text)
-    path = lambda u: F.regexp_replace(F.regexp_extract(u, r"^[a-zA-Z]+://[^/?#]*([^?#]*)", 1), "/+$", "")
-    away = registrable(host(final)) != registrable(host(url))
-    return (
-        F.when(registrable(host(final)).isin(*PARKED_HOSTS) | final.rlike(PARKED_PATHS), "parked")
-        .when((n < 900) & text.rlike(PARKED_TEXT), "parked")
-        .when((n < 30) & final.rlike("(?i)/lander"), "parked")
-        .when(title.rlike(MISSING) | path(final).rlike(r"(?i)/(?:404|not-found|error)(?:$|[/.])"), "missing")
-        .when((n < 80) & text.rlike(PLACEHOLDER), "placeholder")
-        .when(away, "moved")
-        .when((path(url) != "") & (path(final) == ""), "front page")
-        .otherwise("ok")
-    )
+def page_text(body: Column) -> Column:
+    """A page's text: without scripts, styles and tags."""
+    for tag in ("script", "style"):
+        body = F.regexp_replace(body, rf"(?is)<{tag}[^>]*>.*?</{tag}>", " ")
+    return F.regexp_replace(body, "<[^>]+>", " ")
+
+
+def page_title(body: Column) -> Column:
+    return F.trim(F.regexp_replace(F.regexp_extract(body, "(?is)<title[^>]*>(.*?)</title>", 1), r"\s+", " "))
+
+
+def page_verdict(body: Column, final: Column, url: Column) -> Column:
+    """What a page is that was fetched for url and came from final: parked (for sale, parked or a placeholder), broken (it only
+    says not found), changed (another site, or a site's front page for a page of it), or ok; the first that holds."""
+    site = host(final)
+    path = lambda u: F.trim(F.regexp_extract(u, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1), F.lit("/"))
+    full = F.lower(F.concat(site, F.regexp_extract(final, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)))
+    title, text = page_title(body), page_text(body)
+    n, short = count_words(text), F.length(body) < SHORT_PAGE
+    any_of = lambda parts: "(?:" + "|".join(parts) + ")"
+    parked = full.rlike(any_of(h.replace(".", "[.]") for h in PARKED_HOSTS))
+    parked = parked | short & (body.rlike("(?i)location[.]href\\s*=\\s*[\"']/lander") | body.contains("cgi-sys/defaultwebpage"))
+    gone = F.lower(path(final)).rlike("(?:^|/)(?:missing|not-?found|404)$") | title.rlike(r"(?i)^\W*" + any_of(MISSING_TITLES))
+    offered = text.rlike("(?i)" + any_of(PARKED_SAYS)) & (n < SHORT_OFFER) | title.rlike(r"(?i)^\W*" + any_of(PLACEHOLDER_TITLES)) & (n < SHORT_PLACEHOLDER)
+    old, new = registrable(host(url)), registrable(site)
+    shortened = host(url).rlike(any_of(h.replace(".", "[.]") for h in SHORTENERS) + "$")
+    renamed = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in RENAMED.items() for x in kv]), old) == new, F.lit(False))
+    front = (path(url) != "") & (path(final) == "") & (F.regexp_extract(final, r"[?]([^#]*)", 1) == "")
+    changed = ~shortened & ((old != new) & ~renamed | (old == new) & front)
+    verdict = F.when(parked, "parked").when(gone, "broken").when(offered, "parked").when(changed, "changed")
+    return F.coalesce(verdict, F.lit("ok"))
 
 
 def http_status(code: Column) -> Column:

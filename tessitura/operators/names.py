@@ -305,12 +305,37 @@ def name_cards(query: str, names: DataFrame, most: int = 3) -> DataFrame:
     return exact.union(starts).union(unique).groupBy("name").agg(F.max("s").alias("score")).orderBy(F.desc("score"), "name").limit(most)
 
 
+# Particles that stay with a last name, words that say a name is not a person's, and what may follow a name.
+PARTICLES = ("de", "da", "di", "do", "del", "della", "van", "von", "der", "den", "la", "le", "el", "al", "bin", "ben", "st", "mc", "dos", "das", "du")
+NOT_PERSONS = ("studio", "studios", "team", "collective", "lab", "labs", "works", "gallery", "museum", "foundation", "inc", "llc", "project", "projects", "media", "design", "network", "group", "club")
+TAILS = ("artist", "art", "studio", "official")
+
+
 def split_name(c: Column) -> Column:
-    """(first, last): particles go with the last name, and a name in brackets is the real one."""
-    real = F.regexp_extract(c, r"\(([^()]*\s[^()]*)\)", 1)
-    c = F.trim(F.regexp_replace(F.when(real != "", real).otherwise(F.regexp_replace(c, r"\s*\([^()]*\)", "")), r"\s+", " "))
-    last = F.regexp_extract(c, r"(?i)(?:^|\s)((?:(?:van|von|der|den|de|del|della|di|da|la|le|el|al|bin|ibn|ten|ter)\s+)*\S+)$", 1)
-    return F.struct(F.trim(F.left(c, F.greatest(F.length(c) - F.length(last), F.lit(0)))).alias("first"), last.alias("last"))
+    """(first, last) of a name as it is shown. A person's last name is the last word, with particles before it; a handle, one
+    word, a studio and the like have no first name. Real names in brackets count where they follow a single word; quotes,
+    what follows aka or a slash, and words like Artist at the end go."""
+    inner = F.regexp_extract(c, r"\(([^)]*)\)", 1)
+    bare = F.regexp_replace(F.regexp_replace(c, r"\s*\([^)]*\)", ""), '\\s*(?:"[^"]*"|“[^”]*”)', "")
+    bare = F.regexp_replace(F.regexp_replace(bare, r"\s+(?:aka|AKA|a\.k\.a\.?)\s.*$", ""), r"\s*/.*$", "")
+    words = lambda x: F.filter(F.split(F.trim(F.translate(x, "®™", "")), r"\s+"), lambda w: w != "")
+    real = (F.size(words(bare)) == 1) & (F.size(words(inner)) >= 2) & F.left(inner, F.lit(1)).rlike(r"\p{Lu}")
+    toks = F.when(real, words(inner)).otherwise(words(bare))
+
+    def split(t: Column) -> Column:
+        # As many words like Artist go as stand at the end, but two words always stay.
+        own = F.coalesce(F.array_max(F.transform(t, lambda w, i: F.when((i < 2) | ~F.lower(w).isin(*TAILS), i + 1))), F.size(t))
+        t = F.slice(t, F.lit(1), own)
+        n, size = F.array_join(t, " "), F.size(t)
+        letters = F.upper(n) != F.lower(n)
+        handle = (size < 2) | n.rlike("[0-9_]") | ((size >= 3) & (n == F.lower(n))) | n.rlike(rf"(?i)\b(?:{'|'.join(NOT_PERSONS)})\b") | ((n == F.upper(n)) & letters & (F.length(n) > 3))
+        # The run of particles right before the last word.
+        before = F.transform(t, lambda w, i: F.when((i < size - 1) & (i > 0) & F.lower(F.regexp_replace(w, r"^\.+|\.+$", "")).isin(*PARTICLES), F.lit(None)).when(i < size - 1, i + 1))
+        k = F.greatest(F.coalesce(F.array_max(before), F.lit(1)), F.lit(1))
+        whole = F.struct(F.lit("").alias("first"), F.when(n == "", c).otherwise(n).alias("last"))
+        return F.when(handle, whole).otherwise(F.struct(F.array_join(F.slice(t, F.lit(1), k), " ").alias("first"), F.array_join(F.slice(t, k + 1, size - k), " ").alias("last")))
+
+    return F.element_at(F.transform(F.array(toks), split), 1)
 
 
 def dictionary_mentions(sents: DataFrame, names: DataFrame, keys: Sequence[str], text_col: str = "sentence", sent_firsts: int = 200_000) -> DataFrame:

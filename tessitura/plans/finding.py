@@ -19,16 +19,17 @@ def l1_hosts(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", links.host(u).alias("host"), links.registrable(links.host(u)).alias("site"), links.kind_of(u).alias("kind"))
 
 
-def _fetched(spark, sf_dir):
-    k = F.col("page_id") % 7
-    p = table(spark, sf_dir, "pages").withColumn("title", F.regexp_extract("html", "<title>(.*?)</title>", 1)).withColumn("text", F.regexp_replace("html", "<[^>]+>", " "))
-    final = F.when(k == 1, "https://www.hugedomains.com/x").when(k == 3, "https://other.example.edu/a").when(k == 4, F.regexp_replace("url", "^(https?://[^/]*).*$", "$1/")).otherwise(F.col("url"))
-    return p.select("page_id", "url", F.when(k == 2, "404").otherwise(F.col("title")).alias("title"), F.when(k == 5, "Coming soon").when(k == 6, "Buy this domain").otherwise(F.col("text")).alias("text"), final.alias("final"))
-
-
-@query("l2_page_verdicts", r"SELECT page_id, CASE page_id % 7 WHEN 1 THEN 'parked' WHEN 6 THEN 'parked' WHEN 2 THEN 'missing' WHEN 5 THEN 'placeholder' WHEN 3 THEN 'moved' WHEN 4 THEN 'front page' ELSE 'ok' END AS verdict FROM pages")
+@query("l2_page_verdicts", "SELECT page_id, CASE page_id % 11 WHEN 1 THEN 'parked' WHEN 2 THEN 'broken' WHEN 3 THEN 'parked' WHEN 4 THEN 'changed' WHEN 5 THEN 'changed' WHEN 6 THEN 'broken' WHEN 8 THEN 'parked' WHEN 9 THEN 'parked' ELSE 'ok' END AS verdict FROM pages")
 def l2_page_verdicts(spark, sf_dir):
-    return _fetched(spark, sf_dir).select("page_id", links.page_verdict(F.col("title"), F.col("text"), F.col("url"), F.col("final")).alias("verdict"))
+    """Pages as they were fetched: one in eleven as it is, others sent on, offered, missing, renamed or empty."""
+    site = F.regexp_extract("url", "^([a-z]+://[^/?#]*)", 1)
+    titled = lambda t: F.concat(F.lit(f"<title>{t}</title>"), F.col("html"))
+    body = {2: titled("Error 404 - nothing"), 3: F.concat("html", F.lit("<p>The domain a.org is for sale</p>")), 8: F.lit("<script>location.href = '/lander'</script>"), 9: F.lit("<title>Coming soon</title>")}
+    final = {1: F.lit("https://www.hugedomains.com/x"), 4: F.lit("https://elsewhere.org/a"), 5: F.concat(site, F.lit("/")), 6: F.concat(site, F.lit("/not-found/")), 7: F.lit("https://elsewhere.org/a"), 10: F.lit("https://www.x.com/a")}
+    k = F.col("page_id") % 11
+    pick = lambda of, rest: F.coalesce(*[F.when(k == i, c) for i, c in of.items()], rest)
+    asked = pick({7: F.lit("https://bit.ly/a"), 10: F.lit("https://twitter.com/a")}, F.col("url"))
+    return table(spark, sf_dir, "pages").select("page_id", links.page_verdict(pick(body, F.col("html")), pick(final, asked), asked).alias("verdict"))
 
 
 @query("l3_status", "SELECT event_id, CASE WHEN code BETWEEN 200 AND 399 THEN 'ok' WHEN code IN (0, 404, 410) THEN 'broken' ELSE 'unverified' END AS status FROM (SELECT event_id, CASE event_id % 5 WHEN 0 THEN 200 WHEN 1 THEN 404 WHEN 2 THEN 403 WHEN 3 THEN 0 ELSE 301 END AS code FROM events)")

@@ -197,10 +197,13 @@ def n21_identities(spark, sf_dir):
     return people.identities(both, "id", ["number", "site", "handle"], "when", F.col("surname"), F.col("initial"))
 
 
-@query("n22_split_names", "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN string_split(p_name, ' ')[1] ELSE 'Jan' END AS first, CASE WHEN p_partkey % 2 = 0 THEN 'van der ' || string_split(p_name, ' ')[2] ELSE 'de Wit' END AS last FROM part")
+@query("n22_split_names", """WITH p AS (SELECT p_partkey, upper(left(w[1], 1)) || substr(w[1], 2) AS a, upper(left(w[2], 1)) || substr(w[2], 2) AS b FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part))
+SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN a WHEN 1 THEN 'Jan' WHEN 2 THEN '' ELSE a END AS first, CASE p_partkey % 4 WHEN 0 THEN 'van der ' || b WHEN 1 THEN 'de Wit' WHEN 2 THEN a || ' ' || b || ' Gallery' ELSE b END AS last FROM p""")
 def n22_split_names(spark, sf_dir):
+    """Names with particles, handles with the real name in brackets, galleries, and names with what follows a name."""
     w = F.split("p_name", " ")
-    shown = F.when(F.col("p_partkey") % 2 == 0, F.concat(w[0], F.lit(" van der "), w[1])).otherwise(F.concat("p_name", F.lit(" (Jan de Wit)")))
+    a, b = (F.concat(F.upper(F.left(x, F.lit(1))), F.substr(x, F.lit(2))) for x in (w[0], w[1]))
+    shown = F.element_at(F.array(F.concat(a, F.lit(" van der "), b), F.concat(a, F.lit(" (Jan de Wit)")), F.concat_ws(" ", a, b, F.lit("Gallery")), F.concat(a, F.lit(' "Sparrow" '), b, F.lit(" aka Annie"))), (F.col("p_partkey") % 4 + 1).cast("int"))
     return table(spark, sf_dir, "part").select("p_partkey", names.split_name(shown).alias("n")).select("p_partkey", "n.first", "n.last")
 
 

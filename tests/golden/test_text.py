@@ -166,3 +166,60 @@ def test_long_values_are_whole(spark):
     turns = spark.createDataFrame([(1, 0, 0.0, "Audio shared by " + "n" * 3000)], "slug int, idx int, start double, speaker string")
     slots = spark.createDataFrame([], "slug int, s_start double, presenter string")
     assert attribution.presenter_of_runs(turns, slots).first().speaker == "n" * 3000
+
+
+def test_decades(spark):
+    for text, want in {
+        "19 Sixties and seventies": "1960s and 70s",
+        "In 19 hundreds or 19 twenties": "In 1900s or 20s",
+        "1960s and 1970s and 1980s and nineties": "1960s and 70s and 1980s and 90s",
+        "119 sixties, 19 sixtiesx, 19  sixties": "119 sixties, 19 sixtiesx, 19  sixties",
+        "sixties to 1970s through 1980S": "sixties to 1970s through 80S",
+        "": "",
+    }.items():
+        assert one(spark, text, clean.fix_decades) == want
+
+
+def test_split_names(spark):
+    for shown, want in {
+        "Jan van der Berg": ("Jan", "van der Berg"),
+        "Ana de Sá": ("Ana", "de Sá"),
+        "Fahn (James Gardiner)": ("James", "Gardiner"),
+        "Beau Tardy Artist": ("Beau", "Tardy"),
+        "Ann Lee aka Annie B": ("Ann", "Lee"),
+        'Ann "Sparrow" Lee / Studio Lee': ("Ann", "Lee"),
+        "Blue Studio": ("", "Blue Studio"),
+        "pixel_ann two": ("", "pixel_ann two"),
+        "ANN LEE": ("", "ANN LEE"),
+        "ann": ("", "ann"),
+        "Mary Ann St. Clair": ("Mary Ann", "St. Clair"),
+        "Van Morrison": ("Van", "Morrison"),
+    }.items():
+        assert tuple(one(spark, shown, names.split_name)) == want, shown
+
+
+def test_page_verdicts(spark):
+    from tessitura.operators import links
+
+    long = "word " * 1000
+    rows = [
+        ("<title>Ann Lee</title><p>work</p>", "https://ann.org/a", "https://ann.org/a", "ok"),
+        (f"{long} buy this domain", "https://ann.org/a", "https://ann.org/a", "ok"),
+        ("Related Searches", "https://ann.org/a", "https://ann.org/a", "parked"),
+        ("<style>buy this domain</style><b>x</b>", "https://ann.org/a", "https://ann.org/a", "ok"),
+        ("x", "https://sub.dan.com/ann.org", "https://ann.org/", "parked"),
+        ("x", "https://ann.org/missing", "https://ann.org/a", "broken"),
+        ("<TITLE>\n Page not\nfound | Ann</TITLE>", "https://ann.org/a", "https://ann.org/a", "broken"),
+        ("<title>Index of /</title>", "https://ann.org/", "https://ann.org/", "parked"),
+        ("x", "https://www.ann.org/b/", "http://ann.org/a", "ok"),
+        ("x", "https://ann.org", "https://ann.org/a", "changed"),
+        ("x", "https://ann.org/?p=1", "https://ann.org/a", "ok"),
+        ("x", "https://bob.org/a", "https://ann.org/a", "changed"),
+        ("x", "https://bob.org/a", "https://t.co/a", "ok"),
+        ("x", "https://discord.com/a", "https://discordapp.com/a", "ok"),
+        ("x", "https://ann.co.uk/", "https://bob.co.uk/", "changed"),
+        ("", "https://ann.org/a", "https://ann.org/a", "ok"),
+    ]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, body string, final string, url string, want string")
+    got = df.withColumn("got", links.page_verdict(F.col("body"), F.col("final"), F.col("url"))).collect()
+    assert [(r.i, r.got) for r in got] == [(r.i, r.want) for r in got]
