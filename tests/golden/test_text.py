@@ -223,3 +223,57 @@ def test_page_verdicts(spark):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, body string, final string, url string, want string")
     got = df.withColumn("got", links.page_verdict(F.col("body"), F.col("final"), F.col("url"))).collect()
     assert [(r.i, r.got) for r in got] == [(r.i, r.want) for r in got]
+
+
+def test_name_variants_against_all_pairs(spark, sf_dir):
+    """The registered query's rows, from every word compared to every name word."""
+    import difflib
+    import re
+    from collections import defaultdict
+
+    from tessitura.plans import QUERIES
+    from tessitura.plans.naming import _misspelt, _people
+
+    texts = {r.doc_id: re.findall(r"[^\W\d_]+", r.text.lower()) for r in _misspelt(spark, sf_dir).collect()}
+    people = {r.name for r in _people(spark, sf_dir).collect()}
+    ends = {n: (n.lower().split(" ")[0], n.lower().split(" ")[-1]) for n in people}
+    vocabulary, close = {w for ws in texts.values() for w in ws}, {}
+    for k in {x for e in ends.values() for x in e}:
+        found = []
+        for w in vocabulary:
+            if 2 * min(len(w), len(k)) / (len(w) + len(k)) >= 0.8 and (r := difflib.SequenceMatcher(None, w, k).ratio()) >= 0.8:
+                found.append((-r, w))
+        close[k] = {w: -r for r, w in sorted(found)[:25]}
+    hits = defaultdict(set)
+    for name, (fa, fb) in ends.items():
+        for a, ra in close[fa].items():
+            for b, rb in close[fb].items():
+                if (a, b) != (fa, fb) and (a == fa or b == fb or (ra >= 0.85 and rb >= 0.85)):
+                    hits[a, b].add(name)
+    want = defaultdict(list)
+    for i, ws in texts.items():
+        for pair in zip(ws, ws[1:]):
+            for name in hits.get(pair, ()):
+                want[(*pair, name)].append(i)
+    got = {(r["first"], r["last"], r["name"]): (r.times, r.texts) for r in QUERIES["n10_name_variants"](spark, sf_dir).collect()}
+    assert got == {k: (len(v), len(set(v))) for k, v in want.items()} and got
+
+
+def test_spellings_against_the_fold(spark, sf_dir):
+    import difflib
+    from collections import defaultdict
+
+    from tessitura.plans import QUERIES
+
+    counts = defaultdict(dict)
+    for r in spark.read.parquet(f"{sf_dir}/part.parquet").collect():
+        counts[r.p_brand][r.p_name] = counts[r.p_brand].get(r.p_name, 0) + 1
+    want = set()
+    for brand, names_ in counts.items():
+        kept = []
+        for name, n in sorted(names_.items(), key=lambda x: (-x[1], x[0])):
+            into = next((k for k in kept if difflib.SequenceMatcher(None, name.lower(), k.lower()).ratio() >= 0.8), None)
+            if into is None:
+                kept.append(name)
+            want.add((brand, name, n, into or name))
+    assert {(r.slug, r.name, r.n, r.merged) for r in QUERIES["n14_merge_spellings"](spark, sf_dir).collect()} == want
