@@ -41,7 +41,7 @@ def place_suggestions(suggestions: DataFrame, paragraphs: DataFrame, key: str, p
     head = out(s.where(F.length("_o") >= prefix).join(p, same & (F.left("_o", F.lit(prefix)) == F.left("_p", F.lit(prefix)))), 2)
     rest = s.join(exact.union(head).select("sid").distinct(), "sid", "left_anti")
     slot = lambda c: F.floor(c / within)
-    near = rest.withColumn("_b", F.explode(F.sequence(slot(F.col("t") - within), slot(F.col("t") + within)))).join(p.withColumn("_pb", slot(F.col("start"))), same & (F.col("_b") == F.col("_pb")))
+    near = rest.withColumn("_b", F.explode(F.sequence(slot(F.col("t") - within), slot(F.col("t") + within)))).hint("merge").join(p.withColumn("_pb", slot(F.col("start"))).hint("merge"), same & (F.col("_b") == F.col("_pb")))
     near = near.where((F.abs(F.col("start") - F.col("t")) <= within) & (ratio_bound(F.col("_o"), F.col("_p")) >= least)).withColumn("_r", ratcliff_ratio("_o", "_p")).where(F.col("_r") >= least)
     found = exact.union(head).union(out(near, 3))
     return found.groupBy(key, "sid").agg(F.min(F.struct("tier", "gap", "seg", "para")).alias("b")).select(key, "sid", "b.seg", "b.para", "b.tier")

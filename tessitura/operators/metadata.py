@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessitura.functions.strings import either, fold, seconds_of
 
-from .timejoins import interval_join
+from .timejoins import asof_last, interval_join
 
 MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
 LONG_DATE = rf"(?iU)\b(?:{'|'.join(MONTHS)})\s+\d{{1,2}}(?:st|nd|rd|th)?,?\s+\d{{4}}\b"
@@ -93,15 +93,21 @@ def iso_duration(seconds: Column) -> Column:
 
 
 def fill_numbers(items: DataFrame, series: str, number: str, order: Sequence[str]) -> DataFrame:
-    """items with the missing numbers of a series filled in: first the gaps below its largest, then on from there, in order."""
-    known = items.where(F.col(number).isNotNull()).select(series, F.col(number).alias("_n")).distinct()
-    top = known.groupBy(series).agg(F.max("_n").alias("_max"))
-    need = items.where(F.col(number).isNull()).groupBy(series).agg(F.count("*").alias("_need"))
-    # The free numbers up to the largest plus as many as are needed: that many suffice.
-    free = need.join(top, series, "left").select(series, F.explode(F.sequence(F.lit(1), (F.coalesce("_max", F.lit(0)) + F.col("_need")).cast("int"))).alias("_n"))
-    free = free.hint("merge").join(known.hint("merge"), [series, "_n"], "left_anti").withColumn("_k", F.row_number().over(Window.partitionBy(series).orderBy("_n")))
+    """items with the missing numbers of a series filled in: first the gaps below its largest, then on from there, in order.
+
+    A gap lies between neighbouring numbers and is one row, however wide: the k-th item without a number takes its place in
+    the last gap that begins at or before k free numbers.
+    """
+    known = items.where(F.col(number) >= 1).select(F.col(series).alias("_s"), F.col(number).cast("long").alias("_n")).distinct()
+    by_number = Window.partitionBy("_s").orderBy("_n")
+    below = known.select("_s", (F.coalesce(F.lag("_n").over(by_number), F.lit(0)) + 1).alias("_lo"), F.col("_n").alias("_hi"))
+    above = items.select(F.col(series).alias("_s")).distinct().join(known.groupBy("_s").agg(F.max("_n").alias("_m")).hint("merge"), "_s", "left").select("_s", (F.coalesce("_m", F.lit(0)) + 1).alias("_lo"), F.lit(1 << 62).alias("_hi"))
+    gaps = below.where("_hi > _lo").union(above)
+    free = F.sum(F.col("_hi") - F.col("_lo")).over(Window.partitionBy("_s").orderBy("_lo").rowsBetween(Window.unboundedPreceding, -1))
+    gaps = gaps.select(F.col("_s").alias(series), "_lo", F.coalesce(free, F.lit(0)).alias("_before")).withColumn("_at", F.col("_before") + 1)
     open_ = items.where(F.col(number).isNull()).withColumn("_k", F.row_number().over(Window.partitionBy(series).orderBy(*order)))
-    filled = open_.hint("merge").join(free.hint("merge"), [series, "_k"]).withColumn(number, F.col("_n").cast(items.schema[number].dataType)).select(items.columns)
+    placed = asof_last(open_, gaps, series, "_k", "_at", ["_lo", "_before"])
+    filled = placed.withColumn(number, (F.col("_lo") + F.col("_k") - F.col("_before") - 1).cast(items.schema[number].dataType)).select(items.columns)
     return items.where(F.col(number).isNotNull()).union(filled)
 
 

@@ -120,7 +120,7 @@ def name_findings(
 
     # Only windows that begin as some name of the index does; the few beginnings are written, so that their size is true.
     begin = written(index_pool.select("n", "_f").distinct(), "beginnings")
-    close = similarity_join(w.select("heard", "n", "_f").join(begin, ["n", "_f"], "left_semi").distinct(), index_pool, "heard", "p", INDEX[1], ["n", "_f"])
+    close = similarity_join(w.select("heard", "n", "_f").join(begin.hint("shuffle_hash"), ["n", "_f"], "left_semi").distinct(), index_pool, "heard", "p", INDEX[1], ["n", "_f"])
     hits = w.hint("merge").join(close.hint("merge"), "heard").join(index_pool.select("name", "p").hint("merge"), "p")
     # A name of the text's own recording is judged as such only.
     other = _best(hits, keys).join(scoped_pool.select(*scope, "name").hint("merge"), [*scope, "name"], "left_anti").withColumn("pool", F.lit("index"))
@@ -188,6 +188,6 @@ def session_speakers(labels: DataFrame, speakers: DataFrame, index: DataFrame, s
     best = scored.groupBy(*scope, label).agg(F.min_by(F.struct("_name", "_ratio"), F.struct(-F.col("_ratio"), "_name")).alias("_b")).where(F.col("_b._ratio") >= least)
     people = index.select(low(F.col("name")).alias("_person"), F.lit(True).alias("_listed")).distinct()
     last = lambda c: F.element_at(F.split(low(c), r"(?U)\s+"), -1)
-    best = best.join(people, low(F.col(label)) == F.col("_person"), "left").where(F.col("_listed").isNull() | (last(F.col(label)) == last(F.col("_b._name"))))
+    best = best.hint("merge").join(people.hint("merge"), low(F.col(label)) == F.col("_person"), "left").where(F.col("_listed").isNull() | (last(F.col(label)) == last(F.col("_b._name"))))
     best = best.select(*[F.col(c).alias(f"_key_{c}") for c in (*scope, label)], F.col("_b._name").alias("_name"))
-    return labels.join(best, [F.col(c) == F.col(f"_key_{c}") for c in (*scope, label)], "left").select(*labels.columns, F.coalesce("_name", label).alias(out))
+    return labels.join(best.hint("merge"), [F.col(c) == F.col(f"_key_{c}") for c in (*scope, label)], "left").select(*labels.columns, F.coalesce("_name", label).alias(out))

@@ -192,8 +192,8 @@ def resolve_country(rows: DataFrame, known: DataFrame, name: str, location: str)
     suffix = F.create_map(*[F.lit(x) for kv in COUNTRIES.items() for x in kv])
     r = r.withColumn("_tails", tails).withColumn("_suffix", F.get(F.filter(F.transform("_tails", lambda t: F.try_element_at(suffix, t)), lambda x: x.isNotNull()), F.lit(0)))
     places = r.select("_l", "_tails").distinct()
-    ended = places.select(F.col("_l").alias("_place"), F.explode("_tails").alias("_v")).join(valid, "_v").groupBy("_place").agg(F.max_by("_valid", F.length("_v")).alias("_ended"))
-    r = r.join(ended, F.col("_l") == F.col("_place"), "left")
+    ended = places.select(F.col("_l").alias("_place"), F.explode("_tails").alias("_v")).hint("merge").join(valid.hint("merge"), "_v").groupBy("_place").agg(F.max_by("_valid", F.length("_v")).alias("_ended"))
+    r = r.join(ended.hint("merge"), F.col("_l") == F.col("_place"), "left")
     state = F.when(F.element_at(words, -1).isin(*STATES), "USA")
     return r.select(*rows.columns, F.coalesce("_by_name", "_suffix", "_ended", state).alias("resolved"))
 
@@ -236,7 +236,7 @@ def name_candidates(texts: DataFrame, names: DataFrame, keys: Sequence[str], lea
     p = names.select("name", F.lower("name").alias("_p"), F.size(F.split("name", " ")).alias("n"), F.lower(F.left("name", F.lit(1))).alias("_f")).where(F.col("n").isin(*sizes))
     distinct = w.select("_m", "n", "_f").distinct()
     pairs = similarity_join(distinct, p, "_m", "_p", least, ["n", "_f"]).where("_m <> _p")
-    hits = w.join(pairs, "_m").join(p.select("name", "_p"), "_p")
+    hits = w.hint("merge").join(pairs.hint("merge"), "_m").join(p.select("name", "_p").hint("merge"), "_p")
     best = F.max_by(F.struct("matched", "idx", "ratio"), F.struct("ratio", -F.col("idx")))
     return hits.groupBy(*keys, "name").agg(best.alias("b")).select(*keys, "name", "b.matched", "b.idx", "b.ratio")
 
@@ -252,10 +252,10 @@ def name_variants(texts: DataFrame, names: DataFrame, key: str, least: float = 0
     close = close.withColumn("_r", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("ratio"), "w"))).where(F.col("_r") <= closest).drop("_r")
     ca = close.select(F.col("w").alias("a"), F.col("k").alias("fa"), F.col("ratio").alias("ra"))
     cb = close.select(F.col("w").alias("b"), F.col("k").alias("fb"), F.col("ratio").alias("rb"))
-    hit = n.join(ca, "fa").join(cb, "fb").where("not (a = fa and b = fb)").where((F.col("a") == F.col("fa")) | (F.col("b") == F.col("fb")) | ((F.col("ra") >= both) & (F.col("rb") >= both)))
+    hit = n.join(ca.hint("merge"), "fa").join(cb.hint("merge"), "fb").where("not (a = fa and b = fb)").where((F.col("a") == F.col("fa")) | (F.col("b") == F.col("fb")) | ((F.col("ra") >= both) & (F.col("rb") >= both)))
     # Only pairs that hit are counted: the texts' pairs meet the few hits before they are grouped.
     pairs = rows.select(key, F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.struct(F.element_at("w", i).alias("a"), F.element_at("w", i + 1).alias("b")))).alias("p")).select(key, "p.a", "p.b")
-    found = pairs.join(hit.select("a", "b", "name").distinct(), ["a", "b"])
+    found = pairs.hint("merge").join(hit.select("a", "b", "name").distinct().hint("merge"), ["a", "b"])
     return found.groupBy(F.col("a").alias("first"), F.col("b").alias("last"), "name").agg(F.count("*").alias("times"), F.count_distinct(key).alias("texts"))
 
 

@@ -63,7 +63,7 @@ def trouble_report(segments: DataFrame, crosscheck: DataFrame | None = None, key
     loops = sentence_loops(sents, key, ["seg", "para", "sent"])
     phantoms = sents.groupBy(key).agg(F.count_if(F.col("sentence").rlike(PHANTOMS)).alias("phantoms"))
     gaps = long_gaps(segments.join(base.select(key, "seconds"), key), key, "start", "seconds")
-    found = base.join(loops, key, "left").join(phantoms, key, "left").join(gaps, key, "left")
+    found = base.join(loops.hint("merge"), key, "left").join(phantoms.hint("merge"), key, "left").join(gaps.hint("merge"), key, "left")
     if crosscheck is not None:
         found = found.join(crosscheck, key, "left")
     else:

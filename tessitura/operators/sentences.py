@@ -79,9 +79,9 @@ def time_maps(words_: DataFrame, texts: DataFrame, key: str, text_col: str = "te
     t = tokens(texts, [key, "para"], text_col)
     t = t.withColumn("n", F.row_number().over(Window.partitionBy(key).orderBy("para", "idx")) - 1)
     size = t.withColumn("_len", F.length("token")).groupBy(key, "para").agg(F.max(F.col("at") + F.col("_len")).alias("len"))
-    counts = t.groupBy(key).agg(F.count("*").alias("a")).join(words_.groupBy(key).agg(F.count("*").alias("b")), key).where("a = b").select(key)
+    counts = t.groupBy(key).agg(F.count("*").alias("a")).hint("merge").join(words_.groupBy(key).agg(F.count("*").alias("b")).hint("merge"), key).where("a = b").select(key)
     w = words_.select(key, (F.row_number().over(Window.partitionBy(key).orderBy("start", "idx")) - 1).alias("n"), F.col("start").alias("sec"))
-    return t.join(w, [key, "n"]).join(size, [key, "para"]).join(counts, key, "left_semi").select(key, "para", "idx", (F.col("at") / F.greatest(F.col("len"), F.lit(1))).alias("frac"), "sec")
+    return t.hint("merge").join(w.hint("merge"), [key, "n"]).join(size.hint("merge"), [key, "para"]).join(counts.hint("merge"), key, "left_semi").select(key, "para", "idx", (F.col("at") / F.greatest(F.col("len"), F.lit(1))).alias("frac"), "sec")
 
 
 def paragraph_starts(segments: DataFrame, keys: list[str], starts_col: str = "starts", start_col: str = "start", para_break: str = "\n\n") -> DataFrame:

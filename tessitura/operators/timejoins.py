@@ -295,5 +295,5 @@ def fine_shift(left: DataFrame, right: DataFrame, key: str, gram: str, at: str,
 def shift_words(words: DataFrame, shifts: DataFrame, key: str, at: str) -> DataFrame:
     """words moved by their key's accepted shift(key, shift, accepted); those that would be before the start are dropped."""
     s = shifts.where("accepted").select(key, F.col("shift").alias("_shift"))
-    moved = words.join(s, key, "left").withColumn(at, F.col(at) + F.coalesce("_shift", F.lit(0.0)))
+    moved = words.join(s.hint("merge"), key, "left").withColumn(at, F.col(at) + F.coalesce("_shift", F.lit(0.0)))
     return moved.where(F.col("_shift").isNull() | (F.col(at) >= 0)).select(*words.columns)

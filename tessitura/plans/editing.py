@@ -157,7 +157,7 @@ def v2_combined_names(spark, sf_dir):
     b = e.where("idx % 2 = 1").groupBy("slug", "kind").agg(F.max(F.when(F.col("value") > 60, "Anna Lee").otherwise("Bob")).alias("b"))
     j = a.join(b, ["slug", "kind"], "full")
     alike = j.select("a", "b").where("a is not null and b is not null").distinct().withColumn("r", names.ratcliff_ratio("a", "b"))
-    j = j.join(alike, ["a", "b"], "left")
+    j = j.join(alike.hint("merge"), ["a", "b"], "left")
     status = F.when(F.col("r") >= 0.75, "confirmed").when(F.col("r").isNotNull(), "conflict").when(F.coalesce("a", "b").isNotNull(), "single").otherwise("none")
     return j.select("slug", "kind", status.alias("status"), F.when(status != "conflict", F.coalesce("b", "a")).alias("name"))
 
@@ -210,7 +210,7 @@ def n18_introductions(spark, sf_dir):
     s = segments(spark, sf_dir).withColumn("said", said)
     s = s.withColumn("name", F.coalesce(*[F.nullif(F.regexp_extract("said", "(?U)" + p, 1), F.lit("")) for p in patterns]))
     known = table(spark, sf_dir, "part").select(names.person_key(F.col("p_name")).alias("k")).distinct()
-    return s.join(known, names.person_key(F.col("name")) == F.col("k"), "left_semi").select("slug", "seg", "name", F.round(F.col("start") * 100).cast("long").alias("start_cs"))
+    return s.hint("merge").join(known.hint("merge"), names.person_key(F.col("name")) == F.col("k"), "left_semi").select("slug", "seg", "name", F.round(F.col("start") * 100).cast("long").alias("start_cs"))
 
 
 @query("n19_article_matches", r"SELECT page_id, contains(lower(regexp_extract(html, '<title>(.*?)</title>', 1)), 'the ') AS in_title, regexp_matches(lower(left(regexp_replace(html, '<[^>]+>', ' ', 'g'), 600)), '\b(?:and|with)\b') AS fits FROM pages")
@@ -229,7 +229,7 @@ def n11_notable_names(spark, sf_dir):
     found = found.select(F.substring_index("x", " ", 1).alias("first"), F.lower(F.substring_index("x", " ", -1)).alias("last"), "times")
     known = p.select(F.substring_index("name", " ", 1).alias("first"), F.lower(F.substring_index("name", " ", -1)).alias("known")).distinct()
     pairs = names.similarity_join(found, known, "last", "known", 0.6, ["first"])
-    return found.join(pairs.where("last <> known"), "last").join(known, ["first", "known"], "left_semi").select("first", "last", "known", "times").distinct()
+    return found.hint("merge").join(pairs.where("last <> known").hint("merge"), "last").join(known.hint("merge"), ["first", "known"], "left_semi").select("first", "last", "known", "times").distinct()
 
 
 @query(

@@ -134,7 +134,7 @@ def s19_synopsis_points(spark, sf_dir):
     text = F.concat("text", F.lit(" [["), F.format_string("%d:05", (F.col("doc_id") % 50).cast("int")), F.lit("|the start]] [[1:00:05|end]]"))
     d = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
     plain = d.select("doc_id", F.length(sites.synopsis_plain(F.col("text"))).cast("long").alias("n"))
-    return sites.synopsis_points(d, "doc_id").join(plain, "doc_id")
+    return sites.synopsis_points(d, "doc_id").hint("merge").join(plain.hint("merge"), "doc_id")
 
 
 @query("k1_corpus_documents", rf"""WITH {FLAT}, b AS (SELECT slug, string_agg('## ' || coalesce(speaker, 'Unattributed') || ' [' || printf('%02d:%02d', start::INT // 60, start::INT % 60) || '](https://v.example/?v=' || slug || '&t=' || start::INT || 's)' || chr(10) || chr(10) || text, chr(10) || chr(10) ORDER BY seg) AS t, count(*) AS n, sum(len(regexp_extract_all(text, '\S+'))) AS w FROM fl GROUP BY slug)

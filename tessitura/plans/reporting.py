@@ -177,7 +177,7 @@ def a19_contact_counts(spark, sf_dir):
 def a21_latest_per_type(spark, sf_dir):
     o = table(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "type")
     n = o.groupBy("type").agg(F.count("*").alias("n"))
-    return reports.top_per(o, ["type"], [F.desc("o_orderdate"), F.desc("o_orderkey")], 3).join(F.broadcast(n), "type").select("type", "o_orderkey", "rank", "n")
+    return reports.top_per(o, ["type"], [F.desc("o_orderdate"), F.desc("o_orderkey")], 3).join(n.hint("merge"), "type").select("type", "o_orderkey", "rank", "n")
 
 
 @query("a22_shared_pictures", r"WITH u AS (SELECT page_id, regexp_extract(url, '://([^/]*)', 1) AS picture FROM pages), n AS (SELECT *, count(*) OVER (PARTITION BY picture) AS used FROM u) SELECT page_id, picture, used::BIGINT AS used, used >= 2 AS generic, CASE WHEN used < 2 THEN 'own' WHEN l.doc_id IS NOT NULL THEN 'labelled' ELSE 'none' END AS tier FROM n LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = page_id")

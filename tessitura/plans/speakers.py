@@ -103,9 +103,9 @@ def v7_nametag_boundaries(spark, sf_dir):
     return attribution.boundaries(_samples(spark, sf_dir).select("slug", "t", "name"), hold=36000.0, flicker=7200.0).select("slug", _cs("start"), _cs("end"), "name")
 
 
-@query("v9_boundary_source", f"WITH {EV}, b AS (SELECT *, CASE kind WHEN 'purchase' THEN 1 WHEN 'signup' THEN 2 WHEN 'error' THEN 3 ELSE 4 END AS p FROM ev WHERE value > 150), m AS (SELECT slug, min(p) AS p FROM b GROUP BY slug) SELECT b.slug, idx, kind FROM b JOIN m USING (slug, p)")
+@query("v9_boundary_source", f"WITH {EV}, b AS (SELECT *, CASE kind WHEN 'purchase' THEN 1 WHEN 'signup' THEN 2 WHEN 'error' THEN 3 ELSE 4 END AS p FROM ev), m AS (SELECT slug, min(p) AS p FROM b GROUP BY slug) SELECT b.slug, idx, kind FROM b JOIN m USING (slug, p)")
 def v9_boundary_source(spark, sf_dir):
-    return attribution.by_priority(events(spark, sf_dir).where("value > 150"), "slug", "kind", ["purchase", "signup", "error"]).select("slug", "idx", "kind")
+    return attribution.by_priority(events(spark, sf_dir), "slug", "kind", ["purchase", "signup", "error"]).select("slug", "idx", "kind")
 
 
 @query("v10_transcript_source", "WITH d AS (SELECT doc_id // 4 AS rec, doc_id, coalesce(CASE WHEN l.quality = 0 THEN 'override' END, lang) AS src FROM documents LEFT JOIN labels l USING (doc_id)), p AS (SELECT *, CASE src WHEN 'override' THEN 1 WHEN 'de' THEN 2 WHEN 'fr' THEN 3 ELSE 4 END AS p FROM d) SELECT rec, doc_id, src FROM p QUALIFY p = min(p) OVER (PARTITION BY rec)")

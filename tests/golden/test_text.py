@@ -277,3 +277,11 @@ def test_spellings_against_the_fold(spark, sf_dir):
                 kept.append(name)
             want.add((brand, name, n, into or name))
     assert {(r.slug, r.name, r.n, r.merged) for r in QUERIES["n14_merge_spellings"](spark, sf_dir).collect()} == want
+
+
+def test_gaps_are_filled(spark):
+    from tessitura.operators import metadata
+
+    rows = [("a", 1, 0), ("a", 2, 1), ("a", 1_000_000_000, 2), ("a", None, 3), ("a", None, 4), ("b", None, 0), ("b", None, 1), ("c", 2, 0), ("c", 5, 1), *[("c", None, i) for i in range(2, 7)]]
+    got = metadata.fill_numbers(spark.createDataFrame(rows, "series string, number int, i int"), "series", "number", ["i"]).collect()
+    assert {(r.series, r.i): r.number for r in got if r.number != 1_000_000_000} == {("a", 0): 1, ("a", 1): 2, ("a", 3): 3, ("a", 4): 4, ("b", 0): 1, ("b", 1): 2, ("c", 0): 2, ("c", 1): 5, ("c", 2): 1, ("c", 3): 3, ("c", 4): 4, ("c", 5): 6, ("c", 6): 7}
