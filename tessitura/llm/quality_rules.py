@@ -9,6 +9,7 @@ the limit: twice the prior's mean, one half at most. Hosts that are all alike ar
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import lgamma
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,8 @@ TIMES_MEAN, MAX_RATE, SURE = 2.0, 0.5, 1.645
 #: Up to so many hosts are sent to all executors.
 SENT_HOSTS = 200_000
 SALT = 16
-#: The prior's weight in documents: at least, at most, and where all hosts' rates are equal.
-LEAST_WEIGHT, MOST_WEIGHT, EVEN_WEIGHT = 1.0, 1000.0, 10.0
+#: The prior's weights in documents that are tried, and the one where no host has two documents.
+WEIGHTS, EVEN_WEIGHT = tuple(float(1 << k) for k in range(11)), 10.0
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -95,22 +96,46 @@ def rules() -> dict[str, Column]:
     }
 
 
+def _likelihoods(counts: DataFrame, means: dict[str, float]) -> DataFrame:
+    """(rule, weight, ll): for each weight of the prior the log likelihood of counts(rule, docs, failed, hosts)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, float], float] = {}
+        g = lgamma
+        for b in batches:
+            for rule, n, k, hosts in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for w in WEIGHTS:
+                    x, y = means[rule] * w, (1 - means[rule]) * w
+                    sums[rule, w] = sums.get((rule, w), 0.0) + hosts * (g(k + x) - g(x) + g(n - k + y) - g(y) + g(w) - g(n + w))
+        rows = [(r, w, ll) for (r, w), ll in sums.items()]
+        columns = list(zip(*rows, strict=True)) or [[], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.float64()), strict=True)], names=["rule", "weight", "ll"])
+
+    return counts.select("rule", "docs", "failed", "hosts").mapInArrow(run, "rule string, weight double, ll double").groupBy("rule", "weight").agg(F.sum("ll").alias("ll"))
+
+
 def host_verdicts(measured: DataFrame, max_rate: float = MAX_RATE, times_mean: float = TIMES_MEAN, sure: float = SURE) -> DataFrame:
     """(host, docs, host_kept) for each host: kept unless for some rule the shrunk failure rate, less sure standard
     deviations of its posterior, is over times_mean the prior's mean or over max_rate.
 
-    The prior's mean and weight fit the mean and variance of the hosts' own rates. Rows with a null host count for none.
+    The prior's mean is all documents' rate. Its weight is the one of WEIGHTS under which the hosts' counts are likeliest
+    (beta-binomial, so that chance is not taken for difference); of equals the largest. Hosts of one document say nothing
+    about it, however many they are, and where there are no others it is a middle one. Rows with a null host count for none.
     """
     names = rules()
     hosts = measured.where("host is not null").groupBy("host").agg(F.count("*").alias("docs"), *[F.count_if(c).alias(n) for n, c in names.items()])
     hosts = materialize(hosts, "hosts")
-    moments = hosts.agg(*[f(F.col(n) / F.col("docs")).alias(f"{n}_{k}") for n in names for k, f in (("mean", F.avg), ("var", F.var_pop))]).first()
+    facts = hosts.agg(F.sum("docs").alias("docs"), *[F.sum(n).alias(n) for n in names]).first()
+    means = {n: facts[n] / facts["docs"] for n in names} if facts["docs"] else {}
+    each = hosts.where("docs > 1").select(F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), "docs", F.col(n).alias("failed")) for n in names])).alias("r")).select("r.*")
+    mixed = [n for n, m in means.items() if 0 < m < 1]
+    counts = each.where(F.col("rule").isin(*mixed or [""])).groupBy("rule", "docs", "failed").agg(F.count("*").alias("hosts"))
+    best: dict[str, tuple[float, float]] = {}
+    for r in _likelihoods(counts, means).collect():  # a row for each rule and weight
+        best[r["rule"]] = max(best.get(r["rule"], (float("-inf"), 0.0)), (round(r["ll"], 6), r["weight"]))
     kept = F.lit(True)
-    for n in names:
-        mean, var = moments[f"{n}_mean"], moments[f"{n}_var"]
-        if mean is None:  # no hosts
-            continue
-        weight = min(MOST_WEIGHT, max(LEAST_WEIGHT, mean * (1 - mean) / var - 1)) if var > 1e-12 else EVEN_WEIGHT
+    for n, mean in means.items():
+        weight = best[n][1] if n in best else EVEN_WEIGHT
         shrunk = (F.col(n) + mean * weight) / (F.col("docs") + weight)
         kept = kept & (shrunk - sure * F.sqrt(shrunk * (1 - shrunk) / (F.col("docs") + weight + 1)) <= min(max_rate, times_mean * mean))
     return hosts.select("host", "docs", kept.alias("host_kept"))

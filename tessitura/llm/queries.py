@@ -110,8 +110,9 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 h AS (SELECT source, count(*) AS n, count_if(base_failed) AS k1, count_if(n_symbols * 10 > n_words) AS k2, count_if(n_dup_lines * 10 > n_words) AS k3,
   count_if(word_chars < 3 * n_words OR word_chars > 12 * n_words) AS k4 FROM b WHERE source IS NOT NULL GROUP BY source),
 u AS (SELECT source, n, unnest([1, 2, 3, 4]) AS j, unnest([k1, k2, k3, k4]) AS k FROM h),
-m AS (SELECT j, avg(k / n) AS mean, var_pop(k / n) AS var FROM u GROUP BY j),
-q AS (SELECT j, mean, CASE WHEN var > 1e-12 THEN least(1000, greatest(1, mean * (1 - mean) / var - 1)) ELSE 10 END AS weight FROM m),
+m AS (SELECT j, sum(k)::DOUBLE / sum(n) AS mean FROM u GROUP BY j), e AS (SELECT unnest([1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024])::DOUBLE AS w),
+z AS (SELECT j, w, round(sum(lgamma(k + mean * w) - lgamma(mean * w) + lgamma(n - k + (1 - mean) * w) - lgamma((1 - mean) * w) + lgamma(w) - lgamma(n + w)), 6) AS ll FROM u JOIN m USING (j), e WHERE n > 1 AND mean > 0 AND mean < 1 GROUP BY j, w),
+q AS (SELECT j, mean, coalesce((SELECT arg_max(w, (ll, w)) FROM z WHERE z.j = m.j), 10)::DOUBLE AS weight FROM m),
 y AS (SELECT source, n, mean, weight, (k + mean * weight) / (n + weight) AS p FROM u JOIN q USING (j)),
 bad AS (SELECT DISTINCT source FROM y WHERE p - 1.645::DOUBLE * sqrt(p * (1 - p) / (n + weight + 1)) > least(0.5::DOUBLE, 2 * mean))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.source IS NULL AS kept FROM b LEFT JOIN bad ON b.source = bad.source

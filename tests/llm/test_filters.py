@@ -86,3 +86,17 @@ def test_hosts_far_above_the_rest_go(spark):
 
 def test_hosts_that_are_alike_all_stay(spark, sf_dir):
     assert all(r.host_kept for r in host_verdicts(measure(spark.read.parquet(f"{sf_dir}/documents.parquet"))).collect())
+
+
+def test_a_long_tail_of_small_hosts(spark):
+    """10,000 hosts of one document, one in twenty of them bad, and three large hosts that fail 60 %: those go, with a prior
+    that the small ones don't blur, and none of the small ones does."""
+    from pyspark.sql import functions as F
+
+    small = spark.range(10_000).select(F.concat(F.lit("h"), F.col("id").cast("string")).alias("host"), (F.col("id") % 20 == 0).alias("bad"))
+    large = spark.range(600).select(F.concat(F.lit("large"), (F.col("id") % 3).cast("string")).alias("host"), (F.floor(F.col("id") / 3) % 5 < 3).alias("bad"))
+    rows = small.union(large).select(F.lit(1).alias("id"), "host", F.when(F.col("bad"), 10).otherwise(60).alias("n_words"), F.lit(300).alias("word_chars"), *[F.lit(0).alias(c) for c in ("n_symbols", "n_dup_lines", "n_repeat_words")])
+    rows = rows.withColumn("word_chars", 5 * F.col("n_words"))
+    gone = [r.host for r in host_verdicts(rows).where("not host_kept").collect()]
+    assert sorted(gone) == ["large0", "large1", "large2"]
+    assert host_verdicts(rows.where("host like 'h%'")).where("not host_kept").count() == 0
