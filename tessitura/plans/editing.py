@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessitura.functions.strings import words
-from tessitura.operators import attribution, edits, names, sentences, timejoins
+from tessitura.operators import attribution, edits, names, sentences, suspects, timejoins
 
 from .fixtures import EV, SEG, events, segments
 from .registry import query, table
@@ -219,17 +219,31 @@ def n19_article_matches(spark, sf_dir):
     return p.select("page_id", F.col("title").contains("the ").alias("in_title"), F.col("text").rlike(r"\b(?:and|with)\b").alias("fits"))
 
 
+def _with_names(spark, sf_dir):
+    """documents, each with a person of part named at its end: right, misspelt with and without a word of art, or as a possessive."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), F.initcap("p_name").alias("name"))
+    last = F.substring_index("name", " ", -1)
+    wrong = F.concat(F.substring_index("name", " ", 1), F.lit(" "), last, F.lit("z"))
+    said = F.element_at(F.array(F.concat("name", F.lit(" spoke")), F.concat(F.lit("A painting by "), wrong), F.concat(F.lit("Then "), wrong, F.lit(" left")), F.concat("name", F.lit("'s friend"))), (F.col("doc_id") % 4 + 1).cast("int"))
+    return table(spark, sf_dir, "documents").join(p.withColumn("said", said), "doc_id").select("doc_id", F.concat_ws(" ", "text", "said").alias("text"))
+
+
 @query("n11_notable_names")
 def n11_notable_names(spark, sf_dir):
-    """Capitalised pairs whose first word is a known first name and whose last is near its last name, but not it."""
-    pair = r"(?U)\b(\p{Lu}\p{Ll}+) (\p{Lu}\p{Ll}+)\b"
-    p = table(spark, sf_dir, "part").select("p_partkey", F.initcap("p_name").alias("name"))
-    heard = p.select(F.concat("name", F.lit("s by "), F.substring_index("name", " ", 1), F.lit(" "), F.substring(F.substring_index("name", " ", -1), 1, 3), F.lit("e")).alias("text"))
-    found = heard.select(F.explode(F.regexp_extract_all("text", F.lit(pair), F.lit(0))).alias("x")).groupBy("x").agg(F.count("*").alias("times"))
-    found = found.select(F.substring_index("x", " ", 1).alias("first"), F.lower(F.substring_index("x", " ", -1)).alias("last"), "times")
-    known = p.select(F.substring_index("name", " ", 1).alias("first"), F.lower(F.substring_index("name", " ", -1)).alias("known")).distinct()
-    pairs = names.similarity_join(found, known, "last", "known", 0.6, ["first"])
-    return found.hint("merge").join(pairs.where("last <> known").hint("merge"), "last").join(known.hint("merge"), ["first", "known"], "left_semi").select("first", "last", "known", "times").distinct()
+    """Names of part in documents; names of benchmark's first words are the corpus's own."""
+    p = table(spark, sf_dir, "part").select(F.initcap("p_name").alias("name")).distinct()
+    known = p.select(F.substring_index("name", " ", 1).alias("first"), F.substring_index("name", " ", -1).alias("last"))
+    own = table(spark, sf_dir, "benchmark").select(F.substring_index("text", " ", 1).alias("word"))
+    return suspects.notable_surnames(_with_names(spark, sf_dir), known, own, "doc_id")
+
+
+@query("n12_target_suspects")
+def n12_target_suspects(spark, sf_dir):
+    """documents, each with something like the target word at its end."""
+    heard = ("text expressionism", "text message", "textpressionist", "a texture", "tex mex", "text-spression", "text zebra")
+    said = F.element_at(F.array(*[F.lit(h) for h in heard]), (F.col("doc_id") % len(heard) + 1).cast("int"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws(" and ", "text", said).alias("text"))
+    return suspects.target_suspects(d, "doc_id", accepted=spark.createDataFrame([("Tex Mex",)], "phrase string"))
 
 
 @query(
