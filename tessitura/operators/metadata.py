@@ -62,14 +62,17 @@ def speaker_line(c: Column) -> Column:
 
 
 def speaker_index(texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
-    """(key, idx, name, country, seconds): the lines of a description that are plausible entries; a line with a time alone takes the next line's name."""
+    """(key, idx, name, country, seconds): the lines of a description that are plausible entries; a line with a time alone
+    takes the next line's name, and an entry without a country the next line, if that is short, has no time and is no sentence."""
     lines = texts.select(key, F.posexplode(F.split(text_col, "\n")).alias("idx", "line")).where(F.trim("line") != "")
     w = Window.partitionBy(key).orderBy("idx")
     bare = F.col("line").rlike(r"^\s*\d{1,2}(?::\d{2}){1,2}\s*$")
     joined = lines.withColumn("_next", F.lead("line").over(w)).withColumn("_taken", F.lag(bare).over(w)).withColumn("line", F.when(bare, F.concat_ws(" ", "line", "_next")).otherwise(F.col("line")))
-    parsed = joined.where(~F.coalesce("_taken", F.lit(False))).select(key, "idx", speaker_line(F.col("line")).alias("s"))
+    own = joined.where(~F.coalesce("_taken", F.lit(False))).withColumn("_after", F.trim(F.lead("line").over(w)))
+    place = F.when(~F.col("_after").rlike(r"\d{1,2}:\d{2}") & (F.length("_after") < 60) & ~F.endswith("_after", F.lit(".")), F.col("_after"))
+    parsed = own.select(key, "idx", speaker_line(F.col("line")).alias("s"), place.alias("_place"))
     ok = F.col("s.seconds").isNotNull() & F.col("s.name").rlike(r"(?U)^\p{L}[\p{L} .'’-]{1,60}$")
-    return parsed.where(ok).select(key, "idx", "s.name", "s.country", "s.seconds")
+    return parsed.where(ok).select(key, "idx", "s.name", F.coalesce("s.country", "_place").alias("country"), "s.seconds")
 
 
 def index_flags(texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:

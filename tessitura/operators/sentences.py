@@ -57,6 +57,17 @@ def sentence_times(paragraphs: DataFrame, keys: list[str], text_col: str = "text
     return placed.select(*keys, "sent", "sentence", F.round(F.max("t").over(w) * 100).cast("long").alias("start_cs"))
 
 
+def sentence_times_by_map(paragraphs: DataFrame, keys: list[str], text_col: str = "text", start_col: str = "start", map_col: str = "tmap") -> DataFrame:
+    """(keys, sent, sentence, start_cs): start times by the paragraph's time map (see time_at): the first sentence starts where
+    the paragraph does, the others where the map says, never falling; without a map all start with the paragraph."""
+    rows = paragraphs.select(*keys, start_col, map_col, F.length(F.array_join(words(F.col(text_col)), " ")).alias("len"), F.posexplode(split_sentences(F.col(text_col))).alias("sent", "sentence"))
+    w = Window.partitionBy(*keys).orderBy("sent")
+    before = F.coalesce(F.sum(F.length("sentence") + 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = rows.withColumn("part", before / F.greatest(F.col("len"), F.lit(1)))
+    t = F.when(F.col("sent") == 0, F.col(start_col)).otherwise(F.coalesce(F.when(F.size(map_col) > 0, time_at(F.col(map_col), F.col("part"))), F.col(start_col)))
+    return placed.withColumn("t", t).select(*keys, "sent", "sentence", F.round(F.max("t").over(w) * 100).cast("long").alias("start_cs"))
+
+
 def ngrams(texts: DataFrame, keys: list[str], n: int, text_col: str = "text") -> DataFrame:
     """(keys, idx, gram): runs of n lower-case words; made in the row."""
     w = F.regexp_extract_all(F.lower(text_col), F.lit(r"(?U)\w+"), F.lit(0))

@@ -54,13 +54,13 @@ _rule(
 )
 _rule(
     "x8_articles",
-    " a artist, an painting, a hour, a one, an nft",
+    " a artist, an painting, a hour, a one, an nft, a aren't",
     clean.fix_articles,
     ", "
     + _alternating(r"\p{L}\p{M}\p{N}_")
-    + rf""", k AS (SELECT *, regexp_full_match(lead(w) OVER o, ' +') AS near, lead(w, 2) OVER o AS n FROM tok WINDOW o AS (PARTITION BY doc_id ORDER BY i))
+    + rf""", k AS (SELECT *, regexp_full_match(lead(w) OVER o, ' +') AS near, lead(w, 2) OVER o AS n, lower(lead(w, 2) OVER o || coalesce(lead(w, 3) OVER o, '') || coalesce(lead(w, 4) OVER o, '')) AS ap FROM tok WINDOW o AS (PARTITION BY doc_id ORDER BY i))
 SELECT doc_id, string_agg(CASE WHEN near AND w IN ('a', 'A') AND regexp_full_match(n, '(?i)([aeio][a-z]|hour|honest|honor|honour|heir)[a-z]*')
-  AND lower(n) NOT IN ({_list(w for w in clean.FALSE_START if "'" not in w)}, 'one', 'once', 'ones', 'ewe', 'oui') AND lower(n) NOT LIKE 'eu%' THEN w || 'n'
+  AND lower(n) NOT IN ({_list(w for w in clean.FALSE_START if "'" not in w)}, 'one', 'once', 'ones', 'ewe', 'oui') AND lower(n) NOT LIKE 'eu%' AND ap <> 'aren''t' THEN w || 'n'
   WHEN near AND w IN ('an', 'An') AND regexp_full_match(n, '[bcdfgjklmnpqrstvwxz][a-z]{{2,}}') AND regexp_matches(n, '[aeiouy]') AND n NOT IN ({_list(clean.ACRONYMS)}) THEN left(w, 1)
   ELSE w END, '' ORDER BY i) AS text FROM k GROUP BY doc_id""",
 )
@@ -168,6 +168,19 @@ def w4_sentence_times(spark, sf_dir):
     return sentences.sentence_times(rows, ["slug", "seg", "para"])
 
 
+@query(
+    "w4_mapped_times",
+    f"""WITH {SENT}, l AS (SELECT *, sum(length(sentence) + 1) OVER (PARTITION BY slug, seg, para) - 1 AS total, coalesce(sum(length(sentence) + 1) OVER (PARTITION BY slug, seg, para ORDER BY sent ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM sent),
+p AS (SELECT *, before / greatest(total, 1) AS f FROM l), t AS (SELECT *, CASE WHEN sent = 0 OR seg % 3 = 0 THEN start WHEN f <= 0.5 THEN start + 2 + (20 - 2) * f / 0.5 ELSE start + 20 + (10 - 20) * (f - 0.5) / 0.5 END AS t FROM p)
+SELECT slug, seg, para::INT AS para, sent::INT AS sent, sentence, round(max(t) OVER (PARTITION BY slug, seg, para ORDER BY sent) * 100)::BIGINT AS start_cs FROM t""",
+)
+def w4_mapped_times(spark, sf_dir):
+    """Maps that rise to the middle and fall after it, so that times must be held; every third segment has none."""
+    at = lambda f, s: F.struct(F.lit(f).alias("frac"), (F.col("start") + s).alias("sec"))
+    rows = paragraphs(spark, sf_dir).withColumn("tmap", F.when(F.col("seg") % 3 != 0, F.array(at(0.0, 2.0), at(0.5, 20.0), at(1.0, 10.0))))
+    return sentences.sentence_times_by_map(rows, ["slug", "seg", "para"])
+
+
 @query(
     "w6_bigrams",
     r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+') AS ws FROM documents), t AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS idx FROM w),

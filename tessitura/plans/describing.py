@@ -33,9 +33,9 @@ def m3_speaker_lines(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", m.speaker_line(line).alias("s")).select("p_partkey", "s.name", "s.country", "s.seconds")
 
 
-@query("m5_speaker_index", "SELECT doc_id, CASE i WHEN 0 THEN 'Ann Lee' WHEN 1 THEN 'Bob Ray' ELSE 'Cy Orr' END AS name, CASE i WHEN 0 THEN 'Peru' WHEN 2 THEN 'Chad' END AS country, (CASE i WHEN 0 THEN 65 WHEN 1 THEN 130 ELSE 3605 END)::INT AS seconds FROM documents, range(3) r(i)")
+@query("m5_speaker_index", "SELECT doc_id, CASE i WHEN 0 THEN 'Ann Lee' WHEN 1 THEN 'Bob Ray' ELSE 'Cy Orr' END AS name, CASE i WHEN 0 THEN 'Peru' WHEN 1 THEN 'Lima' WHEN 2 THEN 'Chad' END AS country, (CASE i WHEN 0 THEN 65 WHEN 1 THEN 130 ELSE 3605 END)::INT AS seconds FROM documents, range(3) r(i)")
 def m5_speaker_index(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit("\n01:05 Ann Lee (Peru)\n\n02:10\nBob Ray\n[1:00:05] Cy Orr, Chad")).alias("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit("\n01:05 Ann Lee (Peru)\n\n02:10\nBob Ray\n\nLima\n[1:00:05] Cy Orr, Chad")).alias("text"))
     return m.speaker_index(docs, "doc_id").drop("idx")
 
 

@@ -32,6 +32,7 @@ def test_stutters(spark):
 
 def test_style(spark):
     assert one(spark, "a artist, an painting, a hour, a one, an nft, a unique", clean.fix_articles) == "an artist, a painting, an hour, a one, an nft, a unique"
+    assert one(spark, "a aren't, a Aren't; a apple's, a I'm", clean.fix_articles) == "a aren't, a Aren't; an apple's, a I'm"
     assert one(spark, "ai by Ai Weiwei, chat gpt, gpt 4 and open ai", clean.fix_ai_terms) == "AI by Ai Weiwei, ChatGPT, GPT-4 and OpenAI"
     assert one(spark, "wait.. what... ok,, go", clean.fix_punctuation) == "wait. what... ok, go"
     assert one(spark, "mail Ann@Host.Com now", clean.spell_out_emails) == "mail Ann at host dot com now"
