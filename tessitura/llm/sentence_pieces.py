@@ -24,6 +24,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,13 +78,13 @@ class PieceModel:
         scores = {x: k << 32 for k, x in enumerate(sorted({sp.get_score(i) for i in plain}, reverse=True))}
         self.rank = {piece: scores[sp.get_score(i)] for piece, i in self.ids.items()}
         self.byte_ids = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(n) if sp.is_byte(i)}
-        self.decoded: list[bytes] = [b""] * n
+        self.decoded = np.full(n, b"", object)
         for piece, i in self.ids.items():
             self.decoded[i] = piece.replace(MARK, " ").encode()
         for value, i in self.byte_ids.items():
             self.decoded[i] = bytes([value])
         self.decoded[self.unknown] = " ⁇ ".encode()
-        self.silent = {i for i in range(n) if sp.is_control(i)}
+        self.silent = np.array([sp.is_control(i) for i in range(n)])
         #: Ids whose leading space is not the mark that encoding put first.
         self.no_mark = {*self.byte_ids.values(), self.unknown}
         self.pairs = {pair for piece in self.ids for pair in map(operator.add, piece, piece[1:])}
@@ -200,13 +201,13 @@ class PieceModel:
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of some ids: begin and end ids are silent, and the mark that encoding put first goes."""
-        parts, start = [], 0  # a silent id ends a run of bytes, too
-        ends = [] if self.silent.isdisjoint(ids[1:-1]) else [at for at, i in enumerate(ids[1:-1], 1) if i in self.silent]
-        for end in [*ends, len(ids)]:
-            parts.append(b"".join(map(self.decoded.__getitem__, ids[start:end])).decode("utf-8", "each_byte"))
-            start = end
-        found = "".join(parts)
-        if found.startswith(" ") and next(i for i in ids if i not in self.silent) not in self.no_mark:
+        at = np.asarray(ids, np.int64)
+        silent = self.silent[at]
+        ends = np.flatnonzero(silent[1:-1]) + 1
+        # A silent id ends a run of bytes, too.
+        bounds = [0, *ends.tolist(), len(at)]
+        found = "".join([b"".join(self.decoded[at[x:y]].tolist()).decode("utf-8", "each_byte") for x, y in itertools.pairwise(bounds)])
+        if found.startswith(" ") and at[np.argmin(silent)] not in self.no_mark:
             return found[1:]
         return found
 
@@ -224,11 +225,11 @@ def model(path: str) -> PieceModel:
 
 def _checked(own: PieceModel, found: list[str]) -> Iterator[tuple[array, str, bool]]:
     """For each text its ids, what they decode to, and whether the library says the same."""
-    for text, theirs in zip(found, own.library.encode(found, add_bos=True, add_eos=True, num_threads=1), strict=True):
-        ids, wanted = own.encode(text), array("I", theirs)
-        back, theirs_back = own.decode(ids), own.library.decode(theirs)
-        agrees = ids == wanted and back == theirs_back
-        yield (ids, back, True) if agrees else (wanted, theirs_back, False)
+    for text, theirs in zip(found, own.library.encode(found, out_type="numpy", add_bos=True, add_eos=True, num_threads=1), strict=True):
+        ids = own.encode(text)
+        back, theirs_back = own.decode(ids), own.library.decode(theirs.tolist())
+        agrees = np.array_equal(np.asarray(ids), theirs) and back == theirs_back
+        yield (ids, back, True) if agrees else (array("I", theirs.tolist()), theirs_back, False)
 
 
 def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
@@ -248,10 +249,7 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
 
             def flush(part: list[str], rows: list[tuple] = rows) -> None:
                 for ids, back, agrees in _checked(own, part):
-                    packed = array("I", ids)
-                    if packed.itemsize != 4 or array("I", [1]).tobytes()[0] != 1:
-                        raise RuntimeError("ids are packed as little-endian 32-bit integers")
-                    digest = hashlib.sha256(packed.tobytes()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
+                    digest = hashlib.sha256(np.asarray(ids).astype("<u4").tobytes()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
                     rows.append((len(ids), *digest, agrees, *((ids.tolist(), back) if keep_ids else ())))
 
             part, size = [], 0
