@@ -9,6 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessitura.functions.tables import written
+
+from .names import ratcliff_ratio
 from .sentences import ABBREVIATIONS, SENTENCE_END
 from .timejoins import asof_last, runs
 
@@ -41,6 +44,27 @@ def resolve_hints(hints: DataFrame, key: Sequence[str], strong: Sequence[str] =
     return per.select(*key, status.alias("status"), F.when(status == "role", F.col("weak")).when(status != "disagree", F.col("strong")).alias("name"))
 
 
+def combine_names(first: DataFrame, second: DataFrame, keys: Sequence[str], alike: float = 0.75) -> DataFrame:
+    """(keys, status, name) of two sources' (keys, name): confirmed if the names are alike, a conflict without a name if not,
+    single where one source has one, none where neither does. Of confirmed names the second source's counts. Each
+    distinct pair of names is scored once."""
+    j = first.select(*keys, F.col("name").alias("_a")).join(second.select(*keys, F.col("name").alias("_b")).hint("merge"), list(keys), "full")
+    pairs = written(j.select("_a", "_b").where("_a is not null and _b is not null").distinct(), "name_pairs")
+    scored = pairs.withColumn("_r", ratcliff_ratio("_a", "_b"))
+    j = j.join(scored.hint("merge"), ["_a", "_b"], "left")
+    status = F.when(F.col("_r") >= alike, "confirmed").when(F.col("_r").isNotNull(), "conflict").when(F.coalesce("_a", "_b").isNotNull(), "single").otherwise("none")
+    return j.select(*keys, status.alias("status"), F.when(status != "conflict", F.coalesce("_b", "_a")).alias("name"))
+
+
+def decision_fingerprints(turns: DataFrame, key: str = "slug", most: int = 40) -> DataFrame:
+    """turns(key, voice, idx, start, end) to (key, voice, fingerprint): a hash of a voice's first turns in centiseconds; a
+    decision about the voice holds as long as it stays the same."""
+    k = F.row_number().over(Window.partitionBy(key, "voice").orderBy("start", "idx"))
+    turn = F.concat_ws("-", F.bround(F.col("start") * 100).cast("long").cast("string"), F.bround(F.col("end") * 100).cast("long").cast("string"))
+    first = turns.withColumn("_k", k).where(F.col("_k") <= most).groupBy(key, "voice").agg(F.array_sort(F.collect_list(F.struct("_k", turn.alias("s")))).alias("t"))
+    return first.select(key, "voice", F.sha1(F.array_join(F.transform("t", lambda x: x["s"]), ",")).alias("fingerprint"))
+
+
 def roles_by_talk(turns: DataFrame, key: str = "slug", clear: float = 1.25) -> DataFrame:
     """turns(key, voice, seconds) to (key, voice, seconds, role, confirmed): who talks most is the interviewee, the next the
     interviewer; confirmed if there are two voices and the first talks clearly more."""

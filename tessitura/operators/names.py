@@ -305,6 +305,27 @@ def name_cards(query: str, names: DataFrame, most: int = 3) -> DataFrame:
     return exact.union(starts).union(unique).groupBy("name").agg(F.max("s").alias("score")).orderBy(F.desc("score"), "name").limit(most)
 
 
+#: Words of a meeting's own controls, which are no names.
+CONTROLS = ("unmute", "mute", "share screen", "recording", "participants", "chat", "view", "leave")
+
+
+def screen_name(c: Column) -> Column:
+    """A person's name of what is read on a screen, or null: one to four words, the first with a capital; what is in
+    parentheses and bars go, and a meeting's own controls are no names."""
+    shown = F.trim(F.regexp_replace(F.regexp_replace(c, r"\([^()]*\)|[|•_]", ""), r"\s+", " "))
+    ok = shown.rlike(r"(?U)^\p{Lu}[\p{L}.'’-]*(?: [\p{L}.'’-]+){0,3}$") & ~F.lower(shown).rlike(r"\b(?:" + "|".join(CONTROLS) + r")\b")
+    return F.when(ok, shown)
+
+
+def phrase_groups(sents: DataFrame, net: str, key: str, text_col: str = "sentence", known: DataFrame | None = None) -> DataFrame:
+    """(phrase, n, recordings, example): what a net (a pattern) catches in sentences, by its lower case, less the catches that are
+    known(phrase) terms; the example is the shortest sentence, the first of equals."""
+    rows = sents.select(key, F.col(text_col).alias("_s"), F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(net), F.lit(0))).alias("phrase"))
+    if known is not None:
+        rows = rows.join(known.select(F.lower("phrase").alias("phrase")).distinct().hint("merge"), "phrase", "left_anti")
+    return rows.groupBy("phrase").agg(F.count("*").alias("n"), F.count_distinct(key).alias("recordings"), F.min_by("_s", F.struct(F.length("_s"), "_s")).alias("example"))
+
+
 # Particles that stay with a last name, words that say a name is not a person's, and what may follow a name.
 PARTICLES = ("de", "da", "di", "do", "del", "della", "van", "von", "der", "den", "la", "le", "el", "al", "bin", "ben", "st", "mc", "dos", "das", "du")
 NOT_PERSONS = ("studio", "studios", "team", "collective", "lab", "labs", "works", "gallery", "museum", "foundation", "inc", "llc", "project", "projects", "media", "design", "network", "group", "club")

@@ -155,11 +155,7 @@ def v2_combined_names(spark, sf_dir):
     e = events(spark, sf_dir)
     a = e.where("idx % 2 = 0").groupBy("slug", "kind").agg(F.max(F.concat(F.lit("Anna Lee"), (F.col("idx") % 3).cast("string"))).alias("a"))
     b = e.where("idx % 2 = 1").groupBy("slug", "kind").agg(F.max(F.when(F.col("value") > 60, "Anna Lee").otherwise("Bob")).alias("b"))
-    j = a.join(b, ["slug", "kind"], "full")
-    alike = j.select("a", "b").where("a is not null and b is not null").distinct().withColumn("r", names.ratcliff_ratio("a", "b"))
-    j = j.join(alike.hint("merge"), ["a", "b"], "left")
-    status = F.when(F.col("r") >= 0.75, "confirmed").when(F.col("r").isNotNull(), "conflict").when(F.coalesce("a", "b").isNotNull(), "single").otherwise("none")
-    return j.select("slug", "kind", status.alias("status"), F.when(status != "conflict", F.coalesce("b", "a")).alias("name"))
+    return attribution.combine_names(a.withColumnRenamed("a", "name"), b.withColumnRenamed("b", "name"), ["slug", "kind"])
 
 
 @query("v8_voice_boundaries", f"""WITH {EV}, g AS (SELECT *, CASE WHEN lag(kind) OVER w IS NULL OR kind = lag(kind) OVER w THEN 0 ELSE 1 END AS nw FROM ev WINDOW w AS (PARTITION BY slug ORDER BY t, idx)), r AS (SELECT *, sum(nw) OVER (PARTITION BY slug ORDER BY t, idx) AS run FROM g)
@@ -197,9 +193,7 @@ def n12_near_terms(spark, sf_dir):
 def n15_screen_names(spark, sf_dir):
     k = F.col("p_partkey") % 4
     raw = F.when(k == 0, F.concat(F.lit(" "), F.upper(F.left("p_name", F.lit(1))), F.substring("p_name", 2, 100), F.lit(" |"))).when(k == 1, "Ann  Lee (host)").when(k == 2, "Unmute").otherwise("one two three four five")
-    shown = F.trim(F.regexp_replace(F.regexp_replace(raw, r"\([^()]*\)|[|•_]", ""), r"\s+", " "))
-    ok = shown.rlike(r"(?U)^\p{Lu}[\p{L}.'’-]*(?: [\p{L}.'’-]+){0,3}$") & ~F.lower(shown).rlike(r"\b(?:unmute|mute|share screen|recording|participants|chat|view|leave)\b")
-    return table(spark, sf_dir, "part").select("p_partkey", F.when(ok, shown).alias("name"))
+    return table(spark, sf_dir, "part").select("p_partkey", names.screen_name(raw).alias("name"))
 
 
 @query("n18_introductions", f"WITH {SEG} SELECT slug, seg, 'Small Ring' AS name, (start * 100)::BIGINT AS start_cs FROM seg WHERE seg % 2 = 1")

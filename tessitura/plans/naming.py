@@ -157,8 +157,7 @@ def n17_directory(spark, sf_dir):
 @query("n13_phrase_groups", rf"""WITH {SENT}, m AS (SELECT slug, sentence, unnest(regexp_extract_all(lower(sentence), '\p{{L}}*ention\p{{L}}*')) AS phrase FROM sent) SELECT phrase, count(*)::BIGINT AS n, count(DISTINCT slug)::BIGINT AS recordings, arg_min(sentence, (length(sentence), sentence)) AS example FROM m GROUP BY phrase""")
 def n13_phrase_groups(spark, sf_dir):
     s = sentences.sentences(paragraphs(spark, sf_dir), ["slug", "seg", "para"])
-    m = s.select("slug", "sentence", F.explode(F.regexp_extract_all(F.lower("sentence"), F.lit(r"(?U)\p{L}*ention\p{L}*"), F.lit(0))).alias("phrase"))
-    return m.groupBy("phrase").agg(F.count("*").alias("n"), F.count_distinct("slug").alias("recordings"), F.min_by("sentence", F.struct(F.length("sentence"), "sentence")).alias("example"))
+    return names.phrase_groups(s, r"(?U)\p{L}*ention\p{L}*", "slug")
 
 
 @query("n20_name_cards", "SELECT 'small ring' AS name, 3 AS score UNION ALL SELECT name, 2 FROM (SELECT DISTINCT p_name AS name FROM part WHERE p_name LIKE 'small ring_%' ORDER BY 1 LIMIT 2)")

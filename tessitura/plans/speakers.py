@@ -82,12 +82,9 @@ def v5_thresholds(spark, sf_dir):
 SELECT slug, kind, sha1(string_agg(round_even(t * 100, 0)::BIGINT || '-' || round_even((t + value) * 100, 0)::BIGINT, ',' ORDER BY k)) AS fingerprint FROM k WHERE k <= 40 GROUP BY slug, kind""",
 )
 def v6_fingerprints(spark, sf_dir):
-    """A voice's decision holds while the first 40 of its turns, in centiseconds, are what they were."""
-    from pyspark.sql import Window
-
-    e = events(spark, sf_dir).withColumn("k", F.row_number().over(Window.partitionBy("slug", "kind").orderBy("t", "idx"))).where("k <= 40")
-    turn = F.concat_ws("-", F.bround(F.col("t") * 100).cast("long").cast("string"), F.bround((F.col("t") + F.col("value")) * 100).cast("long").cast("string"))
-    return e.groupBy("slug", "kind").agg(F.sha1(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", turn.alias("s")))), lambda x: x["s"]), ",")).alias("fingerprint"))
+    """Events as turns of their kind."""
+    e = events(spark, sf_dir).select("slug", F.col("kind").alias("voice"), "idx", F.col("t").alias("start"), (F.col("t") + F.col("value")).alias("end"))
+    return attribution.decision_fingerprints(e).withColumnRenamed("voice", "kind")
 
 
 BOUNDS = f"""WITH {EV}, {SAMPLES}, l AS (SELECT *, last_value(CASE WHEN name IS NOT NULL THEN t END IGNORE NULLS) OVER w AS lt, last_value(name IGNORE NULLS) OVER w AS ln FROM sm WINDOW w AS (PARTITION BY slug ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
