@@ -68,12 +68,17 @@ def sentence_times_by_map(paragraphs: DataFrame, keys: list[str], text_col: str
     return placed.withColumn("t", t).select(*keys, "sent", "sentence", F.round(F.max("t").over(w) * 100).cast("long").alias("start_cs"))
 
 
-def ngrams(texts: DataFrame, keys: list[str], n: int, text_col: str = "text") -> DataFrame:
-    """(keys, idx, gram): runs of n lower-case words; made in the row."""
+def ngram_lists(texts: DataFrame, keys: list[str], n: int, text_col: str = "text") -> DataFrame:
+    """(keys, grams): the runs of n lower-case words of a text in order, as an array in the row; no row for fewer words."""
     w = F.regexp_extract_all(F.lower(text_col), F.lit(r"(?U)\w+"), F.lit(0))
     rows = texts.select(*keys, w.alias("w")).where(F.size("w") >= n)
     grams = F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.concat_ws(" ", *[F.get("w", i + k) for k in range(n)]))  # slice() would copy the whole array each time
-    return rows.select(*keys, F.posexplode(grams).alias("idx", "gram"))
+    return rows.select(*keys, grams.alias("grams"))
+
+
+def ngrams(texts: DataFrame, keys: list[str], n: int, text_col: str = "text") -> DataFrame:
+    """(keys, idx, gram): runs of n lower-case words; made in the row."""
+    return ngram_lists(texts, keys, n, text_col).select(*keys, F.posexplode("grams").alias("idx", "gram"))
 
 
 def spread_words(cues: DataFrame, keys: list[str], text_col: str = "text", start_col: str = "start", end_col: str = "end") -> DataFrame:
