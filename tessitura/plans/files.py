@@ -92,12 +92,12 @@ def x6_target_word(spark, sf_dir):
 p AS (SELECT *, coalesce(sum(length(token) + 1) OVER (PARTITION BY slug, seg ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos, sum(length(token) + 1) OVER (PARTITION BY slug, seg) - 1 AS len FROM w)
 SELECT slug, seg AS para, idx::INT AS idx, round(1000 * pos / len)::BIGINT AS per_mille, round((start + 0.1::DOUBLE * idx) * 10)::BIGINT AS sec_ds FROM p WHERE slug % 2 = 0""")
 def w5_time_maps(spark, sf_dir):
-    """Words of every other recording lack one, so that it has no map."""
+    """Words of every other recording lack one, so that it has no map. Halves of a per mille go up: a fraction's last bit must not decide."""
     s = segments(spark, sf_dir)
     texts = s.select("slug", F.col("seg").alias("para"), "text")
     w = sentences.tokens(s.withColumn("para", F.col("seg")), ["slug", "seg"]).withColumn("start", F.col("seg") * 30.0 + 0.1 * F.col("idx"))
     w = w.where("slug % 2 = 0 or seg > 0 or idx > 0").select("slug", "idx", "start")
-    return sentences.time_maps(w, texts, "slug").select("slug", "para", "idx", F.round(1000 * F.col("frac")).cast("long").alias("per_mille"), F.round(10 * F.col("sec")).cast("long").alias("sec_ds"))
+    return sentences.time_maps(w, texts, "slug").select("slug", "para", "idx", F.round(1000 * F.col("frac") + 1e-9).cast("long").alias("per_mille"), F.round(10 * F.col("sec")).cast("long").alias("sec_ds"))
 
 
 @query("t4_paragraph_starts", f"WITH {SEG} SELECT slug, seg, i::INT AS para, CASE WHEN i = 0 THEN start WHEN seg % 2 = 0 THEN start + 10 * i END::BIGINT AS start FROM seg, range(3) r(i)")
