@@ -36,8 +36,9 @@ def test_addresses_of_other_hosts_count(spark, sf_dir, tmp_path):
 
 def test_offer_on_a_long_page_is_no_verdict(spark, sf_dir, tmp_path):
     rows = [(3, "https://x.org/a", "word " * 893), (14, "https://x.org/a", "word " * 894), (25, "https://x.org/a", "<script>" + "word " * 900 + "</script> w")]
+    rows += [(i, "https://x.org/en/404/", "") for i in (33, 36, 42, 41)] + [(i, "https://x.org", "") for i in (5, 44)]
     got = check(spark, sf_dir, tmp_path, "l2_page_verdicts", pages=(PAGES, rows))
-    assert {r.page_id: r.verdict for r in got} == {3: "parked", 14: "ok", 25: "parked"}
+    assert {r.page_id: r.verdict for r in got} == {3: "parked", 14: "ok", 25: "parked", 33: "broken", 36: "broken", 42: "broken", 41: "parked", 5: "ok", 44: "ok"}
 
 
 def test_halves_of_a_per_mille_go_up(spark, sf_dir, tmp_path):
