@@ -25,8 +25,15 @@ STATES = tuple("al ak az ar ca co ct de fl ga hi id il in ia ks ky la me md ma m
 
 @F.pandas_udf(DoubleType())
 def ratcliff_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp similarity of a to b, in this order: it is not symmetric. Null for a null side."""
-    return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+    """Ratcliff-Obershelp similarity of a to b, in this order: it is not symmetric. Null for a null side. Equal pairs of a batch are scored once, and what the matcher learns of b is used again."""
+    found: dict[tuple[str, str], float] = {}
+    matcher = difflib.SequenceMatcher(None)
+    for x, y in sorted({(x, y) for x, y in zip(a, b, strict=True) if x is not None and y is not None}, key=lambda pair: pair[1]):
+        if matcher.b != y:
+            matcher.set_seq2(y)
+        matcher.set_seq1(x)
+        found[x, y] = matcher.ratio()
+    return pd.Series([found.get(pair) for pair in zip(a, b, strict=True)], dtype="float64")
 
 
 def ratio_bound(a: Column, b: Column) -> Column:
@@ -210,18 +217,32 @@ def unsuppressed(rows: DataFrame, suppressions: DataFrame) -> DataFrame:
     return rows.join(s, (F.lower("matched") == F.col("_m")) & (F.col("candidate") == F.col("_c")), "left_anti")
 
 
-def token_windows(texts: DataFrame, keys: Sequence[str], sizes: Sequence[int], text_col: str = "text") -> DataFrame:
-    """(keys, idx, n, words, matched): runs of n words within a sentence."""
+def first_letters(c: Column, letter: str) -> Column:
+    """For each word its first letter, in a class of characters; empty for a word without one."""
+    return F.regexp_extract_all(c, F.lit(rf"(?U)(?<!\S)(?=\S)(?:(?!{letter})\S)*({letter}?)"), F.lit(1))
+
+
+def beginnings(pool: DataFrame) -> dict[int, list[str]]:
+    """The first letters of a pool's names(n, _f) by number of words: as many as alphabets have."""
+    found: dict[int, list[str]] = {}
+    for r in pool.select("n", "_f").distinct().collect():
+        found.setdefault(r["n"], []).append(r["_f"])
+    return found
+
+
+def token_windows(texts: DataFrame, keys: Sequence[str], sizes: Sequence[int], text_col: str = "text", begin: dict[int, list[str]] | None = None) -> DataFrame:
+    """(keys, idx, n, words, matched): runs of n words within a sentence; with begin only those whose first letter, in lower case,
+    is listed under n, and those whose first word has no letter."""
     tok = F.regexp_extract_all(text_col, F.lit(r"(?U)\S+"), F.lit(0))
-    rows = texts.select(*keys, tok.alias("t")).where(F.size("t") > 0)
+    rows = texts.select(*keys, tok.alias("t"), F.transform(first_letters(F.col(text_col), r"[\p{L}\p{N}]"), F.lower).alias("c")).where(F.size("t") > 0)
     core = lambda x: F.regexp_replace(x, r"(?U)^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
 
     def runs_of(n: int) -> Column:
-        # get() takes single elements; slice() would copy the whole array each time.
-        starts = F.sequence(F.lit(0), F.greatest(F.size("t") - n, F.lit(0)))
+        # get() takes single elements; slice() would copy the whole array each time. Runs are made for what may begin a name only.
+        starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size("t") - n, F.lit(0))), lambda i: (F.size("t") >= n) & (F.lit(True) if begin is None else F.get("c", i).isin("", *begin.get(n, []))))
         run = F.transform(starts, lambda i: F.struct((i + 1).alias("idx"), F.lit(n).alias("n"), F.array(*[F.get("t", i + k) for k in range(n)]).alias("w")))
         whole = lambda r: F.lit(True) if n == 1 else ~F.exists(F.array(*[r["w"][k] for k in range(n - 1)]), lambda x: x.rlike("[.?!…]$"))
-        return F.filter(run, lambda r: (F.size("t") >= n) & whole(r))
+        return F.filter(run, whole)
 
     made = [runs_of(n) for n in sizes]
     return rows.select(*keys, F.explode(F.concat(*made)).alias("r")).select(*keys, "r.idx", "r.n", F.array_join(F.transform("r.w", core), " ").alias("matched"))
@@ -232,8 +253,13 @@ def name_candidates(texts: DataFrame, names: DataFrame, keys: Sequence[str], lea
     first letter, and a ratio of at least so much; the first window wins ties; exact matches are no candidates."""
     if sizes is None:
         sizes = sorted(r["n"] for r in names.select(F.size(F.split("name", " ")).alias("n")).distinct().collect())  # a row for each length of a name
-    w = token_windows(texts, keys, sizes, text_col).where("matched <> ''").withColumn("_f", F.lower(F.left("matched", F.lit(1)))).withColumn("_m", F.lower("matched"))
     p = names.select("name", F.lower("name").alias("_p"), F.size(F.split("name", " ")).alias("n"), F.lower(F.left("name", F.lit(1))).alias("_f")).where(F.col("n").isin(*sizes))
+    p = written(p, "names")
+    w = token_windows(texts, keys, sizes, text_col, beginnings(p)).where("matched <> ''").withColumn("_f", F.lower(F.left("matched", F.lit(1)))).withColumn("_m", F.lower("matched"))
+    # Only what is as long as some name that begins so may be, and written: it is read for the pairs and for the hits.
+    lengths = p.groupBy("n", "_f").agg(F.min(F.length("_p")).alias("_least"), F.max(F.length("_p")).alias("_most"))
+    w = w.join(written(lengths, "lengths"), ["n", "_f"]).where((2 * F.col("_most") >= (least - 1e-9) * (F.length("_m") + F.col("_most"))) | (F.length("_m") <= F.col("_most")))
+    w = written(w.where((F.length("_m") >= F.col("_least")) | (2 * F.length("_m") >= (least - 1e-9) * (F.length("_m") + F.col("_least")))).drop("_least", "_most"), "windows")
     distinct = w.select("_m", "n", "_f").distinct()
     pairs = similarity_join(distinct, p, "_m", "_p", least, ["n", "_f"]).where("_m <> _p")
     hits = w.hint("merge").join(pairs.hint("merge"), "_m").join(p.select("name", "_p").hint("merge"), "_p")
