@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessitura.functions.strings import words
 from tessitura.functions.tables import written
 
-from .names import multiset_bound, ratcliff_ratio, ratio_bound, similarity_join
+from .names import beginnings, first_letters, multiset_bound, ratcliff_ratio, ratio_bound, similarity_join
 
 # The ratios from which a name is put in, and from which it is shown to a person, for the few names that a
 # recording's list has and for those of the whole index.
@@ -32,14 +32,17 @@ def _bare(c: Column) -> Column:
     return F.regexp_replace(c, EDGES, "")
 
 
-def _windows(texts: DataFrame, keys: Sequence[str], sizes: Sequence[int], text_col: str) -> DataFrame:
-    """(keys, idx, n, w, heard, _f): runs of n words of one sentence, idx from 0."""
-    rows = texts.select(*keys, words(F.col(text_col)).alias("t")).where(F.size("t") > 0)
+def _windows(texts: DataFrame, keys: Sequence[str], sizes: Sequence[int], text_col: str, own: str, begin: dict[int, list[str]]) -> DataFrame:
+    """(keys, idx, n, w, heard, _f): runs of n words of one sentence, idx from 0, whose first letter is listed under n in begin, or after
+    n in the array own; and those whose first word has no letter."""
+    rows = texts.select(*keys, own, words(F.col(text_col)).alias("t"), first_letters(F.lower(text_col), r"\w").alias("c")).where(F.size("t") > 0)
 
     def runs_of(n: int) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.size("t") - n, F.lit(0)))
+        # Runs are made for what may begin a name only: nearly all words begin none.
+        begins = lambda x: x.isin("", *begin.get(n, [])) | F.coalesce(F.array_contains(own, F.concat(F.lit(f"{n} "), x)), F.lit(False))
+        starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size("t") - n, F.lit(0))), lambda i: (F.size("t") >= n) & begins(F.get("c", i)))
         run = F.transform(starts, lambda i: F.struct(i.alias("idx"), F.lit(n).alias("n"), F.array(*[F.get("t", i + k) for k in range(n)]).alias("w")))
-        return F.filter(run, lambda r: (F.size("t") >= n) & ~F.exists(F.slice(r["w"], 1, n - 1), lambda x: x.rlike(r"[.!?]$")))
+        return F.filter(run, lambda r: ~F.exists(F.slice(r["w"], 1, n - 1), lambda x: x.rlike(r"[.!?]$")))
 
     made = rows.select(*keys, F.explode(F.concat(*[runs_of(n) for n in sizes])).alias("r")).select(*keys, "r.*")
     made = made.withColumn("heard", F.lower(_bare(F.array_join("w", " ")))).where("heard <> ''")
@@ -112,7 +115,10 @@ def name_findings(
     sizes = sorted({r.n for p in (scoped_pool, index_pool) for r in p.select("n").distinct().collect()})  # as many as the longest name has words
     if not sizes:
         sizes = [1]
-    w = _windows(texts, keys, sizes, text_col)
+    # A recording's few beginnings go to its texts; those of the index are as many as alphabets have letters.
+    own_begin = written(scoped_pool.groupBy(*scope).agg(F.collect_set(F.concat_ws(" ", F.col("n").cast("string"), "_f")).alias("_own")), "own_beginnings")
+    begun = texts.select(*keys, F.col(text_col).alias("_text")).join(own_begin, list(scope), "left")
+    w = written(_windows(begun, keys, sizes, "_text", "_own", beginnings(index_pool)), "windows")
 
     pairs = w.hint("merge").join(scoped_pool.hint("merge"), [*scope, "n", "_f"])
     pairs = pairs.where((ratio_bound(F.col("heard"), F.col("p")) >= floor) & (multiset_bound(F.col("heard"), F.col("p")) >= floor))

@@ -2,10 +2,11 @@
 
 import difflib
 import random
+import re
 
 from pyspark.sql import functions as F
 
-from tessitura.operators import names
+from tessitura.operators import name_fixes, names
 
 ODD = ["red", "Red,", "(red", "'rod'", "--", "…", "ábc", "Ábc.", "İzmir", "ΣΑΣ", "_x", "7up", "x-ray", "ring!", "hot", "\"hot\"", "r.", "é", "ét", "#", "bolt", "«Réd»"]
 
@@ -27,6 +28,25 @@ def test_windows_by_first_letters(spark):
     assert sorted(map(tuple, made.where(fits).collect())) == sorted(map(tuple, every.where(fits).collect())) != []
 
 
+def test_own_windows_by_first_letters(spark):
+    own = F.when(F.col("id") % 2 == 0, F.array(F.lit("2 r"), F.lit("1 σ")))  # none for the others
+    d = spark.createDataFrame(odd_texts(), "id int, text string").withColumn("own", own)
+    made = {(r.id, r.idx, r.n, r.heard) for r in name_fixes._windows(d, ["id"], [1, 2], "text", "own", {1: ["h", "i"]}).collect()}
+    wanted, every = set(), 0
+    for i, text in odd_texts():
+        t = re.findall(r"\S+", text or "")
+        for n in (1, 2):
+            for at in range(len(t) - n + 1):
+                if n == 2 and re.search(r"[.!?]$", t[at]):
+                    continue
+                every += 1
+                heard = re.sub(r"^[^\ẃ]+|[^\ẃ]+$", "", " ".join(t[at : at + n])).lower()
+                if heard and (heard[0] in {1: "hi", 2: ""}[n] or i % 2 == 0 and (n, heard[0]) in ((2, "r"), (1, "σ"))):
+                    wanted.add((i, at, n, heard))
+    assert len(wanted) > 20 and wanted <= made and len(made) < every * 0.6
+    assert {x for x in made - wanted} <= {(i, at, n, heard) for i, at, n, heard in made if re.match(r"[^\w\s]+(\s|$)", re.findall(r"\S+", dict(odd_texts())[i])[at])}
+
+
 def test_name_candidates_by_brute_force(spark):
     pool = ["red rod", "hot ring", "Réd bolt", "x", "ring ring ring"]
     d = spark.createDataFrame(odd_texts(), "id int, text string")
