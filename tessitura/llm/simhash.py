@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, texts
 from .components import connected_components
-from .near_copies import SENT_IDS, near_components
+from .near_copies import SENT_IDS, WORDS, near_components
 
 BITS = 64
 SEGMENTS = 8
@@ -133,15 +133,29 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return fps.join(classes.hint("merge"), "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
+def fingerprint_candidates(docs: DataFrame, words: int = WORDS, max_diff: int = MAX_DIFF) -> DataFrame:
+    """docs(id, text) to pairs (u, v), u < v, that may be near copies by their fingerprints over so many words: a document and the
+    least one with its fingerprint, and the least ones of fingerprints that similar_pairs links."""
+    fps = materialize(fingerprints(docs.where(F.col("id").isNotNull()), "id", "text", words), "fingerprints")
+    least = materialize(fps.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+    same = fps.join(least.hint("merge"), "fp").select(F.col("least").alias("u"), F.col("id").alias("v"))
+    ends = [least.select(F.col("fp").alias(x), F.col("least").alias(f"{x}_id")).hint("merge") for x in "uv"]
+    linked = materialize(similar_pairs(least.select("fp"), max_diff), "fingerprint_pairs").hint("merge").join(ends[0], "u").join(ends[1], "v")
+    return same.union(linked.select(F.least("u_id", "v_id"), F.greatest("u_id", "v_id"))).where("u <> v").distinct()
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each component of near_copies.near_components: the one with the least id. All columns are
-    kept. Near copies share 0.8 of their five-word shingles, which a search by 64 bits can't find (see README), so sets are
-    compared. op10's three words and two bits are not used here.
+    """docs with one document of each component of near copies: the one with the least id. All columns are kept. Near copies
+    share 0.8 of their five-word shingles.
+
+    Fingerprints over five words and pigeonring find candidates, and whole sets are compared. A search by 64 bits can't find
+    all of them (see README), so what it misses is found by near_copies.near_components; op10's three words are not used here.
 
     A row whose id is null stays and links nothing (it can't be named as a copy of another). Rows that repeat the kept id
     all stay: exact copies are another operator's work.
     """
-    found = near_components(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = near_components(rows, candidates=fingerprint_candidates(rows))
     gone = materialize(found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("_gone")).distinct(), "gone")
     gone = F.broadcast(gone) if gone.count() <= SENT_IDS else gone.hint("merge")
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

@@ -84,3 +84,20 @@ def test_edges(spark):
     assert got.columns == docs.columns
     assert sorted(-1 if r.doc_id is None else r.doc_id for r in got.collect()) == [-1, 1, 5, 7, 9, 9]
     assert drop_near_copies(docs.limit(0)).count() == 0
+
+
+def test_fingerprints_find_candidates(spark, planted, monkeypatch):
+    """The stage's first candidates are those of fingerprints over five words; what they miss is found all the same."""
+    from tessitura.llm import simhash
+
+    docs = spark.createDataFrame([*enumerate(planted), (len(planted), planted[0].upper()), (None, planted[0])], "id long, text string")
+    fp = [simhash.fingerprint(t.encode(), 5) for t in [*planted, planted[0].upper()]]
+    got = {(r.u, r.v) for r in simhash.fingerprint_candidates(docs).collect()}
+    near = {(a, b) for b in range(len(fp)) for a in range(b) if (fp[a] ^ fp[b]).bit_count() <= 2}
+    assert (0, len(planted)) in got and got <= near
+    assert components(range(len(fp)), got) == components(range(len(fp)), near)
+    given = []
+    whole = simhash.near_components
+    monkeypatch.setattr(simhash, "near_components", lambda rows, candidates: given.append({(r.u, r.v) for r in candidates.collect()}) or whole(rows, candidates=candidates))
+    kept = {r.id for r in simhash.drop_near_copies(docs, "id").collect()}
+    assert given == [got] and len(planted) not in kept and None in kept
