@@ -1,6 +1,7 @@
 """An inverted index in a shared folder, kept in segments.
 
-A segment has a row for each text and term: where the term stands, packed in one array, and the text's length. Rows are
+A segment has a row for each term of a block of texts: the texts that hold it, their lengths, and where it stands in them,
+packed in one array. Blocks are made where the texts are read, so building an index shuffles no words. Rows are
 partitioned by a hash of the term, so that a lookup reads its terms' partitions alone. Adding writes a new segment;
 deleting writes a segment of keys that no older one counts for; merging writes what is left as one segment that stands for
 all before it. A segment counts once its marker is written, which is last: one that broke off is never read, and a batch
@@ -11,7 +12,10 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +25,10 @@ from .search import parse_query
 TERM = r"(?U)[\w']+"
 #: Partitions by term, and slices of a partition by key when it is written, so that a very common term is not one task's.
 PARTS, SLICES = 16, 4
+#: Words of a block of texts; a longer text is a block of its own.
+BLOCK_WORDS = 1 << 18
+#: The partition whose rows, without a term, list a block's texts.
+TEXTS = -1
 MARKER = "seg long, batch string, folder string, since long, docs long, words long, deletes long"
 
 
@@ -28,6 +36,53 @@ def _back(positions: Column, k: int) -> Column:
     return F.transform(positions, lambda x: x - k)
 
 
+def _block(keys: pa.Array, words: pa.ListArray) -> pa.RecordBatch:
+    """A block's rows: one for each of its terms, and one without a term for all its texts."""
+    lens = words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int32)
+    said = words.flatten().dictionary_encode()
+    code = said.indices.to_numpy(zero_copy_only=False)
+    text = np.repeat(np.arange(len(lens)), lens)
+    at = np.arange(len(code)) - np.repeat(np.cumsum(lens, dtype=np.int64) - lens, lens)
+    order = np.argsort(code, kind="stable")  # by term, then text, then place
+    code, text, at = code[order], text[order], at[order].astype(np.int32)
+    first = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (text[1:] != text[:-1])][: len(code)])  # of a text's places of a term
+    opens = np.flatnonzero(np.r_[True, np.diff(code[first]) != 0][: len(first)])  # of a term's texts
+    counts = np.diff(np.r_[first, len(code)]).astype(np.int32)
+    of_terms = pa.array(np.r_[opens, len(first), len(first) + len(lens)].astype(np.int32))
+    of_places = pa.array(np.r_[first[opens], len(code), len(code)].astype(np.int32))
+    columns = {
+        "term": pa.concat_arrays([said.dictionary.take(pa.array(code[first][opens])), pa.nulls(1, said.dictionary.type)]),
+        "keys": pa.ListArray.from_arrays(of_terms, keys.take(pa.array(np.r_[text[first], np.arange(len(lens))]))),
+        "lens": pa.ListArray.from_arrays(of_terms, pa.array(np.r_[lens[text[first]], lens])),
+        "counts": pa.ListArray.from_arrays(of_terms, pa.array(np.r_[counts, np.zeros(len(lens), np.int32)])),
+        "places": pa.ListArray.from_arrays(of_places, pa.array(at)),
+    }
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, w), w a text's terms in order, to the rows of their blocks."""
+    for b in batches:
+        ends = np.cumsum(b.column(1).value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+        lo = 0
+        while lo < b.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BLOCK_WORDS, "right")))
+            yield _block(b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo))
+            lo = hi
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of blocks to a row (seg, key, len, term, positions, part) for each text and term."""
+    for b in batches:
+        for i in range(b.num_rows):
+            row = b.slice(i, 1)
+            keys, lens, counts, places = (row.column(c).flatten() for c in ("keys", "lens", "counts", "places"))
+            each = pa.array(np.zeros(len(keys), np.int32))
+            ends = pa.array(np.r_[0, np.cumsum(counts.to_numpy())].astype(np.int32))
+            columns = {"seg": row.column("seg").take(each), "key": keys, "len": lens, "term": row.column("term").take(each), "positions": pa.ListArray.from_arrays(ends, places), "part": row.column("part").take(each)}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
 class TextIndex:
     """An index over texts with a key; keys are unique and not null (rows without a key are left out)."""
 
@@ -59,15 +114,14 @@ class TextIndex:
             return False
         seg, folder = max((m["seg"] for m in marks), default=0) + 1, f"run={uuid.uuid4().hex}"
         terms = F.regexp_extract_all(F.lower(text_col), F.lit(TERM), F.lit(0))
-        rows = texts.where(F.col(self.key).isNotNull()).select(F.col(self.key).alias("key"), F.coalesce(terms, F.array().cast("array<string>")).alias("w")).withColumn("len", F.size("w"))
-        rows.select("key", "len").write.parquet(f"{self.path}/docs/{folder}")
+        rows = texts.where(F.col(self.key).isNotNull()).select(F.col(self.key).cast(self.key_type).alias("key"), F.coalesce(terms, F.array().cast("array<string>")).alias("w"))
+        self._write(rows.mapInArrow(_blocks, self._blocks_schema()), folder, seg)
+        listed = self._files("postings", [folder], f"{self._blocks_schema()}, part int").where(F.col("part") == TEXTS)
+        listed.select(F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("lens").alias("len")))).write.parquet(f"{self.path}/docs/{folder}")
         docs = self._files("docs", [folder], f"key {self.key_type}, len int")
         facts = docs.agg(F.count("*").alias("docs"), F.coalesce(F.sum("len"), F.lit(0)).alias("words")).first()
         if docs.groupBy("key").count().where("count > 1").limit(1).count():
             raise ValueError(f"batch {batch} repeats a key")
-        each = rows.select("key", "len", F.posexplode("w").alias("pos", "term")).withColumn("part", self._part(F.col("term")))
-        each = each.repartition("part", F.pmod(F.xxhash64("key"), F.lit(self.slices)))
-        self._write(each.groupBy("part", F.pmod(F.xxhash64("key"), F.lit(self.slices)).alias("slice"), "key", "len", "term").agg(F.array_sort(F.collect_list("pos")).alias("positions")), folder, seg)
         known = self._live_docs(marks).select("key").join(docs.select("key").hint("merge"), "key", "left_semi") if marks else docs.select("key").limit(0)
         self._commit(seg, batch, folder, 0, facts["docs"], facts["words"], self._write_deletes(known, folder))
         return True
@@ -92,15 +146,19 @@ class TextIndex:
         docs = self._live_docs(marks)
         docs.select("key", "len").write.parquet(f"{self.path}/docs/{folder}")
         facts = self._files("docs", [folder], f"key {self.key_type}, len int").agg(F.count("*").alias("docs"), F.coalesce(F.sum("len"), F.lit(0)).alias("words")).first()
-        rows = self._live_postings(marks, None).select("part", "key", "len", "term", "positions")
-        self._write(rows.repartition("part", F.pmod(F.xxhash64("key"), F.lit(self.slices))), folder, seg)
+        rows = self._live_postings(marks, None).repartition("part", F.pmod(F.xxhash64("key"), F.lit(self.slices)))
+        self._write(rows.select("term", F.array("key").alias("keys"), F.array("len").alias("lens"), F.array(F.size("positions")).alias("counts"), F.col("positions").alias("places")), folder, seg)
         self._commit(seg, f"merge-{seg}", folder, seg, facts["docs"], facts["words"], 0)
 
+    def _blocks_schema(self) -> str:
+        return f"term string, keys array<{self.key_type}>, lens array<int>, counts array<int>, places array<int>"
+
     def _part(self, term: Column) -> Column:
         return F.pmod(F.xxhash64(term), F.lit(self.parts)).cast("int")
 
     def _write(self, rows: DataFrame, folder: str, seg: int) -> None:
-        rows.select(F.lit(seg).cast("long").alias("seg"), "key", "len", "term", "positions", "part").sortWithinPartitions("part", "term").write.partitionBy("part").parquet(f"{self.path}/postings/{folder}")
+        part = F.when(F.col("term").isNull(), TEXTS).otherwise(self._part(F.col("term")))
+        rows.select(F.lit(seg).cast("long").alias("seg"), "term", "keys", "lens", "counts", "places", part.alias("part")).sortWithinPartitions("part", "term").write.partitionBy("part").parquet(f"{self.path}/postings/{folder}")
 
     def _write_deletes(self, keys: DataFrame, folder: str) -> int:
         keys.write.parquet(f"{self.path}/deletes/{folder}")
@@ -130,14 +188,14 @@ class TextIndex:
         return self._live(docs.withColumn("seg", F.try_element_at(seg_of, F.col("run")).cast("long")).drop("run"), marks)
 
     def _live_postings(self, marks: list, terms: list[str] | None) -> DataFrame:
-        schema = f"seg long, key {self.key_type}, len int, term string, positions array<int>, run string, part int"
         folders = [m["folder"] for m in marks if m["docs"]]
         if not folders:
-            return self.spark.createDataFrame([], schema)
-        rows = self._files("postings", folders, schema)
+            return self.spark.createDataFrame([], f"seg long, key {self.key_type}, len int, term string, positions array<int>, part int")
+        rows = self._files("postings", folders, f"seg long, {self._blocks_schema()}, run string, part int").where(F.col("part") != TEXTS)
         if terms is not None:
             wanted = self.spark.range(1).select(*[self._part(F.lit(t)).alias(f"p{i}") for i, t in enumerate(terms)]).first()
             rows = rows.where(F.col("part").isin(*sorted(set(wanted))) & F.col("term").isin(*terms))
+        rows = rows.mapInArrow(_unpacked, f"seg long, key {self.key_type}, len int, term string, positions array<int>, part int")
         return self._live(rows, marks)
 
     def postings(self, terms: list[str]) -> DataFrame:

@@ -1,9 +1,11 @@
 import re
 import uuid
 
+import pyarrow as pa
 import pytest
 
 from tessitura.functions.tables import shared_dir
+from tessitura.operators import text_index
 from tessitura.operators.search import parse_query
 from tessitura.operators.text_index import TextIndex, stored_index
 
@@ -74,3 +76,28 @@ def test_query_words(spark, sf_dir):
     index = stored_index(spark, shared_dir(spark), docs, "doc_id")
     for q in ('this and "of the"', "eau", '"in the"'):
         assert {r.doc_id: r.hits for r in index.find_all(q).collect()} == plain(texts, q)
+
+
+def test_blocks_are_made_where_texts_are_read(spark, monkeypatch):
+    words = {k: [f"w{(k * 7 + i * i) % 5}" for i in range(k % 9)] for k in range(40)}
+    batch = pa.RecordBatch.from_arrays([pa.array(words), pa.array(words.values(), pa.list_(pa.string()))], names=["key", "w"])
+    monkeypatch.setattr(text_index, "BLOCK_WORDS", 10)
+    found, listed, blocks = {}, {}, 0
+    for block in text_index._blocks(iter([batch, batch.slice(0, 0)])):
+        for r in block.to_pylist():
+            at = iter(r["places"])
+            if r["term"] is None:
+                blocks += 1
+                listed |= dict(zip(r["keys"], r["lens"], strict=True))
+                continue
+            for k, n, c in zip(r["keys"], r["lens"], r["counts"], strict=True):
+                assert n == len(words[k]) and (k, r["term"]) not in found
+                found[k, r["term"]] = [next(at) for _ in range(c)]
+            assert not list(at)
+    assert listed == {k: len(w) for k, w in words.items()} and blocks > 10
+    assert found == {(k, t): [i for i, x in enumerate(w) if x == t] for k, w in words.items() for t in w}
+    path = f"{shared_dir(spark)}/idx-{uuid.uuid4().hex}"
+    index = TextIndex(spark, path)
+    assert index.add("a", spark.createDataFrame([(k, "the cat sat") for k in range(400)], "doc_id long, text string").coalesce(1))
+    assert spark.read.parquet(f"{path}/postings").where("term = 'cat'").count() == 1  # a row for a block, not for each text
+    assert index.find_all('"the cat"').count() == 400
