@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ from .timejoins import asof_last, runs
 
 # Hint sources whose agreement decides.
 STRONG = ("introduction", "match", "title")
+#: Words that are searched for loops at once; a longer text is searched alone.
+LOOP_WORDS = 1 << 18
 
 
 def name_votes(samples: DataFrame, key: str = "slug", least: int = 8, share: float = 0.75, lift: float = 0.25) -> DataFrame:
@@ -237,6 +241,32 @@ def loop_spans(words: DataFrame, key: str = "slug", longest: int = 8) -> DataFra
     return words.select(key, "idx", "word").groupBy(key).applyInPandas(find, f"{key} {words.schema[key].dataType.simpleString()}, n int, first long, last long, repeats int")
 
 
+def loop_spans_of_lists(texts: DataFrame, key: str = "slug", words_col: str = "words", longest: int = 8) -> DataFrame:
+    """As loop_spans, of texts(key, words), each with all its words as an array in one row: idx is a word's place there, from 0.
+    Nothing is shuffled: the texts of a block are searched at once, with a number of its own between any two of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(b.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            lo = 0
+            while lo < b.num_rows:
+                before = ends[lo - 1] if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(ends, before + LOOP_WORDS, "right")))
+                said = b.column(1).slice(lo, hi - lo).flatten().fill_null("").dictionary_encode()
+                silent = np.append(said.dictionary.to_numpy(zero_copy_only=False) == "", False)
+                code = said.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                code[silent[code]] = -1
+                after = ends[lo:hi] - before
+                found = np.array(_repeats(np.insert(code, after, -2 - np.arange(hi - lo)), longest), np.int64).reshape(-1, 4)
+                text = np.searchsorted(after + np.arange(hi - lo), found[:, 1])
+                starts = np.append(0, after)[text] + text
+                values = [b.column(0).take(pa.array(lo + text)), pa.array(found[:, 0].astype(np.int32)), pa.array(found[:, 1] - starts), pa.array(found[:, 2] - starts), pa.array(found[:, 3].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(values, names=[key, "n", "first", "last", "repeats"])
+                lo = hi
+
+    return texts.select(key, words_col).mapInArrow(run, f"{key} {texts.schema[key].dataType.simpleString()}, n int, first long, last long, repeats int")
+
+
 def repair_ranges(spans: DataFrame, words: DataFrame, key: str = "slug", pad: float = 12.0, near: float = 2.0) -> DataFrame:
     """The stretches (key, start, end) to transcribe anew: spans of loops, from their first word's time to that of the word
     after their last, padded, and joined where they lie near each other. words(key, idx, start)."""

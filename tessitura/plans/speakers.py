@@ -212,5 +212,5 @@ SELECT slug, n::INT AS n, i::BIGINT AS first, (i + cover - 1)::BIGINT AS last, (
 @query("t10_loops", T10)
 def t10_loops(spark, sf_dir):
     """Words are documents' tokens without punctuation."""
-    w = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("slug"), F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\w+"), F.lit(0))).alias("idx", "word"))
-    return attribution.loop_spans(w)
+    w = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("slug"), F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\w+"), F.lit(0)).alias("words"))
+    return attribution.loop_spans_of_lists(w)
