@@ -21,3 +21,21 @@ def test_loops_of_lists(spark, sf_dir, monkeypatch):
     wanted = sorted(attribution.loop_spans(df.select("slug", F.posexplode("words").alias("idx", "word"))).collect())
     assert len(wanted) > 30 and sorted(attribution.loop_spans_of_lists(df).collect()) == wanted
     assert "Exchange" not in plan(plans.QUERIES["t10_loops"](spark, sf_dir))
+
+
+def test_scripts_are_looked_up_for_few_characters(spark):
+    plain = "[" + "".join(rf"\p{{Is{name}}}" for name in ("Hangul", "Han", "Hiragana", "Katakana", "Cyrillic", "Arabic", "Hebrew", "Thai")) + "]+"
+    letters = spark.range(1, 0x110000).where("id < 55296 or id > 57343").select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    assert letters.where(F.col("c").rlike(plain)).count() > 50_000
+    assert letters.where(F.col("c").rlike(plain) != F.col("c").rlike(clean.NON_LATIN)).count() == 0
+    latin = spark.range(0, 400, 1, 2).select(F.repeat(F.concat(F.col("id").cast("string"), F.lit(" words of élan, und so weiter. ")), 1000).alias("text"))
+
+    def seconds(pattern):
+        times = []
+        for _ in range(3):
+            began = time.time()
+            assert latin.where(F.col("text").rlike(pattern)).count() == 0
+            times.append(time.time() - began)
+        return min(times)
+
+    assert seconds(clean.NON_LATIN) < 0.7 * seconds(plain)
