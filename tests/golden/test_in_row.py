@@ -23,6 +23,34 @@ def test_loops_of_lists(spark, sf_dir, monkeypatch):
     assert "Exchange" not in plan(plans.QUERIES["t10_loops"](spark, sf_dir))
 
 
+def capitals(text, ordinary):
+    """Word by word, as the rule says."""
+    t = text.split()
+    bare = [x.strip(clean.AROUND) for x in t]
+    core = [b if b and all(c.isascii() and c.isalpha() or c in "'’-" for c in b) else "" for b in bare]
+    first = [i == 0 or t[i - 1].rstrip(clean.CLOSERS)[-1:] in tuple(".?!…:”\"") and t[i - 1].rstrip(clean.CLOSERS) != "" for i in range(len(t))]
+    big = [c[:1].isupper() and c != "I" and not f for c, f in zip(core, first)]
+    number = [sum(first[: i + 1]) for i in range(len(t))]
+    for i, c in enumerate(core):
+        near = any(big[j] and number[j] == number[i] for j in range(max(0, i - 3), min(len(t), i + 4)) if j != i)
+        tail = c[1:]
+        if big[i] and tail == tail.lower() and tail.strip("'’-") and core[i - 1] in clean.CONTINUERS and not near and c.lower() not in clean.KEEP_CAPITAL and c.lower() in ordinary:
+            yield i, c, " ".join(t[max(0, i - 4) : i + 5])
+
+
+def test_midsentence_capitals(spark, sf_dir):
+    pick = random.Random(5)
+    said = ["and", "the", "of", "House", "Tree", "house", "tree", "I", "end.", "end.”", "(House)", "A", "'s", "Zoom", "No:", "Étoile", "…", "to", "HOUSE", "And", "''"]
+    texts = {k: " ".join(pick.choice(said) for _ in range(pick.randrange(25))) for k in range(400)} | {1000: None, 1001: "", 1002: " \n"}
+    ordinary = ["house", "tree", "and", "a"]
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = clean.midsentence_capitals(df, spark.createDataFrame([(w,) for w in ordinary], "word string"), "doc_id", around=4)
+    wanted = sorted((k, *row) for k, t in texts.items() for row in capitals(t or "", ordinary))
+    assert len(wanted) > 30 and sorted(map(tuple, found.collect())) == wanted
+    assert "Window" not in plan(plans.QUERIES["x15_midsentence_capitals"](spark, sf_dir))
+    assert "_w" not in plan(plans.QUERIES["a7_capital_suspects"](spark, sf_dir))  # the texts' words are not joined again
+
+
 def test_scripts_are_looked_up_for_few_characters(spark):
     plain = "[" + "".join(rf"\p{{Is{name}}}" for name in ("Hangul", "Han", "Hiragana", "Katakana", "Cyrillic", "Arabic", "Hebrew", "Thai")) + "]+"
     letters = spark.range(1, 0x110000).where("id < 55296 or id > 57343").select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
