@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, texts
+from .common import letting_go, materialize, small_batches, texts
 from .components import connected_components
 from .near_copies import SENT_IDS, WORDS, near_components
 
@@ -28,6 +28,8 @@ SEGMENTS = 8
 MAX_DIFF = 2
 SHINGLE_WORDS = 3
 HOT_BUCKET = 4096
+#: Texts, or pairs of sets, that near_dedup hands to Python at a time.
+BATCH_ROWS = 1000
 #: Shingles hashed at a time, so that one long text takes bounded memory.
 BLOCK = 65536
 
@@ -62,7 +64,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["id", "fp"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(make, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(letting_go(make), f"id {rows.schema['id'].dataType.simpleString()}, fp long")
 
 
 def chain_budgets(segments: int = SEGMENTS, max_diff: int = MAX_DIFF) -> list[int]:
@@ -155,7 +157,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     all stay: exact copies are another operator's work.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = near_components(rows, candidates=fingerprint_candidates(rows))
-    gone = materialize(found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("_gone")).distinct(), "gone")
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        found = near_components(rows, candidates=fingerprint_candidates(rows))
+        gone = materialize(found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("_gone")).distinct(), "gone")
     gone = F.broadcast(gone) if gone.count() <= SENT_IDS else gone.hint("merge")
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

@@ -102,3 +102,19 @@ def test_query_against_brute_force(spark, sf_dir):
         least.setdefault(roots[i], i)
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.QUERIES["op10_simhash"](spark, sf_dir).collect()}
     assert got == {i: (f"{fp[i]:016x}", least[roots[i]]) for i in ids}
+
+
+def test_near_dedup_hands_few_rows_at_a_time_to_python(spark, monkeypatch):
+    from tessitura.llm import common, simhash
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(key), []
+    near = simhash.near_components
+    monkeypatch.setattr(simhash, "near_components", lambda *a, **b: seen.append(spark.conf.get(key)) or near(*a, **b))
+    docs = spark.createDataFrame([(i, "one two three four five six seven") for i in range(3)] + [(9, "other words")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect()) == [0, 9]
+    assert seen == ["1000"] and spark.conf.get(key) == before
+    with common.small_batches(spark, 7):
+        rows = spark.range(0, 50, 1, 1).mapInArrow(lambda batches: batches, "id long")
+        sizes = rows.mapInPandas(lambda parts: (p.head(1).assign(id=len(p)) for p in parts), "id long").collect()
+    assert max(r.id for r in sizes) <= 7
