@@ -3,6 +3,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tessitura.operators.phrases import count_phrases, replace_phrases
 
 
@@ -53,3 +55,29 @@ def test_edges(spark):
     assert replace_phrases(t.limit(0), p, "k").count() == 0
     with pytest.raises(ValueError):
         replace_phrases(t, spark.createDataFrame([("--", "-")], "phrase string, replacement string"), "k")
+
+
+def test_only_the_dictionarys_words_are_kept(spark):
+    import glob
+
+    from tessitura.functions.tables import shared_dir
+
+    folder = shared_dir(spark).removeprefix("file:")
+    known = set(glob.glob(f"{folder}/words-*"))
+    texts = spark.createDataFrame([(1, "the old cat sat there"), (2, "a Cat, catlike"), (3, None)], "id long, text string")
+    whole = spark.createDataFrame([("cat", "dog", True), ("old dog", "pup", True), ("bird", "owl", True)], "phrase string, replacement string, whole boolean")
+    from tessitura.operators.phrases import replace_phrases
+
+    assert sorted(map(tuple, replace_phrases(texts, whole.withColumn("ord", (F.col("phrase") != "cat").cast("long")), "id").collect())) == [(1, "the pup sat there"), (2, "a dog, catlike"), (3, None)]
+    (made,) = set(glob.glob(f"{folder}/words-*")) - known
+    assert {r.v for r in spark.read.parquet(made).collect()} == {"old", "cat"}
+
+
+def test_fillers_by_their_first_letter(spark):
+    from tessitura.operators import clean
+
+    said = ["uh", "UM", "Uh,", "um..", "uh-huh", "umm", "hum", "Ühm", "u", "", ",um", "sum", "UH"]
+    rows = spark.createDataFrame([(x, f"So {x} we go") for x in said], "x string, text string")
+    found = {r.x: (r.a, r.b) for r in rows.select("x", clean._is_filler(F.col("x")).alias("a"), clean.remove_fillers(F.col("text")).alias("b")).collect()}
+    assert {x for x, (a, _) in found.items() if a} == {"uh", "UM", "UH"}
+    assert {x for x, (_, b) in found.items() if x and x not in b} == {"uh", "UM", "Uh,", "um..", "UH"}
