@@ -83,9 +83,10 @@ def ngrams(texts: DataFrame, keys: list[str], n: int, text_col: str = "text") ->
 
 def spread_words(cues: DataFrame, keys: list[str], text_col: str = "text", start_col: str = "start", end_col: str = "end") -> DataFrame:
     """(keys, idx, start, token): a cue's words spread evenly over it; a missing end is start + max(0.35 per word, 1)."""
-    list_ = words(F.col(text_col))
-    end = F.coalesce(F.col(end_col), F.col(start_col) + F.greatest(0.35 * F.size(list_), F.lit(1.0)))
-    rows = cues.select(*keys, F.col(start_col).alias("s"), end.alias("e"), F.size(list_).alias("n"), F.posexplode(list_).alias("idx", "token"))
+    # The words are a column before they become rows: what stands beside a generator is worked out for each of its rows.
+    listed = cues.select(*keys, F.col(start_col).alias("s"), F.col(end_col).alias("e"), words(F.col(text_col)).alias("w"))
+    end = F.coalesce("e", F.col("s") + F.greatest(0.35 * F.size("w"), F.lit(1.0)))
+    rows = listed.select(*keys, "s", end.alias("e"), F.size("w").alias("n"), "w").select(*keys, "s", "e", "n", F.posexplode_outer("w").alias("idx", "token")).where("token is not null")
     return rows.select(*keys, "idx", (F.col("s") + (F.col("e") - F.col("s")) * F.col("idx") / F.col("n")).alias("start"), "token")
 
 

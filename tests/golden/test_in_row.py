@@ -6,7 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from tessitura import plans
-from tessitura.operators import attribution, clean
+from tessitura.operators import attribution, clean, sentences
 
 
 def plan(df):
@@ -67,3 +67,11 @@ def test_scripts_are_looked_up_for_few_characters(spark):
         return min(times)
 
     assert seconds(clean.NON_LATIN) < 0.7 * seconds(plain)
+
+
+def test_spread_words_cuts_a_text_once(spark, sf_dir):
+    cues = spark.createDataFrame([("a", 0.0, "one two")], "slug string, start double, text string").withColumn("end", F.lit(None).cast("double"))
+    found = sentences.spread_words(cues.union(cues.select("slug", "start", F.lit(None), "end")), ["slug"])
+    assert [(r.idx, r.start, r.token) for r in found.orderBy("idx").collect()] == [(0, 0.0, "one"), (1, 0.5, "two")]
+    above = plan(plans.QUERIES["w7_spread_words"](spark, sf_dir)).split("Generate")[0]
+    assert "regexp_extract_all" not in above  # what stands above the generator is worked out for each word
