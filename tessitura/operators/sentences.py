@@ -78,7 +78,9 @@ def ngram_lists(texts: DataFrame, keys: list[str], n: int, text_col: str = "text
 
 def ngrams(texts: DataFrame, keys: list[str], n: int, text_col: str = "text") -> DataFrame:
     """(keys, idx, gram): runs of n lower-case words; made in the row."""
-    return ngram_lists(texts, keys, n, text_col).select(*keys, F.posexplode("grams").alias("idx", "gram"))
+    # No list is empty. From a plain posexplode the optimizer infers a filter on its size, pushes it down to the text, and there
+    # cuts the text into words anew for each word of each run.
+    return ngram_lists(texts, keys, n, text_col).select(*keys, F.posexplode_outer("grams").alias("idx", "gram"))
 
 
 def spread_words(cues: DataFrame, keys: list[str], text_col: str = "text", start_col: str = "start", end_col: str = "end") -> DataFrame:
@@ -90,6 +92,16 @@ def spread_words(cues: DataFrame, keys: list[str], text_col: str = "text", start
     return rows.select(*keys, "idx", (F.col("s") + (F.col("e") - F.col("s")) * F.col("idx") / F.col("n")).alias("start"), "token")
 
 
+def spread_lists(cues: DataFrame, keys: list[str], text_col: str = "text", start_col: str = "start", end_col: str = "end") -> DataFrame:
+    """(keys, first, last, times, tokens): spread_words as arrays in the cue's row, and its first and last time; no row for a cue
+    without words."""
+    listed = cues.select(*keys, F.col(start_col).alias("s"), F.col(end_col).alias("e"), words(F.col(text_col)).alias("tokens"))
+    end = F.coalesce("e", F.col("s") + F.greatest(0.35 * F.size("tokens"), F.lit(1.0)))
+    rows = listed.select(*keys, "s", end.alias("e"), F.size("tokens").alias("n"), "tokens").where("n > 0")
+    at = lambda i: F.col("s") + (F.col("e") - F.col("s")) * i / F.col("n")
+    return rows.select(*keys, at(F.lit(0)).alias("first"), at(F.col("n") - 1).alias("last"), F.transform(F.sequence(F.lit(0), F.col("n") - 1), at).alias("times"), "tokens")
+
+
 def time_maps(words_: DataFrame, texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """(key, para, idx, frac, sec): where in its paragraph each word begins and when, if words_(key, idx, start) are as many
     as the text's tokens; no rows for a key where they are not."""

@@ -240,3 +240,28 @@ def test_paragraphs_are_placed(spark):
     paras = [(1, 0, "One, two three four nine!", 0.0, 30.0), (1, 1, "five six seven", 0.0, 30.0), (1, 2, "one two", 3.0, 30.0), (1, 3, "one two three four five", 100.0, 130.0), (1, 4, "", 7.0, 9.0), (1, 5, "one two three four", 9.0, 40.0)]
     got = timejoins.place_paragraphs(spark.createDataFrame(paras, "slug int, para int, text string, block_start double, block_end double"), spark.createDataFrame(words, "slug int, idx int, t double, word string"), "slug")
     assert {r.para: (r.start, r.score) for r in got.collect()} == {0: (14.0, 5), 1: (8.0, 3), 2: (3.0, None), 3: (100.0, None), 4: (7.0, None), 5: (14.0, 4)}
+
+
+def test_words_found_in_lists(spark):
+    rnd = random.Random(8)
+    letters = "abcdefgh"
+    cues = [(k, i, (t := rnd.uniform(0, 300)), t + rnd.uniform(0, 90), rnd.choices(letters, k=rnd.randint(0, 6))) for k in range(3) for i in range(25)]
+    said = [(k, sorted(rnd.uniform(0, 300) for _ in range(n)), rnd.choices(letters, k=n)) for k in range(2) for n in (1, 3, 9)]
+    c = spark.createDataFrame(cues, "slug int, cue int, start double, end double, words array<string>")
+    lists = spark.createDataFrame([(k, t[0], t[-1], t, w) for k, t, w in said], "slug int, first double, last double, times array<double>, tokens array<string>")
+    found = timejoins.words_found_in_lists(c, lists, "slug", {"x": 0.0, "y": -60.0}, pad=2.0)
+    got = {(r.slug, r.cue): (r.x, r.y) for r in found.collect()}
+
+    def plain(shift, slug, start, end, words):
+        near = {w for k, times, tokens in said if k == slug for t, w in zip(times, tokens, strict=True) if start + shift - 2 <= t <= end + shift + 2}
+        return sum(w in near for w in words)
+
+    want = {(k, i): (plain(0.0, k, a, b, w), plain(-60.0, k, a, b, w)) for k, i, a, b, w in cues}
+    assert {x: got.get(x, (0, 0)) for x in want} == want and any(x > 1 for x, _ in got.values())
+
+
+def test_cuts_are_searched_in_their_rows(spark, sf_dir):
+    from tessitura import plans
+
+    made = plans.QUERIES["j6_cuts"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" not in made and "explode(words" not in made
