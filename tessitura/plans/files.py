@@ -21,6 +21,10 @@ def s6_metadata(spark, sf_dir):
     return sites.read_metadata(spark, path, lines=True).select("id", "title", "upload_date", "duration")
 
 
+#: Items of a file of an export: a file is read by one task, as XML is not split.
+ITEMS = 50_000
+
+
 @query("s7_site_export", "SELECT p_name AS title, 'u' || p_partkey AS link, CASE WHEN p_partkey % 4 = 2 THEN 'page' ELSE 'post' END AS kind, p_type AS content FROM part WHERE p_partkey % 4 IN (0, 2)")
 def s7_site_export(spark, sf_dir):
     path, k = _folder(spark), F.col("p_partkey") % 4
@@ -28,7 +32,7 @@ def s7_site_export(spark, sf_dir):
         F.col("p_name").alias("title"), F.concat(F.lit("u"), F.col("p_partkey").cast("string")).alias("link"), F.when(k == 2, "page").when(k == 3, "image").otherwise("post").alias("post_type"),
         F.when(k == 1, "draft").otherwise("publish").alias("status"), F.col("p_type").alias("encoded"), F.array(F.lit("a"), F.lit("b")).alias("category"),
     )
-    items.write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path)
+    items.write.format("xml").option("rowTag", "item").option("rootTag", "channel").option("maxRecordsPerFile", ITEMS).save(path)
     return sites.read_site_export(spark, path).select("title", "link", "kind", "content")
 
 
