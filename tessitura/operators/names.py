@@ -90,12 +90,22 @@ def _rare_pairs(c: Column, needed: Column) -> Column:
     return F.slice(F.array_sort(each), F.lit(1), (n - needed).cast("int"))
 
 
+#: Rows that a join may broadcast.
+FEW = 100_000
+
+
+def _side(df: DataFrame) -> DataFrame:
+    """df, written, as a side of a join with generated rows: broadcast if a count says that it is small, else merged."""
+    df = written(df, "side")
+    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df.hint("merge")
+
+
 def _by_letters(lw: DataFrame, rw: DataFrame, a: str, b: str, least: float, on: Sequence[str]) -> DataFrame:
     """Pairs that share a rare letter and a length that can reach the ratio."""
     lw = lw.withColumn("_x", F.explode(_rare_letters(F.col(a), least))).withColumn("_n", F.col("_la"))
     rw = rw.withColumn("_x", F.explode(_rare_letters(F.col(b), least)))  # the shorter list on the right is cheaper: it takes all lengths
     rw = rw.withColumn("_n", F.explode(_other_lengths(F.col("_lb"), least)))
-    return lw.hint("merge").join(rw.hint("merge"), ["_x", "_n", *on]).where(ratio_bound(F.col(a), F.col(b)) >= least - 1e-9).select(a, b)
+    return lw.join(_side(rw), ["_x", "_n", *on]).where(ratio_bound(F.col(a), F.col(b)) >= least - 1e-9).select(a, b)
 
 
 def _by_pairs(lw: DataFrame, rw: DataFrame, a: str, b: str, least: float, on: Sequence[str]) -> DataFrame:
@@ -106,7 +116,7 @@ def _by_pairs(lw: DataFrame, rw: DataFrame, a: str, b: str, least: float, on: Se
     rw = rw.where(F.col("_k") <= F.least("_n", "_lb")).withColumn("_s", F.explode(_rare_pairs(F.col(b), _shared_pairs(F.col("_n"), F.col("_lb"), least))))
     first, last = F.greatest(F.col("_s.at") - (F.col("_lb") - F.col("_k")), F.lit(1)), F.least(F.col("_s.at") + (F.col("_n") - F.col("_k")), F.col("_n") - 1)
     rw = rw.where(first <= last).select(b, *on, "_n", F.col("_s.x").alias("_x"), F.explode(F.sequence(first, last)).alias("_at"))
-    return lw.hint("merge").join(rw.hint("merge"), ["_x", "_n", "_at", *on]).select(a, b)
+    return lw.join(_side(rw), ["_x", "_n", "_at", *on]).select(a, b)
 
 
 def similar_candidates(left: DataFrame, right: DataFrame, a: str, b: str, least: float, on: Sequence[str] = ()) -> DataFrame:
@@ -122,8 +132,9 @@ def similar_candidates(left: DataFrame, right: DataFrame, a: str, b: str, least:
     def needed(n: Column) -> Column:
         return F.array_min(F.transform(F.filter(_other_lengths(n, least), lambda m: F.ceil(least * (n + m) / 2 - 1e-9) <= F.least(n, m)), lambda m: _shared_pairs(n, m, least)))
 
-    lw = lw.withColumn("_needed", needed(F.col("_la")))
-    rw = rw.withColumn("_needed", needed(F.col("_lb")))
+    # Written, as each side is read for long and for short words: what the words are taken from is read once.
+    lw = written(lw.withColumn("_needed", needed(F.col("_la"))), "left")
+    rw = written(rw.withColumn("_needed", needed(F.col("_lb"))), "right")
     long_l, long_r = lw.where("_needed > 0"), rw.where("_needed > 0")
     short_l, short_r = lw.where("_needed <= 0"), rw.where("_needed <= 0")
     found = _by_pairs(long_l, long_r, a, b, least, on).union(_by_letters(short_l, rw, a, b, least, on)).union(_by_letters(long_l, short_r, a, b, least, on))
@@ -273,15 +284,18 @@ def name_variants(texts: DataFrame, names: DataFrame, key: str, least: float = 0
     words = F.regexp_extract_all(F.lower(text_col), F.lit(r"(?U)\p{L}+"), F.lit(0))
     rows = texts.select(key, words.alias("w")).where(F.size("w") >= 2)
     n = names.select("name", F.lower(F.split("name", " ")[0]).alias("fa"), F.lower(F.element_at(F.split("name", " "), -1)).alias("fb")).where("fa <> fb or name like '% %'").distinct()
-    vocabulary = rows.select(F.explode("w").alias("w")).distinct()
+    # From a plain explode the optimizer infers a filter that cuts the text into words anew, for pairs for each of them; no list is empty.
+    vocabulary = rows.select(F.explode_outer(F.array_distinct("w")).alias("w")).distinct()
     close = similarity_join(vocabulary, n.select(F.col("fa").alias("k")).union(n.select("fb")).distinct(), "w", "k", least)
     close = close.withColumn("_r", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("ratio"), "w"))).where(F.col("_r") <= closest).drop("_r")
     ca = close.select(F.col("w").alias("a"), F.col("k").alias("fa"), F.col("ratio").alias("ra"))
     cb = close.select(F.col("w").alias("b"), F.col("k").alias("fb"), F.col("ratio").alias("rb"))
     hit = n.join(ca.hint("merge"), "fa").join(cb.hint("merge"), "fb").where("not (a = fa and b = fb)").where((F.col("a") == F.col("fa")) | (F.col("b") == F.col("fb")) | ((F.col("ra") >= both) & (F.col("rb") >= both)))
     # Only pairs that hit are counted: the texts' pairs meet the few hits before they are grouped.
-    pairs = rows.select(key, F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.struct(F.element_at("w", i).alias("a"), F.element_at("w", i + 1).alias("b")))).alias("p")).select(key, "p.a", "p.b")
-    found = pairs.hint("merge").join(hit.select("a", "b", "name").distinct().hint("merge"), ["a", "b"])
+    hit = _side(hit.select("a", "b", "name").distinct())
+    next_to = F.arrays_zip("w", F.slice("w", F.lit(2), F.size("w") - 1)).cast("array<struct<a:string,b:string>>")
+    pairs = rows.select(key, F.explode_outer(next_to).alias("p")).select(key, "p.a", "p.b").where("b is not null")
+    found = pairs.join(hit, ["a", "b"])
     return found.groupBy(F.col("a").alias("first"), F.col("b").alias("last"), "name").agg(F.count("*").alias("times"), F.count_distinct(key).alias("texts"))
 
 
