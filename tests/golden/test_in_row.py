@@ -6,7 +6,9 @@ import time
 from pyspark.sql import functions as F
 
 from tessitura import plans
-from tessitura.operators import attribution, clean, sentences
+from tessitura.operators import attribution, clean, names, sentences
+from tessitura.plans import files
+from tessitura.sources import captions
 
 
 def plan(df):
@@ -75,3 +77,41 @@ def test_spread_words_cuts_a_text_once(spark, sf_dir):
     assert [(r.idx, r.start, r.token) for r in found.orderBy("idx").collect()] == [(0, 0.0, "one"), (1, 0.5, "two")]
     above = plan(plans.QUERIES["w7_spread_words"](spark, sf_dir)).split("Generate")[0]
     assert "regexp_extract_all" not in above  # what stands above the generator is worked out for each word
+
+
+def test_runs_are_not_cut_anew_by_a_filter(spark, sf_dir):
+    for name in ("j1_unique_anchors", "j10_crosscheck", "n10_name_variants"):
+        made = plan(plans.QUERIES[name](spark, sf_dir)).splitlines()
+        assert not [x for x in made if "Filter" in x and ("transform(" in x or "array_distinct(" in x)], name
+
+
+def test_texts_are_read_once_for_their_words(spark, sf_dir, monkeypatch):
+    made, write = {}, names.written
+    monkeypatch.setattr(names, "written", lambda df, name: (made.setdefault(name, plan(df)), write(df, name))[1])
+    for name in ("n10_name_variants", "n12_near_terms"):
+        made.clear()
+        assert plans.QUERIES[name](spark, sf_dir).count() > 0
+        assert "documents.parquet" in made["left"] and "documents.parquet" not in made["pairs"]
+        assert "SortMergeJoin" not in made["pairs"]  # few names are not met by shuffling every word
+
+
+def test_sides_that_are_not_few(spark, monkeypatch):
+    words = spark.createDataFrame([("ringside",), ("ringsides",), ("bolt",), ("bolts",), ("volt",)], "a string")
+    found = lambda: sorted(map(tuple, names.similarity_join(words, words.withColumnRenamed("a", "b"), "a", "b", 0.8).collect()))
+    few = found()
+    monkeypatch.setattr(names, "FEW", 0)
+    assert found() == few and len(few) == 9
+
+
+def test_captions_are_folded_in_their_row(spark, sf_dir):
+    assert "FlatMapGroupsInPandas" not in plan(plans.QUERIES["s3_caption_words"](spark, sf_dir))
+    texts = spark.createDataFrame([("a", None), ("b", "WEBVTT\n\n00:00:01.000 --> 00:00:02.000\nso<00:01:01.200><c> we </c><01:00:01.250><c>  </c>\n\n00:00:02.000 --> 00:00:03.000\nso we um<00:00:02.200><c> went</c>")], "slug string, text string")
+    assert [tuple(r) for r in captions.caption_words(texts).collect()] == [("b", 0, 1.0, "so"), ("b", 1, 61.2, "we"), ("b", 2, 2.2, "went")]
+
+
+def test_exports_are_written_in_files_of_bounded_size(spark, sf_dir, monkeypatch, tmp_path):
+    monkeypatch.setattr(files, "ITEMS", 30, raising=False)
+    monkeypatch.setattr(files, "_folder", lambda spark: str(tmp_path / "export"))
+    rows = plans.QUERIES["s7_site_export"](spark, sf_dir).count()
+    assert rows == spark.read.parquet(f"{sf_dir}/part.parquet").where("p_partkey % 4 in (0, 2)").count()
+    assert len(list((tmp_path / "export").glob("part-*"))) >= 6
