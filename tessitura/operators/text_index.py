@@ -22,7 +22,10 @@ from pyspark.sql import functions as F
 
 from .search import parse_query
 
-TERM = r"(?U)[\w']+"
+#: A word, in the classes that SQL's pattern names: letters, marks, numbers of any kind, low lines and apostrophes.
+TERM = r"[\p{L}\p{M}\p{N}_']+"
+#: Of the rules that a stored index was made by: one made by others is not taken up.
+RULES = 2
 #: Partitions by term, and slices of a partition by key when it is written, so that a very common term is not one task's.
 PARTS, SLICES = 16, 4
 #: Words of a block of texts; a longer text is a block of its own.
@@ -32,6 +35,15 @@ TEXTS = -1
 MARKER = "seg long, batch string, folder string, since long, docs long, words long, deletes long"
 
 
+def _lower(c: Column) -> Column:
+    """In lower case. A capital I with a dot is one letter, as in SQL and in _phrases, not an i and a mark."""
+    return F.lower(F.replace(c, F.lit("İ"), F.lit("i")))
+
+
+def _phrases(query: str) -> list[list[str]]:
+    return parse_query(query.replace("İ", "i"))
+
+
 def _back(positions: Column, k: int) -> Column:
     return F.transform(positions, lambda x: x - k)
 
@@ -103,6 +115,10 @@ class TextIndex:
         since = max((r["since"] for r in found), default=0)
         return [r for r in found if r["seg"] >= since]
 
+    def _facts(self, docs: DataFrame):
+        """The number of texts that have a word, and of their words: a text without one is listed, but counts for nothing in a score."""
+        return docs.agg(F.count_if(F.col("len") > 0).alias("docs"), F.coalesce(F.sum("len"), F.lit(0)).alias("words")).first()
+
     def _commit(self, seg: int, batch: str, folder: str, since: int, docs: int, words: int, deletes: int) -> None:
         row = self.spark.createDataFrame([(seg, batch, folder, since, docs, words, deletes)], MARKER)
         row.coalesce(1).write.parquet(f"{self.path}/commits/seg-{seg:012d}")  # fails where another writer took the number
@@ -113,13 +129,13 @@ class TextIndex:
         if any(m["batch"] == batch for m in marks):
             return False
         seg, folder = max((m["seg"] for m in marks), default=0) + 1, f"run={uuid.uuid4().hex}"
-        terms = F.regexp_extract_all(F.lower(text_col), F.lit(TERM), F.lit(0))
+        terms = F.regexp_extract_all(_lower(F.col(text_col)), F.lit(TERM), F.lit(0))
         rows = texts.where(F.col(self.key).isNotNull()).select(F.col(self.key).cast(self.key_type).alias("key"), F.coalesce(terms, F.array().cast("array<string>")).alias("w"))
         self._write(rows.mapInArrow(_blocks, self._blocks_schema()), folder, seg)
         listed = self._files("postings", [folder], f"{self._blocks_schema()}, part int").where(F.col("part") == TEXTS)
         listed.select(F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("lens").alias("len")))).write.parquet(f"{self.path}/docs/{folder}")
         docs = self._files("docs", [folder], f"key {self.key_type}, len int")
-        facts = docs.agg(F.count("*").alias("docs"), F.coalesce(F.sum("len"), F.lit(0)).alias("words")).first()
+        facts = self._facts(docs)
         if docs.groupBy("key").count().where("count > 1").limit(1).count():
             raise ValueError(f"batch {batch} repeats a key")
         known = self._live_docs(marks).select("key").join(docs.select("key").hint("merge"), "key", "left_semi") if marks else docs.select("key").limit(0)
@@ -145,7 +161,7 @@ class TextIndex:
         seg, folder = marks[-1]["seg"] + 1, f"run={uuid.uuid4().hex}"
         docs = self._live_docs(marks)
         docs.select("key", "len").write.parquet(f"{self.path}/docs/{folder}")
-        facts = self._files("docs", [folder], f"key {self.key_type}, len int").agg(F.count("*").alias("docs"), F.coalesce(F.sum("len"), F.lit(0)).alias("words")).first()
+        facts = self._facts(self._files("docs", [folder], f"key {self.key_type}, len int"))
         rows = self._live_postings(marks, None).repartition("part", F.pmod(F.xxhash64("key"), F.lit(self.slices)))
         self._write(rows.select("term", F.array("key").alias("keys"), F.array("len").alias("lens"), F.array(F.size("positions")).alias("counts"), F.col("positions").alias("places")), folder, seg)
         self._commit(seg, f"merge-{seg}", folder, seg, facts["docs"], facts["words"], 0)
@@ -204,7 +220,7 @@ class TextIndex:
 
     def find_all(self, query: str) -> DataFrame:
         """(key, hits): the texts that hold every word and phrase of a query, and how often."""
-        wanted = parse_query(query)
+        wanted = _phrases(query)
         if not wanted:
             return self.postings([""]).select(self.key, F.lit(0).cast("long").alias("hits")).limit(0)
         terms = sorted({w for p in wanted for w in p})
@@ -220,15 +236,15 @@ class TextIndex:
         return held.where(F.least(*counts) > 0 if len(counts) > 1 else counts[0] > 0).select(self.key, hits.alias("hits"))
 
     def bm25(self, query: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-        """(key, score) of texts that hold a word of the query."""
-        terms = sorted({w for p in parse_query(query) for w in p})
+        """(key, score) of texts that hold a word of the query. Their number and mean length are of the texts that have a word."""
+        terms = sorted({w for p in _phrases(query) for w in p})
         marks = self.markers()
         if any(m["deletes"] for m in marks):
-            whole = self._live_docs(marks).agg(F.count("*").alias("n"), F.avg("len").alias("mean")).first()
-            n, mean = whole["n"], whole["mean"] or 1.0
+            whole = self._facts(self._live_docs(marks))
+            n, words = whole["docs"], whole["words"]
         else:
-            n = sum(m["docs"] for m in marks)
-            mean = sum(m["words"] for m in marks) / n if n else 1.0
+            n, words = sum(m["docs"] for m in marks), sum(m["words"] for m in marks)
+        mean = words / n if n else 1.0
         rows = self._live_postings(marks, terms or [""])
         df = {r["term"]: r["n"] for r in rows.groupBy("term").agg(F.count("*").alias("n")).collect()}  # a row for each term asked for
         idf = F.create_map(*[F.lit(x) for t in terms or [""] for x in (t, math.log(1 + (n - df.get(t, 0) + 0.5) / (df.get(t, 0) + 0.5)))])
@@ -241,6 +257,6 @@ def stored_index(spark: SparkSession, folder: str, table: DataFrame, key: str, t
     """The index of a table's texts, built in folder on first use and found there as long as the table's files stay the same."""
     files = table.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
     state = files.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("file_path", "file_size", "file_modification_time")).alias("x")).first()
-    index = TextIndex(spark, f"{folder}/text-index-{state['n']}-{(state['x'] or 0) & (1 << 64) - 1:016x}", key, table.schema[key].dataType.simpleString())
+    index = TextIndex(spark, f"{folder}/text-index-{RULES}-{state['n']}-{(state['x'] or 0) & (1 << 64) - 1:016x}", key, table.schema[key].dataType.simpleString())
     index.add("table", table, text_col)
     return index

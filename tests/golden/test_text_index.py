@@ -101,3 +101,34 @@ def test_blocks_are_made_where_texts_are_read(spark, monkeypatch):
     assert index.add("a", spark.createDataFrame([(k, "the cat sat") for k in range(400)], "doc_id long, text string").coalesce(1))
     assert spark.read.parquet(f"{path}/postings").where("term = 'cat'").count() == 1  # a row for a block, not for each text
     assert index.find_all('"the cat"').count() == 400
+
+
+def test_relevance_of_odd_texts_against_sql(spark, sf_dir, tmp_path):
+    """Texts without a word, and letters that Java's and SQL's classes and lower case take in different ways."""
+    from tessitura import plans
+
+    from ..oracle import TABLES, compare
+
+    for t in TABLES:
+        if t != "documents":
+            (tmp_path / f"{t}.parquet").symlink_to(f"{sf_dir}/{t}.parquet")
+    odd = [None, "", "... !!!", "eau m² ½ ²", "thing a‿b", "eau ⓐ", "thing‌s eau", "THİNG eau", "Ⅷ thing", "٣ eau ⁀"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs.union(spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(odd)], docs.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("q6_relevance", "q1_find_all"):
+        compare(spark, plans.QUERIES[name], plans.ORACLES[name], str(tmp_path))
+
+
+def test_texts_without_a_word_change_no_score(spark):
+    index = TextIndex(spark, f"{shared_dir(spark)}/idx-{uuid.uuid4().hex}", parts=4, slices=2)
+    scores = lambda: {r.doc_id: round(r.score, 9) for r in index.bm25("the cat").collect()}
+    assert index.add("a", frame(spark, {1: "the cat sat", 2: "a cat and the cat", 3: "two dogs"}))
+    want = scores()
+    assert index.add("b", frame(spark, {4: None, 5: "...", 6: ""})) and index.markers()[-1]["docs"] == 0
+    assert scores() == want
+    assert index.add("c", frame(spark, {3: "two dogs", 7: "?"}))  # 3 is replaced: scores are taken with deletes
+    assert scores() == want
+    index.merge()
+    assert scores() == want
+    assert index.add("d", frame(spark, {5: "cat", 1: ""}))
+    check(index, {2: "a cat and the cat", 3: "two dogs", 5: "cat"})
