@@ -278,16 +278,16 @@ def name_candidates(texts: DataFrame, names: DataFrame, keys: Sequence[str], lea
     return hits.groupBy(*keys, "name").agg(best.alias("b")).select(*keys, "name", "b.matched", "b.idx", "b.ratio")
 
 
-def name_variants(texts: DataFrame, names: DataFrame, key: str, least: float = 0.8, both: float = 0.85, closest: int = 25, text_col: str = "text") -> DataFrame:
+def name_variants(texts: DataFrame, names: DataFrame, key: str, least: float = 0.8, both: float = 0.85, text_col: str = "text") -> DataFrame:
     """(first, last, name, times, texts): adjacent words that are each close to a name's first and last word, but not the
-    name; where both differ, both must be closer. Each distinct word is compared once, with its closest name words kept."""
+    name; where both differ, both must be closer. Each distinct word is compared once, and every name word that it is close to counts."""
     words = F.regexp_extract_all(F.lower(text_col), F.lit(r"(?U)\p{L}+"), F.lit(0))
     rows = texts.select(key, words.alias("w")).where(F.size("w") >= 2)
     n = names.select("name", F.lower(F.split("name", " ")[0]).alias("fa"), F.lower(F.element_at(F.split("name", " "), -1)).alias("fb")).where("fa <> fb or name like '% %'").distinct()
     # From a plain explode the optimizer infers a filter that cuts the text into words anew, for pairs for each of them; no list is empty.
     vocabulary = rows.select(F.explode_outer(F.array_distinct("w")).alias("w")).distinct()
-    close = similarity_join(vocabulary, n.select(F.col("fa").alias("k")).union(n.select("fb")).distinct(), "w", "k", least)
-    close = close.withColumn("_r", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("ratio"), "w"))).where(F.col("_r") <= closest).drop("_r")
+    # Written, as both sides of a pair read it: each word is scored once.
+    close = written(similarity_join(vocabulary, n.select(F.col("fa").alias("k")).union(n.select("fb")).distinct(), "w", "k", least), "close")
     ca = close.select(F.col("w").alias("a"), F.col("k").alias("fa"), F.col("ratio").alias("ra"))
     cb = close.select(F.col("w").alias("b"), F.col("k").alias("fb"), F.col("ratio").alias("rb"))
     hit = n.join(ca.hint("merge"), "fa").join(cb.hint("merge"), "fb").where("not (a = fa and b = fb)").where((F.col("a") == F.col("fa")) | (F.col("b") == F.col("fb")) | ((F.col("ra") >= both) & (F.col("rb") >= both)))

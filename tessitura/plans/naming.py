@@ -71,9 +71,9 @@ def n9_suppressed_pairs(spark, sf_dir):
 
 
 def _misspelt(spark, sf_dir):
-    """documents that each hold a name with a letter lost."""
+    """Every document, with a name with a letter lost at its end where a part has its number."""
     p = table(spark, sf_dir, "part").select((F.col("p_partkey")).alias("doc_id"), F.concat(F.substring("p_name", 1, 3), F.substring("p_name", 5, 60)).alias("heard"))
-    return table(spark, sf_dir, "documents").join(p, "doc_id").select("doc_id", F.concat_ws(" ", "text", "heard", F.lit("spoke.")).alias("text"))
+    return table(spark, sf_dir, "documents").join(p, "doc_id", "left").select("doc_id", F.concat_ws(" ", "text", "heard", F.lit("spoke.")).alias("text"))
 
 
 @query("n7_name_candidates")

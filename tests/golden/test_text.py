@@ -260,6 +260,29 @@ def test_name_variants_against_all_pairs(spark, sf_dir):
     assert got == {k: (len(v), len(set(v))) for k, v in want.items()} and got
 
 
+def test_name_variants_are_not_cut_at_the_closest(spark):
+    """Fifty words that are close to one last word: each counts, the closest 25 and the others."""
+    import string
+
+    from tessitura.operators.names import name_variants
+
+    last = [f"lindqvis{x}" for x in string.ascii_lowercase if x != "t"] + [f"lind{x}vist" for x in string.ascii_lowercase if x != "q"]
+    rows = spark.createDataFrame([(i, f"So Mara {w.title()} spoke.") for i, w in enumerate(last)], "doc_id int, text string")
+    found = name_variants(rows, spark.createDataFrame([("Mara Lindqvist",)], "name string"), "doc_id").collect()
+    assert sorted((r["first"], r["last"], r["name"], r.times, r.texts) for r in found) == sorted(("mara", w, "Mara Lindqvist", 1, 1) for w in last)
+
+
+def test_name_variants_are_sought_in_all_documents(spark, sf_dir, tmp_path):
+    """Documents beyond the parts' numbers too."""
+    from tessitura.plans import QUERIES
+
+    docs = [(10**9, "Then small rinng came."), (10**9 + 1, "a small rinng"), (10**9 + 2, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    (tmp_path / "part.parquet").symlink_to(f"{sf_dir}/part.parquet")
+    got = {(r["first"], r["last"], r["name"], r.times, r.texts) for r in QUERIES["n10_name_variants"](spark, str(tmp_path)).collect()}
+    assert ("small", "rinng", "small ring", 2, 2) in got
+
+
 def test_spellings_against_the_fold(spark, sf_dir):
     import difflib
     from collections import defaultdict
