@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessitura.functions.strings import fold
+from tessitura.functions.tables import written
 from tessitura.operators import name_fixes, names, people, sentences
 
 from .fixtures import SENT, paragraphs
+from .ranking import global_rank
 from .registry import query, table
 
 
@@ -81,18 +83,31 @@ def n7_name_candidates(spark, sf_dir):
     return names.name_candidates(_misspelt(spark, sf_dir), _people(spark, sf_dir), ["doc_id"], 0.85, sizes=(2,))
 
 
-def _heard(spark, sf_dir):
-    """Every document with two names said wrong at its end: its own, with a letter lost, and one of the index with a letter doubled."""
+def _index_names(spark, sf_dir):
+    """(name, number): suppliers as an index of names of one word each, numbered from 1. Suppliers' own names are nearly all
+    alike, so that one said wrong would be close to them all; these are not: letters that stand for digits of their hash."""
+    letters = F.translate(F.left(F.md5("s_name"), F.lit(13)), "0123456789abcdef", "aeioulmnrtdkbgvz")
+    return global_rank(table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), letters).alias("name")).where("name is not null").distinct(), [F.col("name")], "number")
+
+
+def _heard(spark, sf_dir, index):
+    """Every document with two names said wrong at its end: its own, where it has one, with a letter lost, and one of the index with a
+    letter doubled. Documents meet the index in turn, by their numbers."""
     p = table(spark, sf_dir, "part").groupBy(F.col("p_partkey").alias("doc_id")).agg(F.min("p_name").alias("own"))
     lost = F.concat(F.substring("own", 1, 3), F.substring("own", 5, 60))
     said = F.when(F.col("own").isNotNull(), F.concat(F.lit(". Then "), lost, F.lit("'s friend, and so on."))).otherwise("")
-    return table(spark, sf_dir, "documents").join(p, "doc_id", "left").select("doc_id", F.concat(F.coalesce("text", F.lit("")), said).alias("text"), "own")
+    doubled = F.concat(F.substring("listed", 1, 4), F.substring("listed", 4, 60))
+    also = F.when(F.col("listed").isNotNull(), F.concat(F.lit(". Later "), doubled, F.lit(" came, and so on."))).otherwise("")
+    listed = index.select(F.col("name").alias("listed"), (F.col("number") - 1).cast("long").alias("_turn"))
+    d = table(spark, sf_dir, "documents").join(p, "doc_id", "left").withColumn("_turn", F.pmod("doc_id", F.lit(max(1, index.count()))))
+    return d.join(listed, "_turn", "left").select("doc_id", F.concat(F.coalesce("text", F.lit("")), said, also).alias("text"), "own")
 
 
 def _name_findings(spark, sf_dir):
-    d = _heard(spark, sf_dir)
+    numbered = written(_index_names(spark, sf_dir), "index")
+    d = _heard(spark, sf_dir, numbered)
     own = d.where("own is not null").select("doc_id", F.col("own").alias("name"))
-    index = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"))
+    index = numbered.select("name")
     ordinary = table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), r"[^a-z]+")).alias("word")).where("word <> ''").distinct()
     suppressed = spark.createDataFrame([], "matched string, candidate string")
     found = name_fixes.name_findings(d, ["doc_id"], own, ["doc_id"], index, ordinary, index, suppressed)

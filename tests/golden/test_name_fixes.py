@@ -143,3 +143,18 @@ def test_shift_with_repeats(spark):
     assert fine[1] == (44.75, True) and fine[2][1]  # the larger of equals
     same = timejoins.fine_shift(left, left, "slug", "gram", "at").collect()
     assert not any(r.accepted for r in same)
+
+
+def test_each_document_says_a_name_of_the_index(spark, sf_dir):
+    """The query's texts hold one of the index's names with a letter doubled, and it is found there; a single word is not put right."""
+    import hashlib
+
+    from tessitura.plans import QUERIES
+
+    to = str.maketrans("0123456789abcdef", "aeioulmnrtdkbgvz")
+    index = sorted({"S" + hashlib.md5(r.s_name.encode()).hexdigest()[:13].translate(to) for r in spark.read.parquet(f"{sf_dir}/supplier.parquet").collect()})
+    ids = [r.doc_id for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id").collect()]
+    said = {i: index[i % len(index)] for i in ids}
+    found = QUERIES["n7_name_findings"](spark, sf_dir).collect()
+    assert {(r.doc_id, r.name, r.heard, r.action) for r in found if r.pool == "index"} == {(i, x, x[:4] + x[3:], "review") for i, x in said.items()}
+    assert sum(r.pool == "scoped" for r in found) > len(ids) / 4
