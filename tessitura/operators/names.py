@@ -90,6 +90,22 @@ def _rare_pairs(c: Column, needed: Column) -> Column:
     return F.slice(F.array_sort(each), F.lit(1), (n - needed).cast("int"))
 
 
+def _letter_bits(c: Column) -> Column:
+    """Two longs with a bit for a word's first, second, third and later letter of each of 32 kinds: two words' bits differ in no more
+    places than the words in letters, as letters of a kind, and those from the fourth on, may only fall together."""
+    kinds = F.array_sort(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.ascii(F.substring(c, i, F.lit(1))).bitwiseAND(F.lit(31))))
+    numbered = F.element_at(F.transform(F.array(kinds), lambda k: F.transform(k, lambda x, i: x * 4 + F.least((i + 1 - F.array_position(k, x)).cast("int"), F.lit(3)))), 1)
+    one = F.lit(1).cast("long")
+    half = lambda low: F.aggregate(numbered, F.lit(0).cast("long"), lambda s, x: F.when(x.between(low, low + 63), s.bitwiseOR(F.call_function("shiftleft", one, x - low))).otherwise(s))
+    return F.array(half(0), half(64))
+
+
+def _letters_allow(la: Column, lb: Column, least: float) -> Column:
+    """Whether the letters' bits (_a0, _a1, _b0, _b1) leave a ratio of so much: the letters that do not match are bounded by it."""
+    differ = F.bit_count(F.col("_a0").bitwiseXOR(F.col("_b0"))) + F.bit_count(F.col("_a1").bitwiseXOR(F.col("_b1")))
+    return differ <= la + lb - 2 * F.ceil(least * (la + lb) / 2 - 1e-9)
+
+
 #: Rows that a join may broadcast.
 FEW = 100_000
 
@@ -105,22 +121,23 @@ def _by_letters(lw: DataFrame, rw: DataFrame, a: str, b: str, least: float, on:
     lw = lw.withColumn("_x", F.explode(_rare_letters(F.col(a), least))).withColumn("_n", F.col("_la"))
     rw = rw.withColumn("_x", F.explode(_rare_letters(F.col(b), least)))  # the shorter list on the right is cheaper: it takes all lengths
     rw = rw.withColumn("_n", F.explode(_other_lengths(F.col("_lb"), least)))
-    return lw.join(_side(rw), ["_x", "_n", *on]).where(ratio_bound(F.col(a), F.col(b)) >= least - 1e-9).select(a, b)
+    return lw.join(_side(rw), ["_x", "_n", *on]).where((ratio_bound(F.col(a), F.col(b)) >= least - 1e-9) & _letters_allow(F.col("_la"), F.col("_lb"), least)).select(a, b)
 
 
 def _by_pairs(lw: DataFrame, rw: DataFrame, a: str, b: str, least: float, on: Sequence[str]) -> DataFrame:
     """Pairs that share a rare pair of neighbouring letters, at places that differ by no more than the letters left over
     before it. Both words' lengths are known on the right, so it takes just the pairs and places that can match."""
-    lw = lw.withColumn("_s", F.explode(_rare_pairs(F.col(a), F.col("_needed")))).select(a, *on, F.col("_la").alias("_n"), F.col("_s.x").alias("_x"), F.col("_s.at").alias("_at"))
+    lw = lw.withColumn("_s", F.explode(_rare_pairs(F.col(a), F.col("_needed")))).select(a, *on, "_a0", "_a1", F.col("_la").alias("_n"), F.col("_s.x").alias("_x"), F.col("_s.at").alias("_at"))
     rw = rw.withColumn("_n", F.explode(_other_lengths(F.col("_lb"), least))).withColumn("_k", F.ceil(least * (F.col("_n") + F.col("_lb")) / 2 - 1e-9).cast("int"))
     rw = rw.where(F.col("_k") <= F.least("_n", "_lb")).withColumn("_s", F.explode(_rare_pairs(F.col(b), _shared_pairs(F.col("_n"), F.col("_lb"), least))))
     first, last = F.greatest(F.col("_s.at") - (F.col("_lb") - F.col("_k")), F.lit(1)), F.least(F.col("_s.at") + (F.col("_n") - F.col("_k")), F.col("_n") - 1)
-    rw = rw.where(first <= last).select(b, *on, "_n", F.col("_s.x").alias("_x"), F.explode(F.sequence(first, last)).alias("_at"))
-    return lw.join(_side(rw), ["_x", "_n", "_at", *on]).select(a, b)
+    rw = rw.where(first <= last).select(b, *on, "_b0", "_b1", "_lb", "_n", F.col("_s.x").alias("_x"), F.explode(F.sequence(first, last)).alias("_at"))
+    return lw.join(_side(rw), ["_x", "_n", "_at", *on]).where(_letters_allow(F.col("_n"), F.col("_lb"), least)).select(a, b)
 
 
 def similar_candidates(left: DataFrame, right: DataFrame, a: str, b: str, least: float, on: Sequence[str] = ()) -> DataFrame:
-    """The distinct pairs (a, b) that bounds by lengths, places and letters leave of those that may reach the ratio, written.
+    """The distinct pairs (a, b) that bounds by lengths, places and letters leave of those that may reach the ratio, written. Letters are
+    first compared by their bits, inside the joins, so that few pairs are sent on to be made distinct.
 
     Lossless. Where words of a length must share a pair of neighbouring letters with all that reach the ratio, the rare
     ones of their pairs, with length and place, are the join's key (positional prefix filtering). Where they need not (short
@@ -132,9 +149,12 @@ def similar_candidates(left: DataFrame, right: DataFrame, a: str, b: str, least:
     def needed(n: Column) -> Column:
         return F.array_min(F.transform(F.filter(_other_lengths(n, least), lambda m: F.ceil(least * (n + m) / 2 - 1e-9) <= F.least(n, m)), lambda m: _shared_pairs(n, m, least)))
 
+    def bits(df: DataFrame, c: str, side: str) -> DataFrame:
+        return df.withColumn("_bits", _letter_bits(F.col(c))).withColumns({f"_{side}{i}": F.get("_bits", F.lit(i)) for i in range(2)}).drop("_bits")
+
     # Written, as each side is read for long and for short words: what the words are taken from is read once.
-    lw = written(lw.withColumn("_needed", needed(F.col("_la"))), "left")
-    rw = written(rw.withColumn("_needed", needed(F.col("_lb"))), "right")
+    lw = written(bits(lw.withColumn("_needed", needed(F.col("_la"))), a, "a"), "left")
+    rw = written(bits(rw.withColumn("_needed", needed(F.col("_lb"))), b, "b"), "right")
     long_l, long_r = lw.where("_needed > 0"), rw.where("_needed > 0")
     short_l, short_r = lw.where("_needed <= 0"), rw.where("_needed <= 0")
     found = _by_pairs(long_l, long_r, a, b, least, on).union(_by_letters(short_l, rw, a, b, least, on)).union(_by_letters(long_l, short_r, a, b, least, on))

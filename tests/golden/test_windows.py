@@ -61,3 +61,22 @@ def test_name_candidates_by_brute_force(spark):
                     old = want.get((r.id, name))
                     want[r.id, name] = min([x for x in (old, (r.matched, r.idx, ratio)) if x], key=lambda x: (-x[2], x[1]))
     assert got == want and len(got) > 20
+
+
+def test_letters_of_similar_words_differ_in_few_bits(spark):
+    """The bits are those of the letters' kinds, and pairs that reach the ratio are never ruled out by them; most others are."""
+    from collections import Counter
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdeghnorstuv'éñ丄𝒳 9", k=rng.randrange(1, 16))) for _ in range(60)]
+    words += [w[:3] + w[2:] for w in words] + [w[:-1] + "q" for w in words] + ["sssssssss", "ssssss"]
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select("w", names._letter_bits(F.col("w")).alias("b")).collect()
+    bits = {r.w: [x & (1 << 64) - 1 for x in r.b] for r in rows}
+    for w, (low, high) in bits.items():
+        kinds = Counter(ord(x) & 31 for x in w)
+        assert low | high << 64 == sum(1 << 4 * k + j for k, n in kinds.items() for j in range(min(n, 4)))
+    pairs = spark.createDataFrame([(a, b) for a in bits for b in bits], "a string, b string")
+    left, right = (spark.createDataFrame([(w, len(w), *names_) for w, names_ in ((w, [x - (1 << 64) if x >> 63 else x for x in b]) for w, b in bits.items())], f"{c} string, _l{c} int, _{c}0 long, _{c}1 long") for c in "ab")
+    kept = {(r.a, r.b) for r in pairs.join(left, "a").join(right, "b").where(names._letters_allow(F.col("_la"), F.col("_lb"), 0.8)).collect()}
+    similar = {(a, b) for a in bits for b in bits if difflib.SequenceMatcher(None, a, b).ratio() >= 0.8}
+    assert similar <= kept and len(kept) < len(bits) ** 2 / 20
