@@ -18,7 +18,6 @@ def connected_components(links: DataFrame, max_rounds: int = 64) -> DataFrame:
 
     Self links and repeated links are harmless; null ends are ignored. No links give no rows.
     """
-    spark = links.sparkSession
     edges = materialize(links.where("u <> v").select("u", "v").union(links.where("u <> v").select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links")
     mapping = None
     for _ in range(max_rounds):
@@ -38,4 +37,4 @@ def connected_components(links: DataFrame, max_rounds: int = 64) -> DataFrame:
         edges = materialize(edges.join(pu, "u").join(pv, "v").where("pu <> pv").select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct(), "links")
     else:
         raise RuntimeError(f"links remain after {max_rounds} rounds")
-    return spark.createDataFrame([], "node long, root long") if mapping is None else mapping
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")) if mapping is None else mapping

@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import letting_go, materialize, small_batches, texts
 from .components import connected_components
@@ -153,12 +154,20 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Fingerprints over five words and pigeonring find candidates, and whole sets are compared. A search by 64 bits can't find
     all of them (see README), so what it misses is found by near_copies.near_components; op10's three words are not used here.
 
-    A row whose id is null stays and links nothing (it can't be named as a copy of another). Rows that repeat the kept id
-    all stay: exact copies are another operator's work.
+    A row whose id is null stays and links nothing (it can't be named as a copy of another). Where an id comes with several
+    texts, each is a document of its own, after those of smaller ids and in the order of a hash; rows that repeat the kept id with
+    the same text all stay: exact copies are another operator's work.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    name = F.col("id")
+    if not rows.where("id is not null").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        name = F.when(F.col("id").isNotNull(), F.struct("id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("copy")))
+    rows = rows.select(name.alias("id"), "text")
     with small_batches(docs.sparkSession, BATCH_ROWS):
         found = near_components(rows, candidates=fingerprint_candidates(rows))
         gone = materialize(found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("_gone")).distinct(), "gone")
     gone = F.broadcast(gone) if gone.count() <= SENT_IDS else gone.hint("merge")
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    if not isinstance(gone.schema["_gone"].dataType, StructType):
+        return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    copy = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    return docs.join(gone, (docs[id_col] == gone["_gone"]["id"]) & (copy == gone["_gone"]["copy"]), "left_anti")

@@ -101,3 +101,20 @@ def test_fingerprints_find_candidates(spark, planted, monkeypatch):
     monkeypatch.setattr(simhash, "near_components", lambda rows, candidates: given.append({(r.u, r.v) for r in candidates.collect()}) or whole(rows, candidates=candidates))
     kept = {r.id for r in simhash.drop_near_copies(docs, "id").collect()}
     assert given == [got] and len(planted) not in kept and None in kept
+
+
+def test_an_id_with_several_texts(spark):
+    """Each text of an id is judged by itself: one of its own stays, though another of the same id is a copy; of an id's own near copies one stays."""
+    rng = random.Random(2)
+    a, b, c, d = (" ".join(f"w{rng.randrange(9999)}" for _ in range(60)) for _ in range(4))
+    rows = [(1, a), (7, a + " more"), (7, b), (2, c), (2, c + " more"), (3, d), (3, d), (4, d.upper()), (8, None), (8, ""), (9, "  "), (None, b), (None, "solo")]
+    for more in (rows, rows[2:5] + rows[11:]):
+        kept = sorted(((r.doc_id or -1, r.text) for r in drop_near_copies(spark.createDataFrame(more, "doc_id long, text string")).collect()), key=str)
+        want = [x for x in more if x not in (rows[1], rows[3], rows[4], rows[7], rows[10])]
+        twos = [t for i, t in kept if i == 2]
+        assert len(twos) == 1 and twos[0] in (c, c + " more")
+        assert [x for x in kept if x[0] != 2] == sorted(((i or -1, t) for i, t in want), key=str)
+    alone = spark.createDataFrame([(5, a), (5, b), (6, c)], "doc_id long, text string")
+    assert drop_near_copies(alone).count() == 3
+    names = spark.createDataFrame([("x", a), ("y", b)], "doc_id string, text string")
+    assert drop_near_copies(names).count() == 2
