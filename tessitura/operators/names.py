@@ -96,8 +96,8 @@ def _letter_bits(c: Column) -> Column:
     kinds = F.array_sort(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.ascii(F.substring(c, i, F.lit(1))).bitwiseAND(F.lit(31))))
     numbered = F.element_at(F.transform(F.array(kinds), lambda k: F.transform(k, lambda x, i: x * 4 + F.least((i + 1 - F.array_position(k, x)).cast("int"), F.lit(3)))), 1)
     one = F.lit(1).cast("long")
-    half = lambda low: F.aggregate(numbered, F.lit(0).cast("long"), lambda s, x: F.when(x.between(low, low + 63), s.bitwiseOR(F.call_function("shiftleft", one, x - low))).otherwise(s))
-    return F.array(half(0), half(64))
+    half = lambda k, low: F.aggregate(k, F.lit(0).cast("long"), lambda s, x: F.when(x.between(low, low + 63), s.bitwiseOR(F.call_function("shiftleft", one, x - low))).otherwise(s))
+    return F.element_at(F.transform(F.array(numbered), lambda k: F.array(half(k, 0), half(k, 64))), 1)
 
 
 def _letters_allow(la: Column, lb: Column, least: float) -> Column:
